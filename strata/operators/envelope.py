@@ -135,9 +135,10 @@ def envelope_json(envelope: Column) -> Column:
     return F.to_json(envelope, {"timestampFormat": JSON_TIMESTAMP_FORMAT})
 
 
-def to_transport(df: DataFrame, envelope_col: str, topic: str) -> DataFrame:
+def to_transport(df: DataFrame, envelope_col: str, topic: str, passthrough: Iterable[str] = ()) -> DataFrame:
     """K6: records ready for a Kafka sink -- null key, JSON value, topic."""
     return df.select(
+        *[F.col(c) for c in passthrough],
         F.lit(None).cast("binary").alias("key"),
         F.encode(envelope_json(F.col(envelope_col)), "UTF-8").alias("value"),
         F.lit(topic).alias("topic"),

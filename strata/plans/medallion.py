@@ -53,18 +53,31 @@ def bronze_ingest(
     dedupe_in_batch: bool = True,
     storage_level: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
 ) -> BronzeRun:
-    """Bronze batch job: parse and validate once, drop keys already stored,
-    append to both sinks.
+    """Bronze batch job (R1, R3): parse and validate once, drop keys already
+    stored, append to both sinks.  See ``bronze_write`` for the options."""
+    configure(spark)
+    validated = prepare(transport, clock, passthrough)
+    return bronze_write(spark, validated, layout, dedupe_in_batch, storage_level)
+
 
-    * ``dedupe_in_batch``: first arrival per transport key before J1, for
-      inputs that can repeat a key (file topics, replays).  A Kafka offset
-      range never does; pass False there and save the shuffle.
+def bronze_write(
+    spark: SparkSession,
+    validated: DataFrame,
+    layout: schemas.Layout,
+    dedupe_in_batch: bool = True,
+    storage_level: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
+) -> BronzeRun:
+    """Append a validated batch to the accepted and quarantine tables.
+
+    * ``dedupe_in_batch``: first arrival per transport key before J1 (A3),
+      for inputs that can repeat a key (file topics, redeliveries).  A Kafka
+      offset range never does; pass False there and save the shuffle.
     * The validated frame is persisted so the two sinks do not parse the
       topic twice; it is recomputable from the (offset-pinned) source if an
       executor is lost.  ``None`` skips persisting.
-    * J1 narrows the stored side to the batch's offset ranges first."""
-    configure(spark)
-    validated = prepare(transport, clock, passthrough)
+    * J1 first narrows the stored side to the batch's offset ranges.
+    * Re-running the same batch appends nothing, so a replayed micro-batch
+      or a retried job is idempotent."""
     if dedupe_in_batch:
         validated = first_arrival(validated)
     if storage_level is not None:
@@ -72,7 +85,8 @@ def bronze_ingest(
     try:
         existing_accepted = table_or_none(spark, layout.accepted)
         existing_quarantine = table_or_none(spark, layout.quarantine)
-        ranges = offset_ranges(validated) if (existing_accepted is not None or existing_quarantine is not None) else None
+        has_history = existing_accepted is not None or existing_quarantine is not None
+        ranges = offset_ranges(validated) if has_history else None
         accepted = remove_existing_offsets(accepted_records(validated), existing_accepted, ranges=ranges)
         quarantine = remove_existing_offsets(quarantine_records(validated), existing_quarantine, ranges=ranges)
         n_accepted = append(accepted, layout.accepted)

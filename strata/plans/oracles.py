@@ -150,6 +150,13 @@ _SERVED = """league_id, league_name, season, status_category, api_status, api_wa
 
 _FIRST = "d1 AS (SELECT * FROM d WHERE ingested_at_utc = ts)"
 
+# Envelopes built from events: an error event has no payload.
+_BUILT = """bev AS (
+  SELECT ev.*, CASE WHEN event_type <> 'error'
+    THEN '{"status":"' || event_type || '","response_length":' || CAST(k AS VARCHAR) || '}'
+    ELSE '{"warning":"API key not configured"}' END AS payload
+  FROM ev)"""
+
 GOLD_SQL = _with(_BRONZE_RAW, _ELIGIBLE, _SILVER, _GOLD) + "SELECT * FROM g"
 SILVER_SQL = _with(_BRONZE_RAW, _ELIGIBLE, _SILVER) + "SELECT * FROM s"
 
@@ -222,4 +229,74 @@ def oracle_sql() -> dict[str, str]:
     )
     q["gold_current_status"] = GOLD_SQL
     q["gold_via_max_by"] = GOLD_SQL
+    q["first_arrival"] = _with() + (
+        "SELECT kafka_topic, kafka_partition, kafka_offset, idempotency_key, ts AS ingested_at_utc,\n"
+        "  ts AS kafka_timestamp_utc, reason AS validation_reason FROM m"
+    )
+    q["message_outcome"] = _with() + (
+        "SELECT kafka_topic, kafka_partition, kafka_offset, ingested_at_utc,\n"
+        "  reason IS NULL AND ingested_at_utc = ts AS written_to_bronze,\n"
+        "  reason IS NOT NULL AS written_to_quarantine,\n"
+        "  CASE WHEN fault IN (0, 1) THEN reason\n"
+        "       WHEN reason IS NOT NULL THEN 'Envelope validation failure: ' || errors_text\n"
+        "       WHEN ingested_at_utc > ts THEN 'Duplicate skipped'\n"
+        "       ELSE 'Consumed offset ' || CAST(kafka_offset AS VARCHAR) || ' from ' || kafka_topic || ' and wrote Bronze row.'\n"
+        "  END AS outcome FROM d"
+    )
+    gold_from = _with(_BRONZE_RAW, _ELIGIBLE, _SILVER, _GOLD)
+    q["serving_all"] = gold_from + f"SELECT {_SERVED} FROM g"
+    q["serving_by_league"] = gold_from + f"SELECT {_SERVED} FROM g WHERE league_id = 3"
+    q["serving_by_season"] = gold_from + f"SELECT {_SERVED} FROM g WHERE season = 2021"
+    q["serving_by_both"] = gold_from + f"SELECT {_SERVED} FROM g WHERE league_id = 3 AND season = 2021"
+    q["serving_nulls"] = gold_from + (
+        "SELECT COALESCE(league_id, 0) AS league_id, COALESCE(league_name, '') AS league_name,\n"
+        "  COALESCE(season, 0) AS season, COALESCE(status_category, '') AS status_category,\n"
+        "  api_status, api_warning, latest_fetched_at_utc, latest_ingested_at_utc FROM g"
+    )
+    q["recent_rows"] = _with() + (
+        "SELECT * FROM (SELECT 'accepted' AS output, kafka_topic, kafka_partition, kafka_offset, ts AS at_utc,\n"
+        "    raw_message_json FROM m WHERE reason IS NULL\n"
+        "    ORDER BY ts DESC, kafka_topic DESC, kafka_partition DESC, kafka_offset DESC LIMIT 5)\n"
+        "UNION ALL\n"
+        "SELECT * FROM (SELECT 'quarantine' AS output, kafka_topic, kafka_partition, kafka_offset, ts AS at_utc,\n"
+        "    raw_message_json FROM m WHERE reason IS NOT NULL\n"
+        "    ORDER BY ts DESC, kafka_topic DESC, kafka_partition DESC, kafka_offset DESC LIMIT 5)"
+    )
+    q["latest_order_per_customer"] = (
+        "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM (\n"
+        "  SELECT *, row_number() OVER (PARTITION BY o_custkey\n"
+        "    ORDER BY o_orderdate DESC NULLS LAST, o_orderkey DESC NULLS LAST) AS rn FROM orders) WHERE rn = 1"
+    )
+    built = _with(_BUILT)
+    q["envelope_build"] = built + (
+        "SELECT event_id, '1.0' AS SchemaVersion, 'api-football' AS Source, 'league-status' AS EntityType,\n"
+        "  league AS LeagueId, 'League-' || CAST(league AS VARCHAR) AS LeagueName, season_v AS Season,\n"
+        "  'c-' || CAST(event_id AS VARCHAR) AS CorrelationId, ts AS FetchedAtUtc, '/status' AS Endpoint,\n"
+        "  'status-' || CAST(league AS VARCHAR) || '-' || CAST(season_v AS VARCHAR) AS RequestKey,\n"
+        "  CAST(league AS VARCHAR) AS SourceEntityId, payload AS PayloadJson FROM bev"
+    )
+    q["envelope_publish"] = built + (
+        "SELECT event_id, CAST(NULL AS VARCHAR) AS key, 'raw.ingestion.dev' AS topic,\n"
+        "  '{\"SchemaVersion\":\"1.0\",\"Source\":\"api-football\",\"EntityType\":\"league-status\",\"LeagueId\":'\n"
+        "  || CAST(league AS VARCHAR) || ',\"LeagueName\":\"League-' || CAST(league AS VARCHAR)\n"
+        "  || '\",\"Season\":' || CAST(season_v AS VARCHAR) || ',\"CorrelationId\":\"c-' || CAST(event_id AS VARCHAR)\n"
+        "  || '\",\"FetchedAtUtc\":\"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ')\n"
+        "  || '\",\"Endpoint\":\"/status\",\"RequestKey\":\"status-' || CAST(league AS VARCHAR) || '-'\n"
+        "  || CAST(season_v AS VARCHAR) || '\",\"SourceEntityId\":\"' || CAST(league AS VARCHAR)\n"
+        "  || '\",\"PayloadJson\":\"' || replace(payload, '\"', '\\\"') || '\"}' AS value FROM bev"
+    )
+    q["quota_admission"] = (
+        "SELECT event_id, call_date, CASE WHEN rn <= 100 THEN rn END AS call_number, rn <= 100 AS admitted\n"
+        "FROM (SELECT event_id, CAST(CAST(ts AS TIMESTAMP) AS DATE) AS call_date,\n"
+        "  CAST(row_number() OVER (PARTITION BY CAST(CAST(ts AS TIMESTAMP) AS DATE)\n"
+        "    ORDER BY ts, event_id) AS INTEGER) AS rn FROM events)"
+    )
+    q["quota_ledger"] = (
+        "SELECT strftime(call_date, '%Y-%m-%d') AS DateUtc, CAST(count(*) AS INTEGER) AS CallsMade,\n"
+        "  CAST(100 AS INTEGER) AS MaxCallsPerDay, max(ts) AS LastCallStartedAtUtc,\n"
+        "  max(make_timestamp(epoch_us(ts) + CAST(round(value * 1000000) AS BIGINT))) AS LastCallCompletedAtUtc\n"
+        "FROM (SELECT CAST(ts AS TIMESTAMP) AS ts, value, CAST(CAST(ts AS TIMESTAMP) AS DATE) AS call_date,\n"
+        "  row_number() OVER (PARTITION BY CAST(CAST(ts AS TIMESTAMP) AS DATE) ORDER BY ts, event_id) AS rn\n"
+        "  FROM events) WHERE rn <= 100 GROUP BY call_date"
+    )
     return q

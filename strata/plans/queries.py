@@ -10,13 +10,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import schemas
 from strata.functions.columns import wall_clock
-from strata.operators import bronze, envelope, gold, silver
+from strata.operators import bronze, envelope, gold, quota, serving, silver
+from strata.operators.latest import latest_by, newest_first
 from strata.plans import inputs
+from strata.sources import messages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -124,6 +126,129 @@ def gold_via_max_by(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wall_clock(gold.current_status(silver.silver_events(inputs.bronze_raw(spark, sf_dir)), method="max_by"))
 
 
+def first_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3 (batch): one row per transport key over every delivery; the
+    earliest ingest wins."""
+    first = bronze.first_arrival(inputs.validated_all(spark, sf_dir))
+    return wall_clock(
+        first.select(
+            *schemas.TRANSPORT_KEY, "idempotency_key", "ingested_at_utc", "kafka_timestamp_utc", "validation_reason"
+        )
+    )
+
+
+def message_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """outcome of every delivery, redeliveries included."""
+    return wall_clock(bronze.message_outcome(inputs.validated_all(spark, sf_dir)))
+
+
+# The serving filters used by the registered queries.
+SERVE_LEAGUE = 3
+SERVE_SEASON = 2021
+
+
+def _gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gold.current_status(silver.silver_events(inputs.bronze_raw(spark, sf_dir)))
+
+
+def serving_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F10 (no filter) + P13."""
+    return wall_clock(serving.current_statuses(_gold(spark, sf_dir)))
+
+
+def serving_by_league(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F10 (league) + P13."""
+    return wall_clock(serving.current_statuses(_gold(spark, sf_dir), league_id=SERVE_LEAGUE))
+
+
+def serving_by_season(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F10 (season) + P13."""
+    return wall_clock(serving.current_statuses(_gold(spark, sf_dir), season=SERVE_SEASON))
+
+
+def serving_by_both(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F10 (league AND season) + P13."""
+    return wall_clock(serving.current_statuses(_gold(spark, sf_dir), league_id=SERVE_LEAGUE, season=SERVE_SEASON))
+
+
+def serving_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The served null policy."""
+    return wall_clock(serving.served_rows(serving.current_statuses(_gold(spark, sf_dir))))
+
+
+RECENT_ROWS = 5
+
+
+def recent_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest rows of each Bronze output (a top-k report)."""
+    v = inputs.validated_first(spark, sf_dir)
+    key = list(schemas.TRANSPORT_KEY)
+    acc = serving.most_recent(bronze.accepted_records(v), RECENT_ROWS, ["ingested_at_utc"], key).select(
+        F.lit("accepted").alias("output"), *key, F.col("ingested_at_utc").alias("at_utc"), "raw_message_json"
+    )
+    qua = serving.most_recent(bronze.quarantine_records(v), RECENT_ROWS, ["quarantined_at_utc"], key).select(
+        F.lit("quarantine").alias("output"), *key, F.col("quarantined_at_utc").alias("at_utc"), "raw_message_json"
+    )
+    return wall_clock(acc.unionByName(qua))
+
+
+def latest_order_per_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W3 at scale: newest order per customer (order date, then key)."""
+    orders = inputs.table(spark, sf_dir, "orders")
+    return wall_clock(latest_by(orders, ["o_custkey"], newest_first("o_orderdate", "o_orderkey")))
+
+
+def _built_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = inputs.events(spark, sf_dir)
+    # An error event stands for a call made without a configured key: no
+    # payload, so the synthetic warning payload is used.
+    payload = F.when(
+        F.col("event_type") != "error",
+        F.to_json(F.struct(F.col("event_type").alias("status"),
+                           F.get_json_object("props", "$.k").cast("int").alias("response_length"))),
+    )
+    env = envelope.build_envelope(
+        F.col("user_id") % messages.LEAGUES + 1,
+        F.lit(messages.FIRST_SEASON) + F.col("user_id") % messages.SEASONS,
+        payload,
+        correlation_id=F.concat(F.lit("c-"), F.col("event_id").cast("string")),
+        fetched_at=F.col("ts").cast("timestamp"),
+    )
+    return ev.select("event_id", env.alias("envelope"))
+
+
+def envelope_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P15 + P16: envelopes built from (league, season, payload)."""
+    built = _built_envelopes(spark, sf_dir)
+    return wall_clock(built.select("event_id", "envelope.*"))
+
+
+def envelope_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6: envelopes serialised for the topic (null key, JSON value)."""
+    built = _built_envelopes(spark, sf_dir)
+    return wall_clock(envelope.to_transport(built, "envelope", messages.TOPIC, passthrough=("event_id",)))
+
+
+def _calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inputs.events(spark, sf_dir).select("event_id", F.col("ts").cast("timestamp").alias("ts"), "value")
+
+
+def quota_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 100 calls of each UTC day are admitted."""
+    admitted = quota.admit_calls(_calls(spark, sf_dir), "ts", "event_id")
+    return admitted.select("event_id", "call_date", "call_number", "admitted")
+
+
+def _completed() -> Column:
+    # A call completes ``value`` seconds after it starts (fixture rule).
+    return F.timestamp_micros(F.unix_micros(F.col("ts")) + F.round(F.col("value") * 1_000_000).cast("long"))
+
+
+def quota_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4: one ledger row per UTC day."""
+    return wall_clock(quota.call_ledger(_calls(spark, sf_dir), "ts", "event_id", _completed()))
+
+
 QUERIES: dict[str, Query] = {
     "transport_scan": transport_scan,
     "transport_projection": transport_projection,
@@ -142,4 +267,17 @@ QUERIES: dict[str, Query] = {
     "status_category": status_category,
     "gold_current_status": gold_current_status,
     "gold_via_max_by": gold_via_max_by,
+    "first_arrival": first_arrival,
+    "message_outcome": message_outcome,
+    "serving_all": serving_all,
+    "serving_by_league": serving_by_league,
+    "serving_by_season": serving_by_season,
+    "serving_by_both": serving_by_both,
+    "serving_nulls": serving_nulls,
+    "recent_rows": recent_rows,
+    "latest_order_per_customer": latest_order_per_customer,
+    "envelope_build": envelope_build,
+    "envelope_publish": envelope_publish,
+    "quota_admission": quota_admission,
+    "quota_ledger": quota_ledger,
 }
