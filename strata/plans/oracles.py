@@ -299,4 +299,39 @@ def oracle_sql() -> dict[str, str]:
         "  row_number() OVER (PARTITION BY CAST(CAST(ts AS TIMESTAMP) AS DATE) ORDER BY ts, event_id) AS rn\n"
         "  FROM events) WHERE rn <= 100 GROUP BY call_date"
     )
+    q["bronze_append_idempotent"] = q["bronze_accepted"]
+    q["run_metrics"] = _with(_FIRST) + (
+        "SELECT 'bronze_accepted' AS sink, count(*) AS rows_written FROM d1 WHERE reason IS NULL\n"
+        "UNION ALL SELECT 'bronze_quarantine', count(*) FROM d1 WHERE reason IS NOT NULL\n"
+        "UNION ALL SELECT 'silver', count(*) FROM d1 WHERE reason IS NULL AND fault <> 13\n"
+        "UNION ALL SELECT 'gold', count(DISTINCT (LeagueId, LeagueName, Season)) FROM d1\n"
+        "  WHERE reason IS NULL AND fault <> 13"
+    )
+    q["silver_rebuild"] = SILVER_SQL
+    q["gold_rebuild"] = GOLD_SQL
+    q["replay_range"] = GOLD_SQL
+    q["publish_snapshot"] = gold_from + (
+        "SELECT league_id AS LEAGUE_ID, league_name AS LEAGUE_NAME, season AS SEASON,\n"
+        "  api_status AS API_STATUS, api_response_length AS API_RESPONSE_LENGTH, api_warning AS API_WARNING,\n"
+        "  status_category AS STATUS_CATEGORY, latest_idempotency_key AS LATEST_IDEMPOTENCY_KEY,\n"
+        "  latest_request_key AS LATEST_REQUEST_KEY, latest_correlation_id AS LATEST_CORRELATION_ID,\n"
+        "  latest_fetched_at_utc AS LATEST_FETCHED_AT_UTC, latest_ingested_at_utc AS LATEST_INGESTED_AT_UTC,\n"
+        "  event_date AS EVENT_DATE, latest_payload_json AS LATEST_PAYLOAD_JSON FROM g"
+    )
+    q["publish_reconcile"] = gold_from + (
+        "SELECT count(*) AS source_rows, count(*) AS target_rows, CAST(0 AS BIGINT) AS missing_in_target,\n"
+        "  CAST(0 AS BIGINT) AS extra_in_target, true AS matched FROM g"
+    )
+    q["jsonl_roundtrip"] = _with(_FIRST) + (
+        "SELECT reason AS Reason, errors_text AS ValidationErrors, kafka_topic AS KafkaTopic,\n"
+        "  kafka_partition AS KafkaPartition, kafka_offset AS KafkaOffset, ts AS KafkaTimestampUtc,\n"
+        "  ingested_at_utc AS QuarantinedAtUtc, raw_message_json AS RawMessageJson\n"
+        "FROM d1 WHERE reason IS NOT NULL"
+    )
+    q["stream_bronze_accepted"] = _with(_FIRST) + (
+        f"SELECT * REPLACE (CAST(league_id AS INTEGER) AS league_id, CAST(season AS INTEGER) AS season)\n"
+        f"FROM (SELECT {_ACCEPTED_COLS} FROM d1 WHERE reason IS NULL)"
+    )
+    q["stream_bronze_quarantine"] = q["bronze_quarantine"]
+    q["stream_dedup"] = q["bronze_accepted"]
     return q

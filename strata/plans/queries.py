@@ -15,10 +15,13 @@ from pyspark.sql import functions as F
 
 from strata import schemas
 from strata.functions.columns import wall_clock
-from strata.operators import bronze, envelope, gold, quota, serving, silver
+from strata.operators import bronze, envelope, gold, publish, quota, serving, silver
 from strata.operators.latest import latest_by, newest_first
-from strata.plans import inputs
-from strata.sources import messages
+from strata.plans import inputs, medallion, runs
+from strata.session import run_dir
+from strata.sinks import jsonl
+from strata.sources import messages, transport
+from strata.streaming import bronze_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -249,6 +252,162 @@ def quota_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wall_clock(quota.call_ledger(_calls(spark, sf_dir), "ts", "event_id", _completed()))
 
 
+# --- queries that run the layer jobs against tables ---------------------------
+
+
+def _ingest_first(spark: SparkSession, sf_dir: str, layout) -> medallion.BronzeRun:
+    """Bronze job over the topic (first deliveries; ingest time = ``ts``)."""
+    return medallion.bronze_ingest(
+        spark, inputs.topic(spark, sf_dir, with_clock=True), layout,
+        clock=F.col(messages.DELIVERY_CLOCK), passthrough=(messages.DELIVERY_CLOCK,),
+    )
+
+
+def _ingest_raw(spark: SparkSession, sf_dir: str, layout) -> medallion.BronzeRun:
+    """Every delivery appended as it came (no A3): the Bronze history that
+    Silver must de-duplicate."""
+    return medallion.bronze_ingest(
+        spark, messages.deliveries(inputs.events(spark, sf_dir)), layout,
+        clock=F.col(messages.DELIVERY_CLOCK), passthrough=(messages.DELIVERY_CLOCK,), dedupe_in_batch=False,
+    )
+
+
+def bronze_append_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K7 + K1 + J1 + R3: create the tables, ingest the topic, then ingest
+    every delivery again (the whole topic plus redeliveries).  The second
+    run appends nothing; the accepted table is returned."""
+    layout, _ = runs.fresh_layout(spark, "append")
+    _ingest_first(spark, sf_dir, layout)
+    again = medallion.bronze_ingest(
+        spark, messages.deliveries(inputs.events(spark, sf_dir)), layout,
+        clock=F.col(messages.DELIVERY_CLOCK), passthrough=(messages.DELIVERY_CLOCK,),
+    )
+    if again.accepted_rows or again.quarantine_rows:
+        raise AssertionError(f"re-run appended rows: {again}")
+    return wall_clock(spark.table(layout.accepted))
+
+
+def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K8 + A1: rows written per sink, counted during each write."""
+    layout, _ = runs.fresh_layout(spark, "metrics")
+    b = _ingest_first(spark, sf_dir, layout)
+    n_silver = medallion.silver_rebuild(spark, layout)
+    n_gold = medallion.gold_rebuild(spark, layout)
+    rows = [("bronze_accepted", b.accepted_rows), ("bronze_quarantine", b.quarantine_rows),
+            ("silver", n_silver), ("gold", n_gold)]
+    return spark.createDataFrame(rows, "sink string, rows_written long")
+
+
+def silver_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3: Silver rebuilt from the Bronze table, twice (overwrite is
+    idempotent); the stored table is returned."""
+    layout, _ = runs.fresh_layout(spark, "silver")
+    _ingest_raw(spark, sf_dir, layout)
+    medallion.silver_rebuild(spark, layout)
+    medallion.silver_rebuild(spark, layout)
+    return wall_clock(spark.table(layout.silver))
+
+
+def gold_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3: Gold rebuilt from the Silver table; the stored table is returned."""
+    layout, _ = runs.fresh_layout(spark, "gold")
+    _ingest_raw(spark, sf_dir, layout)
+    medallion.silver_rebuild(spark, layout)
+    medallion.gold_rebuild(spark, layout)
+    return wall_clock(spark.table(layout.gold))
+
+
+def replay_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R2: Silver and Gold rebuilt from stored Bronze only (whole range
+    here; bounded ranges are covered by the tests)."""
+    layout, _ = runs.fresh_layout(spark, "replay")
+    _ingest_raw(spark, sf_dir, layout)
+    medallion.replay(spark, layout)
+    return wall_clock(spark.table(layout.gold))
+
+
+def _published(spark: SparkSession, sf_dir: str):
+    layout, root = runs.fresh_layout(spark, "publish")
+    _ingest_raw(spark, sf_dir, layout)
+    medallion.silver_rebuild(spark, layout)
+    medallion.gold_rebuild(spark, layout)
+    target = f"{root}/published/current_league_status"
+    publish.publish_snapshot(spark.table(layout.gold), "parquet", {"path": target})
+    return spark.table(layout.gold), spark.read.parquet(target)
+
+
+def publish_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4 + P17: full-refresh copy of Gold in the published shape."""
+    _, target = _published(spark, sf_dir)
+    return target
+
+
+def publish_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5 + X2: source and published copy agree on count and rows."""
+    source, target = _published(spark, sf_dir)
+    return publish.reconcile(source, target)
+
+
+def jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5 + S5: quarantine rows written as JSON lines and read back."""
+    root = run_dir(spark, "jsonl")
+    lines = jsonl.quarantine_lines(bronze.quarantine_records(inputs.validated_first(spark, sf_dir)))
+    jsonl.append_jsonl(lines, f"{root}/quarantine")
+    return wall_clock(transport.read_quarantine_jsonl(spark, f"{root}/quarantine"))
+
+
+def _stream_source(spark: SparkSession, sf_dir: str, root: str, redeliver: bool) -> DataFrame:
+    """Write the topic as files (first deliveries, then redeliveries) and
+    open a file stream over them."""
+    topic = inputs.topic(spark, sf_dir, with_clock=True)
+    path = f"{root}/topic"
+    topic.write.mode("append").parquet(path)
+    if redeliver:
+        messages.redeliveries(topic).write.mode("append").parquet(path)
+    schema = topic.schema
+    return transport.read_topic_stream(
+        spark, messages.TOPIC.replace(".", "[.]"), "parquet", path, options={"maxFilesPerTrigger": "4"}, schema=schema
+    )
+
+
+def _bronze_streams(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    root = run_dir(spark, "stream")
+    stream = _stream_source(spark, sf_dir, root, redeliver=False)
+    accepted, quarantine = f"{root}/accepted", f"{root}/quarantine"
+    queries = bronze_stream.bronze_streams(
+        stream, accepted, quarantine, f"{root}/checkpoints",
+        clock=F.col(messages.DELIVERY_CLOCK), passthrough=(messages.DELIVERY_CLOCK,),
+    )
+    for q in queries:
+        q.awaitTermination()
+    return accepted, quarantine
+
+
+def stream_bronze_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2/S3 + K2 + ST1 (+ P6): the accepted stream; league and season stay
+    integers in the streaming design."""
+    accepted, _ = _bronze_streams(spark, sf_dir)
+    return wall_clock(spark.read.parquet(accepted))
+
+
+def stream_bronze_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST1 + K2: the quarantine stream (same rule column as batch)."""
+    _, quarantine = _bronze_streams(spark, sf_dir)
+    return wall_clock(spark.read.parquet(quarantine))
+
+
+def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST2: a stream with redeliveries; every key lands once."""
+    layout, root = runs.fresh_layout(spark, "dedup")
+    stream = _stream_source(spark, sf_dir, root, redeliver=True)
+    q = bronze_stream.dedup_stream(
+        stream, layout, f"{root}/checkpoints/dedup",
+        clock=F.col(messages.DELIVERY_CLOCK), passthrough=(messages.DELIVERY_CLOCK,),
+    )
+    q.awaitTermination()
+    return wall_clock(spark.table(layout.accepted))
+
+
 QUERIES: dict[str, Query] = {
     "transport_scan": transport_scan,
     "transport_projection": transport_projection,
@@ -280,4 +439,15 @@ QUERIES: dict[str, Query] = {
     "envelope_publish": envelope_publish,
     "quota_admission": quota_admission,
     "quota_ledger": quota_ledger,
+    "bronze_append_idempotent": bronze_append_idempotent,
+    "run_metrics": run_metrics,
+    "silver_rebuild": silver_rebuild,
+    "gold_rebuild": gold_rebuild,
+    "replay_range": replay_range,
+    "publish_snapshot": publish_snapshot,
+    "publish_reconcile": publish_reconcile,
+    "jsonl_roundtrip": jsonl_roundtrip,
+    "stream_bronze_accepted": stream_bronze_accepted,
+    "stream_bronze_quarantine": stream_bronze_quarantine,
+    "stream_dedup": stream_dedup,
 }
