@@ -6,19 +6,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, TimestampType
 
-# Blank means empty or only white space, Unicode white space included
-# ((?U) makes \s follow the Unicode White_Space property), so a tab or a
-# no-break space is blank as well as a plain space.
-BLANK_PATTERN = r"(?U)^\s*$"
+# The Unicode White_Space code points.  Blank means empty or
+# made only of these, so a tab or a no-break space is blank as well as a
+# plain space (plain ``trim`` strips spaces only).
+WHITE_SPACE = "".join(
+    chr(c)
+    for c in (0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+              0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
+)
 
 
 def is_blank(col: Column) -> Column:
-    """True when null or blank; never null itself."""
-    return col.isNull() | col.rlike(BLANK_PATTERN)
+    """True when null or blank; never null itself.  ``trim`` with a
+    character set stays inside generated code (no regex)."""
+    return col.isNull() | (F.trim(col, F.lit(WHITE_SPACE)) == "")
 
 
 def not_blank(col: Column) -> Column:
-    return col.isNotNull() & ~col.rlike(BLANK_PATTERN)
+    return ~is_blank(col)
 
 
 def status_category(warning: Column, status: Column) -> Column:

@@ -3,7 +3,8 @@
 One ordered list drives every form of the check:
 
 * ``validation_reason`` -- the first failing rule (batch Bronze, F3);
-* ``rule_errors`` -- every failing rule, in the same order (F4);
+* ``rule_errors`` -- every failing rule, in the same order (F4); its first
+  entry (``first_error``) equals ``validation_reason``;
 * the outcome text of ``strata.operators.bronze.message_outcome`` (F7).
 
 Accepted and quarantined rows are split on ``validation_reason`` being null,
@@ -77,11 +78,19 @@ def validation_reason(parse_reason: Column, envelope: Column, rules=RULES) -> Co
     return F.coalesce(parse_reason, *[F.when(r.fails(envelope), F.lit(r.message)) for r in rules])
 
 
+def first_error(errors: Column) -> Column:
+    """The first entry of an error list built by ``rule_errors``: equal to
+    ``validation_reason`` (null for an empty list)."""
+    return F.get(errors, 0)
+
+
 def rule_errors(parse_reason: Column, envelope: Column, rules=RULES) -> Column:
     """Every failing check as an array (empty when the envelope is valid).
 
-    A parse failure stands alone, since no field can be judged then."""
-    each = F.array(*[F.when(r.fails(envelope), F.lit(r.message)) for r in rules])
-    return F.when(parse_reason.isNotNull(), F.array(parse_reason)).otherwise(
-        F.filter(each, lambda x: x.isNotNull())
-    )
+    A parse failure stands alone, since no field can be judged then.  Built
+    as a ``concat`` of one-element arrays rather than ``filter`` with a
+    lambda: higher-order functions drop the projection out of generated
+    code."""
+    empty = F.array().cast("array<string>")
+    each = [F.when(r.fails(envelope), F.array(F.lit(r.message))).otherwise(empty) for r in rules]
+    return F.when(parse_reason.isNotNull(), F.array(parse_reason)).otherwise(F.concat(*each))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata import schemas
-from strata.functions.rules import parse_failure, rule_errors, validation_reason
+from strata.functions.rules import first_error, parse_failure, rule_errors
 
 # Micro-second text for timestamps inside JSON; the default writes millis.
 JSON_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
@@ -41,6 +41,9 @@ def parse_envelope(df: DataFrame, text_col: str = "raw_message_json") -> DataFra
             {"columnNameOfCorruptRecord": schemas.CORRUPT_FIELD, "mode": "PERMISSIVE"},
         ),
     )
+    # A separate projection on purpose: CollapseProject keeps an expensive
+    # expression (the parse) in its own Project when it is used many times,
+    # so every reference below reads the one parsed struct.
     return parsed.withColumn("parse_reason", parse_failure(F.col(text_col), F.col("envelope")))
 
 
@@ -49,19 +52,18 @@ def derive_columns(df: DataFrame, clock: Column | None = None) -> DataFrame:
 
     ``clock`` defaults to ``current_timestamp()``; pass a column to make a run
     reproducible."""
-    clock = F.current_timestamp() if clock is None else clock
-    return (
-        df.withColumn("ingested_at_utc", clock.cast("timestamp"))
-        .withColumn(schemas.PARTITION_COLUMN, F.to_date(F.col("ingested_at_utc")))
-        .withColumn(
-            "idempotency_key",
-            F.concat_ws(
+    clock = (F.current_timestamp() if clock is None else clock).cast("timestamp")
+    return df.withColumns(
+        {
+            "ingested_at_utc": clock,
+            schemas.PARTITION_COLUMN: F.to_date(clock),
+            "idempotency_key": F.concat_ws(
                 "|",
                 F.col("kafka_topic"),
                 F.col("kafka_partition").cast("string"),
                 F.col("kafka_offset").cast("string"),
             ),
-        )
+        }
     )
 
 
@@ -73,11 +75,12 @@ def business_key(df: DataFrame, name: str = "business_key") -> DataFrame:
 
 
 def validate(df: DataFrame) -> DataFrame:
-    """F3 + F4: ``validation_reason`` (first failure or null) and
-    ``validation_errors`` (all failures) from the one rule list."""
-    e, p = F.col("envelope"), F.col("parse_reason")
-    return df.withColumn("validation_reason", validation_reason(p, e)).withColumn(
-        "validation_errors", rule_errors(p, e)
+    """F3 + F4: ``validation_errors`` (all failures, in rule order) and
+    ``validation_reason`` (the first of them, or null) from the one rule
+    list.  The reason is read off the list, so the rules are evaluated once."""
+    errors = rule_errors(F.col("parse_reason"), F.col("envelope"))
+    return df.withColumn("validation_errors", errors).withColumn(
+        "validation_reason", first_error(F.col("validation_errors"))
     )
 
 

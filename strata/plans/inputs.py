@@ -15,9 +15,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a small input over the cores when its scan yields fewer
+    splits than the default parallelism (a single-row-group file is one
+    task, and parsing JSON in one task leaves the other cores idle).  A
+    large table already has enough splits and is returned unchanged, so no
+    shuffle is added at scale."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    return table(spark, sf_dir, "events")
+    return spread(table(spark, sf_dir, "events"))
 
 
 def topic(spark: SparkSession, sf_dir: str, with_clock: bool = False) -> DataFrame:
