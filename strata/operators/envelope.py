@@ -33,17 +33,19 @@ def transport_columns(kafka_df: DataFrame, passthrough: Iterable[str] = ()) -> D
 def parse_envelope(df: DataFrame, text_col: str = "raw_message_json") -> DataFrame:
     """Parse the text once into ``envelope`` (12 fields + corrupt-record
     text) and derive ``parse_reason`` from it."""
-    parsed = df.withColumn(
-        "envelope",
-        F.from_json(
-            F.col(text_col),
-            schemas.ENVELOPE_PARSE,
-            {"columnNameOfCorruptRecord": schemas.CORRUPT_FIELD, "mode": "PERMISSIVE"},
-        ),
+    parsed_struct = F.from_json(
+        F.col(text_col),
+        schemas.ENVELOPE_PARSE,
+        {"columnNameOfCorruptRecord": schemas.CORRUPT_FIELD, "mode": "PERMISSIVE"},
     )
-    # A separate projection on purpose: CollapseProject keeps an expensive
-    # expression (the parse) in its own Project when it is used many times,
-    # so every reference below reads the one parsed struct.
+    # The parse runs inside a Generate (explode of a one-element array, so
+    # one output row per input row, a null struct included).  Filters on
+    # fields of the parsed struct -- the accepted/quarantine split, Silver's
+    # eligibility -- cannot be pushed below a generator's output, so the text
+    # is parsed exactly once per row.  From a plain projection, Catalyst
+    # would push those filters down to the scan with the parse inlined in
+    # every predicate, evaluated before any repartition.
+    parsed = df.select("*", F.explode(F.array(parsed_struct)).alias("envelope"))
     return parsed.withColumn("parse_reason", parse_failure(F.col(text_col), F.col("envelope")))
 
 

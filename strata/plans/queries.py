@@ -366,7 +366,7 @@ def _stream_source(spark: SparkSession, sf_dir: str, root: str, redeliver: bool)
         messages.redeliveries(topic).write.mode("append").parquet(path)
     schema = topic.schema
     return transport.read_topic_stream(
-        spark, messages.TOPIC.replace(".", "[.]"), "parquet", path, options={"maxFilesPerTrigger": "4"}, schema=schema
+        spark, messages.TOPIC.replace(".", "[.]"), "parquet", path, options={"maxFilesPerTrigger": "8"}, schema=schema
     )
 
 
