@@ -39,17 +39,31 @@ def _rows(obs: Observation) -> int:
     return int(obs.get.get("rows", 0) or 0)
 
 
-def append(df: DataFrame, table: str, partition_by: tuple[str, ...] = (schemas.PARTITION_COLUMN,)) -> int:
+def rebalanced(df: DataFrame, partition_by: tuple[str, ...]) -> DataFrame:
+    """Group rows by the table's partition columns before a partitioned
+    write.  Without it every task writes one file per date it holds (tasks x
+    dates small files; a full Silver rebuild over years of dates would write
+    millions).  The ``rebalance`` hint is an AQE shuffle that also splits a
+    hot date into advisory-size pieces, so no task receives a whole skewed
+    partition."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
+def append(
+    df: DataFrame, table: str, partition_by: tuple[str, ...] = (schemas.PARTITION_COLUMN,), rebalance: bool = True
+) -> int:
     """K1: append to a partitioned table; returns rows written.  A parquet
     table needs ``partitionBy`` on every append."""
-    watched, obs = observed(df)
+    watched, obs = observed(rebalanced(df, partition_by) if rebalance else df)
     watched.write.mode("append").partitionBy(*partition_by).saveAsTable(table)
     return _rows(obs)
 
 
-def overwrite(df: DataFrame, table: str, partition_by: tuple[str, ...] = (schemas.PARTITION_COLUMN,)) -> int:
+def overwrite(
+    df: DataFrame, table: str, partition_by: tuple[str, ...] = (schemas.PARTITION_COLUMN,), rebalance: bool = True
+) -> int:
     """K3: full rebuild of a partitioned table; returns rows written."""
-    watched, obs = observed(df)
+    watched, obs = observed(rebalanced(df, partition_by) if rebalance else df)
     (
         watched.write.mode("overwrite")
         .option("overwriteSchema", "true")
