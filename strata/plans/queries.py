@@ -27,8 +27,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def transport_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S1 over the whole topic (earliest -> latest)."""
-    return wall_clock(inputs.topic(spark, sf_dir))
+    """The topic stored Kafka-shaped, read back earliest -> latest."""
+    path = f"{run_dir(spark, 'topic')}/topic"
+    inputs.topic(spark, sf_dir).write.parquet(path)
+    return wall_clock(transport.read_topic(spark, messages.TOPIC, "parquet", path))
 
 
 def transport_projection(spark: SparkSession, sf_dir: str) -> DataFrame:

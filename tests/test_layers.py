@@ -184,3 +184,23 @@ def test_layers_and_bounded_replay(spark):
     assert g == {1: "d1", 2: "d1b"}
     plan = medallion.date_range(spark.table(layout.accepted), "2026-04-10", "2026-04-10")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan
+
+
+def test_job_entry_runs_the_layers(spark):
+    from strata import jobs
+    from strata.session import run_dir
+
+    root = run_dir(spark, "t-jobs")
+    records(spark, [text(LeagueId=7), "garbage"]).write.parquet(f"{root}/topic")
+    tag = root.rsplit("-", 1)[1][:8]
+    base = ["--bronze_schema", f"jb_{tag}", "--silver_schema", f"js_{tag}", "--gold_schema", f"jg_{tag}"]
+    for schema in base[1::2]:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema} LOCATION '{root}/{schema}'")
+    out = jobs.run(spark, jobs.parser().parse_args(
+        ["bronze", *base, "--topic_name", "raw.ingestion.test", "--source_format", "parquet",
+         "--source_path", f"{root}/topic"]))
+    assert out == {"accepted_rows": 1, "quarantine_rows": 1}
+    assert jobs.run(spark, jobs.parser().parse_args(["silver", *base])) == {"silver_rows": 1}
+    assert jobs.run(spark, jobs.parser().parse_args(["gold", *base, "--gold_method", "max_by"])) == {"gold_rows": 1}
+    rec = jobs.run(spark, jobs.parser().parse_args(["publish", *base, "--option", f"path={root}/published"]))
+    assert rec["matched"] and rec["source_rows"] == 1
