@@ -16,13 +16,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a small input over the cores when its scan yields fewer
-    splits than the default parallelism (a single-row-group file is one
-    task, and parsing JSON in one task leaves the other cores idle).  A
-    large table already has enough splits and is returned unchanged, so no
-    shuffle is added at scale."""
+    """Round-robin an input held in fewer files than there are cores.
+
+    Such a table is usually one row group per file, and a parquet row group
+    is read by a single task however many byte-range splits the scan plans
+    (the other splits come back empty), so parsing would run on one core.
+    A large table has many files and is returned unchanged: no shuffle is
+    added at scale."""
     target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    if len(df.inputFiles()) >= target:
         return df
     return df.repartition(target)
 

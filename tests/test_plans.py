@@ -9,6 +9,7 @@ from strata.operators import bronze, gold, serving, silver
 from strata.operators.envelope import prepare
 from strata.plans import inputs, medallion, runs
 from strata.plans.queries import QUERIES
+from strata.session import run_dir
 
 
 def plan(df) -> str:
@@ -77,5 +78,7 @@ def test_gold_reads_only_needed_silver_columns(spark):
 def test_small_inputs_are_spread_large_ones_are_not(spark):
     ev = inputs.table(spark, SF_SMALL, "events")
     assert inputs.spread(ev).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    wide = ev.repartition(spark.sparkContext.defaultParallelism * 2)
-    assert inputs.spread(wide) is wide
+    root = run_dir(spark, "t-spread")
+    ev.repartition(spark.sparkContext.defaultParallelism * 2).write.parquet(root)
+    many = spark.read.parquet(root)
+    assert inputs.spread(many) is many
