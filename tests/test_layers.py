@@ -204,3 +204,30 @@ def test_job_entry_runs_the_layers(spark):
     assert jobs.run(spark, jobs.parser().parse_args(["gold", *base, "--gold_method", "max_by"])) == {"gold_rows": 1}
     rec = jobs.run(spark, jobs.parser().parse_args(["publish", *base, "--option", f"path={root}/published"]))
     assert rec["matched"] and rec["source_rows"] == 1
+
+
+def test_hot_key_holding_a_third_of_rows(spark):
+    """One message redelivered as often as all others together: results stay
+    whole and the rank-1 windows are limited before the shuffle."""
+    n = 60
+    base = records(spark, [text(LeagueId=i % 4 + 1, CorrelationId=f"c{i}") for i in range(n)])
+    hot = records(spark, [text(LeagueId=1, CorrelationId="hot")], start=1000)
+    copies = hot.select("*", F.explode(F.sequence(F.lit(1), F.lit(n // 2))).alias("copy"))
+    # Each copy is ingested one second after the previous one.
+    hot_deliveries = prepare(
+        copies, clock=F.col("kafka_timestamp_utc") + F.make_dt_interval(secs=F.col("copy")), passthrough=("copy",)
+    ).drop("copy")
+    v = prepare(base, clock=F.col("kafka_timestamp_utc")).unionByName(hot_deliveries)
+    first = bronze.first_arrival(v)
+    assert first.count() == n + 1
+    hot_ts = hot.first().timestamp
+    assert first.filter("kafka_offset = 1000").first().ingested_at_utc == hot_ts + dt.timedelta(seconds=1)
+    s = silver.silver_events(bronze.accepted_records(v))
+    assert s.count() == n + 1
+    latest_hot = s.filter("idempotency_key = 'raw.ingestion.test|0|1000'").first()
+    assert latest_hot.ingested_at_utc == hot_ts + dt.timedelta(seconds=n // 2)
+    g = gold.current_status(s)
+    assert g.count() == 4 and sorted(g.collect()) == sorted(gold.current_status(s, method="max_by").collect())
+    for df in (first, s, g):
+        assert "WindowGroupLimit" in df._jdf.queryExecution().executedPlan().toString()
+    assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"

@@ -101,3 +101,13 @@ def test_table_schemas_round_trip_through_ddl(spark):
     stored = spark.table(layout.accepted)
     assert {f.name: f.dataType for f in stored.schema.fields} == {f.name: f.dataType for f in schemas.BRONZE_ACCEPTED.fields}
     assert spark.table(layout.quarantine).schema["validation_errors"].dataType == schemas.BRONZE_QUARANTINE["validation_errors"].dataType
+
+
+def test_accepted_jsonl_roundtrip(spark):
+    root = run_dir(spark, "t-jsonl-acc")
+    v = prepare(records(spark, [text(), text(LeagueId=7, FetchedAtUtc="2026-04-10T20:16:42.796942Z")]),
+                clock=F.col("kafka_timestamp_utc"))
+    rows = bronze.flat_rows(v)
+    jsonl.append_jsonl(rows, f"{root}/bronze")
+    back = transport.read_bronze_jsonl(spark, f"{root}/bronze")
+    assert sorted(back.collect()) == sorted(rows.collect())
