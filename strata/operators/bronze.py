@@ -184,19 +184,23 @@ def message_outcome(validated_deliveries: DataFrame) -> DataFrame:
     """the outcome of every delivery, as the row-at-a-time consumer
     reports it.  Only valid envelopes are checked for duplicates, so a
     redelivered bad message is quarantined each time; the first valid
-    arrival of a transport key is written, later ones are skipped."""
+    arrival of a transport key is written, later ones are skipped.
+
+    Copies can tie on everything (one batch shares one ingest clock), so
+    each delivery gets an id as the last tie-break and exactly one copy per
+    key is "written".  The first arrival per key is a rank-1 window (limited
+    map-side, so a hot key ships one row per task) joined back on the key;
+    the join, not a full-group window, meets the hot key, and AQE can split
+    that skewed join partition."""
+    d = validated_deliveries.withColumn("_delivery", F.monotonically_increasing_id())
     valid = F.col("validation_reason").isNull()
-    first = first_arrival(validated_deliveries.filter(valid)).select(
-        *schemas.TRANSPORT_KEY, F.col("ingested_at_utc").alias("_first_ingest"), F.col("raw_message_json").alias("_first_raw"),
-        F.col("kafka_timestamp_utc").alias("_first_kts"),
-    )
-    joined = validated_deliveries.join(first, list(schemas.TRANSPORT_KEY), "left")
-    is_first = (
-        valid
-        & F.col("_first_ingest").eqNullSafe(F.col("ingested_at_utc"))
-        & F.col("_first_kts").eqNullSafe(F.col("kafka_timestamp_utc"))
-        & F.col("_first_raw").eqNullSafe(F.col("raw_message_json"))
-    )
+    first = latest_by(
+        d.filter(valid),
+        schemas.TRANSPORT_KEY,
+        oldest_first("ingested_at_utc", "kafka_timestamp_utc", "raw_message_json", "_delivery"),
+    ).select(*schemas.TRANSPORT_KEY, F.col("_delivery").alias("_first"))
+    joined = d.join(first, list(schemas.TRANSPORT_KEY), "left")
+    is_first = valid & (F.col("_first") == F.col("_delivery"))
     parse = F.col("parse_reason")
     outcome = (
         F.when(parse.isNotNull(), parse)
@@ -207,7 +211,7 @@ def message_outcome(validated_deliveries: DataFrame) -> DataFrame:
     return joined.select(
         *schemas.TRANSPORT_KEY,
         "ingested_at_utc",
-        (valid & is_first).alias("written_to_bronze"),
+        F.coalesce(is_first, F.lit(False)).alias("written_to_bronze"),
         (~valid).alias("written_to_quarantine"),
         outcome.alias("outcome"),
     )

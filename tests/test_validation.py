@@ -138,3 +138,13 @@ def test_business_key_skips_nulls(spark):
     df = business_key(parse_envelope(transport_columns(records(spark, [text(), text(RequestKey=None)]))))
     keys = [r.business_key for r in df.orderBy("kafka_offset").collect()]
     assert keys == ["api-football|league-status|status-135-2025", "api-football|league-status"]
+
+
+def test_identical_copies_in_one_batch_write_once(spark):
+    from strata.operators.bronze import DUPLICATE_SKIPPED
+
+    same = F.lit("2026-04-10 00:00:00").cast("timestamp")
+    v = prepare(records(spark, [text()]).union(records(spark, [text()])).union(records(spark, [text()])), clock=same)
+    out = [r.outcome for r in bronze.message_outcome(v).collect()]
+    assert sorted(out) == sorted(["Consumed offset 0 from raw.ingestion.test and wrote Bronze row.",
+                                  DUPLICATE_SKIPPED, DUPLICATE_SKIPPED])
