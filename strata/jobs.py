@@ -54,6 +54,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--end", default=None)
     p.add_argument("--target_format", default="parquet")
     p.add_argument("--option", action="append", default=[], help="key=value, repeatable")
+    p.add_argument("--swap", action="store_true", help="rebuild as a new version behind a view")
     return p
 
 
@@ -68,11 +69,11 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict:
         result = medallion.bronze_ingest(spark, topic, layout, dedupe_in_batch=args.source_format != "kafka")
         return {"accepted_rows": result.accepted_rows, "quarantine_rows": result.quarantine_rows}
     if args.job == "silver":
-        return {"silver_rows": medallion.silver_rebuild(spark, layout, args.start, args.end)}
+        return {"silver_rows": medallion.silver_rebuild(spark, layout, args.start, args.end, args.swap)}
     if args.job == "gold":
-        return {"gold_rows": medallion.gold_rebuild(spark, layout, args.gold_method)}
+        return {"gold_rows": medallion.gold_rebuild(spark, layout, args.gold_method, args.swap)}
     if args.job == "replay":
-        silver_rows, gold_rows = medallion.replay(spark, layout, args.start, args.end)
+        silver_rows, gold_rows = medallion.replay(spark, layout, args.start, args.end, args.swap)
         return {"silver_rows": silver_rows, "gold_rows": gold_rows}
     source = spark.table(layout.gold)
     publish_snapshot(source, args.target_format, options)

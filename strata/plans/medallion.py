@@ -25,7 +25,7 @@ from strata.operators.envelope import prepare
 from strata.operators.gold import current_status
 from strata.operators.silver import silver_events
 from strata.session import configure
-from strata.sinks.tables import append, create_database, create_table, overwrite
+from strata.sinks.tables import append, create_database, create_table, overwrite, overwrite_swap
 from strata.sources.transport import table_or_none
 
 
@@ -106,22 +106,32 @@ def date_range(df: DataFrame, start: str | None = None, end: str | None = None)
     return df
 
 
-def silver_rebuild(spark: SparkSession, layout: schemas.Layout, start: str | None = None, end: str | None = None) -> int:
-    """Silver job: full rebuild from Bronze (optionally a date range of it)."""
+def _rebuild(df: DataFrame, name: str, swap: bool) -> int:
+    return overwrite_swap(df, name) if swap else overwrite(df, name)
+
+
+def silver_rebuild(
+    spark: SparkSession, layout: schemas.Layout, start: str | None = None, end: str | None = None, swap: bool = False
+) -> int:
+    """Silver job: full rebuild from Bronze (optionally a date range of it).
+    ``swap`` writes a new version and repoints a view (see
+    ``overwrite_swap``) instead of overwriting in place."""
     configure(spark)
     bronze = date_range(spark.table(layout.accepted), start, end)
-    return overwrite(silver_events(bronze), layout.silver)
+    return _rebuild(silver_events(bronze), layout.silver, swap)
 
 
-def gold_rebuild(spark: SparkSession, layout: schemas.Layout, method: str = "window") -> int:
+def gold_rebuild(spark: SparkSession, layout: schemas.Layout, method: str = "window", swap: bool = False) -> int:
     """Gold job: full rebuild from Silver.  A per-date overwrite would be
     wrong: when a key's newest row moves to another date, the old row would
     stay behind in its old partition."""
     configure(spark)
-    return overwrite(current_status(spark.table(layout.silver), method=method), layout.gold)
+    return _rebuild(current_status(spark.table(layout.silver), method=method), layout.gold, swap)
 
 
-def replay(spark: SparkSession, layout: schemas.Layout, start: str | None = None, end: str | None = None) -> tuple[int, int]:
+def replay(
+    spark: SparkSession, layout: schemas.Layout, start: str | None = None, end: str | None = None, swap: bool = False
+) -> tuple[int, int]:
     """R2: rebuild Silver and Gold from stored Bronze only; with bounds, from
     that range of ingest dates (pruned at the scan)."""
-    return silver_rebuild(spark, layout, start, end), gold_rebuild(spark, layout)
+    return silver_rebuild(spark, layout, start, end, swap), gold_rebuild(spark, layout, swap=swap)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -71,3 +74,34 @@ def overwrite(
         .saveAsTable(table)
     )
     return _rows(obs)
+
+
+def overwrite_swap(
+    df: DataFrame,
+    name: str,
+    partition_by: tuple[str, ...] = (schemas.PARTITION_COLUMN,),
+    keep_previous: int = 1,
+) -> int:
+    """K3, durable form: write the rebuild as a new version table, then
+    repoint the view ``name`` at it in one catalog statement.
+
+    A plain overwrite of a parquet table deletes the old files before the
+    new ones are written, so a failed rebuild leaves readers an empty table.
+    Here readers keep seeing the previous version until the new one is
+    complete; ``keep_previous`` older versions stay for queries still
+    reading them, older ones are dropped.  Filters and column pruning pass
+    through the view to the version table's scan."""
+    spark = df.sparkSession
+    db, obj = name.rsplit(".", 1)
+    if spark.catalog.tableExists(name):
+        kind = spark.catalog.getTable(name).tableType
+        if kind != "VIEW":
+            raise ValueError(f"{name} is a {kind} table; swap mode needs the name free or a view")
+    prefix = f"{obj}__v"
+    version = f"{prefix}{int(time.time() * 1000):015d}_{uuid.uuid4().hex[:6]}"
+    rows = overwrite(df, f"{db}.{version}", partition_by)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {db}.{version}")
+    versions = sorted(t.name for t in spark.catalog.listTables(db) if t.name.startswith(prefix))
+    for old in versions[: max(len(versions) - keep_previous - 1, 0)]:
+        spark.sql(f"DROP TABLE IF EXISTS {db}.{old}")
+    return rows

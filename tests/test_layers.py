@@ -231,3 +231,30 @@ def test_hot_key_holding_a_third_of_rows(spark):
     for df in (first, s, g):
         assert "WindowGroupLimit" in df._jdf.queryExecution().executedPlan().toString()
     assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+
+
+def test_swap_rebuild_keeps_readers_on_the_last_good_version(spark):
+    from strata.sinks.tables import overwrite_swap
+
+    layout, _ = runs.fresh_layout(spark, "t-swap")
+    medallion.bronze_ingest(spark, records(spark, [text(LeagueId=1), text(LeagueId=2)]), layout,
+                            clock=F.col("kafka_timestamp_utc"))
+    assert medallion.silver_rebuild(spark, layout, swap=True) == 2
+    assert medallion.gold_rebuild(spark, layout, swap=True) == 2
+    assert spark.catalog.getTable(layout.gold).tableType == "VIEW"
+    # A rebuild that fails while writing leaves the previous version in place.
+    broken = spark.table(layout.silver).withColumn("league_id", F.raise_error(F.lit("boom")).cast("int"))
+    with pytest.raises(Exception):
+        overwrite_swap(broken, layout.silver)
+    assert spark.table(layout.silver).count() == 2
+    # Later rebuilds keep one previous version and drop older ones.
+    medallion.silver_rebuild(spark, layout, swap=True)
+    medallion.silver_rebuild(spark, layout, swap=True)
+    db, obj = layout.silver.split(".")
+    versions = [t.name for t in spark.catalog.listTables(db) if t.name.startswith(obj + "__v")]
+    assert len(versions) <= 3  # current, previous, and the failed attempt's leftover
+    served = spark.table(layout.gold).filter("league_id = 1")
+    explain = spark._jvm.PythonSQLUtils.explainString(served._jdf.queryExecution(), "formatted")
+    assert "EqualTo(league_id,1)" in explain
+    with pytest.raises(ValueError):
+        overwrite_swap(spark.table(layout.silver), layout.accepted)
