@@ -63,6 +63,34 @@ def bronze_streams(
     return accepted, quarantine
 
 
+def bronze_stream_tables(
+    stream: DataFrame,
+    layout: schemas.Layout,
+    checkpoint_root: str,
+    clock: Column | None = None,
+    passthrough: Iterable[str] = (),
+    trigger: dict | None = None,
+) -> tuple[StreamingQuery, StreamingQuery]:
+    """ST1 + K2 into the layer tables (``toTable``), as the streaming design
+    does.  League and season are written as text, the batch tables' type,
+    so batch and stream can append to the same tables."""
+    validated = prepare(stream, clock, passthrough)
+    trigger = trigger or AVAILABLE_NOW
+
+    def start(df: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
+        return (
+            df.writeStream.outputMode("append")
+            .option("checkpointLocation", checkpoint)
+            .trigger(**trigger)
+            .toTable(table)
+        )
+
+    return (
+        start(accepted_records(validated), layout.accepted, f"{checkpoint_root}/accepted"),
+        start(quarantine_records(validated), layout.quarantine, f"{checkpoint_root}/quarantine"),
+    )
+
+
 def dedup_stream(
     stream: DataFrame,
     layout: schemas.Layout,

@@ -71,3 +71,16 @@ def test_dedup_within_watermark(spark):
     q.awaitTermination()
     rows = spark.table("wm_out").collect()
     assert len(rows) == 10 and {r.kafka_topic for r in rows} == {TOPIC}
+
+
+def test_streams_into_layer_tables(spark):
+    layout, root = runs.fresh_layout(spark, "t-stream-tables")
+    topic = records(spark, topic_values())
+    topic.write.parquet(f"{root}/topic")
+    clock = F.col("kafka_timestamp_utc")
+    for q in bronze_stream.bronze_stream_tables(open_stream(spark, f"{root}/topic", "4"), layout, f"{root}/cp", clock):
+        q.awaitTermination()
+    v = prepare(topic, clock=clock)
+    acc = bronze.accepted_records(v)
+    assert sorted(spark.table(layout.accepted).select(*acc.columns).collect()) == sorted(acc.collect())
+    assert spark.table(layout.quarantine).count() == bronze.quarantine_records(v).count()
