@@ -29,6 +29,10 @@ from strata.session import configure  # noqa: E402
 from strata.sources.transport import read_topic  # noqa: E402
 
 
+# Fixed value: the default topic the Bronze job reads.
+DEFAULT_TOPIC = "soccer.raw.ingestion.dev"
+
+
 def _options(pairs: list[str]) -> dict[str, str]:
     out = {}
     for pair in pairs:
@@ -44,7 +48,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--bronze_schema", default="bronze")
     p.add_argument("--silver_schema", default="silver")
     p.add_argument("--gold_schema", default="gold")
-    p.add_argument("--topic_name", default="soccer.raw.ingestion.dev")
+    p.add_argument("--topic_name", default=DEFAULT_TOPIC)
     p.add_argument("--source_format", default="kafka")
     p.add_argument("--source_path", default=None)
     p.add_argument("--starting_offsets", default="earliest")

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata import schemas
-from strata.functions.rules import PARSE_EMPTY
 from strata.operators.latest import latest_by, oldest_first
 
 ACCEPTED_STATUS = "accepted"
@@ -218,7 +217,7 @@ def message_outcome(validated_deliveries: DataFrame) -> DataFrame:
 
 
 __all__ = [
-    "ACCEPTED_STATUS", "DUPLICATE_SKIPPED", "PARSE_EMPTY", "VALIDATION_FAILURE", "accepted_records",
+    "ACCEPTED_STATUS", "DUPLICATE_SKIPPED", "VALIDATION_FAILURE", "accepted_records",
     "first_arrival", "flat_rows", "message_outcome", "offset_ranges", "quarantine_records",
     "remove_existing_offsets", "split_conservation",
 ]
