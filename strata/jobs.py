@@ -68,8 +68,11 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict:
     options = _options(args.option)
     if args.job == "bronze":
         medallion.create_layer_tables(spark, layout)
+        starting = args.starting_offsets
+        if starting == "resume":  # one past what is stored, else from the beginning
+            starting = medallion.resume_offsets(spark, layout) or "earliest"
         topic = read_topic(spark, args.topic_name, args.source_format, args.source_path,
-                           args.starting_offsets, args.ending_offsets, options)
+                           starting, args.ending_offsets, options)
         result = medallion.bronze_ingest(spark, topic, layout, dedupe_in_batch=args.source_format != "kafka")
         return {"accepted_rows": result.accepted_rows, "quarantine_rows": result.quarantine_rows}
     if args.job == "silver":

@@ -258,3 +258,22 @@ def test_swap_rebuild_keeps_readers_on_the_last_good_version(spark):
     assert "EqualTo(league_id,1)" in explain
     with pytest.raises(ValueError):
         overwrite_swap(spark.table(layout.silver), layout.accepted)
+
+
+def test_resume_offsets_read_only_new_records(spark, tmp_path):
+    from strata.sources.transport import read_topic
+
+    layout, root = runs.fresh_layout(spark, "t-resume")
+    assert medallion.resume_offsets(spark, layout) is None
+    path = f"{root}/topic"
+    records(spark, [text(), "garbage", text()], partition=0).union(
+        records(spark, [text()], partition=1)).write.parquet(path)
+    medallion.bronze_ingest(spark, read_topic(spark, "raw.ingestion.test", path=path), layout,
+                            clock=F.col("kafka_timestamp_utc"))
+    resume = medallion.resume_offsets(spark, layout)
+    assert resume == {"raw.ingestion.test": {"0": 3, "1": 1}}  # the garbage offset counts too
+    records(spark, [text()], partition=0, start=3).write.mode("append").parquet(path)
+    fresh = read_topic(spark, "raw.ingestion.test", path=path, starting_offsets=resume)
+    assert [(r.partition, r.offset) for r in fresh.collect()] == [(0, 3)]
+    run = medallion.bronze_ingest(spark, fresh, layout, clock=F.col("kafka_timestamp_utc"))
+    assert (run.accepted_rows, run.quarantine_rows) == (1, 0)
