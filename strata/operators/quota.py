@@ -10,26 +10,29 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_CALLS_PER_DAY = 100
 
 
-def admit_calls(calls: DataFrame, ts: str, call_id: str, cap: int = DEFAULT_MAX_CALLS_PER_DAY) -> DataFrame:
-    """Number the calls of each UTC day by (time, id) and admit the first
-    ``cap``; every call is kept, skipped ones with ``admitted = false`` and a
-    null ``call_number``.
-
-    The numbering is a rank-limited window (``row_number <= cap``), which
-    Catalyst plans with a partial WindowGroupLimit: a day holding a third of
-    all calls still ships at most ``cap`` rows per map task.  The admitted
-    set is bounded by cap x days and is joined back by id; AQE broadcasts it
-    once its real size is known."""
-    day = F.to_date(F.col(ts))
+def admitted_calls(calls: DataFrame, ts: str, call_id: str, cap: int = DEFAULT_MAX_CALLS_PER_DAY) -> DataFrame:
+    """The calls each UTC day admits: the first ``cap`` by (time, id), with
+    ``call_date`` and ``call_number``.
+
+    A rank-limited window (``row_number <= cap``): Catalyst plans it with a
+    partial WindowGroupLimit, so a day holding a third of all calls still
+    ships at most ``cap`` rows per map task.  The result is bounded by
+    cap x days."""
     window = Window.partitionBy("call_date").orderBy(F.col(ts).asc_nulls_last(), F.col(call_id).asc_nulls_last())
-    admitted = (
-        calls.select(F.col(call_id), day.alias("call_date"), F.col(ts))
+    return (
+        calls.withColumn("call_date", F.to_date(F.col(ts)))
         .withColumn("call_number", F.row_number().over(window))
         .filter(F.col("call_number") <= cap)
-        .select(call_id, "call_number")
     )
+
+
+def admit_calls(calls: DataFrame, ts: str, call_id: str, cap: int = DEFAULT_MAX_CALLS_PER_DAY) -> DataFrame:
+    """Every call with ``admitted`` and its ``call_number`` (null when
+    skipped).  The admitted set is joined back by id; it is bounded by
+    cap x days, and AQE broadcasts it once its real size is known."""
+    admitted = admitted_calls(calls.select(call_id, ts), ts, call_id, cap).select(call_id, "call_number")
     return (
-        calls.withColumn("call_date", day)
+        calls.withColumn("call_date", F.to_date(F.col(ts)))
         .join(admitted, call_id, "left")
         .withColumn("admitted", F.col("call_number").isNotNull())
     )
@@ -43,8 +46,9 @@ def call_ledger(
     cap: int = DEFAULT_MAX_CALLS_PER_DAY,
 ) -> DataFrame:
     """A4: one ledger row per UTC day -- calls made (admitted, at most
-    ``cap``), the cap, when the last admitted call started and completed."""
-    admitted = admit_calls(calls.withColumn("_completed", completed), ts, call_id, cap).filter("admitted")
+    ``cap``), the cap, when the last admitted call started and completed.
+    Reads only the admitted set: no join back to all calls."""
+    admitted = admitted_calls(calls.withColumn("_completed", completed), ts, call_id, cap)
     return (
         admitted.groupBy("call_date")
         .agg(
