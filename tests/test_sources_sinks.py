@@ -74,7 +74,7 @@ def test_envelope_build_publish_and_parse_back(spark):
 
 def test_publish_shape_and_reconcile(spark):
     gold = spark.createDataFrame(
-        [(1, "A", 2025, F"2026-04-10 12:00:00"), (2, None, 2025, "2026-04-10 13:00:00")],
+        [(1, "A", 2025, "2026-04-10 12:00:00"), (2, None, 2025, "2026-04-10 13:00:00")],
         "league_id int, league_name string, season int, ts string",
     ).withColumn("latest_fetched_at_utc", F.col("ts").cast("timestamp")).drop("ts")
     shaped = publish.published_shape(gold)
