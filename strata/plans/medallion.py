@@ -97,14 +97,23 @@ def bronze_write(
     return BronzeRun(n_accepted, n_quarantine)
 
 
-def resume_offsets(spark: SparkSession, layout: schemas.Layout, limit: int = 100_000) -> dict | None:
+def resume_offsets(
+    spark: SparkSession,
+    layout: schemas.Layout,
+    limit: int = 100_000,
+    partitions: dict[str, list[int]] | None = None,
+) -> dict | None:
     """Starting offsets for the next run: per topic-partition, one past the
     highest offset stored in either Bronze table (``{topic: {partition:
     offset}}``, the Kafka ``startingOffsets`` form).  Reading from there
     instead of from earliest keeps each run proportional to new data; J1
     still guards against anything read twice.  A partial aggregate over three
     columns; the result is bounded by the number of topic-partitions (None
-    when there is no history or more than ``limit`` partitions)."""
+    when there is no history or more than ``limit`` partitions).
+
+    The Kafka connector wants every topic-partition named once offsets are
+    specific: pass ``partitions`` (``{topic: [partition, ...]}``) and any
+    partition with no stored rows (a new one) starts at -2, earliest."""
     keys = ("kafka_topic", "kafka_partition", "kafka_offset")
     stored = [t.select(*keys) for t in (table_or_none(spark, layout.accepted), table_or_none(spark, layout.quarantine))
               if t is not None]
@@ -122,6 +131,9 @@ def resume_offsets(spark: SparkSession, layout: schemas.Layout, limit: int = 100
     out: dict[str, dict[str, int]] = {}
     for r in rows:
         out.setdefault(r.kafka_topic, {})[str(r.kafka_partition)] = int(r.hi) + 1
+    for topic, parts in (partitions or {}).items():
+        for part in parts:
+            out.setdefault(topic, {}).setdefault(str(part), -2)
     return out
 
 

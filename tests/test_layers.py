@@ -272,6 +272,8 @@ def test_resume_offsets_read_only_new_records(spark, tmp_path):
                             clock=F.col("kafka_timestamp_utc"))
     resume = medallion.resume_offsets(spark, layout)
     assert resume == {"raw.ingestion.test": {"0": 3, "1": 1}}  # the garbage offset counts too
+    full = medallion.resume_offsets(spark, layout, partitions={"raw.ingestion.test": [0, 1, 2]})
+    assert full == {"raw.ingestion.test": {"0": 3, "1": 1, "2": -2}}
     records(spark, [text()], partition=0, start=3).write.mode("append").parquet(path)
     fresh = read_topic(spark, "raw.ingestion.test", path=path, starting_offsets=resume)
     assert [(r.partition, r.offset) for r in fresh.collect()] == [(0, 3)]
