@@ -30,14 +30,22 @@ def transport_columns(kafka_df: DataFrame, passthrough: Iterable[str] = ()) -> D
     )
 
 
+def _parse(text: Column) -> Column:
+    return F.from_json(
+        text, schemas.ENVELOPE_PARSE, {"columnNameOfCorruptRecord": schemas.CORRUPT_FIELD, "mode": "PERMISSIVE"}
+    )
+
+
+def _transport_key() -> Column:
+    return F.concat_ws(
+        "|", F.col("kafka_topic"), F.col("kafka_partition").cast("string"), F.col("kafka_offset").cast("string")
+    )
+
+
 def parse_envelope(df: DataFrame, text_col: str = "raw_message_json") -> DataFrame:
     """Parse the text once into ``envelope`` (12 fields + corrupt-record
     text) and derive ``parse_reason`` from it."""
-    parsed_struct = F.from_json(
-        F.col(text_col),
-        schemas.ENVELOPE_PARSE,
-        {"columnNameOfCorruptRecord": schemas.CORRUPT_FIELD, "mode": "PERMISSIVE"},
-    )
+    parsed_struct = _parse(F.col(text_col))
     # The parse runs inside a Generate (explode of a one-element array, so
     # one output row per input row, a null struct included).  Filters on
     # fields of the parsed struct -- the accepted/quarantine split, Silver's
@@ -59,12 +67,7 @@ def derive_columns(df: DataFrame, clock: Column | None = None) -> DataFrame:
         {
             "ingested_at_utc": clock,
             schemas.PARTITION_COLUMN: F.to_date(clock),
-            "idempotency_key": F.concat_ws(
-                "|",
-                F.col("kafka_topic"),
-                F.col("kafka_partition").cast("string"),
-                F.col("kafka_offset").cast("string"),
-            ),
+            "idempotency_key": _transport_key(),
         }
     )
 
@@ -87,9 +90,23 @@ def validate(df: DataFrame) -> DataFrame:
 
 
 def prepare(kafka_df: DataFrame, clock: Column | None = None, passthrough: Iterable[str] = ()) -> DataFrame:
-    """P1 -> P2 -> P3 -> F3/F4: the validated frame both Bronze sinks read."""
+    """P1 -> P2 -> P3 -> F3/F4: the validated frame both Bronze sinks read.
+
+    Same columns as ``validate(derive_columns(parse_envelope(...)))``, built
+    with fewer DataFrame steps (each step is analysed when it is created)."""
     projected = transport_columns(kafka_df, passthrough)
-    return validate(derive_columns(parse_envelope(projected), clock))
+    parsed = projected.select("*", F.explode(F.array(_parse(F.col("raw_message_json")))).alias("envelope"))
+    clock = (F.current_timestamp() if clock is None else clock).cast("timestamp")
+    parse_reason = parse_failure(F.col("raw_message_json"), F.col("envelope"))
+    return parsed.withColumns(
+        {
+            "parse_reason": parse_reason,
+            "ingested_at_utc": clock,
+            schemas.PARTITION_COLUMN: F.to_date(clock),
+            "idempotency_key": _transport_key(),
+            "validation_errors": rule_errors(parse_reason, F.col("envelope")),
+        }
+    ).withColumn("validation_reason", first_error(F.col("validation_errors")))
 
 
 # --- building and publishing envelopes (the producer side) -------------------
