@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strata.llm import byte_bpe, token_count
+from strata.llm import byte_bpe, kd_search, source_mix, stratified_shards, token_count
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -21,14 +22,102 @@ def op3_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER))
 
 
+def op4_kd_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_RANKS))
 
 
+def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = source_mix.mix_documents(table(spark, sf_dir, "documents"), weights=(1, 2, 3), most=3)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op8_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = stratified_shards.stratified_shards(table(spark, sf_dir, "documents"), shards=24)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_count": op3_token_count,
+    "op4_kd_search": op4_kd_search,
     "op5_byte_bpe": op5_byte_bpe,
+    "op7_source_mix": op7_source_mix,
+    "op8_stratified_shards": op8_stratified_shards,
 }
 
 #: Queries that SQL can state; the others are tested against brute force.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_kd_search": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+            FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+        ), ranked AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+            FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
+    "op7_source_mix": r"""
+        WITH d AS (
+            SELECT doc_id, source, md5('11:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS digest,
+                   coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size
+            FROM documents
+        ), s AS (
+            SELECT source, CAST(sum(size) AS BIGINT) AS source_size, CAST(3 * sum(size) AS BIGINT) AS cap,
+                   CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS BIGINT) AS weight
+            FROM d GROUP BY source
+        ), l AS (
+            SELECT *, CAST(sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE)
+                   / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST
+                       ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+            FROM s
+        ), t AS (
+            SELECT source, source_size, least(CAST(cap AS DOUBLE), weight *
+                   (SELECT arg_min(level, cap / weight) FROM l WHERE level * weight <= cap)) AS target
+            FROM l
+        ), r AS (
+            SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS passes FROM t
+        ), c AS (
+            SELECT d.doc_id, d.size, r.source_size, r.target, r.passes, r.target - r.passes * r.source_size AS rest,
+                   coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY digest
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+            FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source
+        )
+        SELECT doc_id, size, source_size, target,
+               CAST(size * (passes + CASE WHEN before + size / 2 <= rest THEN 1 ELSE 0 END) AS BIGINT) AS taken
+        FROM c""",
+    "op8_stratified_shards": """
+        WITH crc AS (
+            SELECT list_transform(range(256), lambda n: list_reduce([n] || range(8),
+                lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS bits
+        ), d AS (
+            SELECT doc_id, source, md5('17:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS digest,
+                   coalesce(strlen(text), 0) + 8 AS size,
+                   list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
+                                  lambda h: CAST('0x' || h AS BIGINT)) AS octets
+            FROM documents
+        ), e AS (
+            SELECT d.* EXCLUDE octets, xor(4294967295, list_reduce([4294967295] || octets,
+                       lambda c, b: xor(c >> 8, bits[xor(c & 255, b) + 1]))) AS crc
+            FROM d, crc
+        ), r AS (
+            SELECT *, (row_number() OVER (PARTITION BY source ORDER BY digest, doc_id NULLS FIRST, crc, size) - 0.5::DOUBLE)
+                      / count(*) OVER (PARTITION BY source) AS place
+            FROM e
+        ), p AS (
+            SELECT *, row_number() OVER (ORDER BY place, source NULLS FIRST, digest, doc_id NULLS FIRST, crc, size) - 1 AS pos,
+                   count(*) OVER () AS n
+            FROM r
+        )
+        SELECT doc_id, size, crc AS text_crc32, 'rows' AS law, CAST(pos * 24 // n AS INTEGER) AS shard,
+               pos - (pos * 24 // n * n + 23) // 24 AS slot, CAST(NULL AS INTEGER) AS grown_shard
+        FROM p""",
+}
