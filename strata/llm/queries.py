@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import byte_bpe, kd_search, source_mix, stratified_shards, token_count
+from strata.llm import byte_bpe, kd_search, knn_quality, source_mix, stratified_shards, token_count, toxic_grammar
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -18,6 +18,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bucket(column: str, of: int) -> Column:
+    """crc32 of the id as text, modulo ``of``."""
+    return F.crc32(F.col(column).cast("string").cast("binary")) % of
+
+
+def op1_knn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), F.coalesce(bucket("doc_id", 4) == 2, F.lit(False))
+    space = knn_quality.fit(docs, table(spark, sf_dir, "labels"), ~held_out, "quality")
+    return knn_quality.score_quality(docs, space, held_out, threshold=0.7)
+
+
+def op2_toxic_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), F.coalesce(bucket("doc_id", 5) == 0, F.lit(False))
+    model = toxic_grammar.fit(docs, table(spark, sf_dir, "labels"), ~held_out, "toxic")
+    return toxic_grammar.score_toxicity(docs, model, held_out, threshold=0.5)
+
+
 def op3_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER))
 
@@ -41,6 +58,8 @@ def op8_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_knn_quality": op1_knn_quality,
+    "op2_toxic_grammar": op2_toxic_grammar,
     "op3_token_count": op3_token_count,
     "op4_kd_search": op4_kd_search,
     "op5_byte_bpe": op5_byte_bpe,
