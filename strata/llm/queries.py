@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import byte_bpe, kd_search, knn_quality, source_mix, stratified_shards, token_count, toxic_grammar
+from strata.llm import byte_bpe, jaccard_join, kd_search, knn_quality, source_mix, stratified_shards, token_count, toxic_grammar
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -57,6 +57,10 @@ def op8_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_knn_quality": op1_knn_quality,
     "op2_toxic_grammar": op2_toxic_grammar,
@@ -65,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_byte_bpe": op5_byte_bpe,
     "op7_source_mix": op7_source_mix,
     "op8_stratified_shards": op8_stratified_shards,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 #: Queries that SQL can state; the others are tested against brute force.
