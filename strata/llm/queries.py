@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import byte_bpe, jaccard_join, kd_search, knn_quality, source_mix, stratified_shards, token_count, toxic_grammar
+from strata.llm import byte_bpe, jaccard_join, kd_search, knn_quality, source_mix, stratified_shards, suffix_dedup, token_count, toxic_grammar
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -47,6 +47,10 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_RANKS))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = source_mix.mix_documents(table(spark, sf_dir, "documents"), weights=(1, 2, 3), most=3)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -67,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_count": op3_token_count,
     "op4_kd_search": op4_kd_search,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_source_mix": op7_source_mix,
     "op8_stratified_shards": op8_stratified_shards,
     "op10_jaccard_join": op10_jaccard_join,
