@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import byte_bpe, jaccard_join, kd_search, knn_quality, source_mix, stratified_shards, suffix_dedup, token_count, toxic_grammar
+from strata.llm import byte_bpe, jaccard_join, kd_search, knn_quality, nn_descent, source_mix, stratified_shards, suffix_dedup, token_count, toxic_grammar
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -61,6 +61,10 @@ def op8_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op9_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
 
@@ -74,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_source_mix": op7_source_mix,
     "op8_stratified_shards": op8_stratified_shards,
+    "op9_nn_descent": op9_nn_descent,
     "op10_jaccard_join": op10_jaccard_join,
 }
 
