@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -13,6 +17,26 @@ from pyspark.sql import functions as F
 SLICE_ROWS = 512
 
 
+def ship(spark: SparkSession) -> None:
+    """Send the package's source to the executors, once per application.
+
+    Python workers import the operators' modules; a cluster whose machines do
+    not have the package installed gets it this way.
+    """
+    context = spark.sparkContext
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if getattr(context, "_llm_shipped", False) or not os.path.isdir(root):
+        return
+    files = sorted(os.path.join(d, f) for d, _, names in os.walk(root) for f in names if f.endswith(".py"))
+    digest = hashlib.sha256(b"".join(open(f, "rb").read() for f in files)).hexdigest()[:16]
+    path = os.path.join(tempfile.mkdtemp(), f"{os.path.basename(root)}-{digest}.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+        for f in files:
+            out.write(f, os.path.relpath(f, os.path.dirname(root)))
+    context.addPyFile(path)
+    context._llm_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``, shared by driver and executors.
 

@@ -440,3 +440,18 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """Per row: id, n_shingles, component_id."""
     out = near_classes(docs, id_col, text_col)
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+
+
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one document of each component, the one with the smallest id.
+
+    Documents that link with nothing all stay; rows equal in id and text count
+    as one document.
+    """
+    found = near_classes(docs, id_col, text_col)
+    kept = found.where((F.col("n") == 0) | F.col("component_id").eqNullSafe(F.col("id")))
+    kept = kept.select(F.col("id").alias("kept_id")).distinct().hint("shuffle_hash")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    packed = docs.select(row.alias("row"), F.col(id_col).cast("long").alias("own_id"), _text(text_col).alias("own_text"))
+    stay = packed.join(kept, F.col("own_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    return stay.dropDuplicates(["own_id", "own_text"]).select("row.*")

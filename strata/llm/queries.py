@@ -9,12 +9,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import byte_bpe, jaccard_join, kd_search, knn_quality, nn_descent, source_mix, stratified_shards, suffix_dedup, token_count, toxic_grammar
+from strata.llm.common import ship
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

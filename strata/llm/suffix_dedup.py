@@ -38,7 +38,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
 from strata.llm.common import parallelism, staged, text_batches
 from strata.llm.induced_sort import array_of, sorted_suffixes
@@ -331,3 +331,28 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     out = kept_bytes(docs, id_col, text_col)
     removed = F.col("n_bytes") - F.octet_length("kept")
     return out.select(F.col("own").alias(id_col), "n_bytes", removed.cast("long").alias("n_removed"), "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@F.pandas_udf(StringType())
+def _as_text(kept: pd.Series) -> pd.Series:
+    return pd.Series([k.decode("utf-8", "ignore") for k in kept], dtype=object)
+
+
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
+    """``docs`` with the removed bytes cut out of the text and, if there is a
+    length column, its value brought up to date.
+
+    A character that a cut leaves in pieces goes as a whole.  Null texts stay null.
+    """
+    out = kept_bytes(docs, id_col, text_col, carry=docs.columns)
+    text = F.when(F.col("n_spans") > 0, _as_text("kept")).otherwise(F.col(f"row.`{text_col}`"))
+    out = out.select("row", text.alias("new_text"))
+    columns = []
+    for name in docs.columns:
+        value = F.col(f"row.`{name}`")
+        if name == text_col:
+            value = F.col("new_text")
+        elif name == length_col:
+            value = F.char_length("new_text").cast(docs.schema[name].dataType)
+        columns.append(value.alias(name))
+    return out.select(*columns)
