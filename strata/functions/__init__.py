@@ -9,10 +9,9 @@ from strata.functions.rules import (
     Rule,
     parse_failure,
     rule_errors,
-    validation_reason,
 )
 
 __all__ = [
     "PARSE_EMPTY", "PARSE_INVALID_JSON", "PARSE_NULL", "RULES", "Rule", "is_blank",
-    "not_blank", "parse_failure", "rule_errors", "status_category", "validation_reason",
+    "not_blank", "parse_failure", "rule_errors", "status_category",
 ]

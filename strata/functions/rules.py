@@ -73,11 +73,6 @@ def parse_failure(raw: Column, envelope: Column, corrupt_field: str = "_corrupt_
     )
 
 
-def validation_reason(parse_reason: Column, envelope: Column, rules=RULES) -> Column:
-    """First failing check: the parse failure, else the first rule in order."""
-    return F.coalesce(parse_reason, *[F.when(r.fails(envelope), F.lit(r.message)) for r in rules])
-
-
 def first_error(errors: Column) -> Column:
     """The first entry of an error list built by ``rule_errors``: equal to
     ``validation_reason`` (null for an empty list)."""

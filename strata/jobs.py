@@ -29,10 +29,6 @@ from strata.session import configure  # noqa: E402
 from strata.sources.transport import read_topic  # noqa: E402
 
 
-# Fixed value: the default topic the Bronze job reads.
-DEFAULT_TOPIC = "soccer.raw.ingestion.dev"
-
-
 def _options(pairs: list[str]) -> dict[str, str]:
     out = {}
     for pair in pairs:
@@ -48,12 +44,14 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--bronze_schema", default="bronze")
     p.add_argument("--silver_schema", default="silver")
     p.add_argument("--gold_schema", default="gold")
-    p.add_argument("--topic_name", default=DEFAULT_TOPIC)
+    p.add_argument("--topic_name", default=None, help="the topic; the bronze job needs it")
+    p.add_argument("--partitions", type=int, default=0, help="the topic's partitions, for --starting_offsets resume with Kafka")
+    p.add_argument("--table_format", default="parquet")
+    p.add_argument("--since", default=None, help="silver, gold: only what ingest dates from here on add")
     p.add_argument("--source_format", default="kafka")
     p.add_argument("--source_path", default=None)
     p.add_argument("--starting_offsets", default="earliest")
     p.add_argument("--ending_offsets", default="latest")
-    p.add_argument("--gold_method", choices=["window", "max_by"], default="window")
     p.add_argument("--start", default=None)
     p.add_argument("--end", default=None)
     p.add_argument("--target_format", default="parquet")
@@ -64,28 +62,34 @@ def parser() -> argparse.ArgumentParser:
 
 def run(spark: SparkSession, args: argparse.Namespace) -> dict:
     configure(spark)
-    layout = schemas.Layout(args.catalog, args.bronze_schema, args.silver_schema, args.gold_schema)
+    layout = schemas.Layout(args.catalog, args.bronze_schema, args.silver_schema, args.gold_schema, fmt=args.table_format)
     options = _options(args.option)
     if args.job == "bronze":
-        medallion.create_layer_tables(spark, layout)
+        if not args.topic_name:
+            raise SystemExit("the bronze job needs --topic_name")
+        medallion.create_layer_tables(spark, layout, swap=args.swap)
         starting = args.starting_offsets
-        if starting == "resume":  # one past what is stored, else from the beginning
-            starting = medallion.resume_offsets(spark, layout) or "earliest"
+        if starting == "resume":  # where the last committed run ended, else from the beginning
+            starting = medallion.resume_offsets(spark, layout, args.topic_name, range(args.partitions)) or "earliest"
         topic = read_topic(spark, args.topic_name, args.source_format, args.source_path,
                            starting, args.ending_offsets, options)
         result = medallion.bronze_ingest(spark, topic, layout, dedupe_in_batch=args.source_format != "kafka")
         return {"accepted_rows": result.accepted_rows, "quarantine_rows": result.quarantine_rows}
     if args.job == "silver":
+        if args.since:
+            return {"silver_rows": medallion.silver_increment(spark, layout, args.since, args.swap)}
         return {"silver_rows": medallion.silver_rebuild(spark, layout, args.start, args.end, args.swap)}
     if args.job == "gold":
-        return {"gold_rows": medallion.gold_rebuild(spark, layout, args.gold_method, args.swap)}
+        if args.since:
+            return {"gold_rows": medallion.gold_increment(spark, layout, args.since, args.swap)}
+        return {"gold_rows": medallion.gold_rebuild(spark, layout, args.swap)}
     if args.job == "replay":
         silver_rows, gold_rows = medallion.replay(spark, layout, args.start, args.end, args.swap)
         return {"silver_rows": silver_rows, "gold_rows": gold_rows}
     source = spark.table(layout.gold)
-    publish_snapshot(source, args.target_format, options)
+    written = publish_snapshot(source, args.target_format, options)
     target = spark.read.format(args.target_format).options(**options).load()
-    return reconcile(source, target).first().asDict()
+    return {"published_rows": written, **reconcile(source, target).first().asDict()}
 
 
 def main(argv: list[str] | None = None) -> None:

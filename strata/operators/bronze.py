@@ -3,13 +3,14 @@ split invariant and per-message outcome (P5-P8, F5, F7, J1, A3, X1)."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata import schemas
 from strata.operators.latest import latest_by, oldest_first
+from strata.session import run_dir
 
 ACCEPTED_STATUS = "accepted"
 
@@ -86,60 +87,43 @@ def first_arrival(df: DataFrame, key: Sequence[str] = schemas.TRANSPORT_KEY) ->
     return latest_by(df, key, oldest_first("ingested_at_utc", "kafka_timestamp_utc", "raw_message_json"))
 
 
-def offset_ranges(df: DataFrame, limit: int = 10_000) -> list[tuple[str, int, int, int]] | None:
-    """(topic, partition, min offset, max offset) of a batch, or None when
-    there are more than ``limit`` topic-partitions.  The result is bounded by
-    the number of topic-partitions, never by the number of rows."""
-    rows = (
-        df.groupBy("kafka_topic", "kafka_partition")
-        .agg(F.min("kafka_offset").alias("lo"), F.max("kafka_offset").alias("hi"))
-        .limit(limit + 1)
-        .collect()
-    )
-    if len(rows) > limit:
-        return None
-    return [(r.kafka_topic, r.kafka_partition, r.lo, r.hi) for r in rows]
-
-
-def _range_predicate(ranges: list[tuple[str, int, int, int]], per_partition_limit: int = 1_000):
-    """A superset filter of stored keys that can match the batch.  Pushed to
-    the table scan, where parquet row-group statistics on ``kafka_offset``
-    skip files written by earlier runs."""
-    if not ranges:
-        return F.lit(False)
-    if len(ranges) <= per_partition_limit:
-        terms = [
-            (F.col("kafka_topic") == t) & (F.col("kafka_partition") == p) & F.col("kafka_offset").between(lo, hi)
-            for t, p, lo, hi in ranges
-        ]
-    else:
-        bounds: dict[str, tuple[int, int]] = {}
-        for t, _, lo, hi in ranges:
-            a, b = bounds.get(t, (lo, hi))
-            bounds[t] = (min(a, lo), max(b, hi))
-        terms = [(F.col("kafka_topic") == t) & F.col("kafka_offset").between(lo, hi) for t, (lo, hi) in bounds.items()]
-    pred = terms[0]
-    for term in terms[1:]:
-        pred = pred | term
-    return pred
+# Offsets per bucket of the key log (its finest partition).
+OFFSETS_PER_BUCKET = 1_000_000
+OFFSET_BUCKET = "offset_bucket"
+
+
+def with_offset_bucket(keys: DataFrame) -> DataFrame:
+    """The key columns plus the bucket of the offset."""
+    return keys.select(*schemas.TRANSPORT_KEY, F.expr(f"kafka_offset div {OFFSETS_PER_BUCKET}").alias(OFFSET_BUCKET))
+
+
+def stored_keys(log: DataFrame, batch: DataFrame) -> DataFrame:
+    """The logged keys in the topic, partition and offset buckets that a batch
+    touches.
+
+    ``log`` is partitioned by exactly these three columns, so the join with
+    the batch's buckets prunes its partitions at run time (dynamic partition
+    pruning): buckets of earlier runs are not listed for reading, however
+    long the history.  Offsets are never negative; the filter says so, which
+    lets the planner count on the batch side being selective."""
+    place = ["kafka_topic", "kafka_partition", OFFSET_BUCKET]
+    touched = with_offset_bucket(batch.filter(F.col("kafka_offset") >= 0)).select(*place).distinct()
+    return log.join(touched, place, "left_semi").select(*schemas.TRANSPORT_KEY)
 
 
 def remove_existing_offsets(
     df: DataFrame,
     existing: DataFrame | None,
     key: Sequence[str] = schemas.TRANSPORT_KEY,
-    ranges: list[tuple[str, int, int, int]] | None = None,
     allow_missing_key: bool = False,
 ) -> DataFrame:
     """Drop rows whose transport key is already stored.
 
     ``existing`` None (no table yet) passes everything through.  A table
     without the key columns raises unless ``allow_missing_key`` -- skipping
-    silently would let duplicates in.  ``ranges`` (see ``offset_ranges``)
-    narrows the stored side before the anti-join; the join alone is exact.
-    No distinct on the stored side: an anti-join ignores duplicates anyway.
-    Strategy (broadcast or sort-merge) is left to the planner and AQE, since
-    the stored side grows with history and has no size bound."""
+    silently would let duplicates in.  No distinct on the stored side: an
+    anti-join ignores duplicates anyway.  Strategy (broadcast or sort-merge)
+    is left to the planner and AQE, since the stored side has no size bound."""
     if existing is None:
         return df
     missing = set(key) - set(existing.columns)
@@ -147,29 +131,30 @@ def remove_existing_offsets(
         if allow_missing_key:
             return df
         raise ValueError(f"stored table lacks key columns {sorted(missing)}; duplicates cannot be removed")
-    stored = existing.select(*key)
-    if ranges is not None:
-        stored = stored.filter(_range_predicate(ranges))
-    return df.join(stored, list(key), "left_anti")
-
-
-def split_conservation(validated: DataFrame) -> DataFrame:
-    """X1 in one pass: input = accepted + quarantine, no row in both, none in
-    neither.  Evaluates the two sink predicates themselves, so a change that
-    breaks complementarity shows up here."""
-    acc = F.col("validation_reason").isNull()
-    qua = F.col("validation_reason").isNotNull()
-    return validated.agg(
-        F.count(F.lit(1)).alias("input_rows"),
-        F.count_if(acc).alias("accepted_rows"),
-        F.count_if(qua).alias("quarantine_rows"),
-        F.count_if(acc & qua).alias("rows_in_both"),
-        F.count_if(~acc & ~qua).alias("rows_in_neither"),
-    ).withColumn(
-        "conserved",
-        (F.col("input_rows") == F.col("accepted_rows") + F.col("quarantine_rows"))
-        & (F.col("rows_in_both") == 0)
-        & (F.col("rows_in_neither") == 0),
+    return df.join(existing.select(*key), list(key), "left_anti")
+
+
+def split_conservation(
+    validated: DataFrame,
+    accepted: Callable[[DataFrame], DataFrame] = accepted_records,
+    quarantine: Callable[[DataFrame], DataFrame] = quarantine_records,
+) -> DataFrame:
+    """input = accepted + quarantine, no row in both, none in neither.
+
+    Runs the two sink functions themselves and compares, per transport key,
+    how many rows went in and how many came out of each: one union, one
+    aggregate with a map-side phase."""
+    key = list(schemas.TRANSPORT_KEY)
+    sides = (validated, accepted(validated), quarantine(validated))
+    tagged = [d.select(*key, F.lit(i).alias("_side")) for i, d in enumerate(sides)]
+    counts = tagged[0].unionByName(tagged[1]).unionByName(tagged[2]).groupBy(*key).agg(
+        *[F.count_if(F.col("_side") == i).alias(n) for i, n in enumerate(("_in", "_acc", "_qua"))]
+    )
+    surplus = F.col("_acc") + F.col("_qua") - F.col("_in")
+    total = [(F.col("_in"), "input_rows"), (F.col("_acc"), "accepted_rows"), (F.col("_qua"), "quarantine_rows"),
+             (F.greatest(surplus, F.lit(0)), "rows_in_both"), (F.greatest(-surplus, F.lit(0)), "rows_in_neither")]
+    return counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(n) for c, n in total]).withColumn(
+        "conserved", (F.col("rows_in_both") == 0) & (F.col("rows_in_neither") == 0)
     )
 
 
@@ -179,27 +164,34 @@ DUPLICATE_SKIPPED = "Duplicate skipped"
 WRITTEN_FORMAT = "Consumed offset %d from %s and wrote Bronze row."
 
 
-def message_outcome(validated_deliveries: DataFrame) -> DataFrame:
+def message_outcome(validated_deliveries: DataFrame, stage: str | None = None) -> DataFrame:
     """the outcome of every delivery, as the row-at-a-time consumer
     reports it.  Only valid envelopes are checked for duplicates, so a
     redelivered bad message is quarantined each time; the first valid
     arrival of a transport key is written, later ones are skipped.
 
-    Copies can tie on everything (one batch shares one ingest clock), so
-    each delivery gets an id as the last tie-break and exactly one copy per
-    key is "written".  The first arrival per key is a rank-1 window (limited
-    map-side, so a hot key ships one row per task) joined back on the key;
-    the join, not a full-group window, meets the hot key, and AQE can split
-    that skewed join partition."""
-    d = validated_deliveries.withColumn("_delivery", F.monotonically_increasing_id())
+    Nothing depends on the order in which rows are read.  Identical
+    deliveries (key, ingest time, Kafka time, text) collapse to one row with
+    their number; that frame is parsed once and written to ``stage`` (a
+    folder in shared storage, by default a fresh one).  The first of a key is
+    the rank-1 row under the total order of those columns, limited map-side;
+    it is joined back on the same columns, and copies are expanded: copy 0 of
+    the first is written, every other copy is skipped."""
+    spark = validated_deliveries.sparkSession
+    stage = stage or f"{run_dir(spark, 'outcome')}/deliveries"
+    delivery = [*schemas.TRANSPORT_KEY, "ingested_at_utc", "kafka_timestamp_utc", "raw_message_json"]
+    verdict = ["parse_reason", "validation_errors", "validation_reason"]  # follow from the text
+    collapsed = validated_deliveries.groupBy(*delivery, *verdict).agg(F.count(F.lit(1)).cast("int").alias("_copies"))
+    collapsed.write.parquet(stage)
+    d = spark.read.schema(collapsed.schema).parquet(stage)
     valid = F.col("validation_reason").isNull()
-    first = latest_by(
-        d.filter(valid),
-        schemas.TRANSPORT_KEY,
-        oldest_first("ingested_at_utc", "kafka_timestamp_utc", "raw_message_json", "_delivery"),
-    ).select(*schemas.TRANSPORT_KEY, F.col("_delivery").alias("_first"))
-    joined = d.join(first, list(schemas.TRANSPORT_KEY), "left")
-    is_first = valid & (F.col("_first") == F.col("_delivery"))
+    first = latest_by(d.filter(valid), schemas.TRANSPORT_KEY, oldest_first(*delivery[3:]))
+    first = first.select(*[F.col(c).alias(f"_{c}") for c in delivery], F.lit(True).alias("_first"))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in delivery]
+    joined = d.join(first, same, "left").select(
+        *d.columns, "_first", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)).alias("_copy")
+    )
+    is_first = valid & F.coalesce(F.col("_first"), F.lit(False)) & (F.col("_copy") == 0)
     parse = F.col("parse_reason")
     outcome = (
         F.when(parse.isNotNull(), parse)
@@ -210,14 +202,14 @@ def message_outcome(validated_deliveries: DataFrame) -> DataFrame:
     return joined.select(
         *schemas.TRANSPORT_KEY,
         "ingested_at_utc",
-        F.coalesce(is_first, F.lit(False)).alias("written_to_bronze"),
+        is_first.alias("written_to_bronze"),
         (~valid).alias("written_to_quarantine"),
         outcome.alias("outcome"),
     )
 
 
 __all__ = [
-    "ACCEPTED_STATUS", "DUPLICATE_SKIPPED", "VALIDATION_FAILURE", "accepted_records",
-    "first_arrival", "flat_rows", "message_outcome", "offset_ranges", "quarantine_records",
-    "remove_existing_offsets", "split_conservation",
+    "ACCEPTED_STATUS", "DUPLICATE_SKIPPED", "OFFSET_BUCKET", "VALIDATION_FAILURE", "accepted_records",
+    "first_arrival", "flat_rows", "message_outcome", "quarantine_records",
+    "remove_existing_offsets", "split_conservation", "stored_keys", "with_offset_bucket",
 ]

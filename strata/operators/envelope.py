@@ -90,23 +90,9 @@ def validate(df: DataFrame) -> DataFrame:
 
 
 def prepare(kafka_df: DataFrame, clock: Column | None = None, passthrough: Iterable[str] = ()) -> DataFrame:
-    """P1 -> P2 -> P3 -> F3/F4: the validated frame both Bronze sinks read.
-
-    Same columns as ``validate(derive_columns(parse_envelope(...)))``, built
-    with fewer DataFrame steps (each step is analysed when it is created)."""
-    projected = transport_columns(kafka_df, passthrough)
-    parsed = projected.select("*", F.explode(F.array(_parse(F.col("raw_message_json")))).alias("envelope"))
-    clock = (F.current_timestamp() if clock is None else clock).cast("timestamp")
-    parse_reason = parse_failure(F.col("raw_message_json"), F.col("envelope"))
-    return parsed.withColumns(
-        {
-            "parse_reason": parse_reason,
-            "ingested_at_utc": clock,
-            schemas.PARTITION_COLUMN: F.to_date(clock),
-            "idempotency_key": _transport_key(),
-            "validation_errors": rule_errors(parse_reason, F.col("envelope")),
-        }
-    ).withColumn("validation_reason", first_error(F.col("validation_errors")))
+    """P1 -> P2 -> P3 -> F3/F4: the validated frame both Bronze sinks read."""
+    parsed = parse_envelope(transport_columns(kafka_df, passthrough))
+    return validate(derive_columns(parsed, clock))
 
 
 # --- building and publishing envelopes (the producer side) -------------------

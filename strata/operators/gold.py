@@ -24,12 +24,13 @@ def with_status_category(df: DataFrame) -> DataFrame:
 
 def gold_row(df: DataFrame) -> DataFrame:
     """The 14 Gold columns with ``latest_*`` names."""
+    # Names, order and aliases of the stored schema.
     return df.select(
-        F.col("league_id").cast("int").alias("league_id"),
+        "league_id",
         "league_name",
-        F.col("season").cast("int").alias("season"),
+        "season",
         "api_status",
-        F.col("api_response_length").cast("int").alias("api_response_length"),
+        "api_response_length",
         "api_warning",
         "status_category",
         F.col("idempotency_key").alias("latest_idempotency_key"),
@@ -62,3 +63,13 @@ def current_status(silver: DataFrame, keys: Sequence[str] = GOLD_KEY, method: st
     else:
         raise ValueError(f"unknown method {method!r}")
     return gold_row(with_status_category(latest))
+
+
+def merged_status(gold: DataFrame, silver: DataFrame, keys: Sequence[str] = GOLD_KEY) -> DataFrame:
+    """W2 over stored Gold rows and further Silver rows: Gold holds each
+    key's newest row with all columns of the order, so the newest of both is
+    the newest of all."""
+    names = {f"latest_{c}": c for c in ("idempotency_key", "request_key", "correlation_id", "fetched_at_utc", "ingested_at_utc", "payload_json")}
+    old = gold.withColumnsRenamed(names).select(*_GOLD_INPUT)
+    latest = latest_by(old.unionByName(silver.select(*_GOLD_INPUT)), keys, newest_first(*GOLD_ORDER))
+    return gold_row(with_status_category(latest))

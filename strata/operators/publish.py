@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
+from strata.sinks.tables import observed, rows_written
+
 
 def published_shape(df: DataFrame) -> DataFrame:
     """Upper-case column names, timestamps without zone (UTC wall
@@ -20,10 +22,13 @@ def published_shape(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def publish_snapshot(df: DataFrame, fmt: str = "parquet", options: dict[str, str] | None = None) -> None:
+def publish_snapshot(df: DataFrame, fmt: str = "parquet", options: dict[str, str] | None = None) -> int:
     """K4: full-refresh copy.  ``fmt`` and ``options`` name the target (a
-    warehouse connector, or a path for file formats)."""
-    published_shape(df).write.format(fmt).options(**(options or {})).mode("overwrite").save()
+    warehouse connector, or a path for file formats).  Returns the rows
+    written, counted during the write."""
+    watched, obs = observed(published_shape(df))
+    watched.write.format(fmt).options(**(options or {})).mode("overwrite").save()
+    return rows_written(obs)
 
 
 def reconcile(source: DataFrame, target: DataFrame) -> DataFrame:

@@ -1,15 +1,27 @@
-"""The layer jobs: Bronze ingest, Silver and Gold rebuilds, replay.
+"""The layer jobs: Bronze ingest, Silver and Gold rebuilds and increments,
+replay (R1-R3, K8).
 
 Layers talk only through tables.  Each job returns the rows it wrote, counted
 during the write.
+
+Bronze keeps two small tables beside its outputs:
+
+* the key log -- one row per stored transport key and sink, partitioned down
+  to buckets of offsets, so that J1 reads only the buckets a batch touches;
+* the record of runs -- per run and topic-partition the offsets it read, as
+  ``started`` before the first append and ``committed`` after the last.
+
+A run that ends between its appends leaves ``started`` alone.  The next run
+first logs the keys such a run did store, then reads again from the last
+committed offsets: what was stored is skipped, what was not is appended.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,16 +29,19 @@ from strata import schemas
 from strata.operators.bronze import (
     accepted_records,
     first_arrival,
-    offset_ranges,
     quarantine_records,
     remove_existing_offsets,
+    stored_keys,
+    with_offset_bucket,
 )
 from strata.operators.envelope import prepare
-from strata.operators.gold import current_status
-from strata.operators.silver import silver_events
-from strata.session import configure
+from strata.operators.gold import current_status, merged_status
+from strata.operators.latest import latest_by, newest_first
+from strata.operators.silver import SILVER_KEY, silver_events
+from strata.session import configure, drop_folder, run_dir
 from strata.sinks.tables import append, create_database, create_table, overwrite, overwrite_swap
-from strata.sources.transport import table_or_none
+
+STARTED, COMMITTED, RECOVERED = "started", "committed", "recovered"
 
 
 @dataclass
@@ -35,13 +50,69 @@ class BronzeRun:
     quarantine_rows: int
 
 
-def create_layer_tables(spark: SparkSession, layout: schemas.Layout, root: str | None = None) -> None:
-    """K7 for every layer (schemas, then tables), optionally under ``root``."""
+def create_layer_tables(spark: SparkSession, layout: schemas.Layout, root: str | None = None, swap: bool = False) -> None:
+    """K7 for every layer (schemas, then tables), optionally under ``root``.
+    With ``swap`` Silver and Gold are views that the first rebuild makes, so
+    their names stay free."""
     for schema in {layout.bronze_schema, layout.silver_schema, layout.gold_schema}:
         db = f"{layout.catalog}.{schema}" if layout.catalog else schema
         create_database(spark, db, f"{root}/{schema}" if root else None)
-    create_table(spark, layout.accepted, schemas.BRONZE_ACCEPTED)
-    create_table(spark, layout.quarantine, schemas.BRONZE_QUARANTINE)
+    tables = [(layout.accepted, schemas.BRONZE_ACCEPTED), (layout.quarantine, schemas.BRONZE_QUARANTINE)]
+    if not swap:
+        tables += [(layout.silver, schemas.SILVER), (layout.gold, schemas.GOLD)]
+    for name, schema in tables:
+        create_table(spark, name, schema, fmt=layout.fmt)
+    _create_run_tables(spark, layout)
+
+
+def _create_run_tables(spark: SparkSession, layout: schemas.Layout) -> None:
+    """The key log and the record of runs; a new log takes in what is stored."""
+    create_table(spark, layout.progress, schemas.INGEST_PROGRESS, (), fmt=layout.fmt)
+    if not spark.catalog.tableExists(layout.keys):
+        create_table(spark, layout.keys, schemas.BRONZE_KEYS, schemas.KEY_PARTITIONS, fmt=layout.fmt)
+        for sink, table in _sinks(layout).items():
+            if spark.catalog.tableExists(table):
+                _log_keys(spark, layout, sink, spark.table(table))
+
+
+def _sinks(layout: schemas.Layout) -> dict[str, str]:
+    return {"accepted": layout.accepted, "quarantine": layout.quarantine}
+
+
+def _logged(spark: SparkSession, layout: schemas.Layout, sink: str) -> DataFrame:
+    return spark.table(layout.keys).filter(F.col("sink") == sink)
+
+
+def _log_keys(spark: SparkSession, layout: schemas.Layout, sink: str, rows: DataFrame) -> None:
+    """Add the keys of stored ``rows`` that the log does not have."""
+    keys = rows.select(*schemas.TRANSPORT_KEY).distinct()
+    new = remove_existing_offsets(keys, stored_keys(_logged(spark, layout, sink), keys))
+    new = with_offset_bucket(new).withColumn("sink", F.lit(sink)).select(*schemas.BRONZE_KEYS.names)
+    append(new, layout.keys, schemas.KEY_PARTITIONS, fmt=layout.fmt)
+
+
+def _record(spark: SparkSession, layout: schemas.Layout, run_id: str, state: str, ends: DataFrame) -> None:
+    rows = ends.select(F.lit(run_id).alias("run_id"), F.lit(state).alias("state"), "kafka_topic", "kafka_partition", "low_offset", "next_offset")
+    append(rows, layout.progress, (), fmt=layout.fmt)
+
+
+def recover(spark: SparkSession, layout: schemas.Layout) -> None:
+    """Log the keys that runs without a commit have stored.
+
+    Reads the stored tables only inside the offsets those runs had read; in
+    the usual case there is no such run and nothing is read."""
+    runs = spark.table(layout.progress)
+    ended = runs.filter(F.col("state") != STARTED).select("run_id").distinct()
+    left = runs.filter(F.col("state") == STARTED).join(ended, "run_id", "left_anti")
+    open_runs = [r.run_id for r in left.select("run_id").distinct().collect()]  # runs that failed since the last one
+    for run_id in open_runs:
+        ends = runs.filter((F.col("run_id") == run_id) & (F.col("state") == STARTED))
+        span = ends.select("kafka_topic", "kafka_partition", "low_offset", "next_offset")
+        for sink, table in _sinks(layout).items():
+            rows = spark.table(table).join(span, ["kafka_topic", "kafka_partition"])
+            rows = rows.filter((F.col("kafka_offset") >= F.col("low_offset")) & (F.col("kafka_offset") < F.col("next_offset")))
+            _log_keys(spark, layout, sink, rows)
+        _record(spark, layout, run_id, RECOVERED, ends)
 
 
 def bronze_ingest(
@@ -51,90 +122,70 @@ def bronze_ingest(
     clock: Column | None = None,
     passthrough: Iterable[str] = (),
     dedupe_in_batch: bool = True,
-    storage_level: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
 ) -> BronzeRun:
     """Bronze batch job (R1, R3): parse and validate once, drop keys already
     stored, append to both sinks.  See ``bronze_write`` for the options."""
     configure(spark)
-    validated = prepare(transport, clock, passthrough)
-    return bronze_write(spark, validated, layout, dedupe_in_batch, storage_level)
+    return bronze_write(spark, prepare(transport, clock, passthrough), layout, dedupe_in_batch)
 
 
 def bronze_write(
-    spark: SparkSession,
-    validated: DataFrame,
-    layout: schemas.Layout,
-    dedupe_in_batch: bool = True,
-    storage_level: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
+    spark: SparkSession, validated: DataFrame, layout: schemas.Layout, dedupe_in_batch: bool = True
 ) -> BronzeRun:
     """Append a validated batch to the accepted and quarantine tables.
 
+    * The batch is written once to shared storage and both sinks read that
+      copy: the topic is parsed once, and input, offsets and clock are the
+      same for both whatever happens to an executor.  The copy goes at the end.
     * ``dedupe_in_batch``: first arrival per transport key before J1 (A3),
       for inputs that can repeat a key (file topics, redeliveries).  A Kafka
       offset range never does; pass False there and save the shuffle.
-    * The validated frame is persisted so the two sinks do not parse the
-      topic twice; it is recomputable from the (offset-pinned) source if an
-      executor is lost.  ``None`` skips persisting.
-    * J1 first narrows the stored side to the batch's offset ranges.
+    * J1 compares with the key log, in the offset buckets of the batch.
     * Re-running the same batch appends nothing, so a replayed micro-batch
       or a retried job is idempotent."""
+    _create_run_tables(spark, layout)
+    recover(spark, layout)
     if dedupe_in_batch:
         validated = first_arrival(validated)
-    if storage_level is not None:
-        validated = validated.persist(storage_level)
+    folder = run_dir(spark, "batch")
     try:
-        existing_accepted = table_or_none(spark, layout.accepted)
-        existing_quarantine = table_or_none(spark, layout.quarantine)
-        has_history = existing_accepted is not None or existing_quarantine is not None
-        ranges = offset_ranges(validated) if has_history else None
-        accepted = remove_existing_offsets(accepted_records(validated), existing_accepted, ranges=ranges)
-        quarantine = remove_existing_offsets(quarantine_records(validated), existing_quarantine, ranges=ranges)
-        n_accepted = append(accepted, layout.accepted)
-        n_quarantine = append(quarantine, layout.quarantine)
+        validated.write.parquet(folder)
+        batch = spark.read.schema(validated.schema).parquet(folder)
+        run_id = uuid.uuid4().hex
+        ends = batch.groupBy("kafka_topic", "kafka_partition").agg(
+            F.min("kafka_offset").alias("low_offset"), (F.max("kafka_offset") + 1).alias("next_offset")
+        )
+        _record(spark, layout, run_id, STARTED, ends)
+        counts = {}
+        for sink, rows in (("accepted", accepted_records(batch)), ("quarantine", quarantine_records(batch))):
+            new = remove_existing_offsets(rows, stored_keys(_logged(spark, layout, sink), batch))
+            counts[sink] = append(new, _sinks(layout)[sink], fmt=layout.fmt)
+        _log_keys(spark, layout, "accepted", accepted_records(batch))
+        _log_keys(spark, layout, "quarantine", quarantine_records(batch))
+        _record(spark, layout, run_id, COMMITTED, ends)
     finally:
-        if storage_level is not None:
-            validated.unpersist()
-    return BronzeRun(n_accepted, n_quarantine)
+        drop_folder(spark, folder)
+    return BronzeRun(counts["accepted"], counts["quarantine"])
 
 
 def resume_offsets(
-    spark: SparkSession,
-    layout: schemas.Layout,
-    limit: int = 100_000,
-    partitions: dict[str, list[int]] | None = None,
-) -> dict | None:
-    """Starting offsets for the next run: per topic-partition, one past the
-    highest offset stored in either Bronze table (``{topic: {partition:
-    offset}}``, the Kafka ``startingOffsets`` form).  Reading from there
-    instead of from earliest keeps each run proportional to new data; J1
-    still guards against anything read twice.  A partial aggregate over three
-    columns; the result is bounded by the number of topic-partitions (None
-    when there is no history or more than ``limit`` partitions).
-
-    The Kafka connector wants every topic-partition named once offsets are
-    specific: pass ``partitions`` (``{topic: [partition, ...]}``) and any
-    partition with no stored rows (a new one) starts at -2, earliest."""
-    keys = ("kafka_topic", "kafka_partition", "kafka_offset")
-    stored = [t.select(*keys) for t in (table_or_none(spark, layout.accepted), table_or_none(spark, layout.quarantine))
-              if t is not None]
-    if not stored:
+    spark: SparkSession, layout: schemas.Layout, topic: str, partitions: Iterable[int] = ()
+) -> dict[str, dict[str, int]] | None:
+    """Starting offsets of the next run over ``topic``: where the committed
+    runs ended, ``{topic: {partition: offset}}``, the Kafka
+    ``startingOffsets`` form; None before the first commit.
+
+    A run counts only once both its appends are done, so nothing that was
+    read but not stored is skipped.  The Kafka connector wants every
+    partition named once offsets are specific: those in ``partitions``
+    without a commit start at -2, earliest.  One row per partition."""
+    if not spark.catalog.tableExists(layout.progress):
         return None
-    union = stored[0] if len(stored) == 1 else stored[0].unionByName(stored[1])
-    rows = (
-        union.groupBy("kafka_topic", "kafka_partition")
-        .agg(F.max("kafka_offset").alias("hi"))
-        .limit(limit + 1)
-        .collect()
-    )
-    if not rows or len(rows) > limit:
+    done = spark.table(layout.progress).filter((F.col("state") == COMMITTED) & (F.col("kafka_topic") == topic))
+    rows = done.groupBy("kafka_partition").agg(F.max("next_offset").alias("next")).collect()
+    if not rows:
         return None
-    out: dict[str, dict[str, int]] = {}
-    for r in rows:
-        out.setdefault(r.kafka_topic, {})[str(r.kafka_partition)] = int(r.hi) + 1
-    for topic, parts in (partitions or {}).items():
-        for part in parts:
-            out.setdefault(topic, {}).setdefault(str(part), -2)
-    return out
+    return {topic: {**{str(p): -2 for p in partitions}, **{str(r.kafka_partition): int(r.next) for r in rows}}}
 
 
 def date_range(df: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
@@ -146,32 +197,76 @@ def date_range(df: DataFrame, start: str | None = None, end: str | None = None)
     return df
 
 
-def _rebuild(df: DataFrame, name: str, swap: bool) -> int:
-    return overwrite_swap(df, name) if swap else overwrite(df, name)
+def _rebuild(df: DataFrame, name: str, layout: schemas.Layout, swap: bool) -> int:
+    return overwrite_swap(df, name, fmt=layout.fmt) if swap else overwrite(df, name, fmt=layout.fmt)
+
+
+def _replace(spark: SparkSession, df: DataFrame, name: str, layout: schemas.Layout, swap: bool) -> int:
+    """Rebuild a table from a frame that reads the table itself: written
+    aside first, so that the old rows are whole until the new ones are."""
+    if swap:
+        return overwrite_swap(df, name, fmt=layout.fmt)
+    folder = run_dir(spark, "replace")
+    try:
+        df.write.parquet(folder)
+        return overwrite(spark.read.schema(df.schema).parquet(folder), name, fmt=layout.fmt)
+    finally:
+        drop_folder(spark, folder)
 
 
 def silver_rebuild(
     spark: SparkSession, layout: schemas.Layout, start: str | None = None, end: str | None = None, swap: bool = False
 ) -> int:
-    """Silver job: full rebuild from Bronze (optionally a date range of it).
-    ``swap`` writes a new version and repoints a view (see
-    ``overwrite_swap``) instead of overwriting in place."""
+    """Silver job: full rebuild from Bronze, or of a range of ingest dates.
+
+    A range rebuild replaces every key that has a Bronze row or a Silver row
+    in the range, from all of that key's Bronze rows; all other Silver rows
+    stay as they are.  A key whose newest row lies outside the range, or
+    moves between dates, thus ends as in a full rebuild.  ``swap`` writes a
+    new version and repoints a view (see ``overwrite_swap``)."""
+    configure(spark)
+    bronze = spark.table(layout.accepted)
+    if start is None and end is None:
+        return _rebuild(silver_events(bronze), layout.silver, layout, swap)
+    old, key = spark.table(layout.silver), list(SILVER_KEY)
+    touched = date_range(bronze, start, end).select(*key).union(date_range(old, start, end).select(*key)).distinct()
+    again = silver_events(bronze.join(touched, key, "left_semi"))
+    kept = old.join(touched, key, "left_anti").select(*again.columns)
+    return _replace(spark, kept.unionByName(again), layout.silver, layout, swap)
+
+
+def silver_increment(spark: SparkSession, layout: schemas.Layout, since: str, swap: bool = False) -> int:
+    """Silver after new Bronze rows with ingest dates from ``since`` on: the
+    newest per key among old Silver and the new rows.  Reads only those dates
+    of Bronze; equals the full rebuild, since a key's offset and partition
+    never change and the ingest time decides."""
     configure(spark)
-    bronze = date_range(spark.table(layout.accepted), start, end)
-    return _rebuild(silver_events(bronze), layout.silver, swap)
+    new = silver_events(date_range(spark.table(layout.accepted), since))
+    both = spark.table(layout.silver).select(*new.columns).unionByName(new)
+    merged = latest_by(both, SILVER_KEY, newest_first("ingested_at_utc"))
+    return _replace(spark, merged, layout.silver, layout, swap)
 
 
-def gold_rebuild(spark: SparkSession, layout: schemas.Layout, method: str = "window", swap: bool = False) -> int:
+def gold_rebuild(spark: SparkSession, layout: schemas.Layout, swap: bool = False) -> int:
     """Gold job: full rebuild from Silver.  A per-date overwrite would be
     wrong: when a key's newest row moves to another date, the old row would
     stay behind in its old partition."""
     configure(spark)
-    return _rebuild(current_status(spark.table(layout.silver), method=method), layout.gold, swap)
+    return _rebuild(current_status(spark.table(layout.silver)), layout.gold, layout, swap)
+
+
+def gold_increment(spark: SparkSession, layout: schemas.Layout, since: str, swap: bool = False) -> int:
+    """Gold after new Silver rows with ingest dates from ``since`` on: the
+    newest per key among old Gold and those rows.  Equals the full rebuild."""
+    configure(spark)
+    new = date_range(spark.table(layout.silver), since)
+    return _replace(spark, merged_status(spark.table(layout.gold), new), layout.gold, layout, swap)
 
 
 def replay(
     spark: SparkSession, layout: schemas.Layout, start: str | None = None, end: str | None = None, swap: bool = False
 ) -> tuple[int, int]:
-    """R2: rebuild Silver and Gold from stored Bronze only; with bounds, from
-    that range of ingest dates (pruned at the scan)."""
+    """R2: rebuild Silver and Gold from stored Bronze only.  Bounds limit the
+    rebuild to what those ingest dates touch (see ``silver_rebuild``); Gold
+    is always made from all of Silver."""
     return silver_rebuild(spark, layout, start, end, swap), gold_rebuild(spark, layout, swap=swap)

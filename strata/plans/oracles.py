@@ -334,4 +334,27 @@ def oracle_sql() -> dict[str, str]:
     )
     q["stream_bronze_quarantine"] = q["bronze_quarantine"]
     q["stream_dedup"] = q["bronze_accepted"]
+    outputs = (
+        "SELECT 'accepted' AS output, kafka_topic, kafka_partition, kafka_offset, CAST(NULL AS VARCHAR) AS reason\n"
+        "FROM m WHERE reason IS NULL UNION ALL\n"
+        "SELECT 'quarantine', kafka_topic, kafka_partition, kafka_offset, reason FROM m WHERE reason IS NOT NULL"
+    )
+    q["transport_scan_bounded"] = q["transport_scan"] + (
+        "\nWHERE NOT (kafka_partition = 0 AND (kafka_offset < 100 OR kafka_offset >= 700))\n"
+        "  AND NOT (kafka_partition = 1 AND kafka_offset >= 500) AND NOT (kafka_partition = 2 AND kafka_offset < 40)"
+    )
+    q["stream_topic_pattern"] = q["transport_scan"]
+    q["bronze_resume"] = _with() + outputs
+    q["stream_tables"] = _with(f"o AS ({outputs})") + "SELECT kafka_topic, kafka_partition, kafka_offset, reason FROM o"
+    q["jsonl_accepted_roundtrip"] = q["bronze_row_flat"]
+    q["envelope_default_id"] = "SELECT count(*) AS envelopes, count(*) AS guids, count(*) AS distinct_ids FROM events"
+    q["replay_bounded"] = SILVER_SQL
+    # Two runs split at the middle day: the second drops redeliveries of what the first stored.
+    middle = (
+        "mid AS (SELECT min(CAST(ts AS DATE)) + CAST((max(CAST(ts AS DATE)) - min(CAST(ts AS DATE))) // 2 AS INTEGER) AS day FROM ev),\n"
+        f"b AS (SELECT {_ACCEPTED_COLS} FROM d, mid WHERE reason IS NULL\n"
+        "  AND NOT (ingested_at_utc > ts AND CAST(ts AS DATE) < mid.day AND CAST(ingested_at_utc AS DATE) >= mid.day))"
+    )
+    q["silver_incremental"] = _with(middle, _ELIGIBLE, _SILVER) + "SELECT * FROM s"
+    q["gold_incremental"] = _with(middle, _ELIGIBLE, _SILVER, _GOLD) + "SELECT * FROM g"
     return q

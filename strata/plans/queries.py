@@ -8,8 +8,10 @@ oracle SQL in ``strata.plans.oracles``.
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +28,11 @@ from strata.streaming import bronze_stream
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# The offset bounds of the bounded scan, by partition.
+BOUNDED_START = {"0": 100, "2": 40}
+BOUNDED_END = {"0": 700, "1": 500}
+
+
 def transport_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The topic stored Kafka-shaped, read back earliest -> latest."""
     path = f"{run_dir(spark, 'topic')}/topic"
@@ -33,6 +40,15 @@ def transport_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wall_clock(transport.read_topic(spark, messages.TOPIC, "parquet", path))
 
 
+def transport_scan_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored topic between per-partition offsets (start inclusive,
+    end exclusive); partitions not named are unbounded."""
+    path = f"{run_dir(spark, 'topic')}/topic"
+    inputs.topic(spark, sf_dir).write.parquet(path)
+    start, end = ({messages.TOPIC: b} for b in (BOUNDED_START, BOUNDED_END))
+    return wall_clock(transport.read_topic(spark, messages.TOPIC, "parquet", path, start, end))
+
+
 def transport_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P1."""
     return wall_clock(envelope.transport_columns(inputs.topic(spark, sf_dir)))
@@ -278,7 +294,7 @@ def bronze_append_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K7 + K1 + J1 + R3: create the tables, ingest the topic, then ingest
     every delivery again (the whole topic plus redeliveries).  The second
     run appends nothing; the accepted table is returned."""
-    layout, _ = runs.fresh_layout(spark, "append")
+    layout, root = runs.fresh_layout(spark, "append")
     _ingest_first(spark, sf_dir, layout)
     again = medallion.bronze_ingest(
         spark, messages.deliveries(inputs.events(spark, sf_dir)), layout,
@@ -286,46 +302,118 @@ def bronze_append_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     if again.accepted_rows or again.quarantine_rows:
         raise AssertionError(f"re-run appended rows: {again}")
-    return wall_clock(spark.table(layout.accepted))
+    return wall_clock(runs.result(spark, layout, root, spark.table(layout.accepted)))
+
+
+def bronze_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3 + R3: a run that ends between its two appends, then a run resumed
+    from the committed offsets; both outputs hold every record once."""
+    layout, root = runs.fresh_layout(spark, "resume")
+    path = f"{root}/topic"
+    topic = inputs.topic(spark, sf_dir, with_clock=True)
+    topic.write.parquet(path)
+
+    def ingest(broken: bool) -> None:
+        starting = medallion.resume_offsets(spark, layout, messages.TOPIC) or "earliest"
+        records = transport.read_topic(spark, messages.TOPIC, "parquet", path, starting, schema=topic.schema)
+        target = dataclasses.replace(layout, quarantine_object="missing/name") if broken else layout
+        medallion.bronze_ingest(spark, records, target, clock=F.col(messages.DELIVERY_CLOCK), passthrough=(messages.DELIVERY_CLOCK,))
+
+    try:
+        ingest(broken=True)
+    except AnalysisException:  # the second append has no table to go to
+        pass
+    else:
+        raise AssertionError("the broken run ended well")
+    ingest(broken=False)
+    key = list(schemas.TRANSPORT_KEY)
+    accepted = spark.table(layout.accepted).select(F.lit("accepted").alias("output"), *key, F.lit(None).cast("string").alias("reason"))
+    quarantine = spark.table(layout.quarantine).select(F.lit("quarantine").alias("output"), *key, "reason")
+    return runs.result(spark, layout, root, accepted.unionByName(quarantine))
 
 
 def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K8 + A1: rows written per sink, counted during each write."""
-    layout, _ = runs.fresh_layout(spark, "metrics")
+    layout, root = runs.fresh_layout(spark, "metrics")
     b = _ingest_first(spark, sf_dir, layout)
     n_silver = medallion.silver_rebuild(spark, layout)
     n_gold = medallion.gold_rebuild(spark, layout)
     rows = [("bronze_accepted", b.accepted_rows), ("bronze_quarantine", b.quarantine_rows),
             ("silver", n_silver), ("gold", n_gold)]
-    return spark.createDataFrame(rows, "sink string, rows_written long")
+    return runs.result(spark, layout, root, spark.createDataFrame(rows, "sink string, rows_written long"))
 
 
 def silver_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3: Silver rebuilt from the Bronze table, twice (overwrite is
     idempotent); the stored table is returned."""
-    layout, _ = runs.fresh_layout(spark, "silver")
+    layout, root = runs.fresh_layout(spark, "silver")
     _ingest_raw(spark, sf_dir, layout)
     medallion.silver_rebuild(spark, layout)
     medallion.silver_rebuild(spark, layout)
-    return wall_clock(spark.table(layout.silver))
+    return wall_clock(runs.result(spark, layout, root, spark.table(layout.silver)))
 
 
 def gold_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3: Gold rebuilt from the Silver table; the stored table is returned."""
-    layout, _ = runs.fresh_layout(spark, "gold")
+    layout, root = runs.fresh_layout(spark, "gold")
     _ingest_raw(spark, sf_dir, layout)
     medallion.silver_rebuild(spark, layout)
     medallion.gold_rebuild(spark, layout)
-    return wall_clock(spark.table(layout.gold))
+    return wall_clock(runs.result(spark, layout, root, spark.table(layout.gold)))
 
 
 def replay_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R2: Silver and Gold rebuilt from stored Bronze only (whole range
-    here; bounded ranges are covered by the tests)."""
-    layout, _ = runs.fresh_layout(spark, "replay")
+    """R2: Silver and Gold rebuilt from stored Bronze only, the whole range."""
+    layout, root = runs.fresh_layout(spark, "replay")
     _ingest_raw(spark, sf_dir, layout)
     medallion.replay(spark, layout)
-    return wall_clock(spark.table(layout.gold))
+    return wall_clock(runs.result(spark, layout, root, spark.table(layout.gold)))
+
+
+def _middle_day(spark: SparkSession, sf_dir: str) -> str:
+    """The day halfway between the first and the last event."""
+    days = inputs.events(spark, sf_dir).agg(F.min(F.to_date("ts")).alias("lo"), F.max(F.to_date("ts")).alias("hi"))
+    return days.select(F.expr("date_add(lo, CAST(datediff(hi, lo) div 2 AS INT))").cast("string")).first()[0]
+
+
+def replay_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R2 with bounds: after a full rebuild, the range from the middle day on
+    is replayed; Silver must be what the full rebuild made."""
+    layout, root = runs.fresh_layout(spark, "bounded")
+    _ingest_raw(spark, sf_dir, layout)
+    medallion.silver_rebuild(spark, layout)
+    medallion.replay(spark, layout, start=_middle_day(spark, sf_dir))
+    return wall_clock(runs.result(spark, layout, root, spark.table(layout.silver)))
+
+
+def _two_ingests(spark: SparkSession, sf_dir: str, layout) -> None:
+    """Bronze in two runs, split at the middle day; Silver and Gold rebuilt
+    after the first and brought forward after the second."""
+    middle = _middle_day(spark, sf_dir)
+    every = messages.deliveries(inputs.events(spark, sf_dir))
+    late = F.to_date(messages.DELIVERY_CLOCK) >= F.lit(middle).cast("date")
+    for part, rows in enumerate((every.filter(~late), every.filter(late))):
+        medallion.bronze_ingest(spark, rows, layout, clock=F.col(messages.DELIVERY_CLOCK), passthrough=(messages.DELIVERY_CLOCK,), dedupe_in_batch=False)
+        if part == 0:
+            medallion.silver_rebuild(spark, layout)
+            medallion.gold_rebuild(spark, layout)
+    medallion.silver_increment(spark, layout, since=middle)
+    medallion.gold_increment(spark, layout, since=middle)
+
+
+def silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 as an increment: redeliveries that come in the second run are
+    dropped by J1 there, so the first arrivals make up Silver."""
+    layout, root = runs.fresh_layout(spark, "silver_inc")
+    _two_ingests(spark, sf_dir, layout)
+    return wall_clock(runs.result(spark, layout, root, spark.table(layout.silver)))
+
+
+def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W2 as an increment over old Gold and new Silver."""
+    layout, root = runs.fresh_layout(spark, "gold_inc")
+    _two_ingests(spark, sf_dir, layout)
+    return wall_clock(runs.result(spark, layout, root, spark.table(layout.gold)))
 
 
 def _published(spark: SparkSession, sf_dir: str):
@@ -334,8 +422,11 @@ def _published(spark: SparkSession, sf_dir: str):
     medallion.silver_rebuild(spark, layout)
     medallion.gold_rebuild(spark, layout)
     target = f"{root}/published/current_league_status"
-    publish.publish_snapshot(spark.table(layout.gold), "parquet", {"path": target})
-    return spark.table(layout.gold), spark.read.parquet(target)
+    written = publish.publish_snapshot(spark.table(layout.gold), "parquet", {"path": target})
+    copy = spark.read.parquet(target)
+    if written != copy.count():
+        raise AssertionError(f"{written} rows counted")
+    return runs.result(spark, layout, root, spark.table(layout.gold)), copy
 
 
 def publish_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -358,6 +449,50 @@ def jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wall_clock(transport.read_quarantine_jsonl(spark, f"{root}/quarantine"))
 
 
+def jsonl_accepted_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5 + S5: accepted rows (18 fields) written as JSON lines and read back."""
+    root = run_dir(spark, "jsonl")
+    jsonl.append_jsonl(bronze.flat_rows(inputs.validated_first(spark, sf_dir)), f"{root}/accepted")
+    return wall_clock(transport.read_bronze_jsonl(spark, f"{root}/accepted"))
+
+
+def envelope_default_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fn new GUID: envelopes built without a correlation id get one each;
+    how many have the shape of a GUID and how many differ."""
+    ev = inputs.events(spark, sf_dir)
+    env = envelope.build_envelope(F.col("user_id") % messages.LEAGUES + 1, F.lit(messages.FIRST_SEASON), F.lit("{}"), fetched_at=F.col("ts").cast("timestamp"))
+    ids = ev.select(env["CorrelationId"].alias("id"))
+    return ids.agg(
+        F.count("id").alias("envelopes"),
+        F.count_if(F.col("id").rlike("^[0-9a-f]{8}-([0-9a-f]{4}-){3}[0-9a-f]{12}$")).alias("guids"),
+        F.countDistinct("id").alias("distinct_ids"),
+    )
+
+
+def stream_topic_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream by pattern over a folder with two topics whose names
+    begin alike; the pattern must match the whole name."""
+    root = run_dir(spark, "pattern")
+    topic = inputs.topic(spark, sf_dir)
+    topic.write.parquet(f"{root}/topic")
+    topic.withColumn("topic", F.concat("topic", F.lit(".backup"))).write.mode("append").parquet(f"{root}/topic")
+    stream = transport.read_topic_stream(spark, "raw[.]ingestion[.]dev", "parquet", f"{root}/topic", schema=topic.schema)
+    q = stream.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start(f"{root}/out")
+    q.awaitTermination()
+    return wall_clock(spark.read.parquet(f"{root}/out"))
+
+
+def stream_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST1 + K2 with ``toTable``: both streams into the layer tables."""
+    layout, root = runs.fresh_layout(spark, "tables")
+    stream = _stream_source(spark, sf_dir, root, redeliver=False)
+    for q in bronze_stream.bronze_stream_tables(stream, layout, f"{root}/checkpoints", clock=F.col(messages.DELIVERY_CLOCK), passthrough=(messages.DELIVERY_CLOCK,)):
+        q.awaitTermination()
+    key = list(schemas.TRANSPORT_KEY)
+    both = spark.table(layout.accepted).select(*key, F.lit(None).cast("string").alias("reason"))
+    return runs.result(spark, layout, root, both.unionByName(spark.table(layout.quarantine).select(*key, "reason")))
+
+
 def _stream_source(spark: SparkSession, sf_dir: str, root: str, redeliver: bool) -> DataFrame:
     """Write the topic as files (first deliveries, then redeliveries) and
     open a file stream over them."""
@@ -407,11 +542,12 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         clock=F.col(messages.DELIVERY_CLOCK), passthrough=(messages.DELIVERY_CLOCK,),
     )
     q.awaitTermination()
-    return wall_clock(spark.table(layout.accepted))
+    return wall_clock(runs.result(spark, layout, root, spark.table(layout.accepted)))
 
 
 QUERIES: dict[str, Query] = {
     "transport_scan": transport_scan,
+    "transport_scan_bounded": transport_scan_bounded,
     "transport_projection": transport_projection,
     "envelope_parse": envelope_parse,
     "derived_columns": derived_columns,
@@ -442,14 +578,22 @@ QUERIES: dict[str, Query] = {
     "quota_admission": quota_admission,
     "quota_ledger": quota_ledger,
     "bronze_append_idempotent": bronze_append_idempotent,
+    "bronze_resume": bronze_resume,
     "run_metrics": run_metrics,
     "silver_rebuild": silver_rebuild,
     "gold_rebuild": gold_rebuild,
     "replay_range": replay_range,
+    "replay_bounded": replay_bounded,
+    "silver_incremental": silver_incremental,
+    "gold_incremental": gold_incremental,
     "publish_snapshot": publish_snapshot,
     "publish_reconcile": publish_reconcile,
     "jsonl_roundtrip": jsonl_roundtrip,
+    "jsonl_accepted_roundtrip": jsonl_accepted_roundtrip,
+    "envelope_default_id": envelope_default_id,
     "stream_bronze_accepted": stream_bronze_accepted,
     "stream_bronze_quarantine": stream_bronze_quarantine,
     "stream_dedup": stream_dedup,
+    "stream_topic_pattern": stream_topic_pattern,
+    "stream_tables": stream_tables,
 }

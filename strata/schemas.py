@@ -112,10 +112,13 @@ QUARANTINE_RECORD = _struct(
     ("KafkaOffset", L), ("KafkaTimestampUtc", TS), ("QuarantinedAtUtc", TS), ("RawMessageJson", S),
 )
 
-# The daily call ledger.
-CALL_LEDGER = _struct(
-    ("DateUtc", S), ("CallsMade", I), ("MaxCallsPerDay", I),
-    ("LastCallStartedAtUtc", TS), ("LastCallCompletedAtUtc", TS),
+# The key log of the Bronze job, and its record of runs.
+BRONZE_KEYS = _struct(
+    ("kafka_offset", L), ("sink", S), ("kafka_topic", S), ("kafka_partition", I), ("offset_bucket", L),
+)
+KEY_PARTITIONS = ("sink", "kafka_topic", "kafka_partition", "offset_bucket")
+INGEST_PROGRESS = _struct(
+    ("run_id", S), ("state", S), ("kafka_topic", S), ("kafka_partition", I), ("low_offset", L), ("next_offset", L),
 )
 
 TRANSPORT_KEY = ("kafka_topic", "kafka_partition", "kafka_offset")
@@ -137,6 +140,10 @@ class Layout:
     quarantine_object: str = "raw_ingestion_quarantine"
     silver_object: str = "league_status_events"
     gold_object: str = "current_league_status"
+    keys_object: str = "raw_ingestion_keys"
+    progress_object: str = "raw_ingestion_progress"
+    # Format of the tables the jobs create and write.
+    fmt: str = "parquet"
 
     def name(self, schema: str, obj: str) -> str:
         parts = [self.catalog, schema, obj] if self.catalog else [schema, obj]
@@ -150,6 +157,14 @@ class Layout:
     def quarantine(self) -> str:
         return self.name(self.bronze_schema, self.quarantine_object)
 
+    @property
+    def keys(self) -> str:
+        return self.name(self.bronze_schema, self.keys_object)
+
+    @property
+    def progress(self) -> str:
+        return self.name(self.bronze_schema, self.progress_object)
+
     @property
     def silver(self) -> str:
         return self.name(self.silver_schema, self.silver_object)

@@ -57,3 +57,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def run_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the checkpoint location for one run's tables."""
     return f"{checkpoint_dir(spark)}/runs/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a run's folder through the file system that holds it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -38,7 +38,7 @@ def observed(df: DataFrame, label: str = "rows") -> tuple[DataFrame, Observation
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
-def _rows(obs: Observation) -> int:
+def rows_written(obs: Observation) -> int:
     return int(obs.get.get("rows", 0) or 0)
 
 
@@ -53,27 +53,30 @@ def rebalanced(df: DataFrame, partition_by: tuple[str, ...]) -> DataFrame:
 
 
 def append(
-    df: DataFrame, table: str, partition_by: tuple[str, ...] = (schemas.PARTITION_COLUMN,), rebalance: bool = True
+    df: DataFrame, table: str, partition_by: tuple[str, ...] = (schemas.PARTITION_COLUMN,), rebalance: bool = True,
+    fmt: str = "parquet",
 ) -> int:
-    """K1: append to a partitioned table; returns rows written.  A parquet
+    """K1: append to a partitioned table; returns rows written.  A file
     table needs ``partitionBy`` on every append."""
     watched, obs = observed(rebalanced(df, partition_by) if rebalance else df)
-    watched.write.mode("append").partitionBy(*partition_by).saveAsTable(table)
-    return _rows(obs)
+    writer = watched.write.format(fmt).mode("append")
+    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(table)
+    return rows_written(obs)
 
 
 def overwrite(
-    df: DataFrame, table: str, partition_by: tuple[str, ...] = (schemas.PARTITION_COLUMN,), rebalance: bool = True
+    df: DataFrame, table: str, partition_by: tuple[str, ...] = (schemas.PARTITION_COLUMN,), rebalance: bool = True,
+    fmt: str = "parquet",
 ) -> int:
     """K3: full rebuild of a partitioned table; returns rows written."""
     watched, obs = observed(rebalanced(df, partition_by) if rebalance else df)
     (
-        watched.write.mode("overwrite")
+        watched.write.format(fmt).mode("overwrite")
         .option("overwriteSchema", "true")
         .partitionBy(*partition_by)
         .saveAsTable(table)
     )
-    return _rows(obs)
+    return rows_written(obs)
 
 
 def overwrite_swap(
@@ -81,6 +84,7 @@ def overwrite_swap(
     name: str,
     partition_by: tuple[str, ...] = (schemas.PARTITION_COLUMN,),
     keep_previous: int = 1,
+    fmt: str = "parquet",
 ) -> int:
     """K3, durable form: write the rebuild as a new version table, then
     repoint the view ``name`` at it in one catalog statement.
@@ -99,7 +103,7 @@ def overwrite_swap(
             raise ValueError(f"{name} is a {kind} table; swap mode needs the name free or a view")
     prefix = f"{obj}__v"
     version = f"{prefix}{int(time.time() * 1000):015d}_{uuid.uuid4().hex[:6]}"
-    rows = overwrite(df, f"{db}.{version}", partition_by)
+    rows = overwrite(df, f"{db}.{version}", partition_by, fmt=fmt)
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {db}.{version}")
     versions = sorted(t.name for t in spark.catalog.listTables(db) if t.name.startswith(prefix))
     for old in versions[: max(len(versions) - keep_previous - 1, 0)]:

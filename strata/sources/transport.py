@@ -18,18 +18,23 @@ from strata import schemas
 
 
 def _offset_filter(offsets, bound: str):
-    """'earliest' / 'latest' -> no filter; a dict or JSON text
-    ``{"topic": {"partition": offset}}`` -> per-partition bound.  Starting
-    offsets are inclusive, ending offsets exclusive (Kafka semantics);
-    partitions not named are unbounded."""
-    if offsets is None or offsets in ("earliest", "latest"):
+    """'earliest' as start and 'latest' as end -> no filter; a dict or JSON
+    text ``{"topic": {"partition": offset}}`` -> per-partition bound.
+    Starting offsets are inclusive, ending offsets exclusive (Kafka
+    semantics); partitions not named are unbounded.  A stored topic has no
+    end that moves, so starting at 'latest' or ending at 'earliest' raises."""
+    if offsets is None or offsets == {"start": "earliest", "end": "latest"}[bound]:
         return None
+    if offsets in ("earliest", "latest"):
+        raise ValueError(f"a stored topic cannot {bound} at {offsets!r}")
     spec = json.loads(offsets) if isinstance(offsets, str) else offsets
     terms = []
     for topic, parts in spec.items():
         for part, off in parts.items():
-            if int(off) < 0:  # -2 earliest, -1 latest: no bound
+            if int(off) == (-2 if bound == "start" else -1):  # earliest, latest: no bound
                 continue
+            if int(off) < 0:
+                raise ValueError(f"a stored topic cannot {bound} at {off}")
             same = (F.col("topic") == topic) & (F.col("partition") == int(part))
             cmp = F.col("offset") >= int(off) if bound == "start" else F.col("offset") < int(off)
             terms.append(~same | cmp)
@@ -71,24 +76,28 @@ def read_topic_stream(
     topic_pattern: str,
     fmt: str = "parquet",
     path: str | None = None,
-    starting_offsets: str = "latest",
+    starting_offsets: str | None = None,
     options: dict[str, str] | None = None,
     schema: StructType | None = None,
 ) -> DataFrame:
     """Streaming read.  Kafka: ``subscribePattern`` from the given
-    offsets; progress lives in the query checkpoint (the consumer group's
-    committed offsets in the row-at-a-time consumer).  Files: a file stream
-    with an explicit schema; every file is read once per checkpoint."""
+    offsets (default latest); progress lives in the query checkpoint (the
+    consumer group's committed offsets in the row-at-a-time consumer).
+    Files: a file stream with an explicit schema; every file is read once per
+    checkpoint, so only 'earliest' can be asked for.  The pattern must match
+    the whole topic name, as the connector's does."""
     if fmt == "kafka":
         return (
             spark.readStream.format("kafka")
             .option("subscribePattern", topic_pattern)
-            .option("startingOffsets", starting_offsets)
+            .option("startingOffsets", starting_offsets or "latest")
             .options(**(options or {}))
             .load()
         )
+    if starting_offsets not in (None, "earliest"):
+        raise ValueError(f"a file stream cannot start at {starting_offsets!r}")
     df = spark.readStream.format(fmt).schema(schema or schemas.TRANSPORT).options(**(options or {})).load(path)
-    return df.filter(F.col("topic").rlike(topic_pattern))
+    return df.filter(F.col("topic").rlike(rf"\A(?:{topic_pattern})\z"))
 
 
 def _as_json(offsets) -> str:

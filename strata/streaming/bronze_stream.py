@@ -9,8 +9,6 @@
   micro-batch goes through the batch Bronze write (first arrival, then the
   anti-join against what is stored), so a key seen in any earlier batch, or
   a micro-batch replayed after a failure, appends nothing.
-* ``dedup_within_watermark`` -- the state-store alternative for stateless
-  sinks: exact while redelivery lag stays under the watermark delay.
 """
 
 from __future__ import annotations
@@ -116,13 +114,3 @@ def dedup_stream(
         .trigger(**(trigger or AVAILABLE_NOW))
         .start()
     )
-
-
-def dedup_within_watermark(validated: DataFrame, delay: str = "2 days") -> DataFrame:
-    """A3 with the state store: drop a transport key seen within ``delay`` of
-    event time (the Kafka timestamp).  The delay must exceed the longest
-    redelivery lag or duplicates come back; state is bounded by the keys
-    seen within the delay."""
-    return validated.withWatermark("kafka_timestamp_utc", delay).dropDuplicatesWithinWatermark(
-        list(schemas.TRANSPORT_KEY)
-    )

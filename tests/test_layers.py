@@ -76,14 +76,29 @@ def test_missing_key_columns_raise_unless_opted_in(spark):
     assert bronze.remove_existing_offsets(df, smoke, allow_missing_key=True).count() == 1
 
 
-def test_offset_range_prefilter_is_exact(spark):
-    stored = bronze_rows(spark, [text()] * 5)
-    batch = bronze_rows(spark, [text()] * 8)
-    ranges = bronze.offset_ranges(batch)
-    assert ranges == [("raw.ingestion.test", 0, 0, 7)]
-    left = bronze.remove_existing_offsets(batch, stored, ranges=ranges)
-    assert sorted(r.kafka_offset for r in left.collect()) == [5, 6, 7]
-    assert bronze.remove_existing_offsets(batch, stored, ranges=[]).count() == 8
+def test_key_log_is_read_only_in_the_batch_buckets(spark, monkeypatch):
+    monkeypatch.setattr(bronze, "OFFSETS_PER_BUCKET", 10)
+    layout, _ = runs.fresh_layout(spark, "t-keys")
+    clock = F.col("kafka_timestamp_utc")
+    for start in (0, 10, 20):
+        medallion.bronze_ingest(spark, records(spark, [text()] * 10, start=start), layout, clock=clock)
+    log = spark.table(layout.keys)
+    assert log.filter("sink = 'accepted'").count() == 30
+    batch = prepare(records(spark, [text()] * 4, start=18), clock=clock)
+    met = bronze.stored_keys(log.filter("sink = 'accepted'"), batch)
+    assert sorted(r.kafka_offset for r in met.collect()) == list(range(10, 30))
+    plan = met._jdf.queryExecution().toString()
+    assert "dynamicpruning" in plan.lower() and "PartitionFilters" in plan
+    run = medallion.bronze_ingest(spark, records(spark, [text()] * 14, start=18), layout, clock=clock)
+    assert run == medallion.BronzeRun(2, 0)
+
+
+def test_new_key_log_takes_in_what_is_stored(spark):
+    layout, _ = runs.fresh_layout(spark, "t-oldlog")
+    topic = records(spark, [text(), "garbage"])
+    medallion.bronze_ingest(spark, topic, layout, clock=F.col("kafka_timestamp_utc"))
+    spark.sql(f"DROP TABLE {layout.keys}")
+    assert medallion.bronze_ingest(spark, topic, layout, clock=F.col("kafka_timestamp_utc")) == medallion.BronzeRun(0, 0)
 
 
 def test_silver_redelivery_wins_and_key_is_unique(spark):
@@ -178,10 +193,12 @@ def test_layers_and_bounded_replay(spark):
     assert medallion.replay(spark, layout) == (3, 2)
     g = {r.league_id: r.latest_correlation_id for r in spark.table(layout.gold).collect()}
     assert g == {1: "d2", 2: "d1b"}
-    # Replay of the first day only: Gold as it was after day one.
-    assert medallion.replay(spark, layout, start="2026-04-10", end="2026-04-10") == (2, 2)
+    # A replay of the first day leaves the other dates, and keys whose newest row lies there, whole.
+    before = sorted(map(str, spark.table(layout.silver).collect()))
+    assert medallion.replay(spark, layout, start="2026-04-10", end="2026-04-10") == (3, 2)
+    assert sorted(map(str, spark.table(layout.silver).collect())) == before
     g = {r.league_id: r.latest_correlation_id for r in spark.table(layout.gold).collect()}
-    assert g == {1: "d1", 2: "d1b"}
+    assert g == {1: "d2", 2: "d1b"}
     plan = medallion.date_range(spark.table(layout.accepted), "2026-04-10", "2026-04-10")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan
 
@@ -201,9 +218,13 @@ def test_job_entry_runs_the_layers(spark):
          "--source_path", f"{root}/topic"]))
     assert out == {"accepted_rows": 1, "quarantine_rows": 1}
     assert jobs.run(spark, jobs.parser().parse_args(["silver", *base])) == {"silver_rows": 1}
-    assert jobs.run(spark, jobs.parser().parse_args(["gold", *base, "--gold_method", "max_by"])) == {"gold_rows": 1}
+    assert jobs.run(spark, jobs.parser().parse_args(["gold", *base])) == {"gold_rows": 1}
     rec = jobs.run(spark, jobs.parser().parse_args(["publish", *base, "--option", f"path={root}/published"]))
-    assert rec["matched"] and rec["source_rows"] == 1
+    assert rec["matched"] and rec["source_rows"] == rec["published_rows"] == 1
+    resumed = jobs.run(spark, jobs.parser().parse_args(
+        ["bronze", *base, "--topic_name", "raw.ingestion.test", "--source_format", "parquet",
+         "--source_path", f"{root}/topic", "--starting_offsets", "resume"]))
+    assert resumed == {"accepted_rows": 0, "quarantine_rows": 0}
 
 
 def test_hot_key_holding_a_third_of_rows(spark):
@@ -236,7 +257,7 @@ def test_hot_key_holding_a_third_of_rows(spark):
 def test_swap_rebuild_keeps_readers_on_the_last_good_version(spark):
     from strata.sinks.tables import overwrite_swap
 
-    layout, _ = runs.fresh_layout(spark, "t-swap")
+    layout, _ = runs.fresh_layout(spark, "t-swap", swap=True)
     medallion.bronze_ingest(spark, records(spark, [text(LeagueId=1), text(LeagueId=2)]), layout,
                             clock=F.col("kafka_timestamp_utc"))
     assert medallion.silver_rebuild(spark, layout, swap=True) == 2
@@ -264,18 +285,75 @@ def test_resume_offsets_read_only_new_records(spark, tmp_path):
     from strata.sources.transport import read_topic
 
     layout, root = runs.fresh_layout(spark, "t-resume")
-    assert medallion.resume_offsets(spark, layout) is None
+    topic = "raw.ingestion.test"
+    assert medallion.resume_offsets(spark, layout, topic) is None
     path = f"{root}/topic"
     records(spark, [text(), "garbage", text()], partition=0).union(
         records(spark, [text()], partition=1)).write.parquet(path)
-    medallion.bronze_ingest(spark, read_topic(spark, "raw.ingestion.test", path=path), layout,
-                            clock=F.col("kafka_timestamp_utc"))
-    resume = medallion.resume_offsets(spark, layout)
-    assert resume == {"raw.ingestion.test": {"0": 3, "1": 1}}  # the garbage offset counts too
-    full = medallion.resume_offsets(spark, layout, partitions={"raw.ingestion.test": [0, 1, 2]})
-    assert full == {"raw.ingestion.test": {"0": 3, "1": 1, "2": -2}}
+    other = records(spark, [text()], partition=5).withColumn("topic", F.lit("another.topic"))
+    medallion.bronze_ingest(spark, other, layout, clock=F.col("kafka_timestamp_utc"))
+    medallion.bronze_ingest(spark, read_topic(spark, topic, path=path), layout, clock=F.col("kafka_timestamp_utc"))
+    resume = medallion.resume_offsets(spark, layout, topic)
+    assert resume == {topic: {"0": 3, "1": 1}}  # the garbage offset counts too, the other topic does not
+    assert medallion.resume_offsets(spark, layout, topic, range(3)) == {topic: {"0": 3, "1": 1, "2": -2}}
     records(spark, [text()], partition=0, start=3).write.mode("append").parquet(path)
-    fresh = read_topic(spark, "raw.ingestion.test", path=path, starting_offsets=resume)
+    fresh = read_topic(spark, topic, path=path, starting_offsets=resume)
     assert [(r.partition, r.offset) for r in fresh.collect()] == [(0, 3)]
     run = medallion.bronze_ingest(spark, fresh, layout, clock=F.col("kafka_timestamp_utc"))
     assert (run.accepted_rows, run.quarantine_rows) == (1, 0)
+
+
+def test_a_run_that_ends_between_the_appends_loses_nothing(spark, monkeypatch):
+    layout, _ = runs.fresh_layout(spark, "t-crash")
+    topic = records(spark, [text(), "garbage", text()])
+    real = medallion.append
+
+    def failing(df, table, *args, **kwargs):
+        if table == layout.quarantine:
+            raise RuntimeError("lost")
+        return real(df, table, *args, **kwargs)
+
+    monkeypatch.setattr(medallion, "append", failing)
+    with pytest.raises(RuntimeError):
+        medallion.bronze_ingest(spark, topic, layout, clock=F.col("kafka_timestamp_utc"))
+    monkeypatch.setattr(medallion, "append", real)
+    assert spark.table(layout.accepted).count() == 2 and spark.table(layout.quarantine).count() == 0
+    assert medallion.resume_offsets(spark, layout, "raw.ingestion.test") is None
+    run = medallion.bronze_ingest(spark, topic, layout, clock=F.col("kafka_timestamp_utc"))
+    assert run == medallion.BronzeRun(0, 1)
+    assert medallion.resume_offsets(spark, layout, "raw.ingestion.test") == {"raw.ingestion.test": {"0": 3}}
+
+
+def test_increments_equal_the_rebuild(spark):
+    layout, _ = runs.fresh_layout(spark, "t-inc")
+    clock = F.col("kafka_timestamp_utc")
+    medallion.bronze_ingest(spark, records(spark, [text(LeagueId=i % 3 + 1, CorrelationId=f"a{i}") for i in range(6)]), layout, clock=clock)
+    medallion.replay(spark, layout)
+    late = records(spark, [text(LeagueId=i % 4 + 1, CorrelationId=f"b{i}") for i in range(5)], start=6)
+    medallion.bronze_ingest(spark, late, layout, clock=clock + F.expr("INTERVAL 2 DAYS"))
+    assert medallion.silver_increment(spark, layout, "2026-04-12") == 11
+    assert medallion.gold_increment(spark, layout, "2026-04-12") == 4
+    got = [sorted(map(str, spark.table(t).collect())) for t in (layout.silver, layout.gold)]
+    medallion.replay(spark, layout)
+    assert got == [sorted(map(str, spark.table(t).collect())) for t in (layout.silver, layout.gold)]
+
+
+def test_tables_in_another_format(spark):
+    import dataclasses
+
+    layout, root = runs.fresh_layout(spark, "t-orc", swap=True)
+    layout = dataclasses.replace(layout, fmt="orc", accepted_object="a_orc", quarantine_object="q_orc", keys_object="k_orc", progress_object="p_orc")
+    medallion.create_layer_tables(spark, layout, root)
+    medallion.bronze_ingest(spark, records(spark, [text(), "garbage"]), layout, clock=F.col("kafka_timestamp_utc"))
+    assert medallion.replay(spark, layout) == (1, 1)
+    for table in (layout.accepted, layout.quarantine, layout.silver, layout.gold, layout.keys):
+        assert "Provider" in {r.col_name for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+        provider = [r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect() if r.col_name == "Provider"]
+        assert provider == ["orc"]
+    assert set(schemas.SILVER.names) == set(spark.table(layout.silver).columns)
+
+
+def test_layer_tables_exist_before_the_first_rebuild(spark):
+    layout, _ = runs.fresh_layout(spark, "t-ddl")
+    assert spark.table(layout.silver).count() == spark.table(layout.gold).count() == 0
+    assert set(spark.table(layout.gold).columns) == set(schemas.GOLD.names)

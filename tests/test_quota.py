@@ -49,3 +49,25 @@ def test_ledger_matches_brute_force(spark):
         assert row.LastCallStartedAtUtc == max(t for t, _ in admitted)
         last_done = max(t + dt.timedelta(microseconds=round(s * 1e6)) for t, s in admitted)
         assert abs((row.LastCallCompletedAtUtc - last_done).total_seconds()) < 1e-5
+
+
+def test_repeated_and_null_ids_keep_every_row_once(spark):
+    day = dt.datetime(2024, 1, 1)
+    rows = [(1, day, 1.0), (1, day, 2.0), (2, day, 1.0), (None, day + dt.timedelta(hours=1), 1.0), (5, None, 1.0)]
+    df = spark.createDataFrame(rows, "id long, ts timestamp, secs double")
+    for cap in (1, 2, 3, 10):
+        got = quota.admit_calls(df, "ts", "id", cap).collect()
+        assert len(got) == 5
+        of_day = [r for r in got if r.ts is not None]
+        assert sorted(r.call_number for r in of_day if r.admitted) == list(range(1, min(cap, 4) + 1))
+    assert quota.admit_calls(df, "ts", "id", 10).filter("id IS NULL").first().admitted
+
+
+def test_large_cap_keeps_the_early_limit(spark):
+    rows, df = calls(spark, n=3000)
+    cap = 5000
+    admitted = quota.admitted_calls(df, "ts", "id", cap)
+    assert admitted.count() == len(rows)
+    plan = admitted._jdf.queryExecution().executedPlan().toString()
+    # The first ranking is by day and part: no task meets a whole day.
+    assert "hashpartitioning(call_date" in plan and plan.count("Window [") == 2 and "_part" in plan

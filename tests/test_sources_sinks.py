@@ -5,6 +5,8 @@ from __future__ import annotations
 
 import json
 
+import pytest
+
 from conftest import TOPIC, records, text
 from pyspark.sql import functions as F
 
@@ -111,3 +113,18 @@ def test_accepted_jsonl_roundtrip(spark):
     jsonl.append_jsonl(rows, f"{root}/bronze")
     back = transport.read_bronze_jsonl(spark, f"{root}/bronze")
     assert sorted(back.collect()) == sorted(rows.collect())
+
+
+def test_stored_topics_refuse_bounds_they_cannot_keep(spark, tmp_path):
+    path = str(tmp_path / "topic")
+    records(spark, [text()]).write.parquet(path)
+    for start, end in (("latest", "latest"), ("earliest", "earliest"), ({TOPIC: {"0": -1}}, "latest")):
+        with pytest.raises(ValueError):
+            transport.read_topic(spark, TOPIC, path=path, starting_offsets=start, ending_offsets=end)
+    with pytest.raises(ValueError):
+        transport.read_topic_stream(spark, TOPIC, "parquet", path, starting_offsets="latest")
+
+
+def test_publish_counts_what_it_writes(spark, tmp_path):
+    df = spark.range(7).toDF("n")
+    assert publish.publish_snapshot(df, "parquet", {"path": str(tmp_path / "copy")}) == 7

@@ -60,19 +60,6 @@ def test_dedup_stream_across_batches_and_restart(spark):
     assert spark.table(layout.accepted).count() == 15 and spark.table(layout.quarantine).count() == 5
 
 
-def test_dedup_within_watermark(spark):
-    root = run_dir(spark, "t-wm")
-    topic = records(spark, [text(CorrelationId=f"c{i}") for i in range(10)])
-    topic.write.mode("append").parquet(f"{root}/topic")
-    topic.filter("offset < 4").write.mode("append").parquet(f"{root}/topic")
-    v = prepare(open_stream(spark, f"{root}/topic"), clock=F.col("kafka_timestamp_utc"))
-    deduped = bronze_stream.dedup_within_watermark(v, "1 day").select("kafka_topic", "kafka_partition", "kafka_offset")
-    q = deduped.writeStream.format("memory").queryName("wm_out").trigger(availableNow=True).start()
-    q.awaitTermination()
-    rows = spark.table("wm_out").collect()
-    assert len(rows) == 10 and {r.kafka_topic for r in rows} == {TOPIC}
-
-
 def test_streams_into_layer_tables(spark):
     layout, root = runs.fresh_layout(spark, "t-stream-tables")
     topic = records(spark, topic_values())
