@@ -49,14 +49,36 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+#: Lets the session drop a finished write's shuffle files at once.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
-    Cuts the lineage at a table that survives the loss of any executor.
+    Cuts the lineage at a table that survives the loss of any executor.  What
+    the write shuffled is not needed after it, so its files go when it ends.
     """
-    path = f"{shared_dir(df.sparkSession)}/llm/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/llm/{label}-{uuid.uuid4().hex}"
+    before = spark.conf.get(DROP_SHUFFLES, "false")
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(DROP_SHUFFLES, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_path = path
+    return out
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Delete staged tables that nothing will read again."""
+    for table in tables:
+        if (path := getattr(table, "_staged_path", None)) is not None:
+            spark = table.sparkSession
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def text_batches(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:

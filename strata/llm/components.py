@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import staged
+from strata.llm.common import discard, staged
 
 
 def _least(edges: DataFrame) -> DataFrame:
@@ -28,11 +28,14 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
         large = both.join(_least(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         small = large.join(_least(large), "u")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(small.select("u", F.col("m").alias("v")))
-        now = staged(small.where("u <> v").distinct(), "edges")
+        now, last = staged(small.where("u <> v").distinct(), "edges"), now
+        discard(last)
         state = now.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if state == before:
             break
         before = state
     pairs = now.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("node"), "component")
     roots = now.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("component"))
-    return pairs.union(roots).groupBy("node").agg(F.min("component").alias("component"))
+    out = staged(pairs.union(roots).groupBy("node").agg(F.min("component").alias("component")), "components")
+    discard(now)
+    return out

@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strata.llm.common import parallelism, staged, text_batches
+from strata.llm.common import discard, parallelism, staged, text_batches
 from strata.llm.components import components
 from strata.llm.shingles import mix, shingle_set
 
@@ -346,7 +346,7 @@ def candidates(members: DataFrame, best: bool) -> DataFrame:
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs that link, by the exact sets (class, shingles).
+    """The pairs that link, by the exact sets (class, shingles), staged.
 
     Pairs are laid out by neighbourhood so that a set travels once for many
     pairs: two rounds of least labels name the neighbourhood, and large ones
@@ -377,25 +377,31 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             keep.append(100 * same >= 80 * (len(x) + len(y) - same))
         return left.loc[keep, ["a", "b"]]
 
-    return placed.groupBy("cell").cogroup(sent.groupBy("at")).applyInPandas(check, "a long, b long")
+    out = staged(placed.groupBy("cell").cogroup(sent.groupBy("at")).applyInPandas(check, "a long, b long"), "jaccard-links")
+    discard(label, placed)
+    return out
 
 
 def exact_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(class, shingles) of the ``wanted`` (id, class), one document each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()  # rows with one id meet in one task, so repeated rows give one set
         for batch in text_batches(batches):
             own, sets = [], []
             for expected, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if expected in seen:
+                    continue
                 found = shingle_set(text)
                 if len(found) and class_of(found) == expected:
+                    seen.add(expected)
                     own.append(expected)
                     sets.append(found.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(sets, pa.binary())], ["class", "shingles"])
 
     texts = docs.select(F.col(id_col).cast("long").alias("id"), _text(text_col).alias("text"))
     met = texts.join(wanted.hint("shuffle_hash"), texts["id"].eqNullSafe(wanted["id"])).select("class", "text")
-    return met.mapInArrow(run, "class long, shingles binary").dropDuplicates(["class"])
+    return met.mapInArrow(run, "class long, shingles binary")
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -403,18 +409,17 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     frequent = frequent_shingles(docs, text_col)
     rows = staged(described(docs, id_col, text_col), "jaccard-rows")
     classes = rows.where("n > 0").groupBy("class").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bits").alias("bits"))
+    classes = staged(classes, "jaccard-classes")
     buckets = max(128, rows.count() // 500)
     grouped = staged(groups(docs, frequent, text_col, buckets), "jaccard-groups")
 
-    held = staged(grouped.select("class").distinct().join(classes, "class"), "jaccard-classes")
-    sets = staged(exact_sets(docs, held.select("id", "class"), id_col, text_col), "jaccard-sets")
-    members = grouped.join(held.select("class", "n", "bits"), "class")
+    members = grouped.join(classes.select("class", "n", "bits"), "class")
     width = W.partitionBy("gid")
     members = members.withColumn("chunks", F.ceil(F.count("*").over(width) / F.lit(CHUNK)).cast("int"))
     chunk = F.when(F.col("chunks") == 1, 0).otherwise(F.floor((F.row_number().over(width.orderBy("n", "class")) - 1) / F.lit(CHUNK))).cast("int")
     members = staged(members.withColumn("chunk", chunk), "jaccard-members")
 
-    links, comp = None, None
+    links, comp, sets, named = None, None, None, None
     for best in (True, True, False):
         if comp is None:
             now = members.withColumn("comp", F.col("class"))
@@ -424,9 +429,19 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             mixed = now.groupBy("gid").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("gid")
             now = now.join(mixed, "gid", "left_semi")
         found = staged(candidates(now, best), "jaccard-candidates")
+        wanted = found.select(F.col("a").alias("class")).union(found.select(F.col("b").alias("class"))).distinct()
+        wanted = wanted if named is None else wanted.join(named, "class", "left_anti")
+        wanted = staged(wanted.join(classes, "class").select("id", "class"), "jaccard-wanted")
+        if sets is None or not wanted.isEmpty():  # sets are made for classes that may link, once
+            more = staged(exact_sets(docs, wanted, id_col, text_col), "jaccard-sets")
+            sets = more if sets is None else sets.union(more)
+            names = wanted.select("class")
+            named = names if named is None else named.union(names)
         new = verified(found, sets)
-        links = staged(new if links is None else links.union(new), "jaccard-links")
-        comp = staged(components(links), "jaccard-components")
+        links = new if links is None else links.union(new)
+        last, comp = comp, components(links)
+        discard(found, last)
+    discard(grouped, members)
 
     least = classes.select("class", "id").join(comp, F.col("class") == F.col("node"), "left")
     least = least.select("class", "id", F.coalesce("component", "class").alias("comp"))

@@ -37,15 +37,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strata.llm.common import parallelism, staged, usable_vector
+from strata.llm.common import discard, parallelism, staged, usable_vector
 
-DEGREE = 30
+DEGREE = 60
 #: Nodes that list a node, taking part in one round, at most.
-REVERSE = 30
-ROUNDS = 6
-SETTLED = 0.01
+REVERSE = 60
+ROUNDS = 10
+#: Rounds end when all lists together come closer by less than this share.
+SETTLED = 1e-3
 FORESTS = 3
-BLOCK_ROWS = 256
+BLOCK_ROWS = 512
 #: Hits a search keeps, and nodes it opens at once.
 BEAM = 48
 OPEN = 8
@@ -55,7 +56,8 @@ SEED = 5
 
 def _vectors(table: pa.Table, column: str = "v") -> np.ndarray:
     raw = table.column(column).to_pylist()
-    return np.frombuffer(b"".join(raw), np.float32).reshape(len(raw), -1) if raw else np.zeros((0, 1), np.float32)
+    # Half precision on the way: lists need no more, and final scores come from the originals.
+    return np.frombuffer(b"".join(raw), np.float16).reshape(len(raw), -1).astype(np.float32) if raw else np.zeros((0, 1), np.float32)
 
 
 def _flat(table: pa.Table, column: str) -> np.ndarray:
@@ -123,7 +125,7 @@ def _prepared(rows: DataFrame, largest: float, width: int, n: int) -> DataFrame:
             for f in range(FORESTS):
                 code[:, f] = ((v - v.mean(axis=1, keepdims=True)) @ planes[f].T > 0) @ (1 << np.arange(bits, dtype=np.int64)) if bits else 0
             codes = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * FORESTS), pa.array(code.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in v], pa.binary()), codes], ["id", "v", "codes"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in v.astype(np.float16)], pa.binary()), codes], ["id", "v", "codes"])
 
     return rows.select("id", "x").mapInArrow(run, "id long, v binary, codes array<long>")
 
@@ -187,7 +189,7 @@ def _round(vectors: DataFrame, lists: DataFrame, blocks: DataFrame, degree: int)
                 owner, other, near = ([x] for x in best_per(*(np.concatenate(x) for x in (owner, other, near)), degree))
         if not owner:
             return _listed(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32))
-        a, b, c = best_per(*(np.concatenate(x) for x in (owner, other, near)), degree)
+        a, b, c = best_per(*(np.concatenate(x) for x in (owner, other, near)), degree // 2)
         return _listed(ids[a], ids[b], c)
 
     return around.groupBy("block").cogroup(sent.groupBy("at")).applyInArrow(run, LISTS)
@@ -210,9 +212,10 @@ def build_index(table: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
     lists = staged(_merged(_first_lists(vectors, degree), degree, parts), "ann-lists")
     held = _weight(lists)
     for _ in range(rounds):
-        lists = staged(_merged(lists.union(_round(vectors, lists, blocks, degree)), degree, parts), "ann-lists")
+        lists, last = staged(_merged(lists.union(_round(vectors, lists, blocks, degree)), degree, parts), "ann-lists"), lists
+        discard(last)
         now = _weight(lists)
-        if now - held <= SETTLED * 1e-2 * max(abs(now), 1.0):
+        if now - held <= SETTLED * abs(now):
             break
         held = now
     return Index(vectors, lists, largest or 1.0, width or 1)
@@ -228,7 +231,7 @@ def search(index: Index, queries: DataFrame, k: int, beam: int = BEAM, rounds: i
     parts = 2 * parallelism(queries.sparkSession)
     part = F.pmod(F.xxhash64("query_id"), F.lit(parts))
     vectors = index.vectors.select("id", "v")
-    back = index.lists.select("id", F.explode(F.slice("others", 1, 10)).alias("other")).select(F.col("other").alias("id"), F.col("id").alias("other"))
+    back = index.lists.select("id", F.explode(F.slice("others", 1, 20)).alias("other")).select(F.col("other").alias("id"), F.col("id").alias("other"))
     turn = W.partitionBy("id").orderBy(F.xxhash64("id", "other"), "other")
     back = back.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= REVERSE).groupBy("id").agg(F.collect_list("other").alias("back"))
     edges = index.lists.join(back, "id", "left").select("id", F.array_union("others", F.coalesce("back", F.array().cast("array<long>"))).alias("others"))
@@ -237,8 +240,11 @@ def search(index: Index, queries: DataFrame, k: int, beam: int = BEAM, rounds: i
     asked = asked.join(vectors.withColumnRenamed("id", "query_id"), "query_id").select("query_id", F.col("v").alias("q"))
     none = [F.array().cast(t).alias(c) for c, t in (("ids", "array<long>"), ("scores", "array<float>"), ("opened", "array<long>"))]
     state = asked.select("query_id", "q", *none, F.array("query_id").alias("frontier"))
+    held = None
     for turn_no in range(rounds):
-        state = staged(state, "ann-search")
+        last, state = held, staged(state, "ann-search")
+        discard(last)
+        held = state
         if turn_no and state.where(F.size("frontier") > 0).isEmpty():
             break
         opening = state.select("query_id", F.explode("frontier").alias("id"))
@@ -274,7 +280,9 @@ def search(index: Index, queries: DataFrame, k: int, beam: int = BEAM, rounds: i
         shape = "query_id long, q binary, ids array<long>, scores array<float>, opened array<long>, frontier array<long>"
         state = state.withColumn("part", part).groupBy("part").cogroup(fresh.groupBy("at")).applyInArrow(step, shape)
     # A few more than k: single precision may order close ones differently.
-    return staged(state.select("query_id", F.explode(F.slice("ids", 1, k + OPEN)).alias("vec_id")), "ann-hits")
+    hits = staged(state.select("query_id", F.explode(F.slice("ids", 1, k + OPEN)).alias("vec_id")), "ann-hits")
+    discard(held, edges)
+    return hits
 
 
 def nearest(table: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:

@@ -25,7 +25,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 @lru_cache(maxsize=4)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE**i and its inverse, modulo 2**64, for i below ``size`` (a power of two)."""
     out = []
     for base in (BASE, pow(BASE, -1, 1 << 64)):
@@ -55,7 +55,7 @@ def word_hashes(text: str) -> np.ndarray:
     if inside[-1]:
         edge = np.concatenate([edge, [n]])
     first, last = edge[::2], edge[1::2]
-    power, inverse = _powers(1 << max(16, int(n).bit_length()))
+    power, inverse = powers(1 << max(16, int(n).bit_length()))
     total = np.zeros(n + 1, np.uint64)
     np.cumsum((LOWER[data].astype(np.uint64) + U(1)) * power[:n], out=total[1:])
     return mix((total[last] - total[first]) * inverse[first] + (last - first).astype(np.uint64))

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strata.llm.common import staged
+from strata.llm.common import discard, staged
 from strata.llm.stratified_shards import seeded_key
 
 WEIGHTS = (1, 2, 3)
@@ -170,7 +170,9 @@ def plan_mix(
     homes = drawn.groupBy("source", "block").agg(F.transform(F.array_sort(F.collect_list(F.struct("pass", "shard"))), lambda x: x["shard"]).alias("shards"))
     homes = homes.select(F.col("source").alias("s"), F.col("block").alias("b"), "shards")
     blocks = blocks.join(homes, _same("source", "s") & (F.col("block") == F.col("b"))).drop("s", "b")
-    return Mix(rows, sources, staged(blocks, "mix-plan"), seed)
+    plan = staged(blocks, "mix-plan")
+    discard(units)
+    return Mix(rows, sources, plan, seed)
 
 
 def mix_documents(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strata.llm.common import staged
+from strata.llm.common import discard, staged
 
 #: Rows ranked together by one task, on average.
 BUCKET_ROWS = 20_000
@@ -80,6 +80,7 @@ def stratified_shards(
     ranked = ranked.join(begin, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b"))).drop("s", "b")
     ranked = ranked.withColumn("rank", F.col("before") + F.col("r")).withColumn("place", (F.col("rank") - F.lit(0.5)) / F.col("total"))
     ranked = staged(ranked.select("id", "source", "size", "crc", "digest", "place"), "shard-ranks")
+    discard(rows)
 
     # Position among all rows: by bucket of the fractional rank, then inside it.
     n = ranked.count()

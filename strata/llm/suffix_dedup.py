@@ -9,14 +9,14 @@ the input.
    one position in eighteen is an anchor.  Anchors are compared across the
    corpus, packed by hash bucket; those met in one document only are done with.
 2. Fragments.  Around each anchor that several documents have, the run of text
-   whose 50-byte strings it owns is a fragment.  Fragments meet in shards by
-   anchor, so all equal strings meet; equal fragments are one, with the
-   smallest document.
-3. Suffix arrays.  Each shard's distinct fragments, joined by separators, are
-   sorted by external induced sorting (``induced_sort``): recursion over LMS
-   names, queues on disk, common-prefix values carried along.  Suffixes with a
-   common prefix of 50 bytes are one group; where the group has a smaller
-   document, the string goes.
+   whose 50-byte strings it owns is a fragment.  Fragments meet by anchor, so
+   all equal strings meet; equal fragments are one, with the smallest document.
+3. Suffix arrays.  Anchors with fragments that differ are gathered into shards;
+   stretches whose 50-byte strings all occur once, by hash, are left out.
+   A shard's fragments, joined by separators, are sorted by external induced
+   sorting (``induced_sort``): recursion over LMS names, queues on disk,
+   common-prefix values carried along.  Suffixes with a common prefix of 50
+   bytes are one group; where the group has a smaller document, the string goes.
 4. Removal.  The runs found are gathered per document and cut out.
 
 The order of sort within a shard streams from Spark, a shard's text and queues
@@ -30,8 +30,10 @@ empty result.  Only the two named columns are read.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -40,9 +42,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
-from strata.llm.common import parallelism, staged, text_batches
+from strata.llm.common import discard, parallelism, staged, text_batches
 from strata.llm.induced_sort import array_of, sorted_suffixes
-from strata.llm.shingles import mix
+from strata.llm.shingles import powers, mix
 
 U = np.uint64
 LENGTH = 50
@@ -50,6 +52,10 @@ GRAM = 16
 #: Bytes of text per bucket of anchors and per part of documents, on average.
 BUCKET_BYTES = 2 << 20
 PART_BYTES = 8 << 20
+#: Text in a suffix array, unless one anchor alone has more.
+SHARD_BYTES = 8 << 20
+#: Bytes hashed at once inside a shard.
+HASH_BLOCK = 1 << 20
 LAST = np.iinfo(np.int64).max
 
 
@@ -97,7 +103,7 @@ def bucketed(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("id"), text.alias("text"), F.xxhash64(text).alias("mark"))
+    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("id"), text.alias("text"), F.hash(text).alias("mark"))
 
 
 def shared_anchors(rows: DataFrame, buckets: int, parts: int) -> DataFrame:
@@ -158,14 +164,23 @@ def _part(ids: pd.Series, parts: pd.Series) -> pd.Series:
     return pd.Series(part_of(ids.to_numpy(np.int64), int(parts.iloc[0])) if len(ids) else [], dtype="int32")
 
 
-SPAN = "id long, mark long, start int, end int"
+def joined(ats: list[int]) -> list[int]:
+    """The same places with those that touch or overlap made one."""
+    out: list[int] = []
+    for at in sorted(ats):
+        if out and at >> 32 <= out[-1] & 0xFFFFFFFF:
+            out[-1] = out[-1] & ~0xFFFFFFFF | max(out[-1] & 0xFFFFFFFF, at & 0xFFFFFFFF)
+        else:
+            out.append(at)
+    return out
 
 
 def fragments(rows: DataFrame, shared: DataFrame, buckets: int, parts: int) -> DataFrame:
-    """(bucket, fragment, id, mark, start, end): text around shared anchors.
+    """(key, fragment, id, mark, ats): text around shared anchors and the places
+    that have it, each start << 32 | end.
 
     Inside a part, a fragment that an earlier document has too is not sent:
-    its row has a null fragment and stands for a removal.
+    such places are removals, gathered in a row per document with a null fragment.
     """
 
     def cut(texts: pa.Table, met: pa.Table) -> pa.Table:
@@ -182,22 +197,25 @@ def fragments(rows: DataFrame, shared: DataFrame, buckets: int, parts: int) -> D
                 raw = text.encode("utf-8", "surrogatepass")
                 own, first, last = anchors(np.frombuffer(raw, np.uint8))
                 bucket, key = bucketed(own, buckets)
-                hit = np.isin(bucket << 32 | key, keys[a:b])
-                for k, s, e in zip(bucket[hit].tolist(), first[hit].tolist(), (last[hit] + LENGTH).tolist()):
-                    out.append((k, raw[s:e], who, mark, s, e))
+                whole = bucket << 32 | key
+                hit = np.isin(whole, keys[a:b])
+                for k, s, e in zip(whole[hit].tolist(), first[hit].tolist(), (last[hit] + LENGTH).tolist()):
+                    out.append((k, raw[s:e], who, mark, s << 32 | e))
         out.sort()
-        done = []
-        for (k, piece), rows_of in groupby(out, key=lambda r: r[:2]):
-            least = None
-            for _, _, who, mark, s, e in rows_of:
+        done, gone = [], defaultdict(list)
+        for (k, piece), rows_of in groupby(out, key=itemgetter(0, 1)):
+            least, places = None, defaultdict(list)
+            for _, _, who, mark, at in rows_of:
                 least = who if least is None else least
-                done.append((k, piece if who == least else None, who, mark, s, e))
-        columns = list(zip(*done)) if done else [()] * 6
-        types = (pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
-        return pa.table([pa.array(c, t) for c, t in zip(columns, types)], names=["bucket", "fragment", "id", "mark", "start", "end"])
+                (places if who == least else gone)[who, mark].append(at)
+            done += [(k, piece, who, mark, ats) for (who, mark), ats in places.items()]
+        done += [(who, None, who, mark, joined(ats)) for (who, mark), ats in gone.items()]
+        columns = list(zip(*done)) if done else [()] * 5
+        types = (pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.list_(pa.int64()))
+        return pa.table([pa.array(c, t) for c, t in zip(columns, types)], names=["key", "fragment", "id", "mark", "ats"])
 
     placed = rows.withColumn("part", _part("id", F.lit(parts)))
-    return placed.groupBy("part").cogroup(shared.groupBy("part")).applyInArrow(cut, f"bucket int, fragment binary, {SPAN}")
+    return placed.groupBy("part").cogroup(shared.groupBy("part")).applyInArrow(cut, "key long, fragment binary, id long, mark int, ats array<long>")
 
 
 def repeated(pieces: list[bytes], least: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -240,70 +258,136 @@ def repeated(pieces: list[bytes], least: np.ndarray) -> Iterator[tuple[np.ndarra
         yield judged(held_piece, held_at, np.zeros(1, np.int64))
 
 
-def _shard_spans(rows: list[tuple]) -> list[tuple]:
-    """Removals of one shard; ``rows`` (fragment, id, mark, start, end) in order."""
-    pieces, least, holders, spans = [], [], [], []
-    for piece, same in groupby(rows, key=lambda r: r[0]):
-        low, own = None, []
-        for _, who, mark, s, e in same:
-            low = who if low is None else low
-            if who == low:
-                own.append((who, mark, s))
-            else:
-                spans.append((who, mark, s, e))
-        pieces.append(piece)
-        least.append(low)
-        holders.append(own)
-    if len(pieces) > 1:
-        for piece, offset in repeated(pieces, np.array(least, np.int64)):
+def met_twice(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(piece, start, end): the stretches of the pieces whose strings may occur
+    twice, by a 64-bit hash of every 50-byte string.
+
+    What is left out holds only strings that occur once in the shard, so a
+    sort could find nothing there.
+    """
+    size = np.array([len(p) for p in pieces], np.int64)
+    first = np.cumsum(size) - size
+    power, inverse = powers(HASH_BLOCK)
+    found, low = [], 0
+    while low < len(pieces):  # a block of pieces at a time
+        high = max(low + 1, int(np.searchsorted(first, first[low] + HASH_BLOCK // 2)))
+        data = np.frombuffer(b"".join(pieces[low:high]), np.uint8)
+        total = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((data.astype(np.uint64) + U(1)) * power[: len(data)], out=total[1:])
+        stop = np.repeat(first[low:high] - first[low] + size[low:high], size[low:high])
+        at = np.flatnonzero(np.arange(len(data)) + LENGTH <= stop)
+        found.append((at + first[low], mix((total[at + LENGTH] - total[at]) * inverse[at])))
+        low = high
+    at, hashes = (np.concatenate([f[k] for f in found]) for k in (0, 1))
+    order = np.argsort(hashes)
+    same = hashes[order][1:] == hashes[order][:-1]
+    twice = np.zeros(len(at), bool)
+    twice[order[1:][same]] = twice[order[:-1][same]] = True
+    at = at[twice]
+    if not len(at):
+        return at, at, at
+    piece = np.searchsorted(first, at, side="right") - 1
+    start = np.flatnonzero(np.concatenate([[True], (piece[1:] != piece[:-1]) | (at[1:] > at[:-1] + LENGTH)]))
+    end = at[np.append(start[1:], len(at)) - 1] + LENGTH
+    return piece[start], at[start] - first[piece[start]], end - first[piece[start]]
+
+
+class Shard:
+    """Anchors whose fragments differ, until they fill a suffix array."""
+
+    def __init__(self):
+        self.pieces, self.least, self.holders, self.size = [], [], [], 0
+
+    def add(self, pieces, least, holders) -> None:
+        self.pieces += pieces
+        self.least += least
+        self.holders += holders
+        self.size += sum(map(len, pieces))
+
+    def spans(self) -> list[tuple[int, int, list[int]]]:
+        """(id, mark, ats) of what the suffix array finds repeated."""
+        if not self.pieces:
+            return []
+        origin, low, high = (x.tolist() for x in met_twice(self.pieces))
+        stretches = [self.pieces[p][a:b] for p, a, b in zip(origin, low, high)]
+        least = np.array(self.least, np.int64)[origin]
+        out = defaultdict(list)
+        for piece, offset in repeated(stretches, least) if stretches else ():
+            if not len(piece):
+                continue
             order = np.lexsort((offset, piece))
             piece, offset = piece[order], offset[order]
-            first = np.concatenate([[True], (piece[1:] != piece[:-1]) | (offset[1:] > offset[:-1] + 1)]) if len(piece) else np.zeros(0, bool)
-            start = np.flatnonzero(first)
-            last = np.append(start[1:], len(piece)) - 1
-            for p, a, b in zip(piece[start].tolist(), offset[start].tolist(), (offset[last] + LENGTH).tolist() if len(start) else []):
-                spans += [(who, mark, s + a, s + b) for who, mark, s in holders[p]]
-    return spans
+            start = np.flatnonzero(np.concatenate([[True], (piece[1:] != piece[:-1]) | (offset[1:] > offset[:-1] + 1)]))
+            end = offset[np.append(start[1:], len(piece)) - 1] + LENGTH
+            for p, a, b in zip(piece[start].tolist(), offset[start].tolist(), end.tolist()):
+                for who, mark, ats in self.holders[origin[p]]:
+                    out[who, mark] += [(at >> 32) + low[p] + a << 32 | (at >> 32) + low[p] + b for at in ats]
+        return [(who, mark, joined(ats)) for (who, mark), ats in out.items()]
 
 
-def repeated_spans(cut: DataFrame, shards: int) -> DataFrame:
-    """(id, mark, start, end): removals found by the shards' suffix arrays."""
+def repeated_spans(cut: DataFrame, tasks: int) -> DataFrame:
+    """(id, mark, ats): removals, by equal fragments and by the shards' suffix arrays."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for batch in batches:
-                yield from zip(*(batch.column(i).to_pylist() for i in range(6)))
-
-        for _, shard in groupby(rows(), key=lambda r: r[0]):
-            spans = _shard_spans([r[1:] for r in shard])
-            columns = list(zip(*spans)) if spans else [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int32()))], ["id", "mark", "start", "end"])
-
-    sent = cut.where("fragment IS NOT NULL").select("bucket", "fragment", "id", "mark", "start", "end")
-    sent = sent.repartition(shards, "bucket").sortWithinPartitions("bucket", "fragment", "id")
-    return sent.mapInArrow(run, SPAN)
+                yield from zip(*(batch.column(i).to_pylist() for i in range(5)))
+
+        def told(spans):
+            columns = list(zip(*spans)) if spans else [()] * 3
+            types = (pa.int64(), pa.int32(), pa.list_(pa.int64()))
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["id", "mark", "ats"])
+
+        shard, spans = Shard(), []
+        for _, of_key in groupby(rows(), key=itemgetter(0)):
+            pieces, least, holders = [], [], []
+            for piece, same in groupby(of_key, key=itemgetter(1)):
+                if piece is None:
+                    spans += [r[2:] for r in same]
+                    continue
+                low, own = None, []
+                for r in same:
+                    low = r[2] if low is None else low
+                    (own if r[2] == low else spans).append(r[2:])
+                pieces.append(piece)
+                least.append(low)
+                holders.append(own)
+            if len(pieces) > 1:
+                shard.add(pieces, least, holders)
+            if shard.size >= SHARD_BYTES:
+                spans += shard.spans()
+                shard = Shard()
+            if len(spans) > 100_000:
+                yield told(spans)
+                spans = []
+        yield told(spans + shard.spans())
+
+    sent = cut.repartition(tasks, "key").sortWithinPartitions("key", "fragment", "id")
+    return sent.mapInArrow(run, "id long, mark int, ats array<long>")
 
 
 def _kept(raw: bytes, spans) -> tuple[bytes, int]:
     """The bytes outside the spans, and the number of maximal runs removed."""
     gone = np.zeros(len(raw) + 1, np.int32)
-    np.add.at(gone, [s["start"] for s in spans], 1)
-    np.add.at(gone, [s["end"] for s in spans], -1)
+    spans = np.asarray(spans, np.int64)
+    np.add.at(gone, spans >> 32, 1)
+    np.add.at(gone, spans & 0xFFFFFFFF, -1)
     covered = np.cumsum(gone[:-1]) > 0
     runs = int(covered[0]) + int((covered[1:] & ~covered[:-1]).sum())
     return np.frombuffer(raw, np.uint8)[~covered].tobytes(), runs
 
 
 def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, mark, spans): per document that loses bytes, its removed [start, end)."""
+    """(id, mark, spans): per document that loses bytes, its removed [start, end),
+    each as start << 32 | end."""
     rows = _rows(docs, id_col, text_col)
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets, parts = max(16, total // BUCKET_BYTES), max(16, total // PART_BYTES)
     shared = staged(shared_anchors(rows, buckets, parts), "suffix-anchors")
-    cut = staged(fragments(rows, shared, buckets, parts), "suffix-fragments")
-    found = repeated_spans(cut, 2 * parallelism(docs.sparkSession))
-    spans = found.union(cut.where("fragment IS NULL").select("id", "mark", "start", "end"))
-    return staged(spans.groupBy("id", "mark").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "suffix-spans")
+    found = repeated_spans(fragments(rows, shared, buckets, parts), 2 * parallelism(docs.sparkSession))
+    spans = staged(found.groupBy("id", "mark").agg(F.flatten(F.collect_list("ats")).alias("spans")), "suffix-spans")
+    discard(shared)
+    return spans
 
 
 @F.pandas_udf(StructType([StructField("kept", BinaryType()), StructField("n_spans", LongType())]))
@@ -319,7 +403,7 @@ def kept_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     row = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.lit(None)
     rows = docs.select(
-        F.col(id_col).alias("own"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("id"), text.alias("text"), F.xxhash64(text).alias("mark"), row.alias("row")
+        F.col(id_col).alias("own"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("id"), text.alias("text"), F.hash(text).alias("mark"), row.alias("row")
     )
     met = rows.join(gone.hint("shuffle_hash"), ["id", "mark"], "left")
     met = met.withColumn("cut", _cut_out("text", "spans"))
