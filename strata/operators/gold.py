@@ -52,9 +52,9 @@ _GOLD_INPUT = (
 
 def current_status(silver: DataFrame, keys: Sequence[str] = GOLD_KEY, method: str = "window") -> DataFrame:
     """W2 -> P12 -> P11.  ``method`` is ``window`` (rank-1 window, partial
-    WindowGroupLimit) or ``max_by`` (partial aggregate).  Either way each map
-    task sends at most one row per key to the shuffle, which matters because
-    the grain is coarse: a handful of keys hold all rows."""
+    WindowGroupLimit) or ``max_by`` (a sorting aggregate, for comparison).
+    Each map task sends at most one row per key to the shuffle, which matters
+    because the grain is coarse: a handful of keys hold all rows."""
     narrow = silver.select(*_GOLD_INPUT)
     if method == "window":
         latest = latest_by(narrow, keys, newest_first(*GOLD_ORDER))

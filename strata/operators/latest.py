@@ -5,9 +5,10 @@ Two plans for the same result:
 * ``latest_by`` -- ``row_number() = 1`` over a window.  Catalyst turns the
   rank-1 filter into a partial ``WindowGroupLimit`` before the shuffle, so a
   key holding a third of all rows ships one row per map task, not the group.
-* ``latest_by_max_by`` -- ``max_by(struct(row), struct(order))`` in a hash or
-  object aggregate with a partial (map-side) phase.  Only for orders that are
-  all descending (nulls last), the common "newest wins" case.
+* ``latest_by_max_by`` -- ``max_by(struct(row), struct(order))`` with a partial
+  (map-side) phase.  A struct buffer is not mutable, so Spark plans a sort
+  aggregate: kept as a cross-check of the window, not as a cheaper form.  Only
+  for orders that are all descending (nulls last), the common "newest wins".
 
 The order must be total (break ties on a unique column) or the pick is not
 deterministic.
