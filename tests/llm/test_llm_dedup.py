@@ -169,7 +169,7 @@ def test_tree_bound_never_drops_a_link():
 
 
 def test_shingles_follow_the_words():
-    assert len(shingles.shingle_set("a b c d e f a b c d e")) == 7
+    assert len(shingles.shingle_set("a b c d e f a b c d e")) == 6  # one of seven twice
     assert (shingles.shingle_set("A  B\nc") == shingles.shingle_set("a b c")).all()
     assert len(shingles.shingle_set(" \t")) == 0
     assert shingles.word_hashes("ab ab")[0] == shingles.word_hashes("ab ab")[1]
