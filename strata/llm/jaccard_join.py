@@ -12,7 +12,7 @@ found: the table of frequent shingles may be cut to its bound freely.
 
 Trees.  Within a group (in chunks of bounded size) classes are sorted by size
 and content into a signature tree.  A class has a bitmap of its shingles with
-about four bits a shingle; a node holds the OR of its bitmaps, the range of
+two to four bits a shingle; a node holds the OR of its bitmaps, the range of
 sizes, the largest number of shingles beyond the bits set, and the component
 of its classes if they share one.  Two nodes are walked down together only
 while sizes and the largest possible overlap -- common bits plus the smaller
@@ -58,7 +58,7 @@ CHUNK = 1024
 LEAF = 16
 #: Classes in a block of exact sets verified together.
 VERIFY_BLOCK = 256
-BITS_PER_SHINGLE = 4
+BITS_PER_SHINGLE = 2
 
 
 def class_of(shingles: np.ndarray) -> int:
@@ -413,7 +413,8 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     buckets = max(128, rows.count() // 500)
     grouped = staged(groups(docs, frequent, text_col, buckets), "jaccard-groups")
 
-    members = grouped.join(classes.select("class", "n", "bits"), "class")
+    # Narrow rows until it is known which groups matter; bitmaps join last.
+    members = grouped.join(classes.select("class", "n"), "class")
     width = W.partitionBy("gid")
     members = members.withColumn("chunks", F.ceil(F.count("*").over(width) / F.lit(CHUNK)).cast("int"))
     chunk = F.when(F.col("chunks") == 1, 0).otherwise(F.floor((F.row_number().over(width.orderBy("n", "class")) - 1) / F.lit(CHUNK))).cast("int")
@@ -428,7 +429,9 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             now = members.join(known, "class", "left").withColumn("comp", F.coalesce("component", "class")).drop("component")
             mixed = now.groupBy("gid").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("gid")
             now = now.join(mixed, "gid", "left_semi")
-        found = staged(candidates(now, best), "jaccard-candidates")
+        now = staged(now, "jaccard-open")
+        found = staged(candidates(now.join(classes.select("class", "bits"), "class"), best), "jaccard-candidates")
+        discard(now)
         wanted = found.select(F.col("a").alias("class")).union(found.select(F.col("b").alias("class"))).distinct()
         wanted = wanted if named is None else wanted.join(named, "class", "left_anti")
         wanted = staged(wanted.join(classes, "class").select("id", "class"), "jaccard-wanted")

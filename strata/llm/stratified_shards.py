@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from strata.llm.common import discard, staged
 
 #: Rows ranked together by one task, on average.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 5_000
 #: Leading bits of the digest that number the buckets of a source.
 KEY_BITS = 32
 
