@@ -210,6 +210,7 @@ def fragments(rows: DataFrame, shared: DataFrame, buckets: int, parts: int) -> D
                 (places if who == least else gone)[who, mark].append(at)
             done += [(k, piece, who, mark, ats) for (who, mark), ats in places.items()]
         done += [(who, None, who, mark, joined(ats)) for (who, mark), ats in gone.items()]
+        done.sort(key=lambda r: (r[2], r[4][0]))  # neighbours in a text overlap, and compress together
         columns = list(zip(*done)) if done else [()] * 5
         types = (pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.list_(pa.int64()))
         return pa.table([pa.array(c, t) for c, t in zip(columns, types)], names=["key", "fragment", "id", "mark", "ats"])
@@ -384,9 +385,12 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets, parts = max(16, total // BUCKET_BYTES), max(16, total // PART_BYTES)
     shared = staged(shared_anchors(rows, buckets, parts), "suffix-anchors")
-    found = repeated_spans(fragments(rows, shared, buckets, parts), 2 * parallelism(docs.sparkSession))
-    spans = staged(found.groupBy("id", "mark").agg(F.flatten(F.collect_list("ats")).alias("spans")), "suffix-spans")
+    # Staged, so that the shuffled texts are gone before the fragments are shuffled.
+    cut = staged(fragments(rows, shared, buckets, parts), "suffix-fragments")
     discard(shared)
+    found = repeated_spans(cut, 2 * parallelism(docs.sparkSession))
+    spans = staged(found.groupBy("id", "mark").agg(F.flatten(F.collect_list("ats")).alias("spans")), "suffix-spans")
+    discard(cut)
     return spans
 
 
