@@ -12,11 +12,17 @@ Search.  A query starts at its own list and repeatedly opens the best nodes it
 has not opened yet, joining their lists and vectors, until its best hits are
 all opened.
 
-Nearness is the inner product.  Vectors are scaled by the largest norm and
+Nearness is the inner product.  Norms may differ by any factor, so vectors
+are dealt into bands within which norms differ by less than 4, and each band
+has its own graph.  In a band, vectors are scaled by the band's upper norm and
 given one more component that makes all norms equal, so that closeness in the
 graph is closeness of direction and size; a query's extra component is 0,
-which makes its score proportional to the inner product.  Final scores are
-inner products of the original vectors in double precision.
+which makes its score proportional to the inner product.  Hyperplanes see
+directions only.  Scaled vectors are kept in single precision, and as one
+scale holds for a band only, a huge vector takes nothing from the others.  A
+query searches every band, from its own list in its own band and from the
+best of some spread rows in the others.  Final scores are inner products of
+the original vectors in double precision.
 
 The index holds every row.  It is approximate: ``degree``, ``beam`` and the
 bound on how many nodes that list a node take part in one round trade time for
@@ -52,12 +58,17 @@ BEAM = 48
 OPEN = 8
 SEARCH_ROUNDS = 8
 SEED = 5
+#: A band's norms span this power of two, downwards from the largest norm.
+BAND_BITS = 2
+#: Rows of another band that a query looks at to find where to start there.
+PIVOTS = 512
+#: Codes of a band start at its number times this.
+BAND_CODES = 1 << 40
 
 
 def _vectors(table: pa.Table, column: str = "v") -> np.ndarray:
     raw = table.column(column).to_pylist()
-    # Half precision on the way: lists need no more, and final scores come from the originals.
-    return np.frombuffer(b"".join(raw), np.float16).reshape(len(raw), -1).astype(np.float32) if raw else np.zeros((0, 1), np.float32)
+    return np.frombuffer(b"".join(raw), np.float32).reshape(len(raw), -1) if raw else np.zeros((0, 1), np.float32)
 
 
 def _flat(table: pa.Table, column: str) -> np.ndarray:
@@ -100,15 +111,23 @@ LISTS = "id long, others array<long>, near array<float>"
 
 
 class Index:
-    """Vectors (id, block, v) and lists (id, others, near), both in shared storage."""
+    """Vectors (id, band, v, codes) and lists (id, others, near), both in shared storage; the bands that have rows."""
 
-    def __init__(self, vectors: DataFrame, lists: DataFrame, largest: float, width: int):
-        self.vectors, self.lists, self.largest, self.width = vectors, lists, largest, width
+    def __init__(self, vectors: DataFrame, lists: DataFrame, bands: list[int]):
+        self.vectors, self.lists, self.bands = vectors, lists, bands
 
 
-def _prepared(rows: DataFrame, largest: float, width: int, n: int) -> DataFrame:
-    """(id, v, codes): scaled vectors of equal norm, and their block in every forest."""
-    bits = max(0, int(np.ceil(np.log2(max(n, 1) / BLOCK_ROWS))))
+def _log_norm(x: Column) -> Column:
+    """Binary logarithm of a usable vector's norm, without overflow of its squares."""
+    most = F.array_max(F.transform(x, F.abs))
+    return F.log2(most) + F.log2(F.aggregate(x, F.lit(0.0), lambda a, c: a + (c / most) * (c / most))) / 2
+
+
+def _prepared(rows: DataFrame, top: float, width: int, sizes: dict[int, int]) -> DataFrame:
+    """(id, band, v, codes): vectors scaled to their band's upper norm and made
+    of equal norm, and their block in every forest."""
+    bits_of = {band: max(0, int(np.ceil(np.log2(n / BLOCK_ROWS)))) for band, n in sizes.items()}
+    bits = max(bits_of.values(), default=0)
     planes = np.random.default_rng(SEED).standard_normal((FORESTS, bits, width + 1)).astype(np.float32)
 
     def run(batches):
@@ -118,16 +137,23 @@ def _prepared(rows: DataFrame, largest: float, width: int, n: int) -> DataFrame:
             v = np.zeros((batch.num_rows, width + 1))
             at = np.repeat(np.arange(batch.num_rows), lengths)
             inner = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            v[at, inner] = flat / largest
-            v[:, width] = np.sqrt(np.maximum(0.0, 1.0 - (v * v).sum(axis=1)))
-            v = v.astype(np.float32)
-            code = np.zeros((batch.num_rows, FORESTS), np.int64)
-            for f in range(FORESTS):
-                code[:, f] = ((v - v.mean(axis=1, keepdims=True)) @ planes[f].T > 0) @ (1 << np.arange(bits, dtype=np.int64)) if bits else 0
+            v[at, inner] = flat
+            v /= np.abs(v).max(axis=1, keepdims=True)
+            v /= np.sqrt((v * v).sum(axis=1, keepdims=True))
+            band = batch.column(3).to_numpy()
+            used = np.array([bits_of.get(b, 0) for b in band.tolist()], np.int64)
+            code = np.repeat((band * BAND_CODES)[:, None], FORESTS, axis=1)
+            turned = (v - v.mean(axis=1, keepdims=True)).astype(np.float32)
+            for f in range(FORESTS if bits else 0):
+                code[:, f] += ((turned @ planes[f].T > 0) & (np.arange(bits) < used[:, None])) @ (1 << np.arange(bits, dtype=np.int64))
+            size = np.minimum(1.0, np.exp2(batch.column(2).to_numpy() - (top - BAND_BITS * band)))
+            v *= size[:, None]
+            v[:, width] = np.sqrt(1.0 - size * size)
             codes = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * FORESTS), pa.array(code.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in v.astype(np.float16)], pa.binary()), codes], ["id", "v", "codes"])
+            raw = pa.array([r.tobytes() for r in v.astype(np.float32)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(3), raw, codes], ["id", "band", "v", "codes"])
 
-    return rows.select("id", "x").mapInArrow(run, "id long, v binary, codes array<long>")
+    return rows.select("id", "x", "size", "band").mapInArrow(run, "id long, band long, v binary, codes array<long>")
 
 
 def _first_lists(vectors: DataFrame, degree: int) -> DataFrame:
@@ -199,9 +225,13 @@ def build_index(table: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
     """NN-descent over all usable rows of ``table``."""
     used = table.where(usable_vector(F.col(vector_col), allow_zero=False) & F.col(id_col).isNotNull())
     rows = used.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("x"))
-    norm = F.sqrt(F.aggregate("x", F.lit(0.0), lambda a, x: a + x * x))
-    largest, width, n = rows.agg(F.max(norm), F.max(F.size("x")), F.count("*")).first()
-    vectors = _prepared(rows, largest or 1.0, width or 1, n)
+    rows = rows.withColumn("size", _log_norm(F.col("x")))
+    top, width = rows.agg(F.max("size"), F.max(F.size("x"))).first()
+    top = top or 0.0
+    rows = rows.withColumn("band", F.floor((F.lit(top) - F.col("size")) / BAND_BITS).cast("long"))
+    # Exponents of doubles are few, and so are bands.
+    sizes = {r.band: r["count"] for r in rows.groupBy("band").count().collect()}
+    vectors = _prepared(rows, top, width or 1, sizes)
     vectors = staged(vectors.dropDuplicates(["id"]), "ann-vectors")
     parts = 2 * parallelism(table.sparkSession)
     # A node's block: its first code, large ones cut in pieces.
@@ -218,7 +248,7 @@ def build_index(table: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
         if now - held <= SETTLED * abs(now):
             break
         held = now
-    return Index(vectors, lists, largest or 1.0, width or 1)
+    return Index(vectors, lists, sorted(sizes))
 
 
 def _weight(lists: DataFrame) -> float:
@@ -226,10 +256,39 @@ def _weight(lists: DataFrame) -> float:
     return lists.agg(F.sum(F.aggregate("near", F.lit(0.0), lambda a, x: a + x.cast("double")))).first()[0] or 0.0
 
 
+def _entered(index: Index, asked: DataFrame, beam: int, parts: int) -> DataFrame:
+    """First states in the bands that are not a query's own: the best of the
+    band's pivots, of which the very best are opened first."""
+    order = W.partitionBy("band").orderBy(F.xxhash64("id", F.lit(SEED)), "id")
+    pivots = index.vectors.select("band", "id", "v").withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= PIVOTS).drop("turn")
+    pivots = pivots.withColumn("at", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    bands = F.array(*[F.lit(b).cast("long") for b in index.bands])
+    others = asked.select("query_id", "q", F.explode(F.array_except(bands, F.array("own"))).alias("goal"))
+    others = others.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int"))
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        q, goal = _vectors(left, "q").copy(), _ints(left, "goal")
+        q[:, -1] = 0  # as in the rounds of the search
+        ids, band, v = _ints(right, "id"), _ints(right, "band"), _vectors(right)
+        rows = {b: np.flatnonzero(band == b) for b in set(goal.tolist())}
+        out = [[], [], [], []]
+        for i, b in enumerate(goal.tolist()):
+            near = v[rows[b]] @ q[i]
+            best = np.lexsort((ids[rows[b]], -near))[:beam]
+            found = ids[rows[b]][best].tolist()
+            for column, value in zip(out, (found, near[best].tolist(), [], found[:OPEN])):
+                column.append(value)
+        arrays = [pa.array(c, pa.list_(t)) for c, t in zip(out, (pa.int64(), pa.float32(), pa.int64(), pa.int64()))]
+        return pa.table([left.column("query_id"), left.column("q"), *arrays], names=["query_id", "q", "ids", "scores", "opened", "frontier"])
+
+    shape = "query_id long, q binary, ids array<long>, scores array<float>, opened array<long>, frontier array<long>"
+    return others.groupBy("part").cogroup(pivots.groupBy("at")).applyInArrow(run, shape)
+
+
 def search(index: Index, queries: DataFrame, k: int, beam: int = BEAM, rounds: int = SEARCH_ROUNDS) -> DataFrame:
     """(query_id, vec_id): the best hits of greedy search; ``queries`` has the ids of indexed rows."""
     parts = 2 * parallelism(queries.sparkSession)
-    part = F.pmod(F.xxhash64("query_id"), F.lit(parts))
+    part = F.pmod(F.xxhash64("task"), F.lit(parts))
     vectors = index.vectors.select("id", "v")
     back = index.lists.select("id", F.explode(F.slice("others", 1, 20)).alias("other")).select(F.col("other").alias("id"), F.col("id").alias("other"))
     turn = W.partitionBy("id").orderBy(F.xxhash64("id", "other"), "other")
@@ -237,9 +296,13 @@ def search(index: Index, queries: DataFrame, k: int, beam: int = BEAM, rounds: i
     edges = index.lists.join(back, "id", "left").select("id", F.array_union("others", F.coalesce("back", F.array().cast("array<long>"))).alias("others"))
     edges = staged(edges, "ann-edges")
     asked = queries.select(F.col("id").alias("query_id")).distinct()
-    asked = asked.join(vectors.withColumnRenamed("id", "query_id"), "query_id").select("query_id", F.col("v").alias("q"))
+    asked = asked.join(index.vectors.select(F.col("id").alias("query_id"), F.col("v").alias("q"), F.col("band").alias("own")), "query_id")
     none = [F.array().cast(t).alias(c) for c, t in (("ids", "array<long>"), ("scores", "array<float>"), ("opened", "array<long>"))]
     state = asked.select("query_id", "q", *none, F.array("query_id").alias("frontier"))
+    if len(index.bands) > 1:
+        state = state.union(_entered(index, asked, beam, parts))
+    # A task is a query in a band; numbers hold once the table is staged.
+    state = state.select(F.monotonically_increasing_id().alias("task"), "*")
     held = None
     for turn_no in range(rounds):
         last, state = held, staged(state, "ann-search")
@@ -247,14 +310,14 @@ def search(index: Index, queries: DataFrame, k: int, beam: int = BEAM, rounds: i
         held = state
         if turn_no and state.where(F.size("frontier") > 0).isEmpty():
             break
-        opening = state.select("query_id", F.explode("frontier").alias("id"))
-        met = opening.join(edges, "id").groupBy("query_id").agg(F.array_distinct(F.flatten(F.collect_list("others"))).alias("met"))
-        fresh = state.select("query_id", "ids").join(met, "query_id")
-        fresh = fresh.select("query_id", F.explode(F.array_except("met", "ids")).alias("id")).where("id <> query_id")
-        fresh = fresh.join(vectors, "id").select(part.alias("at"), F.col("query_id").alias("asker"), "id", "v")
+        opening = state.select("task", F.explode("frontier").alias("id"))
+        met = opening.join(edges, "id").groupBy("task").agg(F.array_distinct(F.flatten(F.collect_list("others"))).alias("met"))
+        fresh = state.select("task", "query_id", "ids").join(met, "task")
+        fresh = fresh.select("task", "query_id", F.explode(F.array_except("met", "ids")).alias("id")).where("id <> query_id")
+        fresh = fresh.join(vectors, "id").select(part.alias("at"), F.col("task").alias("asker"), "id", "v")
 
         def step(left: pa.Table, right: pa.Table) -> pa.Table:
-            q, asker = _vectors(left, "q").copy(), _ints(left, "query_id")
+            q, asker = _vectors(left, "q").copy(), _ints(left, "task")
             if q.shape[1] > 1:
                 q[:, -1] = 0  # the extra component is the candidates' own
             row = np.argsort(asker)
@@ -275,9 +338,9 @@ def search(index: Index, queries: DataFrame, k: int, beam: int = BEAM, rounds: i
                 for column, value in zip(out, (ids[best].tolist(), near[best].tolist(), sorted(done), heads)):
                     column.append(value)
             arrays = [pa.array(c, pa.list_(t)) for c, t in zip(out, (pa.int64(), pa.float32(), pa.int64(), pa.int64()))]
-            return pa.table([left.column("query_id"), left.column("q"), *arrays], names=["query_id", "q", "ids", "scores", "opened", "frontier"])
+            return pa.table([*(left.column(c) for c in ("task", "query_id", "q")), *arrays], names=["task", "query_id", "q", "ids", "scores", "opened", "frontier"])
 
-        shape = "query_id long, q binary, ids array<long>, scores array<float>, opened array<long>, frontier array<long>"
+        shape = "task long, query_id long, q binary, ids array<long>, scores array<float>, opened array<long>, frontier array<long>"
         state = state.withColumn("part", part).groupBy("part").cogroup(fresh.groupBy("at")).applyInArrow(step, shape)
     # A few more than k: single precision may order close ones differently.
     hits = staged(state.select("query_id", F.explode(F.slice("ids", 1, k + OPEN)).alias("vec_id")), "ann-hits")

@@ -97,6 +97,15 @@ def test_recall_and_scores(spark):
         assert q not in [r.vec_id for r in own] and 8020 not in [r.vec_id for r in own] and len(own) == 20
 
 
+@pytest.mark.parametrize("spread,huge", [(0.0, 1e5), (3.0, 1e7)])
+def test_recall_with_norms_of_any_size(spark, spread, huge):
+    x = vectors(2500, dim=24).astype(float)
+    x *= 10 ** np.random.default_rng(8).uniform(-spread, spread, (len(x), 1))
+    x[7] *= huge
+    got = nn_descent.nearest(frame(spark, x.astype(np.float32)), F.col("vec_id") % 50 == 0, k=20).collect()
+    assert recall(got, x.astype(np.float32), 50, 20) >= 0.9
+
+
 def test_lists_only_get_closer(spark):
     x = vectors(1500, seed=9)
     table = frame(spark, x)
