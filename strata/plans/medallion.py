@@ -14,6 +14,9 @@ Bronze keeps two small tables beside its outputs:
 A run that ends between its appends leaves ``started`` alone.  The next run
 first logs the keys such a run did store, then reads again from the last
 committed offsets: what was stored is skipped, what was not is appended.
+
+A run may write one sink only, as each of the two Bronze streams does.  Its
+state names the sink, and offsets count as committed once both sinks have them.
 """
 
 from __future__ import annotations
@@ -42,6 +45,9 @@ from strata.session import configure, drop_folder, run_dir
 from strata.sinks.tables import append, create_database, create_table, overwrite, overwrite_swap
 
 STARTED, COMMITTED, RECOVERED = "started", "committed", "recovered"
+#: State of the one row that says that the key log has taken in what was stored before it.
+FILLED = "filled"
+SINKS = ("accepted", "quarantine")
 
 
 @dataclass
@@ -62,17 +68,25 @@ def create_layer_tables(spark: SparkSession, layout: schemas.Layout, root: str |
         tables += [(layout.silver, schemas.SILVER), (layout.gold, schemas.GOLD)]
     for name, schema in tables:
         create_table(spark, name, schema, fmt=layout.fmt)
-    _create_run_tables(spark, layout)
+    create_run_tables(spark, layout)
 
 
-def _create_run_tables(spark: SparkSession, layout: schemas.Layout) -> None:
-    """The key log and the record of runs; a new log takes in what is stored."""
+def create_run_tables(spark: SparkSession, layout: schemas.Layout) -> None:
+    """The key log and the record of runs.  A log takes in what is stored; it
+    is trusted once the record says that this is done, so a first fill that
+    was cut short is done again."""
     create_table(spark, layout.progress, schemas.INGEST_PROGRESS, (), fmt=layout.fmt)
-    if not spark.catalog.tableExists(layout.keys):
-        create_table(spark, layout.keys, schemas.BRONZE_KEYS, schemas.KEY_PARTITIONS, fmt=layout.fmt)
+    create_table(spark, layout.keys, schemas.BRONZE_KEYS, schemas.KEY_PARTITIONS, fmt=layout.fmt)
+    # A session keeps file lists, and a stream writes in a session of its own.
+    for table in (layout.progress, layout.keys):
+        spark.catalog.refreshTable(table)
+    if spark.table(layout.progress).filter(F.col("state") == FILLED).isEmpty():
         for sink, table in _sinks(layout).items():
             if spark.catalog.tableExists(table):
+                spark.catalog.refreshTable(table)
                 _log_keys(spark, layout, sink, spark.table(table))
+        done = spark.createDataFrame([("first-fill", FILLED, None, None, None, None)], schemas.INGEST_PROGRESS)
+        append(done, layout.progress, (), fmt=layout.fmt)
 
 
 def _sinks(layout: schemas.Layout) -> dict[str, str]:
@@ -96,19 +110,28 @@ def _record(spark: SparkSession, layout: schemas.Layout, run_id: str, state: str
     append(rows, layout.progress, (), fmt=layout.fmt)
 
 
-def recover(spark: SparkSession, layout: schemas.Layout) -> None:
+def _state(state: str, sinks: Iterable[str]) -> str:
+    """The state of a run that writes ``sinks``: one that writes a single sink names it."""
+    return state if tuple(sinks) == SINKS else "-".join([state, *sinks])
+
+
+def recover(spark: SparkSession, layout: schemas.Layout, sinks: Iterable[str] = SINKS) -> None:
     """Log the keys that runs without a commit have stored.
 
     Reads the stored tables only inside the offsets those runs had read; in
-    the usual case there is no such run and nothing is read."""
+    the usual case there is no such run and nothing is read.  A run over one
+    sink looks at earlier runs over that sink or both: the other stream's run
+    may be going on."""
     runs = spark.table(layout.progress)
-    ended = runs.filter(F.col("state") != STARTED).select("run_id").distinct()
-    left = runs.filter(F.col("state") == STARTED).join(ended, "run_id", "left_anti")
+    begun = F.col("state").isin(*{_state(STARTED, x) for x in (SINKS, sinks, *([s] for s in sinks))})
+    ended = runs.filter(~F.col("state").startswith(STARTED)).select("run_id").distinct()
+    left = runs.filter(begun).join(ended, "run_id", "left_anti")
     open_runs = [r.run_id for r in left.select("run_id").distinct().collect()]  # runs that failed since the last one
     for run_id in open_runs:
-        ends = runs.filter((F.col("run_id") == run_id) & (F.col("state") == STARTED))
+        ends = runs.filter((F.col("run_id") == run_id) & begun)
         span = ends.select("kafka_topic", "kafka_partition", "low_offset", "next_offset")
         for sink, table in _sinks(layout).items():
+            spark.catalog.refreshTable(table)
             rows = spark.table(table).join(span, ["kafka_topic", "kafka_partition"])
             rows = rows.filter((F.col("kafka_offset") >= F.col("low_offset")) & (F.col("kafka_offset") < F.col("next_offset")))
             _log_keys(spark, layout, sink, rows)
@@ -130,9 +153,14 @@ def bronze_ingest(
 
 
 def bronze_write(
-    spark: SparkSession, validated: DataFrame, layout: schemas.Layout, dedupe_in_batch: bool = True
+    spark: SparkSession,
+    validated: DataFrame,
+    layout: schemas.Layout,
+    dedupe_in_batch: bool = True,
+    sinks: Iterable[str] = SINKS,
 ) -> BronzeRun:
-    """Append a validated batch to the accepted and quarantine tables.
+    """Append a validated batch to the accepted and quarantine tables, or to
+    those of them in ``sinks``.
 
     * The batch is written once to shared storage and both sinks read that
       copy: the topic is parsed once, and input, offsets and clock are the
@@ -143,8 +171,8 @@ def bronze_write(
     * J1 compares with the key log, in the offset buckets of the batch.
     * Re-running the same batch appends nothing, so a replayed micro-batch
       or a retried job is idempotent."""
-    _create_run_tables(spark, layout)
-    recover(spark, layout)
+    create_run_tables(spark, layout)
+    recover(spark, layout, sinks)
     if dedupe_in_batch:
         validated = first_arrival(validated)
     folder = run_dir(spark, "batch")
@@ -155,14 +183,15 @@ def bronze_write(
         ends = batch.groupBy("kafka_topic", "kafka_partition").agg(
             F.min("kafka_offset").alias("low_offset"), (F.max("kafka_offset") + 1).alias("next_offset")
         )
-        _record(spark, layout, run_id, STARTED, ends)
-        counts = {}
-        for sink, rows in (("accepted", accepted_records(batch)), ("quarantine", quarantine_records(batch))):
-            new = remove_existing_offsets(rows, stored_keys(_logged(spark, layout, sink), batch))
+        _record(spark, layout, run_id, _state(STARTED, sinks), ends)
+        counts = dict.fromkeys(SINKS, 0)
+        made = {"accepted": accepted_records, "quarantine": quarantine_records}
+        for sink in sinks:
+            new = remove_existing_offsets(made[sink](batch), stored_keys(_logged(spark, layout, sink), batch))
             counts[sink] = append(new, _sinks(layout)[sink], fmt=layout.fmt)
-        _log_keys(spark, layout, "accepted", accepted_records(batch))
-        _log_keys(spark, layout, "quarantine", quarantine_records(batch))
-        _record(spark, layout, run_id, COMMITTED, ends)
+        for sink in sinks:
+            _log_keys(spark, layout, sink, made[sink](batch))
+        _record(spark, layout, run_id, _state(COMMITTED, sinks), ends)
     finally:
         drop_folder(spark, folder)
     return BronzeRun(counts["accepted"], counts["quarantine"])
@@ -175,14 +204,20 @@ def resume_offsets(
     runs ended, ``{topic: {partition: offset}}``, the Kafka
     ``startingOffsets`` form; None before the first commit.
 
-    A run counts only once both its appends are done, so nothing that was
-    read but not stored is skipped.  The Kafka connector wants every
+    A run counts only once both its appends are done, and offsets of runs over
+    one sink only as far as both sinks have them, so nothing that was read but
+    not stored is skipped.  The Kafka connector wants every
     partition named once offsets are specific: those in ``partitions``
     without a commit start at -2, earliest.  One row per partition."""
     if not spark.catalog.tableExists(layout.progress):
         return None
-    done = spark.table(layout.progress).filter((F.col("state") == COMMITTED) & (F.col("kafka_topic") == topic))
-    rows = done.groupBy("kafka_partition").agg(F.max("next_offset").alias("next")).collect()
+    spark.catalog.refreshTable(layout.progress)
+    done = spark.table(layout.progress).filter(F.col("kafka_topic") == topic)
+    ends = []  # per sink: where the runs that wrote it ended
+    for sink in SINKS:
+        wrote = done.filter(F.col("state").isin(COMMITTED, _state(COMMITTED, [sink])))
+        ends.append(wrote.groupBy("kafka_partition").agg(F.max("next_offset").alias(sink)))
+    rows = ends[0].join(ends[1], "kafka_partition").select("kafka_partition", F.least(*SINKS).alias("next")).collect()
     if not rows:
         return None
     return {topic: {**{str(p): -2 for p in partitions}, **{str(r.kafka_partition): int(r.next) for r in rows}}}

@@ -483,7 +483,7 @@ def stream_topic_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ST1 + K2 with ``toTable``: both streams into the layer tables."""
+    """ST1 + K2: both streams into the layer tables."""
     layout, root = runs.fresh_layout(spark, "tables")
     stream = _stream_source(spark, sf_dir, root, redeliver=False)
     for q in bronze_stream.bronze_stream_tables(stream, layout, f"{root}/checkpoints", clock=F.col(messages.DELIVERY_CLOCK), passthrough=(messages.DELIVERY_CLOCK,)):

@@ -13,6 +13,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -69,24 +70,31 @@ def bronze_stream_tables(
     passthrough: Iterable[str] = (),
     trigger: dict | None = None,
 ) -> tuple[StreamingQuery, StreamingQuery]:
-    """ST1 + K2 into the layer tables (``toTable``), as the streaming design
-    does.  League and season are written as text, the batch tables' type,
-    so batch and stream can append to the same tables."""
+    """ST1 + K2 into the layer tables: two append queries, as the streaming
+    design has them.  League and season are written as text, the batch
+    tables' type, and every micro-batch goes through the batch Bronze write
+    for its sink, which logs keys and offsets, so batch and stream can append
+    to the same tables."""
+    from strata.plans.medallion import bronze_write, create_run_tables
+
     validated = prepare(stream, clock, passthrough)
     trigger = trigger or AVAILABLE_NOW
+    create_run_tables(stream.sparkSession, layout)
+    turn = threading.Lock()  # both append to the key log and the record of runs, and file tables take one writer
+
+    def start(sink: str) -> StreamingQuery:
+        def per_batch(batch: DataFrame, _epoch: int) -> None:
+            with turn:
+                bronze_write(batch.sparkSession, batch, layout, sinks=[sink])
 
-    def start(df: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
         return (
-            df.writeStream.outputMode("append")
-            .option("checkpointLocation", checkpoint)
+            validated.writeStream.foreachBatch(per_batch)
+            .option("checkpointLocation", f"{checkpoint_root}/{sink}")
             .trigger(**trigger)
-            .toTable(table)
+            .start()
         )
 
-    return (
-        start(accepted_records(validated), layout.accepted, f"{checkpoint_root}/accepted"),
-        start(quarantine_records(validated), layout.quarantine, f"{checkpoint_root}/quarantine"),
-    )
+    return start("accepted"), start("quarantine")
 
 
 def dedup_stream(

@@ -3,12 +3,13 @@ and across restarts land once."""
 
 from __future__ import annotations
 
+import pytest
 from conftest import TOPIC, records, text
 from pyspark.sql import functions as F
 
 from strata.operators import bronze
 from strata.operators.envelope import prepare
-from strata.plans import runs
+from strata.plans import medallion, runs
 from strata.session import run_dir
 from strata.sources import transport
 from strata.streaming import bronze_stream
@@ -71,3 +72,39 @@ def test_streams_into_layer_tables(spark):
     acc = bronze.accepted_records(v)
     assert sorted(spark.table(layout.accepted).select(*acc.columns).collect()) == sorted(acc.collect())
     assert spark.table(layout.quarantine).count() == bronze.quarantine_records(v).count()
+
+
+def test_batch_after_the_streams_appends_nothing(spark):
+    layout, root = runs.fresh_layout(spark, "t-stream-batch")
+    topic = records(spark, topic_values())
+    topic.coalesce(2).write.parquet(f"{root}/topic")
+    clock = F.col("kafka_timestamp_utc")
+    accepted, quarantine = bronze_stream.bronze_stream_tables(open_stream(spark, f"{root}/topic", "4"), layout, f"{root}/cp", clock)
+    accepted.awaitTermination()
+    quarantine.awaitTermination()
+    assert medallion.resume_offsets(spark, layout, TOPIC) == {TOPIC: {"0": 20}}
+    assert medallion.bronze_ingest(spark, topic, layout, clock=clock) == medallion.BronzeRun(0, 0)
+    assert spark.table(layout.accepted).count() == 15 and spark.table(layout.quarantine).count() == 5
+
+
+def test_offsets_of_one_sink_are_not_committed(spark):
+    layout, _ = runs.fresh_layout(spark, "t-one-sink")
+    clock = F.col("kafka_timestamp_utc")
+    topic = records(spark, topic_values())
+    medallion.bronze_write(spark, prepare(topic, clock), layout, sinks=["accepted"])
+    assert medallion.resume_offsets(spark, layout, TOPIC) is None
+    assert medallion.bronze_ingest(spark, topic, layout, clock=clock) == medallion.BronzeRun(0, 5)
+
+
+def test_a_first_fill_that_was_cut_short_is_done_again(spark, monkeypatch):
+    layout, _ = runs.fresh_layout(spark, "t-fill")
+    clock = F.col("kafka_timestamp_utc")
+    topic = records(spark, topic_values())
+    medallion.bronze_ingest(spark, topic, layout, clock=clock)
+    for table in (layout.keys, layout.progress):
+        spark.sql(f"DROP TABLE {table}")
+    with monkeypatch.context() as patch:
+        patch.setattr(medallion, "_log_keys", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            medallion.bronze_ingest(spark, topic, layout, clock=clock)
+    assert medallion.bronze_ingest(spark, topic, layout, clock=clock) == medallion.BronzeRun(0, 0)
