@@ -16,10 +16,11 @@ On Spark:
   ("grams"; eight bytes at most, so that they are exact numbers and no hashes).
   Grams that occur in held-out texts alone are in the tree with count 0; their
   nodes weigh nothing and leave the estimates as they are.
-* Texts are dealt into blocks of ``BLOCK_BYTES``.  A block asks for each of its
-  grams once; the answers are joined by gram, go back to the block, and are
-  summed up text by text.  What is shuffled is the texts once and each block's
-  distinct grams.
+* Texts are dealt into blocks of ``BLOCK_BYTES``.  The most frequent grams (at
+  most ``HEAD_GRAMS``) and tokens (at most ``HEAD_WORDS``) are sent to all tasks.
+  For every other one that it has, a block asks once; the answers are joined by
+  gram, go back to the block, and are summed up text by text.  What is shuffled
+  is the texts once and each block's distinct rarer grams.
 * The tree is walked up (counts and weighted probabilities) and down (the mix)
   two depths at a time.  Nodes that share the nearer bytes go to one task, which
   takes them in slabs of whole groups; such a group is one context and all that
@@ -44,15 +45,18 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import parallelism, ship, staged, text_batches
+from strata.llm.common import discard, parallelism, ship, staged, text_batches
 
 #: Bytes and rows of a block of texts (a longer text is a block of its own).
 BLOCK_BYTES, BLOCK_ROWS = 8 << 20, 100_000
+#: Grams and tokens sent to every task: 16 MB and a few MB, whatever the input.
+HEAD_GRAMS, HEAD_WORDS = 1 << 20, 1 << 17
 #: Rows of grams or nodes that a task takes at once, besides its last whole group.
 SLAB_ROWS = 1 << 16
 DEPTH = 5
@@ -60,8 +64,8 @@ END = b"\n"
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 LN2 = math.log(2.0)
 
-GRAMS = "key long, block long, n long"
-WORDS = "word binary, block long, n long"
+GRAMS = "key long, n long"
+WORDS = "word binary, n long"
 NODES = "key long, zeros long, ones long, weighted double"
 MIXED = "key long, ahead double, rest double"
 
@@ -201,27 +205,59 @@ def _whole_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list
         yield block, held, bodies
 
 
-def _asked(texts: DataFrame, depth: int) -> DataFrame:
-    """Every block's distinct grams, with their number in its training texts."""
+class Lookup:
+    """Values by distinct non-negative keys: an open-addressed table in arrays."""
+
+    def __init__(self, key: np.ndarray, value: np.ndarray) -> None:
+        self.bits = max(4, (2 * len(key)).bit_length())
+        self.mask = (1 << self.bits) - 1
+        self.key, self.value = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits)
+        place, left = self._place(key), np.arange(len(key))
+        while len(left):
+            free = self.key[place[left]] < 0
+            tried = left[free]
+            self.key[place[tried]] = key[tried]
+            won = self.key[place[tried]] == key[tried]
+            self.value[place[tried[won]]] = value[tried[won]]
+            left = np.concatenate([left[~free], tried[~won]])
+            place[left] = (place[left] + 1) & self.mask
+
+    def _place(self, key: np.ndarray) -> np.ndarray:
+        return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, key: np.ndarray) -> np.ndarray:
+        """The values; not a number where a key is not in the table."""
+        place = self._place(key)
+        there = self.key[place]
+        out = np.where(there == key, self.value[place], np.nan)
+        left = np.flatnonzero((there != key) & (there >= 0))
+        while len(left):
+            place[left] = (place[left] + 1) & self.mask
+            there = self.key[place[left]]
+            hit = there == key[left]
+            out[left[hit]] = self.value[place[left[hit]]]
+            left = left[~hit & (there >= 0)]
+        return out
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, held, bodies in _whole_blocks(batches):
+
+def _gram_counts(texts: DataFrame, depth: int) -> DataFrame:
+    """All grams with their number in the training texts, combined by block."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, held, bodies in _whole_blocks(batches):
             train = grams_of([b for b, out in zip(bodies, held, strict=True) if not out], depth)
             key, n = np.unique(train, return_counts=True)
             rest = np.setdiff1d(grams_of([b for b, out in zip(bodies, held, strict=True) if out], depth), key)
-            key, n = np.concatenate([key, rest]), np.concatenate([n, np.zeros(len(rest), n.dtype)])
-            for at in range(0, len(key), 1 << 18):
-                part = key[at : at + (1 << 18)]
-                yield pa.record_batch([pa.array(part), pa.array(np.full(len(part), block)), pa.array(n[at : at + (1 << 18)])], names=["key", "block", "n"])
+            yield pa.record_batch([pa.array(np.concatenate([key, rest])), pa.array(np.concatenate([n, np.zeros(len(rest), n.dtype)]))], names=["key", "n"])
 
-    return texts.select("block", "held_out", "body").mapInArrow(ask, GRAMS)
+    return texts.select("block", "held_out", "body").mapInArrow(count, GRAMS).groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def _asked_words(texts: DataFrame) -> DataFrame:
-    """Every block's distinct tokens, with their number in its training texts."""
+def _word_counts(texts: DataFrame) -> DataFrame:
+    """All tokens with their number in the training texts, combined by block."""
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, held, bodies in _whole_blocks(batches):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, held, bodies in _whole_blocks(batches):
             found: Counter[bytes] = Counter()
             for out, body in zip(held, bodies, strict=True):
                 tokens = [*body.split(), END]
@@ -229,10 +265,36 @@ def _asked_words(texts: DataFrame) -> DataFrame:
                     found.update(dict.fromkeys(tokens, 0))
                 else:
                     found.update(tokens)
-            yield pa.record_batch([pa.array(list(found), pa.binary()), pa.array([block] * len(found), pa.int64()), pa.array(list(found.values()), pa.int64())],
-                                  names=["word", "block", "n"])
+            yield pa.record_batch([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())], names=["word", "n"])
+
+    return texts.select("block", "held_out", "body").mapInArrow(count, WORDS).groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def _most_frequent(rows: DataFrame, most: int) -> DataFrame:
+    """Rows with ``n`` from the least power of two on that at most ``most`` rows reach."""
+    at_least = rows.filter(F.col("n") > 0).groupBy(F.floor(F.log2("n")).alias("power")).agg(F.count(F.lit(1)).alias("rows")).collect()
+    floor, taken = 63, 0
+    for row in sorted(at_least, reverse=True):  # one row a power of two
+        if taken + row.rows > most:
+            break
+        floor, taken = row.power, taken + row.rows
+    return rows.filter(F.col("n") >= F.lit(1 << floor))
+
+
+def _asked(texts: DataFrame, depth: int, head: object, head_words: object) -> DataFrame:
+    """Per block its distinct grams and tokens that are not in the heads."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, common = Lookup(*head.value), head_words.value
+        for block, _, bodies in _whole_blocks(batches):
+            gram = grams_of(bodies, depth)
+            gram = np.unique(gram[np.isnan(known.find(gram))])
+            word = list({t for body in bodies for t in (*body.split(), END) if t not in common})
+            blocks = pa.array(np.full(len(gram) + len(word), block))
+            keys = pa.concat_arrays([pa.array(gram), pa.nulls(len(word), pa.int64())])
+            yield pa.record_batch([blocks, keys, pa.concat_arrays([pa.nulls(len(gram), pa.binary()), pa.array(word, pa.binary())])], names=["block", "key", "word"])
 
-    return texts.select("block", "held_out", "body").mapInArrow(ask, WORDS)
+    return texts.select("block", "held_out", "body").mapInArrow(ask, "block long, key long, word binary")
 
 
 # ---- the tree on Spark ---------------------------------------------------
@@ -269,8 +331,8 @@ def _grouped(rows: DataFrame, depth: int, work: Callable[[list[np.ndarray]], lis
 
 
 def gram_scores(grams: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """``key``, ``logp``: log10 of every gram's last byte after its context,
-    from the grams' training counts (``key``, ``n``)."""
+    """``key``, ``n``, ``logp``: log10 of every gram's last byte after its
+    context, from the grams' training counts (``key``, ``n``)."""
     if not 3 <= depth <= 6:
         raise ValueError("depth must be 3 to 6")
     spark = grams.sparkSession
@@ -309,7 +371,7 @@ def gram_scores(grams: DataFrame, depth: int = DEPTH) -> DataFrame:
         known = np.isnan(given_ahead)
         gram, order = key[known], np.argsort(key[~known])
         if not len(gram):
-            return [np.zeros(0, np.int64), np.zeros(0)]
+            return [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
         level, place, bit = leaves(gram, n[known])
         levels = climb(level, depth, cuts[0])
         if from_shared:
@@ -318,12 +380,12 @@ def gram_scores(grams: DataFrame, depth: int = DEPTH) -> DataFrame:
             found = np.searchsorted(key[~known][order], levels[-1].key)
             start = [x[~known][order][found] for x in (given_ahead, given_rest)]
         one = descend(levels, *start)[0][place]
-        return [gram, np.log10(np.where(bit == 1, one, 1.0 - one)).sum(1)]
+        return [gram, n[known], np.log10(np.where(bit == 1, one, 1.0 - one)).sum(1)]
 
     asked = grams.select("key", "n", F.lit(float("nan")).alias("ahead"), F.lit(float("nan")).alias("rest"))
     if mixed is not None:
         asked = asked.unionByName(mixed.select("key", F.lit(0).cast("long").alias("n"), "ahead", "rest"))
-    return _grouped(asked, cuts[0], last, "key long, logp double")
+    return _grouped(asked, cuts[0], last, "key long, n long, logp double")
 
 
 def _down(nodes: DataFrame, mixed: DataFrame | None, low: int, high: int, shared: object) -> DataFrame:
@@ -362,37 +424,44 @@ def score_texts(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text:
     ``bits_per_byte``."""
     ship(docs.sparkSession)
     texts = _blocks(docs, held_out, doc_id, text)
-    asked = staged(_asked(texts, depth), "context-asked")
-    grams = staged(asked.groupBy("key").agg(F.sum("n").alias("n")), "context-grams")
+    grams = staged(_gram_counts(texts, depth), "context-grams")
     scored = staged(gram_scores(grams, depth), "context-scores")
-    words = staged(_asked_words(texts), "context-words")
-    counts = staged(words.groupBy("word").agg(F.sum("n").alias("c")), "context-counts")
-    seen = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count_if(F.col("c") > 0).alias("v")).first()
+    discard(grams)
+    words = staged(_word_counts(texts), "context-words")
+    seen = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(F.col("n") > 0).alias("v")).first()
     train_tokens, spread = int(seen.n), math.log10(seen.n + seen.v + 1)
 
-    answers = asked.select("block", "key").join(scored, "key").select("block", "key", "logp", F.lit(None).cast("binary").alias("word"), F.lit(None).cast("long").alias("c"))
-    tokens = words.select("block", "word").join(counts, "word").select("block", F.lit(None).cast("long").alias("key"), F.lit(None).cast("double").alias("logp"), "word", "c")
+    context = docs.sparkSession.sparkContext
+    top = _most_frequent(scored, HEAD_GRAMS).select("key", "logp").toArrow()
+    head = context.broadcast((top.column("key").to_numpy(), top.column("logp").to_numpy()))
+    head_words = context.broadcast({bytes(r.word): r.n for r in _most_frequent(words, HEAD_WORDS).collect()})
+    asked = staged(_asked(texts, depth, head, head_words), "context-asked")
+    answers = asked.filter(F.col("key").isNotNull()).select("block", "key").join(scored.select("key", "logp"), "key")
+    answers = answers.select("block", "key", "logp", F.lit(None).cast("binary").alias("word"), F.lit(None).cast("long").alias("n"))
+    tokens = asked.filter(F.col("word").isNotNull()).select("block", "word").join(words, "word")
+    tokens = tokens.select("block", F.lit(None).cast("long").alias("key"), F.lit(None).cast("double").alias("logp"), "word", "n")
     fields = {f.name: f for f in texts.schema.fields}
     schema = T.StructType([fields["doc_id"], fields["held_out"], *[T.StructField(n, T.LongType()) for n in ("n_bytes", "n_tokens", "n_known", "train_tokens")],
                            *[T.StructField(n, T.DoubleType()) for n in ("base_score", "score", "bits_per_byte")]])
 
     def sums(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        texts = texts.combine_chunks()
         bodies = [x.as_buffer().to_pybytes() for x in texts.column("body")]
+        gram = grams_of(bodies, depth)
+        logp = Lookup(*head.value).find(gram)
         of_gram = answers.filter(pa.compute.is_valid(answers.column("key")))
-        key, logp = of_gram.column("key").to_numpy(), of_gram.column("logp").to_numpy()
-        order = np.argsort(key)
-        key, logp = key[order], logp[order]
+        rare = np.isnan(logp)
+        logp[rare] = Lookup(of_gram.column("key").to_numpy(), of_gram.column("logp").to_numpy()).find(gram[rare])
+        lens = np.array([len(x) for x in bodies], np.int64)
+        score = np.add.reduceat(logp, np.cumsum(lens) - lens)
         of_word = answers.filter(pa.compute.is_valid(answers.column("word")))
-        count = dict(zip(of_word.column("word").to_pylist(), of_word.column("c").to_pylist(), strict=True))
-        rows = []
+        count = dict(zip(of_word.column("word").to_pylist(), of_word.column("n").to_pylist(), strict=True))
+        common, rows = head_words.value, []
         for body in bodies:
-            tokens = [count[t] for t in (*body.split(), END)]
-            score = float(logp[np.searchsorted(key, grams_of([body], depth))].sum())
-            base = float(np.log10(np.array(tokens, np.float64) + 1.0).sum()) - len(tokens) * spread
-            rows.append((len(body), len(tokens), sum(c > 0 for c in tokens), train_tokens, base, score, -score * math.log2(10) / len(body)))
-        columns = [pa.array(c, pa.int64() if i < 4 else pa.float64()) for i, c in enumerate(zip(*rows, strict=True))]
-        return pa.table([texts.column("doc_id"), texts.column("held_out"), *columns], names=schema.names)
+            n = np.array([common[t] if t in common else count[t] for t in (*body.split(), END)], np.float64)
+            rows.append((len(n), int(np.count_nonzero(n)), train_tokens, float(np.log10(n + 1.0).sum()) - len(n) * spread))
+        columns = [pa.array(c, pa.int64() if i < 3 else pa.float64()) for i, c in enumerate(zip(*rows, strict=True))]
+        bits = -score * math.log2(10) / lens
+        return pa.table([texts.column("doc_id"), texts.column("held_out"), pa.array(lens), *columns, pa.array(score), pa.array(bits)], names=schema.names)
 
     return texts.groupBy("block").cogroup(answers.unionByName(tokens).groupBy("block")).applyInArrow(sums, schema)
 

@@ -9,10 +9,11 @@ the highest" into a draw without replacement.
 
 Method: array-scored weights, then numeric threshold bisection.
 
-* Two passes over the texts: one counts features per bucket (the counts are
-  combined before they are shuffled, at most ``buckets`` rows a task), one
-  looks every feature's gain up in the array of gains.  That array is the only
-  thing broadcast and has ``buckets`` entries whatever the input.
+* Two passes over the texts: one counts features per bucket (a task adds its
+  counts up in an array and hands on at most ``buckets`` rows), one sums every
+  document's gains by indexing the array of gains with the array of its
+  features' buckets.  The gains are the only thing sent to the tasks, and have
+  ``buckets`` entries whatever the input.
 * The scores are written once.  The cut-off is found by bisection: each round
   is one exact count job over the written scores that counts at several
   thresholds at once.  Rows that tie at the cut-off score are settled the same
@@ -31,50 +32,52 @@ the named columns are read, so further columns may have any name.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from zlib import crc32
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from strata.llm.common import parallelism, staged
+from strata.llm.common import parallelism, ship, staged, text_batches
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: A word, before its letters A-Z become lower case: letters, digits and everything beyond ASCII.
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: A-Z to lower case, everything that is in no word to a space: words are ASCII letters, digits and all beyond ASCII.
+_FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 #: Thresholds that one count job tries.
 THRESHOLDS = 15
 
 
-def _lower_ascii(word: Column) -> Column:
-    """A-Z in lower case, all else as it is."""
-    return F.when(F.length(word) == F.octet_length(word), F.lower(word)).otherwise(F.translate(word, UPPER, LOWER))
+def words(text: bytes) -> list[bytes]:
+    return text.translate(_FOLD).split()
 
 
-def words(text: Column) -> Column:
-    return F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0)), _lower_ascii)
-
-
-def features(text: Column, runs: int = 1) -> Column:
-    """All runs of 1 to ``runs`` consecutive words, joined by one space."""
+def feature_buckets(text: bytes, buckets: int, runs: int = 1) -> tuple[int, np.ndarray]:
+    """Number of words, and the bucket of every run of 1 to ``runs`` of them:
+    the crc32 of the words joined by a space, modulo ``buckets``."""
     found = words(text)
-    if runs == 1:
-        return found
-
-    def of(n: int) -> Column:
-        starts = F.when(F.size(found) >= n, F.sequence(F.lit(1), F.size(found) - (n - 1))).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda at: F.array_join(F.slice(found, at, n), " "))
+    sizes = [found, *([b" ".join(found[i : i + n]) for i in range(len(found) - n + 1)] for n in range(2, runs + 1))]
+    hashed = np.concatenate([np.fromiter(map(crc32, part), np.uint32, len(part)) for part in sizes])
+    return len(found), (hashed % np.uint32(buckets)).astype(np.int64)
 
-    return F.flatten(F.array(found, *[of(n) for n in range(2, runs + 1)]))
 
-
-def feature_buckets(text: Column, buckets: int, runs: int = 1) -> Column:
-    """The bucket of every feature: its crc32 modulo ``buckets``."""
-    return F.transform(features(text, runs), lambda f: (F.crc32(f.cast("binary")) % buckets).cast("int"))
+def _body(text: str) -> Column:
+    return F.coalesce(F.col(text), F.lit("")).cast("binary")
 
 
 def bucket_counts(texts: DataFrame, text: str, buckets: int, runs: int = 1) -> DataFrame:
     """Features per bucket over all texts."""
-    return texts.select(F.explode(feature_buckets(F.col(text), buckets, runs)).alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(buckets, np.int64)
+        for batch in batches:
+            for body in batch.column(0):
+                sums += np.bincount(feature_buckets(body.as_buffer().to_pybytes(), buckets, runs)[1], minlength=buckets)
+        at = np.flatnonzero(sums)
+        yield pa.record_batch([pa.array(at.astype(np.int32)), pa.array(sums[at])], names=["bucket", "n"])
+
+    return texts.select(_body(text).alias("body")).mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
 
 
 def gains(corpus: DataFrame, target: DataFrame, text: str = "text", buckets: int = 10_000, runs: int = 1) -> list[int]:
@@ -110,16 +113,21 @@ def importance_scores(
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """Per document: id, ``n_words``, ``n_features``, ``weight``, ``score`` and the columns in ``keep``."""
-    table = F.split(F.lit(",".join(map(str, gains(docs, target, text, buckets, runs)))), ",").cast("array<bigint>")
-    hashed = docs.select(F.col(doc_id).alias("doc_id"), *keep, F.col(text).alias("_text"))
-    hashed = hashed.select("doc_id", *keep, feature_buckets(F.col("_text"), buckets, runs).alias("_buckets"),
-                           (F.lit(0) if runs == 1 else F.size(words(F.col("_text")))).alias("_words"))
-    total = F.aggregate("_buckets", F.lit(0).cast("bigint"), lambda acc, b: acc + F.element_at(table, b + 1))
-    summed = hashed.select("doc_id", *keep, F.size("_buckets").cast("long").alias("n_features"), "_words", total.alias("_total"))
-    weight = F.when(F.col("n_features") == 0, F.lit(0).cast("bigint")).otherwise(F.expr("(_total - pmod(_total, n_features)) div n_features"))
-    n_words = F.col("n_features") if runs == 1 else F.col("_words").cast("long")
-    weighed = summed.select("doc_id", *keep, n_words.alias("n_words"), "n_features", weight.alias("weight"))
-    return weighed.withColumn("score", F.col("weight") + noise(F.col("doc_id"), seed))
+    ship(docs.sparkSession)
+    table = np.array(gains(docs, target, text, buckets, runs), np.int64)
+    given = docs.select(F.col(doc_id).alias("doc_id"), *keep, _body(text).alias("_body"))
+    carried = given.drop("_body").schema.fields
+    schema = T.StructType([*carried, *[T.StructField(n, T.LongType()) for n in ("n_words", "n_features", "weight")]])
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_batches(batches):
+            rows = np.zeros((batch.num_rows, 3), np.int64)
+            for i, body in enumerate(batch.column(len(carried))):
+                n, found = feature_buckets(body.as_buffer().to_pybytes(), buckets, runs)
+                rows[i] = n, len(found), table[found].sum() // len(found) if len(found) else 0
+            yield pa.record_batch([*batch.columns[: len(carried)], *(pa.array(rows[:, i]) for i in range(3))], names=schema.names)
+
+    return given.mapInArrow(weigh, schema).withColumn("score", F.col("weight") + noise(F.col("doc_id"), seed))
 
 
 def threshold(rows: DataFrame, key: Column, want: int) -> tuple[int, int, int]:
