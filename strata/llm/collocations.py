@@ -16,11 +16,13 @@ Method: prefix-free parsing.
 * Equal texts, passages and lines give equal chunks.  The dictionary holds each
   distinct chunk of a language once, with its parse frequency, and runs are
   counted inside distinct chunks, weighted by it.
-* Longer runs are counted only where they can be frequent: a run of two where
-  both words are, a longer one where all its pairs are.  Which words and pairs
-  are frequent is told to the tasks by a bitmap of at most ``MAX_BITS`` bits
-  (16 MB), two bits a run.  A false hit costs a row in the shuffle and nothing
-  else, since ``least`` is applied to the exact counts; there is no false miss.
+* Longer runs are counted only where they can be frequent.  Pairs of frequent
+  words are first counted by hash alone; then runs of two words and more are
+  counted as texts where all their pairs are frequent by hash.  Which words and
+  pairs are frequent is told to the tasks by a bitmap of at most ``MAX_BITS``
+  bits (16 MB), two bits a run.  Runs with one hash can only add up, so there is
+  no false miss; a false hit costs a row in the shuffle and nothing else, since
+  ``least`` is applied to the exact counts of the texts.
 
 Sums are longs and scores are computed in decimals of 38 digits, so nothing
 overflows.  A hot language is no hot task: counts are grouped by language and
@@ -34,7 +36,7 @@ always known; only the named columns are read, so others may have any name.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -59,21 +61,22 @@ _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0a\x0b\x0c\x0d", b
 
 CHUNKS = "lang string, chunk string, last boolean"
 RUNS = "lang string, phrase string, words int, h long, n long"
+HASHED = "h long, n long"
 
 
 class Hashes(dict):
-    """64-bit hashes of words, forgotten when they are too many."""
+    """64-bit hashes of words, 0 for the mark alone; forgotten when they are too many."""
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= CACHE_WORDS:
             self.clear()
-        self[word] = value = xxhash.xxh64_intdigest(word)
+        self[word] = value = 0 if word == MARK else xxhash.xxh64_intdigest(word) or 1
         return value
 
-    def of(self, tokens: list[bytes], lang: str) -> np.ndarray:
-        """The hashes of a language's tokens; other languages have others."""
+    def of(self, tokens: list[bytes], lang: str) -> tuple[np.ndarray, np.ndarray]:
+        """The hashes of a language's tokens (other languages have others), and which are words."""
         found = np.fromiter(map(self.__getitem__, tokens), np.uint64, len(tokens))
-        return found ^ np.uint64(xxhash.xxh64_intdigest(lang.encode()))
+        return found ^ np.uint64(xxhash.xxh64_intdigest(lang.encode())), found != 0
 
 
 def joined(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -117,7 +120,7 @@ def dictionary(docs: DataFrame, text: str = "text", lang: str = "lang", longest:
             langs, chunks, last = [], [], []
             for code, body in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 tokens = tokens_of(body.as_buffer().to_pybytes())
-                for chunk, end in parse(tokens, cache.of(tokens, code), max(1, longest - 1)):
+                for chunk, end in parse(tokens, cache.of(tokens, code)[0], max(1, longest - 1)):
                     langs.append(code)
                     chunks.append(chunk)
                     last.append(end)
@@ -156,8 +159,11 @@ def _slabs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes]
         yield name, *held.pop(name)
 
 
-def count_runs(chunks: DataFrame, sizes: tuple[int, ...], overlap: int, known: bytes | None = None, known_words: int = 0) -> DataFrame:
-    """Runs of ``sizes`` words inside distinct chunks with their whole counts.
+def count_runs(
+    chunks: DataFrame, sizes: Sequence[int], overlap: int, known: bytes | None = None, known_words: int = 0, texts: bool = True
+) -> DataFrame:
+    """Runs of ``sizes`` words inside distinct chunks with their whole counts,
+    or (``texts`` false) the counts of their hashes.
 
     With ``known``, a bitmap of the frequent runs of ``known_words`` words,
     only runs whose every part of that length may be frequent."""
@@ -168,18 +174,14 @@ def count_runs(chunks: DataFrame, sizes: tuple[int, ...], overlap: int, known: b
         bits = np.frombuffer(bitmap.value, np.uint8) if bitmap is not None else None
         cache = Hashes()
         for code, bodies, ends, freqs in _slabs(batches):
-            lists = [body.split(b" ") for body in bodies]
-            lens = np.array([len(x) for x in lists], np.int64) + 1
-            tokens = [t for x in lists for t in (*x, MARK)]  # a mark parts the chunks
-            hashes = cache.of(tokens, code)
+            tokens = b" ".join([b" ".join((body, MARK)) for body in bodies]).split(b" ")  # a mark parts the chunks
+            lens = np.array([body.count(b" ") for body in bodies], np.int64) + 2
+            hashes, word = cache.of(tokens, code)
             first = np.cumsum(lens) - lens
             own = lens - 1 - np.where(np.array(ends), 0, overlap)  # places in a chunk's own part
             place = np.arange(len(tokens)) - np.repeat(first, lens)
             weight = np.where(place < np.repeat(own, lens), np.repeat(np.array(freqs, np.int64), lens), 0)
-            word = np.fromiter((t != MARK for t in tokens), bool, len(tokens))
-            good = None
-            if bits is not None:
-                good = _has(bits, joined(hashes, known_words))
+            good = None if bits is None else _has(bits, joined(hashes, known_words))
             for n in sizes:
                 if len(tokens) < n:
                     continue
@@ -196,13 +198,16 @@ def count_runs(chunks: DataFrame, sizes: tuple[int, ...], overlap: int, known: b
                 keys, where, group = np.unique(joined(hashes, n)[at], return_index=True, return_inverse=True)
                 sums = np.zeros(len(keys), np.int64)
                 np.add.at(sums, group, weight[at])
-                texts = [b" ".join(tokens[i : i + n]) for i in at[where].tolist()]
-                yield pa.record_batch([pa.array([code] * len(texts), pa.string()), pa.array(texts, pa.binary()).cast(pa.string()),
-                                       pa.array(np.full(len(texts), n, np.int32)), pa.array(keys.view(np.int64)), pa.array(sums)],
-                                      names=["lang", "phrase", "words", "h", "n"])
+                columns = [pa.array(keys.view(np.int64)), pa.array(sums)]
+                if texts:
+                    phrases = [b" ".join(tokens[i : i + n]) for i in at[where].tolist()]
+                    columns = [pa.array([code] * len(phrases), pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()),
+                               pa.array(np.full(len(phrases), n, np.int32)), *columns]
+                yield pa.record_batch(columns, names=[f.split()[0] for f in schema.split(", ")])
 
-    rows = chunks.select("lang", "chunk", "last", "freq").mapInArrow(count, RUNS)
-    return rows.groupBy("lang", "phrase", "words", "h").agg(F.sum("n").alias("n"))
+    schema = RUNS if texts else HASHED
+    key = ["lang", "phrase", "words", "h"] if texts else ["h"]
+    return chunks.select("lang", "chunk", "last", "freq").mapInArrow(count, schema).groupBy(*key).agg(F.sum("n").alias("n"))
 
 
 def bitmap_of(frequent: DataFrame) -> bytes:
@@ -227,17 +232,13 @@ def frequent_runs(docs: DataFrame, text: str = "text", lang: str = "lang", longe
     chunks = staged(dictionary(docs, text, lang, longest), "collocation-dictionary")
     singles = staged(count_runs(chunks, (1,), overlap), "collocation-words")
     totals = singles.groupBy("lang").agg(F.sum("n").alias("n"))
-    found = [singles.filter(F.col("n") >= least)]
+    runs = singles.filter(F.col("n") >= least)
     if longest >= 2:
-        pairs = staged(count_runs(chunks, (2,), overlap, bitmap_of(found[0]), 1).filter(F.col("n") >= least), "collocation-pairs")
-        found.append(pairs)
-    if longest >= 3:
-        sizes = tuple(range(3, longest + 1))
-        found.append(staged(count_runs(chunks, sizes, overlap, bitmap_of(found[1]), 2).filter(F.col("n") >= least), "collocation-longer"))
+        pairs = staged(count_runs(chunks, (2,), overlap, bitmap_of(runs), 1, texts=False).filter(F.col("n") >= least), "collocation-pairs")
+        longer = count_runs(chunks, range(2, longest + 1), overlap, bitmap_of(pairs), 2).filter(F.col("n") >= least)
+        runs = runs.unionByName(staged(longer, "collocation-longer"))
+        discard(pairs)
     discard(chunks)
-    runs = found[0]
-    for more in found[1:]:
-        runs = runs.unionByName(more)
     return runs.select("lang", "phrase", "words", F.col("n").alias("f")), totals
 
 

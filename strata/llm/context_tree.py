@@ -227,6 +227,10 @@ class Lookup:
 
     def find(self, key: np.ndarray) -> np.ndarray:
         """The values; not a number where a key is not in the table."""
+        step = 1 << 17  # so many at once stay in a processor's cache
+        return np.concatenate([self._find(key[at : at + step]) for at in range(0, len(key), step)] or [np.zeros(0)])
+
+    def _find(self, key: np.ndarray) -> np.ndarray:
         place = self._place(key)
         there = self.key[place]
         out = np.where(there == key, self.value[place], np.nan)
@@ -273,7 +277,7 @@ def _word_counts(texts: DataFrame) -> DataFrame:
 def _most_frequent(rows: DataFrame, most: int) -> DataFrame:
     """Rows with ``n`` from the least power of two on that at most ``most`` rows reach."""
     at_least = rows.filter(F.col("n") > 0).groupBy(F.floor(F.log2("n")).alias("power")).agg(F.count(F.lit(1)).alias("rows")).collect()
-    floor, taken = 63, 0
+    floor, taken = 62, 0
     for row in sorted(at_least, reverse=True):  # one row a power of two
         if taken + row.rows > most:
             break
@@ -289,7 +293,10 @@ def _asked(texts: DataFrame, depth: int, head: object, head_words: object) -> Da
         for block, _, bodies in _whole_blocks(batches):
             gram = grams_of(bodies, depth)
             gram = np.unique(gram[np.isnan(known.find(gram))])
-            word = list({t for body in bodies for t in (*body.split(), END) if t not in common})
+            word = {END}
+            for body in bodies:
+                word.update(body.split())
+            word = list(word - common.keys())
             blocks = pa.array(np.full(len(gram) + len(word), block))
             keys = pa.concat_arrays([pa.array(gram), pa.nulls(len(word), pa.int64())])
             yield pa.record_batch([blocks, keys, pa.concat_arrays([pa.nulls(len(gram), pa.binary()), pa.array(word, pa.binary())])], names=["block", "key", "word"])
@@ -455,9 +462,11 @@ def score_texts(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text:
         score = np.add.reduceat(logp, np.cumsum(lens) - lens)
         of_word = answers.filter(pa.compute.is_valid(answers.column("word")))
         count = dict(zip(of_word.column("word").to_pylist(), of_word.column("n").to_pylist(), strict=True))
-        common, rows = head_words.value, []
+        count.update(head_words.value)
+        rows = []
         for body in bodies:
-            n = np.array([common[t] if t in common else count[t] for t in (*body.split(), END)], np.float64)
+            tokens = [*body.split(), END]
+            n = np.fromiter(map(count.__getitem__, tokens), np.float64, len(tokens))
             rows.append((len(n), int(np.count_nonzero(n)), train_tokens, float(np.log10(n + 1.0).sum()) - len(n) * spread))
         columns = [pa.array(c, pa.int64() if i < 3 else pa.float64()) for i, c in enumerate(zip(*rows, strict=True))]
         bits = -score * math.log2(10) / lens

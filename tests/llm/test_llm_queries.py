@@ -30,12 +30,15 @@ COLUMNS = {
     "op8": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
     "op9": ["query_id", "rank", "vec_id", "score"],
     "op10": ["doc_id", "n_shingles", "component_id"],
+    "op11": ["doc_id", "n_features", "weight", "score", "rank"],
+    "op12": ["lang", "rank", "phrase", "a", "l", "r", "n", "score"],
+    "op13": ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
 }
 
 
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -47,7 +50,7 @@ def test_columns_and_sql(spark, name):
     assert rows
     if name in ORACLE_SQL:
         con = duckdb.connect()
-        for t in ("documents", "embeddings"):
+        for t in ("documents", "embeddings", "benchmark"):
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
         sql = con.execute(ORACLE_SQL[name])
         names = [d[0] for d in sql.description]
