@@ -87,37 +87,14 @@ def first_arrival(df: DataFrame, key: Sequence[str] = schemas.TRANSPORT_KEY) ->
     return latest_by(df, key, oldest_first("ingested_at_utc", "kafka_timestamp_utc", "raw_message_json"))
 
 
-# Offsets per bucket of the key log (its finest partition).
-OFFSETS_PER_BUCKET = 1_000_000
-OFFSET_BUCKET = "offset_bucket"
-
-
-def with_offset_bucket(keys: DataFrame) -> DataFrame:
-    """The key columns plus the bucket of the offset."""
-    return keys.select(*schemas.TRANSPORT_KEY, F.expr(f"kafka_offset div {OFFSETS_PER_BUCKET}").alias(OFFSET_BUCKET))
-
-
-def stored_keys(log: DataFrame, batch: DataFrame) -> DataFrame:
-    """The logged keys in the topic, partition and offset buckets that a batch
-    touches.
-
-    ``log`` is partitioned by exactly these three columns, so the join with
-    the batch's buckets prunes its partitions at run time (dynamic partition
-    pruning): buckets of earlier runs are not listed for reading, however
-    long the history.  Offsets are never negative; the filter says so, which
-    lets the planner count on the batch side being selective."""
-    place = ["kafka_topic", "kafka_partition", OFFSET_BUCKET]
-    touched = with_offset_bucket(batch.filter(F.col("kafka_offset") >= 0)).select(*place).distinct()
-    return log.join(touched, place, "left_semi").select(*schemas.TRANSPORT_KEY)
-
-
 def remove_existing_offsets(
     df: DataFrame,
     existing: DataFrame | None,
     key: Sequence[str] = schemas.TRANSPORT_KEY,
     allow_missing_key: bool = False,
 ) -> DataFrame:
-    """Drop rows whose transport key is already stored.
+    """J1 against a table: drop rows whose transport key is already stored
+    (``offsets.outside`` is the form against stored ranges).
 
     ``existing`` None (no table yet) passes everything through.  A table
     without the key columns raises unless ``allow_missing_key`` -- skipping
@@ -209,7 +186,7 @@ def message_outcome(validated_deliveries: DataFrame, stage: str | None = None) -
 
 
 __all__ = [
-    "ACCEPTED_STATUS", "DUPLICATE_SKIPPED", "OFFSET_BUCKET", "VALIDATION_FAILURE", "accepted_records",
+    "ACCEPTED_STATUS", "DUPLICATE_SKIPPED", "VALIDATION_FAILURE", "accepted_records",
     "first_arrival", "flat_rows", "message_outcome", "quarantine_records",
-    "remove_existing_offsets", "split_conservation", "stored_keys", "with_offset_bucket",
+    "remove_existing_offsets", "split_conservation",
 ]

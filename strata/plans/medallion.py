@@ -6,14 +6,19 @@ during the write.
 
 Bronze keeps two small tables beside its outputs:
 
-* the key log -- one row per stored transport key and sink, partitioned down
-  to buckets of offsets, so that J1 reads only the buckets a batch touches;
+* the offset log -- what is stored, as disjoint ranges of offsets per
+  topic-partition: a row per gap, merged after every run;
 * the record of runs -- per run and topic-partition the offsets it read, as
   ``started`` before the first append and ``committed`` after the last.
 
+An offset's message never changes, so its verdict never does: an offset stored
+in either sink is done, and one log serves both.  The log only ever repeats
+what the tables hold.  Where it is missing or empty, or the record of runs is
+missing, it is made anew from the tables.
+
 A run that ends between its appends leaves ``started`` alone.  The next run
-first logs the keys such a run did store, then reads again from the last
-committed offsets: what was stored is skipped, what was not is appended.
+first logs what such a run did store, then reads again from the last committed
+offsets: what was stored is skipped, what was not is appended.
 
 A run may write one sink only, as each of the two Bronze streams does.  Its
 state names the sink, and offsets count as committed once both sinks have them.
@@ -29,14 +34,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import schemas
-from strata.operators.bronze import (
-    accepted_records,
-    first_arrival,
-    quarantine_records,
-    remove_existing_offsets,
-    stored_keys,
-    with_offset_bucket,
-)
+from strata.operators import offsets
+from strata.operators.bronze import accepted_records, first_arrival, quarantine_records
 from strata.operators.envelope import prepare
 from strata.operators.gold import current_status, merged_status
 from strata.operators.latest import latest_by, newest_first
@@ -45,8 +44,8 @@ from strata.session import configure, drop_folder, run_dir
 from strata.sinks.tables import append, create_database, create_table, overwrite, overwrite_swap
 
 STARTED, COMMITTED, RECOVERED = "started", "committed", "recovered"
-#: State of the one row that says that the key log has taken in what was stored before it.
-FILLED = "filled"
+#: Rows of the record of runs from which on it is compacted.
+PROGRESS_ROWS = 10_000
 SINKS = ("accepted", "quarantine")
 
 
@@ -72,42 +71,50 @@ def create_layer_tables(spark: SparkSession, layout: schemas.Layout, root: str |
 
 
 def create_run_tables(spark: SparkSession, layout: schemas.Layout) -> None:
-    """The key log and the record of runs.  A log takes in what is stored; it
-    is trusted once the record says that this is done, so a first fill that
-    was cut short is done again."""
+    """The offset log and the record of runs.  The log is made from the tables
+    where it cannot be trusted: it or the record is missing, or it is empty.
+    The record is created after that, so a fill that was cut short is done again."""
+    trusted = spark.catalog.tableExists(layout.progress)
+    create_table(spark, layout.offsets, schemas.STORED_OFFSETS, (), fmt=layout.fmt)
+    spark.catalog.refreshTable(layout.offsets)  # a session keeps file lists, and a stream writes in a session of its own
+    if not trusted or spark.table(layout.offsets).isEmpty():
+        stored = [spark.table(t).select(*schemas.TRANSPORT_KEY) for t in _sinks(spark, layout).values()]
+        if any(not t.isEmpty() for t in stored):
+            keys = stored[0]
+            for more in stored[1:]:
+                keys = keys.unionAll(more)
+            _store(spark, layout, offsets.islands(keys), anew=True)
     create_table(spark, layout.progress, schemas.INGEST_PROGRESS, (), fmt=layout.fmt)
-    create_table(spark, layout.keys, schemas.BRONZE_KEYS, schemas.KEY_PARTITIONS, fmt=layout.fmt)
-    # A session keeps file lists, and a stream writes in a session of its own.
-    for table in (layout.progress, layout.keys):
-        spark.catalog.refreshTable(table)
-    if spark.table(layout.progress).filter(F.col("state") == FILLED).isEmpty():
-        for sink, table in _sinks(layout).items():
-            if spark.catalog.tableExists(table):
-                spark.catalog.refreshTable(table)
-                _log_keys(spark, layout, sink, spark.table(table))
-        done = spark.createDataFrame([("first-fill", FILLED, None, None, None, None)], schemas.INGEST_PROGRESS)
-        append(done, layout.progress, (), fmt=layout.fmt)
-
+    spark.catalog.refreshTable(layout.progress)
 
-def _sinks(layout: schemas.Layout) -> dict[str, str]:
-    return {"accepted": layout.accepted, "quarantine": layout.quarantine}
 
+def _sinks(spark: SparkSession, layout: schemas.Layout) -> dict[str, str]:
+    """The sink tables that there are, as they are now."""
+    tables = {name: table for name, table in zip(SINKS, (layout.accepted, layout.quarantine), strict=True) if spark.catalog.tableExists(table)}
+    for table in tables.values():
+        spark.catalog.refreshTable(table)
+    return tables
 
-def _logged(spark: SparkSession, layout: schemas.Layout, sink: str) -> DataFrame:
-    return spark.table(layout.keys).filter(F.col("sink") == sink)
 
+def _store(spark: SparkSession, layout: schemas.Layout, ranges: DataFrame, anew: bool = False) -> None:
+    """Merge ranges into the log (or make it of them alone).
 
-def _log_keys(spark: SparkSession, layout: schemas.Layout, sink: str, rows: DataFrame) -> None:
-    """Add the keys of stored ``rows`` that the log does not have."""
-    keys = rows.select(*schemas.TRANSPORT_KEY).distinct()
-    new = remove_existing_offsets(keys, stored_keys(_logged(spark, layout, sink), keys))
-    new = with_offset_bucket(new).withColumn("sink", F.lit(sink)).select(*schemas.BRONZE_KEYS.names)
-    append(new, layout.keys, schemas.KEY_PARTITIONS, fmt=layout.fmt)
+    The log is a row per gap, written aside and put in place whole.  A run
+    that ends while the old one is gone leaves it empty, and an empty log is
+    made anew from the tables."""
+    folder = run_dir(spark, "offsets")
+    try:
+        old = spark.table(layout.offsets).select(*offsets.RANGE)
+        offsets.merged(ranges if anew else old.unionByName(ranges)).coalesce(1).write.parquet(folder)
+        new = spark.read.schema(schemas.STORED_OFFSETS).parquet(folder)
+        new.coalesce(1).write.format(layout.fmt).mode("overwrite").saveAsTable(layout.offsets)
+    finally:
+        drop_folder(spark, folder)
 
 
 def _record(spark: SparkSession, layout: schemas.Layout, run_id: str, state: str, ends: DataFrame) -> None:
     rows = ends.select(F.lit(run_id).alias("run_id"), F.lit(state).alias("state"), "kafka_topic", "kafka_partition", "low_offset", "next_offset")
-    append(rows, layout.progress, (), fmt=layout.fmt)
+    append(rows.coalesce(1), layout.progress, (), fmt=layout.fmt)
 
 
 def _state(state: str, sinks: Iterable[str]) -> str:
@@ -116,26 +123,48 @@ def _state(state: str, sinks: Iterable[str]) -> str:
 
 
 def recover(spark: SparkSession, layout: schemas.Layout, sinks: Iterable[str] = SINKS) -> None:
-    """Log the keys that runs without a commit have stored.
+    """Log the offsets that runs without a commit have stored.
 
     Reads the stored tables only inside the offsets those runs had read; in
     the usual case there is no such run and nothing is read.  A run over one
     sink looks at earlier runs over that sink or both: the other stream's run
     may be going on."""
     runs = spark.table(layout.progress)
-    begun = F.col("state").isin(*{_state(STARTED, x) for x in (SINKS, sinks, *([s] for s in sinks))})
-    ended = runs.filter(~F.col("state").startswith(STARTED)).select("run_id").distinct()
-    left = runs.filter(begun).join(ended, "run_id", "left_anti")
-    open_runs = [r.run_id for r in left.select("run_id").distinct().collect()]  # runs that failed since the last one
-    for run_id in open_runs:
-        ends = runs.filter((F.col("run_id") == run_id) & begun)
-        span = ends.select("kafka_topic", "kafka_partition", "low_offset", "next_offset")
-        for sink, table in _sinks(layout).items():
-            spark.catalog.refreshTable(table)
-            rows = spark.table(table).join(span, ["kafka_topic", "kafka_partition"])
+    states = runs.select("run_id", "state").distinct().collect()  # kept under PROGRESS_ROWS
+    begun = {_state(STARTED, x) for x in (SINKS, tuple(sinks), *((s,) for s in sinks))}
+    ended = {r.run_id for r in states if not r.state.startswith(STARTED)}
+    for run_id in sorted({r.run_id for r in states if r.state in begun} - ended):
+        ends = runs.filter((F.col("run_id") == run_id) & F.col("state").isin(*begun))
+        span = ends.select(*offsets.PLACE, "low_offset", "next_offset")
+        for table in _sinks(spark, layout).values():
+            rows = spark.table(table).join(span, list(offsets.PLACE))
             rows = rows.filter((F.col("kafka_offset") >= F.col("low_offset")) & (F.col("kafka_offset") < F.col("next_offset")))
-            _log_keys(spark, layout, sink, rows)
+            _store(spark, layout, offsets.islands(rows))
+            spark.catalog.refreshTable(layout.offsets)
         _record(spark, layout, run_id, RECOVERED, ends)
+    if len(states) >= PROGRESS_ROWS:
+        compact_runs(spark, layout)
+
+
+def compact_runs(spark: SparkSession, layout: schemas.Layout) -> int:
+    """Rewrite the record of runs: per topic-partition and state the furthest
+    of the ended runs, and every run that has not ended; returns its rows.  If
+    this is cut short the record is missing, and the next run starts at the
+    earliest offset and skips what is stored."""
+    runs = spark.table(layout.progress)
+    over = runs.filter(~F.col("state").startswith(STARTED))
+    left = runs.filter(F.col("state").startswith(STARTED)).join(over.select("run_id").distinct(), "run_id", "left_anti")
+    furthest = over.groupBy("state", *offsets.PLACE).agg(
+        F.max_by("run_id", "next_offset").alias("run_id"), F.min("low_offset").alias("low_offset"), F.max("next_offset").alias("next_offset"))
+    folder = run_dir(spark, "runs")
+    try:
+        furthest.select(*runs.columns).unionByName(left.select(*runs.columns)).coalesce(1).write.parquet(folder)
+        kept = spark.read.schema(schemas.INGEST_PROGRESS).parquet(folder)
+        kept.write.format(layout.fmt).mode("overwrite").saveAsTable(layout.progress)
+        return kept.count()
+    finally:
+        spark.catalog.refreshTable(layout.progress)
+        drop_folder(spark, folder)
 
 
 def bronze_ingest(
@@ -168,7 +197,8 @@ def bronze_write(
     * ``dedupe_in_batch``: first arrival per transport key before J1 (A3),
       for inputs that can repeat a key (file topics, redeliveries).  A Kafka
       offset range never does; pass False there and save the shuffle.
-    * J1 compares with the key log, in the offset buckets of the batch.
+    * J1 compares with the offset log, inside the offsets of the batch; a
+      batch of new offsets alone meets no range and is not joined at all.
     * Re-running the same batch appends nothing, so a replayed micro-batch
       or a retried job is idempotent."""
     create_run_tables(spark, layout)
@@ -180,17 +210,21 @@ def bronze_write(
         validated.write.parquet(folder)
         batch = spark.read.schema(validated.schema).parquet(folder)
         run_id = uuid.uuid4().hex
-        ends = batch.groupBy("kafka_topic", "kafka_partition").agg(
-            F.min("kafka_offset").alias("low_offset"), (F.max("kafka_offset") + 1).alias("next_offset")
-        )
+        rows = batch.groupBy(*offsets.PLACE).agg(F.min("kafka_offset").alias("low_offset"), (F.max("kafka_offset") + 1).alias("next_offset")).collect()
+        ends = spark.createDataFrame(rows, schemas.STORED_OFFSETS)  # a row a topic-partition
         _record(spark, layout, run_id, _state(STARTED, sinks), ends)
+        met = offsets.clipped(spark.table(layout.offsets), ends)
+        new = batch if met.isEmpty() else offsets.outside(batch, met)
         counts = dict.fromkeys(SINKS, 0)
         made = {"accepted": accepted_records, "quarantine": quarantine_records}
+        verdict = {"accepted": F.col("validation_reason").isNull(), "quarantine": F.col("validation_reason").isNotNull()}
+        tables = {"accepted": layout.accepted, "quarantine": layout.quarantine}
+        stored = F.lit(False)
         for sink in sinks:
-            new = remove_existing_offsets(made[sink](batch), stored_keys(_logged(spark, layout, sink), batch))
-            counts[sink] = append(new, _sinks(layout)[sink], fmt=layout.fmt)
-        for sink in sinks:
-            _log_keys(spark, layout, sink, made[sink](batch))
+            counts[sink] = append(made[sink](new), tables[sink], fmt=layout.fmt)
+            stored = stored | verdict[sink]
+        if sum(counts.values()):
+            _store(spark, layout, offsets.islands(batch.filter(stored)))
         _record(spark, layout, run_id, _state(COMMITTED, sinks), ends)
     finally:
         drop_folder(spark, folder)

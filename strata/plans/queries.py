@@ -306,26 +306,35 @@ def bronze_append_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S3 + R3: a run that ends between its two appends, then a run resumed
-    from the committed offsets; both outputs hold every record once."""
+    """S3 + R3: a first run over half the offsets commits; the next one ends
+    between its two appends; a third resumes from the first one's commit.  Both
+    outputs hold every record once."""
     layout, root = runs.fresh_layout(spark, "resume")
     path = f"{root}/topic"
     topic = inputs.topic(spark, sf_dir, with_clock=True)
     topic.write.parquet(path)
-
-    def ingest(broken: bool) -> None:
+    stored = spark.read.schema(topic.schema).parquet(path)
+    middle = stored.groupBy("partition").agg(F.expr("(min(offset) + max(offset)) div 2").alias("at")).collect()  # a row a partition
+    half = {messages.TOPIC: {str(r.partition): int(r.at) for r in middle}}
+    # A view takes no rows: the second append to it fails.
+    broken = dataclasses.replace(layout, quarantine_object="no_quarantine")
+    spark.sql(f"CREATE VIEW {broken.quarantine} AS SELECT * FROM {layout.quarantine}")
+
+    def ingest(target: schemas.Layout, ending: dict | str = "latest") -> None:
         starting = medallion.resume_offsets(spark, layout, messages.TOPIC) or "earliest"
-        records = transport.read_topic(spark, messages.TOPIC, "parquet", path, starting, schema=topic.schema)
-        target = dataclasses.replace(layout, quarantine_object="missing/name") if broken else layout
+        if ending == "latest" and middle and starting != half:
+            raise AssertionError(f"resumed at {starting}, committed {half}")
+        records = transport.read_topic(spark, messages.TOPIC, "parquet", path, starting, ending, schema=topic.schema)
         medallion.bronze_ingest(spark, records, target, clock=F.col(messages.DELIVERY_CLOCK), passthrough=(messages.DELIVERY_CLOCK,))
 
+    ingest(layout, half)
     try:
-        ingest(broken=True)
-    except AnalysisException:  # the second append has no table to go to
+        ingest(broken)
+    except AnalysisException:
         pass
     else:
         raise AssertionError("the broken run ended well")
-    ingest(broken=False)
+    ingest(layout)
     key = list(schemas.TRANSPORT_KEY)
     accepted = spark.table(layout.accepted).select(F.lit("accepted").alias("output"), *key, F.lit(None).cast("string").alias("reason"))
     quarantine = spark.table(layout.quarantine).select(F.lit("quarantine").alias("output"), *key, "reason")

@@ -112,11 +112,8 @@ QUARANTINE_RECORD = _struct(
     ("KafkaOffset", L), ("KafkaTimestampUtc", TS), ("QuarantinedAtUtc", TS), ("RawMessageJson", S),
 )
 
-# The key log of the Bronze job, and its record of runs.
-BRONZE_KEYS = _struct(
-    ("kafka_offset", L), ("sink", S), ("kafka_topic", S), ("kafka_partition", I), ("offset_bucket", L),
-)
-KEY_PARTITIONS = ("sink", "kafka_topic", "kafka_partition", "offset_bucket")
+# What the Bronze job has stored, as ranges of offsets, and its record of runs.
+STORED_OFFSETS = _struct(("kafka_topic", S), ("kafka_partition", I), ("low_offset", L), ("next_offset", L))
 INGEST_PROGRESS = _struct(
     ("run_id", S), ("state", S), ("kafka_topic", S), ("kafka_partition", I), ("low_offset", L), ("next_offset", L),
 )
@@ -140,7 +137,7 @@ class Layout:
     quarantine_object: str = "raw_ingestion_quarantine"
     silver_object: str = "league_status_events"
     gold_object: str = "current_league_status"
-    keys_object: str = "raw_ingestion_keys"
+    offsets_object: str = "raw_ingestion_offsets"
     progress_object: str = "raw_ingestion_progress"
     # Format of the tables the jobs create and write.
     fmt: str = "parquet"
@@ -158,8 +155,8 @@ class Layout:
         return self.name(self.bronze_schema, self.quarantine_object)
 
     @property
-    def keys(self) -> str:
-        return self.name(self.bronze_schema, self.keys_object)
+    def offsets(self) -> str:
+        return self.name(self.bronze_schema, self.offsets_object)
 
     @property
     def progress(self) -> str:

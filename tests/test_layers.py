@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 import pytest
-from conftest import records, text
+from conftest import TOPIC, records, text
 from pyspark.sql import functions as F
 
 from strata import schemas
-from strata.operators import bronze, gold, silver
+from strata.operators import bronze, gold, offsets, silver
 from strata.operators.envelope import prepare
 from strata.plans import medallion, runs
 
@@ -76,29 +77,57 @@ def test_missing_key_columns_raise_unless_opted_in(spark):
     assert bronze.remove_existing_offsets(df, smoke, allow_missing_key=True).count() == 1
 
 
-def test_key_log_is_read_only_in_the_batch_buckets(spark, monkeypatch):
-    monkeypatch.setattr(bronze, "OFFSETS_PER_BUCKET", 10)
-    layout, _ = runs.fresh_layout(spark, "t-keys")
+def test_offset_log_is_a_row_per_gap_whatever_the_history(spark):
+    layout, _ = runs.fresh_layout(spark, "t-ranges")
     clock = F.col("kafka_timestamp_utc")
-    for start in (0, 10, 20):
-        medallion.bronze_ingest(spark, records(spark, [text()] * 10, start=start), layout, clock=clock)
-    log = spark.table(layout.keys)
-    assert log.filter("sink = 'accepted'").count() == 30
-    batch = prepare(records(spark, [text()] * 4, start=18), clock=clock)
-    met = bronze.stored_keys(log.filter("sink = 'accepted'"), batch)
-    assert sorted(r.kafka_offset for r in met.collect()) == list(range(10, 30))
-    plan = met._jdf.queryExecution().toString()
-    assert "dynamicpruning" in plan.lower() and "PartitionFilters" in plan
-    run = medallion.bronze_ingest(spark, records(spark, [text()] * 14, start=18), layout, clock=clock)
-    assert run == medallion.BronzeRun(2, 0)
-
-
-def test_new_key_log_takes_in_what_is_stored(spark):
+    for start in (0, 10, 20, 40):
+        medallion.bronze_ingest(spark, records(spark, [text()] * 9 + ["garbage"], start=start), layout, clock=clock)
+    log = sorted((r.low_offset, r.next_offset) for r in spark.table(layout.offsets).collect())
+    assert log == [(0, 30), (40, 50)]
+    run = medallion.bronze_ingest(spark, records(spark, [text()] * 14, start=28), layout, clock=clock)
+    assert run == medallion.BronzeRun(10, 0)
+    spark.catalog.refreshTable(layout.offsets)
+    assert [(r.low_offset, r.next_offset) for r in spark.table(layout.offsets).collect()] == [(0, 50)]
+
+
+@pytest.mark.parametrize("lost", [["offsets"], ["progress"], ["offsets", "progress"]])
+def test_a_lost_log_is_made_from_what_is_stored(spark, lost):
     layout, _ = runs.fresh_layout(spark, "t-oldlog")
-    topic = records(spark, [text(), "garbage"])
+    topic = records(spark, [text(), "garbage", text()])
     medallion.bronze_ingest(spark, topic, layout, clock=F.col("kafka_timestamp_utc"))
-    spark.sql(f"DROP TABLE {layout.keys}")
+    for name in lost:
+        spark.sql(f"DROP TABLE {getattr(layout, name)}")
     assert medallion.bronze_ingest(spark, topic, layout, clock=F.col("kafka_timestamp_utc")) == medallion.BronzeRun(0, 0)
+    assert spark.table(layout.offsets).count() == 1
+
+
+def test_compacted_runs_resume_at_the_same_offsets(spark, monkeypatch):
+    layout, _ = runs.fresh_layout(spark, "t-compact")
+    clock = F.col("kafka_timestamp_utc")
+    for start in (0, 5, 10):
+        medallion.bronze_ingest(spark, records(spark, [text()] * 5, start=start), layout, clock=clock)
+    before = medallion.resume_offsets(spark, layout, TOPIC)
+    assert medallion.compact_runs(spark, layout) == 1
+    assert medallion.resume_offsets(spark, layout, TOPIC) == before == {TOPIC: {"0": 15}}
+    monkeypatch.setattr(medallion, "PROGRESS_ROWS", 1)
+    assert medallion.bronze_ingest(spark, records(spark, [text()] * 5, start=13), layout, clock=clock) == medallion.BronzeRun(3, 0)
+
+
+def test_ranges_equal_sets_of_offsets(spark, monkeypatch):
+    monkeypatch.setattr(offsets, "OFFSETS_PER_BUCKET", 7)
+    monkeypatch.setattr(offsets, "OFFSETS_PER_PIECE", 5)
+    rnd = random.Random(5)
+    rows = [(rnd.choice("ab"), rnd.randrange(2), rnd.randrange(60)) for _ in range(150)] + [("a", 0, None)]
+    keys = spark.createDataFrame(rows, "kafka_topic string, kafka_partition int, kafka_offset long")
+    ranges = offsets.merged(offsets.islands(keys)).collect()
+    held = sorted((r.kafka_topic, r.kafka_partition, o) for r in ranges for o in range(r.low_offset, r.next_offset))
+    assert held == sorted({r for r in rows if r[2] is not None})
+    starts = {(r.kafka_topic, r.kafka_partition, r.low_offset) for r in ranges}
+    assert not starts & {(r.kafka_topic, r.kafka_partition, r.next_offset) for r in ranges}  # none touch
+    batch = spark.createDataFrame([(t, p, o) for t in "abc" for p in (0, 1) for o in range(-3, 70)] + [("a", 0, None)], keys.schema)
+    left = offsets.outside(batch, offsets.merged(offsets.islands(keys))).collect()
+    want = [r for r in batch.collect() if tuple(r) not in set(held)]
+    assert sorted(map(str, left)) == sorted(map(str, want))
 
 
 def test_silver_redelivery_wins_and_key_is_unique(spark):
@@ -342,11 +371,11 @@ def test_tables_in_another_format(spark):
     import dataclasses
 
     layout, root = runs.fresh_layout(spark, "t-orc", swap=True)
-    layout = dataclasses.replace(layout, fmt="orc", accepted_object="a_orc", quarantine_object="q_orc", keys_object="k_orc", progress_object="p_orc")
+    layout = dataclasses.replace(layout, fmt="orc", accepted_object="a_orc", quarantine_object="q_orc", offsets_object="k_orc", progress_object="p_orc")
     medallion.create_layer_tables(spark, layout, root)
     medallion.bronze_ingest(spark, records(spark, [text(), "garbage"]), layout, clock=F.col("kafka_timestamp_utc"))
     assert medallion.replay(spark, layout) == (1, 1)
-    for table in (layout.accepted, layout.quarantine, layout.silver, layout.gold, layout.keys):
+    for table in (layout.accepted, layout.quarantine, layout.silver, layout.gold, layout.offsets):
         assert "Provider" in {r.col_name for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
         provider = [r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect() if r.col_name == "Provider"]
         assert provider == ["orc"]

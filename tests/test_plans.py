@@ -5,7 +5,7 @@ from __future__ import annotations
 from conftest import SF_SMALL, records, text
 from pyspark.sql import functions as F
 
-from strata.operators import bronze, gold, serving, silver
+from strata.operators import bronze, gold, offsets, serving, silver
 from strata.operators.envelope import prepare
 from strata.plans import medallion, runs
 from strata.plans.queries import QUERIES
@@ -54,12 +54,12 @@ def test_table_reads_push_filters_and_prune_partitions(spark):
     assert "PartitionFilters: [isnotnull(event_date" in ranged and "(event_date" in ranged
 
 
-def test_anti_join_reads_only_key_columns(spark):
+def test_range_anti_join_meets_ranges_by_piece(spark):
     layout, _ = runs.fresh_layout(spark, "t-anti")
     medallion.bronze_ingest(spark, records(spark, [text()] * 3), layout, clock=F.col("kafka_timestamp_utc"))
-    batch = bronze.accepted_records(prepare(records(spark, [text()] * 5), clock=F.col("kafka_timestamp_utc")))
-    p = plan(bronze.remove_existing_offsets(batch, bronze.stored_keys(spark.table(layout.keys), batch)))
-    assert "LeftAnti" in p and "dynamicpruning" in p
+    batch = prepare(records(spark, [text()] * 5), clock=F.col("kafka_timestamp_utc"))
+    p = plan(offsets.outside(batch, spark.table(layout.offsets)))
+    assert "LeftAnti" in p and "NestedLoop" not in p and "Cartesian" not in p
 
 
 def test_gold_reads_only_needed_silver_columns(spark):

@@ -101,10 +101,10 @@ def test_a_first_fill_that_was_cut_short_is_done_again(spark, monkeypatch):
     clock = F.col("kafka_timestamp_utc")
     topic = records(spark, topic_values())
     medallion.bronze_ingest(spark, topic, layout, clock=clock)
-    for table in (layout.keys, layout.progress):
+    for table in (layout.offsets, layout.progress):
         spark.sql(f"DROP TABLE {table}")
     with monkeypatch.context() as patch:
-        patch.setattr(medallion, "_log_keys", lambda *_: 1 / 0)
+        patch.setattr(medallion, "_store", lambda *_, **__: 1 / 0)
         with pytest.raises(ZeroDivisionError):
             medallion.bronze_ingest(spark, topic, layout, clock=clock)
     assert medallion.bronze_ingest(spark, topic, layout, clock=clock) == medallion.BronzeRun(0, 0)
