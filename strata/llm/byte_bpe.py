@@ -25,6 +25,7 @@ table gives an empty result.
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 import unicodedata
 from array import array
@@ -38,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import text_batches
+from strata.llm.common import ship, text_batches
 
 # Classes of a position.
 BOUND, LETTER, NUMBER, OTHER, MARK2, MARK3, SPACE_X, WHITE_X, WHITE = range(9)
@@ -47,8 +48,11 @@ FREE, IN_LETTER, IN_NUMBER, IN_OTHER, PENDING, IN_WHITE, LEFT1, LEFT2 = range(8)
 N_STATES = 8
 BLOCK = 64
 #: Code points scanned at once.
-SCAN_CHARS = 2_000_000
-CACHE_SLICES = 800_000
+SCAN_CHARS = 256_000
+#: Bytes of slices, ids and their bookkeeping that a worker remembers.
+CACHE_BYTES = 48 << 20
+#: Slices decoded at once.
+SLICES_AT_ONCE = 4096
 #: Slices of more bytes are merged with a heap.
 LONG_SLICE = 48
 
@@ -74,6 +78,19 @@ def _machine() -> tuple[np.ndarray, np.ndarray]:
 STEP, START = _machine()
 
 
+# Code points that the library's Unicode tables have as letters or
+# numbers and those of Python 3.13 have not (first, last, class).
+NEWER = (
+    (0x1C89, 0x1C8A, LETTER), (0xA7CB, 0xA7CD, LETTER), (0xA7DA, 0xA7DC, LETTER), (0x105C0, 0x105F3, LETTER),
+    (0x10D40, 0x10D49, NUMBER), (0x10D4A, 0x10D65, LETTER), (0x10D6F, 0x10D85, LETTER), (0x10EC2, 0x10EC4, LETTER),
+    (0x11380, 0x11389, LETTER), (0x1138B, 0x1138B, LETTER), (0x1138E, 0x1138E, LETTER), (0x11390, 0x113B5, LETTER),
+    (0x113B7, 0x113B7, LETTER), (0x113D1, 0x113D1, LETTER), (0x113D3, 0x113D3, LETTER), (0x116D0, 0x116E3, NUMBER),
+    (0x11BC0, 0x11BE0, LETTER), (0x11BF0, 0x11BF9, NUMBER), (0x13460, 0x143FA, LETTER), (0x16100, 0x1611D, LETTER),
+    (0x16130, 0x16139, NUMBER), (0x16D40, 0x16D6C, LETTER), (0x16D70, 0x16D79, NUMBER), (0x18CFF, 0x18CFF, LETTER),
+    (0x1CCF0, 0x1CCF9, NUMBER), (0x1E5D0, 0x1E5ED, LETTER), (0x1E5F0, 0x1E5F0, LETTER), (0x1E5F1, 0x1E5FA, NUMBER),
+)
+
+
 @lru_cache(maxsize=1)
 def code_classes() -> np.ndarray:
     """Class of every code point, before looking ahead."""
@@ -87,6 +104,8 @@ def code_classes() -> np.ndarray:
         elif kind == "Z":
             table[cp] = WHITE
     table[[*range(0x09, 0x0E), 0x85]] = WHITE
+    for first, last, cls in NEWER:
+        table[first : last + 1] = cls
     return table
 
 
@@ -241,13 +260,16 @@ class Codec(dict):
         with open(path, "rb") as file:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
         self.bytes = {i: b for b, i in self.ranks.items()}
+        self.held = 0
         code_classes()
 
     def __missing__(self, piece: str) -> bytes:
         ids = array("i", merge_pairs(piece.encode("utf-8", "surrogatepass"), self.ranks)).tobytes()
         if len(piece) <= 64:
-            if len(self) >= CACHE_SLICES:
+            self.held += 4 * len(piece) + len(ids) + 200
+            if self.held > CACHE_BYTES:
                 self.clear()
+                self.held = 0
             self[piece] = ids
         return ids
 
@@ -313,12 +335,34 @@ def ids_digest(ids: Column) -> Column:
     return F.sha2(F.concat_ws(",", ids.cast("array<string>")).cast("binary"), 256)
 
 
+def coded(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: id, ``n_tokens``, ``ids``, ``ids_sha256`` and ``decoded_sha256``,
+    the digest of the bytes that all slices give when they are decoded one by
+    one from the kept offsets.  One pass, one worker: text in, digests out."""
+    ship(docs.sparkSession)
+    id_type = docs.schema[id_col].dataType.simpleString()
+    names = ["id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = codec(ranks)
+        for batch in text_batches(batches, 64):
+            ids, digests, decoded = [], [], []
+            for found, first in own.encode(batch.column(1).to_pylist()):
+                values, starts = found.tolist(), first.tolist()
+                back = hashlib.sha256()
+                for at in range(0, len(starts), SLICES_AT_ONCE):
+                    back.update(own.decode_slices(values, starts, at, at + SLICES_AT_ONCE))
+                ids.append(found)
+                digests.append(hashlib.sha256(",".join(map(str, values)).encode()).hexdigest())
+                decoded.append(back.hexdigest())
+            sizes = pa.array([len(i) for i in ids], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), sizes, _lists(ids), pa.array(digests, pa.string()), pa.array(decoded, pa.string())], names)
+
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    out = rows.mapInArrow(run, f"id {id_type}, n_tokens long, ids array<int>, ids_sha256 string, decoded_sha256 string")
+    return out.withColumnRenamed("id", id_col)
+
+
 def round_trip(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Encode, decode the ids, and give the digests of both."""
-    out = decode(encode(docs, ranks, id_col, text_col), ranks)
-    return out.select(
-        id_col,
-        F.size("ids").cast("long").alias("n_tokens"),
-        ids_digest(F.col("ids")).alias("ids_sha256"),
-        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
-    )
+    """Encode, decode the slices, and give the digests of both."""
+    return coded(docs, ranks, id_col, text_col).drop("ids")

@@ -54,6 +54,12 @@ def test_ids_equal_the_library_and_decode(texts, tik):
         assert cut == text.encode()
 
 
+def test_every_code_point_is_classed_as_the_library_has_it(tik):
+    texts = [chr(c) + "'s" for c in [*range(0xD800), *range(0xE000, 0x33500), *range(0xE0000, 0xE0200)]]
+    codec = byte_bpe.codec(RANKS)
+    assert [t for t, (ids, _) in zip(texts, codec.encode(texts), strict=True) if ids.tolist() != tik.encode_ordinary(t)] == []
+
+
 def test_long_slices_merge_alike(tik):
     codec = byte_bpe.codec(RANKS)
     for text in ("ab" * 400, "日本語" * 90, "é" * 300):
