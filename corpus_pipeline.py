@@ -10,7 +10,9 @@ before it kept.
 ``run`` applies them in order and writes each result as Parquet in the shared
 folder.  Defined cases: null texts are empty and pass stages 1 to 3; rows equal
 in id and text count as one document in stage 2; extra columns of any name are
-carried through stages 1 to 4; an empty table stays empty.
+carried through stages 1 to 4 and left out by stage 5, which returns ids and
+digests; an empty table stays empty.  What one stage wrote is deleted once the
+next has been written.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import byte_bpe, jaccard_join, source_mix, suffix_dedup, toxic_grammar
-from strata.llm.common import ship, staged
+from strata.llm.common import discard, ship, staged
 
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
 WEIGHTS = (1, 2, 3)
@@ -56,15 +58,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with digests of the ids and of the decoded bytes."""
     ship(spark)
-    path = public_tokenizers.path(BYTE_RANKS)
-    out = byte_bpe.decode(byte_bpe.encode(docs, path), path)
-    return out.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        "ids",
-        byte_bpe.ids_digest(F.col("ids")).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    return byte_bpe.coded(docs, public_tokenizers.path(BYTE_RANKS))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
@@ -83,5 +77,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; the last one's rows."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        before, docs = docs, staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        discard(before)  # the table given at first is none of ours and stays
     return STAGES[-1][1](spark, docs, sf_dir)
