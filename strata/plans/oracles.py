@@ -333,6 +333,11 @@ def oracle_sql() -> dict[str, str]:
         f"FROM (SELECT {_ACCEPTED_COLS} FROM d1 WHERE reason IS NULL)"
     )
     q["stream_bronze_quarantine"] = q["bronze_quarantine"]
+    q["stream_run_metrics"] = (
+        f"SELECT 'accepted' AS sink, count(*) AS rows_written FROM ({q['stream_bronze_accepted']})\n"
+        f"UNION ALL SELECT 'quarantine', count(*) FROM ({q['stream_bronze_quarantine']})"
+    )
+    q["quota_online"] = q["quota_admission"]
     q["stream_dedup"] = q["bronze_accepted"]
     outputs = (
         "SELECT 'accepted' AS output, kafka_topic, kafka_partition, kafka_offset, CAST(NULL AS VARCHAR) AS reason\n"

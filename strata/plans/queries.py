@@ -23,7 +23,8 @@ from strata.plans import inputs, medallion, runs
 from strata.session import run_dir
 from strata.sinks import jsonl
 from strata.sources import messages, transport
-from strata.streaming import bronze_stream
+from strata.streaming import bronze_stream, quota_stream
+from strata.streaming.metrics import SinkRows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -322,18 +323,19 @@ def bronze_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def ingest(target: schemas.Layout, ending: dict | str = "latest") -> None:
         starting = medallion.resume_offsets(spark, layout, messages.TOPIC) or "earliest"
-        if ending == "latest" and middle and starting != half:
-            raise AssertionError(f"resumed at {starting}, committed {half}")
         records = transport.read_topic(spark, messages.TOPIC, "parquet", path, starting, ending, schema=topic.schema)
         medallion.bronze_ingest(spark, records, target, clock=F.col(messages.DELIVERY_CLOCK), passthrough=(messages.DELIVERY_CLOCK,))
 
     ingest(layout, half)
+    committed = medallion.resume_offsets(spark, layout, messages.TOPIC)
     try:
         ingest(broken)
     except AnalysisException:
         pass
     else:
         raise AssertionError("the broken run ended well")
+    if medallion.resume_offsets(spark, layout, messages.TOPIC) != committed:
+        raise AssertionError("the broken run moved the committed offsets")
     ingest(layout)
     key = list(schemas.TRANSPORT_KEY)
     accepted = spark.table(layout.accepted).select(F.lit("accepted").alias("output"), *key, F.lit(None).cast("string").alias("reason"))
@@ -516,7 +518,36 @@ def _stream_source(spark: SparkSession, sf_dir: str, root: str, redeliver: bool)
     )
 
 
-def _bronze_streams(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+def stream_run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K8: rows that each stream wrote, summed over its micro-batches."""
+    listener = SinkRows()
+    spark.streams.addListener(listener)
+    try:
+        _bronze_streams(spark, sf_dir, listener)
+    finally:
+        spark.streams.removeListener(listener)
+    return spark.createDataFrame(sorted(listener.totals().items()), "sink string, rows_written long")
+
+
+def quota_online(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W4 as calls arrive: four slices of the day's calls in order of time, the
+    stream stopped after two of them and started again on its checkpoint."""
+    root = run_dir(spark, "quota")
+    calls = _calls(spark, sf_dir).select("event_id", "ts")
+    cuts = [c for c in calls.select(F.unix_micros("ts").alias("t")).approxQuantile("t", [0.25, 0.5, 0.75], 0.01)]
+    place = sum((F.when(F.unix_micros("ts") > F.lit(int(c)), 1).otherwise(0) for c in cuts), F.lit(0))
+    for slice_ in range(4):
+        calls.filter(place == slice_).write.mode("append").parquet(f"{root}/calls")
+        if slice_ in (1, 3):
+            stream = spark.readStream.schema(calls.schema).option("maxFilesPerTrigger", 1_000).parquet(f"{root}/calls")
+            answered = quota_stream.reserve_calls(stream, "ts", "event_id")
+            answered.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{root}/checkpoint").trigger(
+                availableNow=True).start(f"{root}/answers").awaitTermination()
+    out = spark.read.schema("event_id long, ts timestamp, call_date date, call_number int, admitted boolean").parquet(f"{root}/answers")
+    return out.select("event_id", "call_date", "call_number", "admitted")
+
+
+def _bronze_streams(spark: SparkSession, sf_dir: str, listener: SinkRows | None = None) -> tuple[str, str]:
     root = run_dir(spark, "stream")
     stream = _stream_source(spark, sf_dir, root, redeliver=False)
     accepted, quarantine = f"{root}/accepted", f"{root}/quarantine"
@@ -526,6 +557,8 @@ def _bronze_streams(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     )
     for q in queries:
         q.awaitTermination()
+    if listener is not None:
+        listener.wait(queries)
     return accepted, quarantine
 
 
@@ -589,6 +622,8 @@ QUERIES: dict[str, Query] = {
     "bronze_append_idempotent": bronze_append_idempotent,
     "bronze_resume": bronze_resume,
     "run_metrics": run_metrics,
+    "stream_run_metrics": stream_run_metrics,
+    "quota_online": quota_online,
     "silver_rebuild": silver_rebuild,
     "gold_rebuild": gold_rebuild,
     "replay_range": replay_range,

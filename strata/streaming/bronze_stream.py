@@ -22,6 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 from strata import schemas
 from strata.operators.bronze import accepted_records, quarantine_records
 from strata.operators.envelope import prepare
+from strata.streaming.metrics import counted
 
 AVAILABLE_NOW = {"availableNow": True}
 
@@ -56,9 +57,9 @@ def bronze_streams(
     validated = prepare(stream, clock, passthrough)
     trigger = trigger or AVAILABLE_NOW
     accepted = _sink(
-        accepted_records(validated, typed_ids=typed_ids), accepted_path, f"{checkpoint_root}/accepted", trigger, None
+        counted(accepted_records(validated, typed_ids=typed_ids), "accepted"), accepted_path, f"{checkpoint_root}/accepted", trigger, None
     )
-    quarantine = _sink(quarantine_records(validated), quarantine_path, f"{checkpoint_root}/quarantine", trigger, None)
+    quarantine = _sink(counted(quarantine_records(validated), "quarantine"), quarantine_path, f"{checkpoint_root}/quarantine", trigger, None)
     return accepted, quarantine
 
 
