@@ -77,6 +77,7 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     """ln Gamma(x) for x >= 1/2, by Stirling's series at x + 8."""
     z = x + 8.0
     series = (z - 0.5) * np.log(z) - z + 0.5 * math.log(2 * math.pi) + 1 / (12 * z) - 1 / (360 * z**3) + 1 / (1260 * z**5) - 1 / (1680 * z**7)
+    series += 1 / (1188 * z**9) - 691 / (360360 * z**11)
     product = x.copy()
     for i in range(1, 8):
         product *= x + i

@@ -200,9 +200,11 @@ def test_scores_without_training_or_rows(spark):
 
 
 def test_estimates_and_lookup():
-    a, b = np.array([0.0, 3, 1e9]), np.array([0.0, 5, 1])
+    a, b = np.array([0.0, 3, 900, 1e9]), np.array([0.0, 5, 40, 1])
     exact = [math.lgamma(x + 0.5) + math.lgamma(y + 0.5) - math.lgamma(x + y + 1) - math.log(math.pi) for x, y in zip(a, b, strict=True)]
-    assert np.allclose(context_tree.log_kt(a, b), exact, rtol=1e-12, atol=1e-12)
+    got = context_tree.log_kt(a, b)
+    assert np.allclose(got[:3], exact[:3], rtol=1e-11, atol=1e-11)
+    assert abs(got[3] - exact[3]) < 1e-4  # differences of numbers near 2e10, in either version
     rnd = np.random.default_rng(1)
     key = np.unique(rnd.integers(0, 1 << 48, 5000))
     table = context_tree.Lookup(key, key * 2.0)
