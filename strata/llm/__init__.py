@@ -1,5 +1,5 @@
 """Operators for preparing language-model training data.
 
-Ten operators, one module each, and the queries that apply them to the test
+Thirteen operators, one module each, and the queries that apply them to the test
 tables (``queries``).  Nothing outside this subpackage imports it.
 """
