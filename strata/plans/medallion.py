@@ -27,7 +27,7 @@ state names the sink, and offsets count as committed once both sinks have them.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,11 +37,11 @@ from strata import schemas
 from strata.operators import offsets
 from strata.operators.bronze import accepted_records, first_arrival, quarantine_records
 from strata.operators.envelope import prepare
-from strata.operators.gold import current_status, merged_status
+from strata.operators.gold import GOLD_KEY, GOLD_ORDER, current_status, merged_status
 from strata.operators.latest import latest_by, newest_first
 from strata.operators.silver import SILVER_KEY, silver_events
 from strata.session import configure, drop_folder, run_dir
-from strata.sinks.tables import append, create_database, create_table, overwrite, overwrite_swap
+from strata.sinks.tables import FILE_FORMATS, append, create_database, create_table, overwrite, overwrite_partitions, overwrite_swap
 
 STARTED, COMMITTED, RECOVERED = "started", "committed", "recovered"
 #: Rows of the record of runs from which on it is compacted.
@@ -283,6 +283,31 @@ def _replace(spark: SparkSession, df: DataFrame, name: str, layout: schemas.Layo
         drop_folder(spark, folder)
 
 
+def _replace_touched(
+    spark: SparkSession, name: str, key: Iterable[str], new: DataFrame, merged: Callable[[DataFrame, DataFrame], DataFrame]
+) -> int:
+    """Bring a table forward by ``new`` rows and rewrite only the dates this
+    touches: where new rows lie, and where the rows lie that they may replace.
+
+    ``merged(old, new)`` is given the old rows of those dates.  All old rows of
+    a new row's key are among them, so it sees each key whole.  Of all other
+    dates the key columns are read, to find the keys' places, and no file is
+    written.  The dates are collected: a value a day."""
+    folder = run_dir(spark, "touched")
+    try:
+        new.write.parquet(f"{folder}/new")
+        new = spark.read.schema(new.schema).parquet(f"{folder}/new")
+        old, date = spark.table(name), schemas.PARTITION_COLUMN
+        keys = new.select(*[F.col(c).alias(f"_{c}") for c in key]).distinct()
+        places = old.join(keys, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key], "left_semi").select(date)
+        touched = [r[0] for r in places.unionAll(new.select(date)).distinct().collect()]
+        rows = merged(old.filter(F.col(date).isin(touched)), new)
+        rows.write.parquet(f"{folder}/rows")
+        return overwrite_partitions(spark.read.schema(rows.schema).parquet(f"{folder}/rows"), name, touched)
+    finally:
+        drop_folder(spark, folder)
+
+
 def silver_rebuild(
     spark: SparkSession, layout: schemas.Layout, start: str | None = None, end: str | None = None, swap: bool = False
 ) -> int:
@@ -304,16 +329,29 @@ def silver_rebuild(
     return _replace(spark, kept.unionByName(again), layout.silver, layout, swap)
 
 
-def silver_increment(spark: SparkSession, layout: schemas.Layout, since: str, swap: bool = False) -> int:
+def silver_increment(spark: SparkSession, layout: schemas.Layout, since: str, swap: bool = False, by_date: bool = False) -> int:
     """Silver after new Bronze rows with ingest dates from ``since`` on: the
     newest per key among old Silver and the new rows.  Reads only those dates
     of Bronze; equals the full rebuild, since a key's offset and partition
-    never change and the ingest time decides."""
+    never change and the ingest time decides.
+
+    ``by_date`` rewrites only the dates that change (file tables; not with
+    ``swap``) and returns the rows of those."""
     configure(spark)
+    _check_by_date(layout, swap, by_date)
     new = silver_events(date_range(spark.table(layout.accepted), since))
-    both = spark.table(layout.silver).select(*new.columns).unionByName(new)
-    merged = latest_by(both, SILVER_KEY, newest_first("ingested_at_utc"))
-    return _replace(spark, merged, layout.silver, layout, swap)
+
+    def merged(old: DataFrame, new: DataFrame) -> DataFrame:
+        return latest_by(old.select(*new.columns).unionByName(new), SILVER_KEY, newest_first("ingested_at_utc"))
+
+    if by_date:
+        return _replace_touched(spark, layout.silver, SILVER_KEY, new, merged)
+    return _replace(spark, merged(spark.table(layout.silver), new), layout.silver, layout, swap)
+
+
+def _check_by_date(layout: schemas.Layout, swap: bool, by_date: bool) -> None:
+    if by_date and (swap or layout.fmt not in FILE_FORMATS):
+        raise ValueError("only the dates of a plain file table can be replaced")
 
 
 def gold_rebuild(spark: SparkSession, layout: schemas.Layout, swap: bool = False) -> int:
@@ -324,11 +362,15 @@ def gold_rebuild(spark: SparkSession, layout: schemas.Layout, swap: bool = False
     return _rebuild(current_status(spark.table(layout.silver)), layout.gold, layout, swap)
 
 
-def gold_increment(spark: SparkSession, layout: schemas.Layout, since: str, swap: bool = False) -> int:
+def gold_increment(spark: SparkSession, layout: schemas.Layout, since: str, swap: bool = False, by_date: bool = False) -> int:
     """Gold after new Silver rows with ingest dates from ``since`` on: the
-    newest per key among old Gold and those rows.  Equals the full rebuild."""
+    newest per key among old Gold and those rows.  Equals the full rebuild.
+    ``by_date`` as in ``silver_increment``."""
     configure(spark)
+    _check_by_date(layout, swap, by_date)
     new = date_range(spark.table(layout.silver), since)
+    if by_date:
+        return _replace_touched(spark, layout.gold, GOLD_KEY, latest_by(new, GOLD_KEY, newest_first(*GOLD_ORDER)), merged_status)
     return _replace(spark, merged_status(spark.table(layout.gold), new), layout.gold, layout, swap)
 
 

@@ -349,6 +349,18 @@ def oracle_sql() -> dict[str, str]:
         "  AND NOT (kafka_partition = 1 AND kafka_offset >= 500) AND NOT (kafka_partition = 2 AND kafka_offset < 40)"
     )
     q["stream_topic_pattern"] = q["transport_scan"]
+    q["stream_from_latest"] = q["transport_scan"] + (
+        "\nJOIN (SELECT kafka_partition, (min(kafka_offset) + max(kafka_offset)) // 2 AS middle FROM m GROUP BY 1) USING (kafka_partition)\n"
+        "WHERE kafka_offset >= middle OR kafka_partition = 3"
+    )
+    kept = "kafka_offset % 97 <> 0"
+    changed = f"{kept} AND kafka_offset % 101 = 0 AND raw_message_json IS NOT NULL"
+    twice = f"{kept} AND kafka_offset % 89 = 0"
+    q["publish_differences"] = _with() + (
+        f"SELECT count(*) AS source_rows, count(*) FILTER (WHERE {kept}) + count(*) FILTER (WHERE {twice}) AS target_rows,\n"
+        f"  count(*) FILTER (WHERE NOT ({kept})) + count(*) FILTER (WHERE {changed}) AS missing_in_target,\n"
+        f"  count(*) FILTER (WHERE {twice}) + count(*) FILTER (WHERE {changed}) AS extra_in_target, false AS matched FROM m"
+    )
     q["bronze_resume"] = _with() + outputs
     q["stream_tables"] = _with(f"o AS ({outputs})") + "SELECT kafka_topic, kafka_partition, kafka_offset, reason FROM o"
     q["jsonl_accepted_roundtrip"] = q["bronze_row_flat"]
@@ -362,4 +374,6 @@ def oracle_sql() -> dict[str, str]:
     )
     q["silver_incremental"] = _with(middle, _ELIGIBLE, _SILVER) + "SELECT * FROM s"
     q["gold_incremental"] = _with(middle, _ELIGIBLE, _SILVER, _GOLD) + "SELECT * FROM g"
+    q["silver_incremental_by_date"] = q["silver_incremental"]
+    q["gold_incremental_by_date"] = q["gold_incremental"]
     return q

@@ -397,7 +397,7 @@ def replay_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wall_clock(runs.result(spark, layout, root, spark.table(layout.silver)))
 
 
-def _two_ingests(spark: SparkSession, sf_dir: str, layout) -> None:
+def _two_ingests(spark: SparkSession, sf_dir: str, layout, by_date: bool = False) -> None:
     """Bronze in two runs, split at the middle day; Silver and Gold rebuilt
     after the first and brought forward after the second."""
     middle = _middle_day(spark, sf_dir)
@@ -408,8 +408,8 @@ def _two_ingests(spark: SparkSession, sf_dir: str, layout) -> None:
         if part == 0:
             medallion.silver_rebuild(spark, layout)
             medallion.gold_rebuild(spark, layout)
-    medallion.silver_increment(spark, layout, since=middle)
-    medallion.gold_increment(spark, layout, since=middle)
+    medallion.silver_increment(spark, layout, since=middle, by_date=by_date)
+    medallion.gold_increment(spark, layout, since=middle, by_date=by_date)
 
 
 def silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -427,6 +427,20 @@ def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wall_clock(runs.result(spark, layout, root, spark.table(layout.gold)))
 
 
+def silver_incremental_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 + K3: the increment that rewrites only the dates it touches."""
+    layout, root = runs.fresh_layout(spark, "silver_dates")
+    _two_ingests(spark, sf_dir, layout, by_date=True)
+    return wall_clock(runs.result(spark, layout, root, spark.table(layout.silver)))
+
+
+def gold_incremental_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W2 + K3: old places of keys that moved to another date are emptied."""
+    layout, root = runs.fresh_layout(spark, "gold_dates")
+    _two_ingests(spark, sf_dir, layout, by_date=True)
+    return wall_clock(runs.result(spark, layout, root, spark.table(layout.gold)))
+
+
 def _published(spark: SparkSession, sf_dir: str):
     layout, root = runs.fresh_layout(spark, "publish")
     _ingest_raw(spark, sf_dir, layout)
@@ -452,6 +466,18 @@ def publish_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish.reconcile(source, target)
 
 
+def publish_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5 + X2 by checksum buckets, over every Bronze record and a copy with
+    planted faults: some records lost, some stored twice, some texts changed."""
+    records = inputs.validated_first(spark, sf_dir).select(*schemas.TRANSPORT_KEY, "kafka_timestamp_utc", "raw_message_json")
+    path = f"{run_dir(spark, 'differences')}/copy"
+    at = F.col("kafka_offset")
+    faulty = records.filter(at % 97 != 0).withColumn("raw_message_json", F.when(at % 101 == 0, F.lit(None)).otherwise(F.col("raw_message_json")))
+    copies = F.when(at % 89 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    publish.publish_snapshot(faulty.withColumn("_copy", F.explode(copies)).drop("_copy"), "parquet", {"path": path})
+    return publish.reconcile_buckets(records, spark.read.parquet(path))
+
+
 def jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K5 + S5: quarantine rows written as JSON lines and read back."""
     root = run_dir(spark, "jsonl")
@@ -493,6 +519,29 @@ def stream_topic_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wall_clock(spark.read.parquet(f"{root}/out"))
 
 
+def stream_from_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 from the latest offsets: the topic holds the first half of all
+    partitions but the last one when the stream is set up; the rest and the new
+    partition come in two slices, with a restart between them.  Nothing stored
+    before the start is read."""
+    root = run_dir(spark, "latest")
+    topic = inputs.topic(spark, sf_dir)
+    topic.write.parquet(f"{root}/all")
+    every = spark.read.schema(topic.schema).parquet(f"{root}/all")
+    spans = every.groupBy("partition").agg(F.min("offset").alias("low"), F.max("offset").alias("high"))
+    middle = F.expr("(low + high) div 2")
+    fresh = F.col("partition") == F.lit(messages.PARTITIONS - 1)
+    placed = every.join(F.broadcast(spans), "partition")  # a row a partition
+    slices = placed.withColumn("_slice", F.when((F.col("offset") < middle) & ~fresh, 0).when(F.col("offset") % 2 == 0, 1).otherwise(2))
+    for number in range(3):
+        slices.filter(F.col("_slice") == number).select(*topic.columns).write.mode("append").parquet(f"{root}/topic")
+        stream = transport.read_topic_stream(
+            spark, "raw[.]ingestion[.]dev", "parquet", f"{root}/topic", "latest", {"maxFilesPerTrigger": "1000"}, topic.schema, f"{root}/start")
+        stream.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start(
+            f"{root}/out").awaitTermination()
+    return wall_clock(spark.read.schema(topic.schema).parquet(f"{root}/out"))
+
+
 def stream_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST1 + K2: both streams into the layer tables."""
     layout, root = runs.fresh_layout(spark, "tables")
@@ -630,8 +679,11 @@ QUERIES: dict[str, Query] = {
     "replay_bounded": replay_bounded,
     "silver_incremental": silver_incremental,
     "gold_incremental": gold_incremental,
+    "silver_incremental_by_date": silver_incremental_by_date,
+    "gold_incremental_by_date": gold_incremental_by_date,
     "publish_snapshot": publish_snapshot,
     "publish_reconcile": publish_reconcile,
+    "publish_differences": publish_differences,
     "jsonl_roundtrip": jsonl_roundtrip,
     "jsonl_accepted_roundtrip": jsonl_accepted_roundtrip,
     "envelope_default_id": envelope_default_id,
@@ -639,5 +691,6 @@ QUERIES: dict[str, Query] = {
     "stream_bronze_quarantine": stream_bronze_quarantine,
     "stream_dedup": stream_dedup,
     "stream_topic_pattern": stream_topic_pattern,
+    "stream_from_latest": stream_from_latest,
     "stream_tables": stream_tables,
 }

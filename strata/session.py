@@ -59,6 +59,12 @@ def run_dir(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_dir(spark)}/runs/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def folder_has(spark: SparkSession, folder: str, name: str) -> bool:
+    """Whether ``folder`` holds ``name``, asked of the file system that holds it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def drop_folder(spark: SparkSession, folder: str) -> None:
     """Delete a run's folder through the file system that holds it."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)

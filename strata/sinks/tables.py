@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata import schemas
+from strata.session import drop_folder
 
 
 def create_table(
@@ -79,6 +81,50 @@ def overwrite(
     return rows_written(obs)
 
 
+#: Formats whose partitions are folders of files; others replace rows their own way.
+FILE_FORMATS = ("parquet", "orc", "json", "csv", "avro")
+
+
+def overwrite_partitions(df: DataFrame, table: str, values: Iterable[object], column: str = schemas.PARTITION_COLUMN) -> int:
+    """K3, only what changed: ``df`` becomes the content of the partitions
+    ``values`` of a file table, every other partition keeps its files; returns
+    rows written.
+
+    ``df`` must not read the table and holds no rows of other partitions.  A
+    dynamic overwrite puts each partition in place when all of it is written;
+    partitions of ``values`` that have no rows any more are dropped after that,
+    so a run cut short leaves old rows behind and never takes any away."""
+    spark = df.sparkSession
+    watched, obs = observed(rebalanced(df.select(*spark.table(table).columns), (column,)))
+    mode = "spark.sql.sources.partitionOverwriteMode"  # an insert into a table takes no write options
+    usual = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        watched.write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(mode, usual)
+    spark.catalog.refreshTable(table)
+    kept = {r[0] for r in df.select(column).distinct().collect()}  # a row a partition that was written
+    drop_partitions(spark, table, set(values) - kept, column)
+    return rows_written(obs)
+
+
+def drop_partitions(spark: SparkSession, table: str, values: Iterable[object], column: str = schemas.PARTITION_COLUMN) -> None:
+    """Drop partitions of a file table: through the catalog where it keeps the
+    table's partitions, else their folders."""
+    gone = sorted(values)
+    if not gone:
+        return
+    about = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+    if about.get("Partition Provider") == "Catalog":
+        spec = ", ".join(f"PARTITION ({column} = '{v}')" for v in gone)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {spec}")
+    else:
+        for value in gone:
+            drop_folder(spark, f"{about['Location']}/{column}={value}")
+    spark.catalog.refreshTable(table)
+
+
 def overwrite_swap(
     df: DataFrame,
     name: str,

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata import schemas
+from strata.session import folder_has
 
 
 def _offset_filter(offsets, bound: str):
@@ -79,12 +80,19 @@ def read_topic_stream(
     starting_offsets: str | None = None,
     options: dict[str, str] | None = None,
     schema: StructType | None = None,
+    start_folder: str | None = None,
 ) -> DataFrame:
     """Streaming read.  Kafka: ``subscribePattern`` from the given
     offsets (default latest); progress lives in the query checkpoint (the
     consumer group's committed offsets in the row-at-a-time consumer).
-    Files: a file stream with an explicit schema; every file is read once per
-    checkpoint, so only 'earliest' can be asked for.  The pattern must match
+
+    Files: a file stream with an explicit schema, by default from the earliest
+    record on.  From 'latest', or from offsets that hold -1 (latest), the start
+    is decided once and kept in ``start_folder``, beside the checkpoint: a
+    restart goes on from the checkpoint with the same start.  Records before
+    the start are filtered in the scan; a partition that was not there yet is
+    read from its first record.  Read limits are the file source's options
+    (``maxFilesPerTrigger``, ``maxBytesPerTrigger``).  The pattern must match
     the whole topic name, as the connector's does."""
     if fmt == "kafka":
         return (
@@ -94,10 +102,56 @@ def read_topic_stream(
             .options(**(options or {}))
             .load()
         )
-    if starting_offsets not in (None, "earliest"):
-        raise ValueError(f"a file stream cannot start at {starting_offsets!r}")
-    df = spark.readStream.format(fmt).schema(schema or schemas.TRANSPORT).options(**(options or {})).load(path)
-    return df.filter(F.col("topic").rlike(rf"\A(?:{topic_pattern})\z"))
+    matches = F.col("topic").rlike(rf"\A(?:{topic_pattern})\z")
+    schema = schema or schemas.TRANSPORT
+    df = spark.readStream.format(fmt).schema(schema).options(**(options or {})).load(path).filter(matches)
+    if starting_offsets in (None, "earliest"):
+        return df
+    if _names_latest(starting_offsets):
+        if start_folder is None:
+            raise ValueError("a stream from the latest offsets needs a folder to keep its start in")
+        stored = spark.read.format(fmt).schema(schema).load(path).filter(matches)
+        starting_offsets = decided_start(stored, starting_offsets, start_folder)
+    pred = _offset_filter(starting_offsets, "start")
+    return df if pred is None else df.filter(pred)
+
+
+def _names_latest(offsets) -> bool:
+    if offsets == "latest":
+        return True
+    spec = json.loads(offsets) if isinstance(offsets, str) else offsets
+    return any(int(off) == -1 for parts in spec.values() for off in parts.values())
+
+
+def stored_ends(records: DataFrame) -> DataFrame:
+    """The next offset of every topic-partition that has records: what
+    'latest' means for a stored topic.  Reads the three key columns only."""
+    return records.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("next_offset"))
+
+
+def decided_start(records: DataFrame, starting_offsets, folder: str) -> dict[str, dict[str, int]]:
+    """The offsets a stream begins at, ``{topic: {partition: offset}}``.
+
+    The first call finds where the stored ``records`` end and writes it to
+    ``folder``; every later call reads the folder, so a stream that starts
+    again does not skip what came while it was down.  A start whose writing was
+    cut short is decided anew: no record was read with it.  In given offsets
+    -1 stands for a partition's end; a named partition without records has no
+    end and is read whole.  One row per topic-partition."""
+    spark = records.sparkSession
+    if not folder_has(spark, folder, "_SUCCESS"):
+        stored_ends(records).coalesce(1).write.mode("overwrite").parquet(folder)
+    rows = spark.read.schema("topic string, partition int, next_offset long").parquet(folder).collect()
+    ends: dict[str, dict[str, int]] = {}
+    for row in rows:
+        ends.setdefault(row.topic, {})[str(row.partition)] = int(row.next_offset)
+    if starting_offsets == "latest":
+        return ends
+    spec = json.loads(starting_offsets) if isinstance(starting_offsets, str) else starting_offsets
+    return {
+        topic: {part: ends.get(topic, {}).get(str(part), -2) if int(off) == -1 else int(off) for part, off in parts.items()}
+        for topic, parts in spec.items()
+    }
 
 
 def _as_json(offsets) -> str:

@@ -386,3 +386,53 @@ def test_layer_tables_exist_before_the_first_rebuild(spark):
     layout, _ = runs.fresh_layout(spark, "t-ddl")
     assert spark.table(layout.silver).count() == spark.table(layout.gold).count() == 0
     assert set(spark.table(layout.gold).columns) == set(schemas.GOLD.names)
+
+
+def _files(spark, table):
+    rows = spark.table(table).select("event_date", F.col("_metadata.file_path").alias("file")).distinct().collect()
+    return {str(day): {r.file for r in rows if r.event_date == day} for day in {r.event_date for r in rows}}
+
+
+def test_increments_by_date_leave_other_dates_alone(spark):
+    """Keys a0 to a5 on the 10th; a second history day on the 11th; then a
+    redelivery of one key a day moves it and empties its old date."""
+    layout, _ = runs.fresh_layout(spark, "t-dates")
+    clock = F.col("kafka_timestamp_utc")
+
+    def ingest(values, start, days):
+        medallion.bronze_ingest(spark, records(spark, values, start=start), layout, clock=clock + F.make_dt_interval(F.lit(days)))
+
+    ingest([text(LeagueId=i % 3 + 1, CorrelationId=f"a{i}") for i in range(6)], 0, 0)
+    ingest([text(LeagueId=9, CorrelationId="b0", RequestKey="moves")], 6, 1)
+    medallion.replay(spark, layout)
+    before = {t: _files(spark, t) for t in (layout.silver, layout.gold)}
+    # The same event again under a new offset, and the same league under another event.
+    ingest([text(LeagueId=9, CorrelationId="b0", RequestKey="moves"), text(LeagueId=7, CorrelationId="c0")], 7, 3)
+    silver_rows = medallion.silver_increment(spark, layout, "2026-04-13", by_date=True)
+    gold_rows = medallion.gold_increment(spark, layout, "2026-04-13", by_date=True)
+    after = {t: _files(spark, t) for t in (layout.silver, layout.gold)}
+    for table in (layout.silver, layout.gold):
+        assert before[table]["2026-04-10"] == after[table]["2026-04-10"]
+    got = [sorted(map(str, spark.table(t).collect())) for t in (layout.silver, layout.gold)]
+    medallion.replay(spark, layout)
+    assert got == [sorted(map(str, spark.table(t).collect())) for t in (layout.silver, layout.gold)]
+    assert set(after[layout.gold]) == {"2026-04-10", "2026-04-13"}  # league 9 left the 11th
+    assert gold_rows == 2 and silver_rows >= 2
+    # Nothing new: the same dates are written again, to the same rows.
+    assert medallion.gold_increment(spark, layout, "2026-04-20", by_date=True) == 0
+    assert got[1] == sorted(map(str, spark.table(layout.gold).collect()))
+    with pytest.raises(ValueError):
+        medallion.silver_increment(spark, layout, "2026-04-13", swap=True, by_date=True)
+
+
+def test_increment_by_date_meets_a_null_in_the_key(spark):
+    layout, _ = runs.fresh_layout(spark, "t-nullkey")
+    clock = F.col("kafka_timestamp_utc")
+    for start, days in ((0, 0), (1, 2)):
+        medallion.bronze_ingest(spark, records(spark, [text(LeagueName=None, CorrelationId=f"n{start}")], start=start), layout, clock=clock + F.make_dt_interval(F.lit(days)))
+        if start == 0:
+            medallion.replay(spark, layout)
+    medallion.silver_increment(spark, layout, "2026-04-12", by_date=True)
+    medallion.gold_increment(spark, layout, "2026-04-12", by_date=True)
+    rows = spark.table(layout.gold).collect()
+    assert [(r.league_name, str(r.event_date), r.latest_correlation_id) for r in rows] == [(None, "2026-04-12", "n1")]

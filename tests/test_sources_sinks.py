@@ -128,3 +128,60 @@ def test_stored_topics_refuse_bounds_they_cannot_keep(spark, tmp_path):
 def test_publish_counts_what_it_writes(spark, tmp_path):
     df = spark.range(7).toDF("n")
     assert publish.publish_snapshot(df, "parquet", {"path": str(tmp_path / "copy")}) == 7
+
+
+@pytest.mark.parametrize("planted", ["none", "lost", "twice", "changed", "nulls swapped", "empty target", "empty source"])
+def test_reconcile_by_buckets_equals_the_exact_form(spark, planted):
+    rows = [(i, None if i % 5 == 0 else f"v{i % 4}", None if i % 3 == 0 else f"v{i % 4}") for i in range(200)] * 2
+    copy = {
+        "none": rows, "lost": rows[3:], "twice": rows + rows[:7], "changed": [(i, "x" if i == 9 else a, b) for i, a, b in rows],
+        "nulls swapped": [(i, b, a) for i, a, b in rows], "empty target": [], "empty source": rows,
+    }[planted]
+    schema = "id int, a string, b string"
+    source = spark.createDataFrame([] if planted == "empty source" else rows, schema)
+    target = publish.published_shape(spark.createDataFrame(copy, schema)).repartition(3)
+    exact = publish.reconcile(source, target).first()
+    assert publish.reconcile_buckets(source, target, buckets=16).first() == exact
+    assert exact.matched == (planted == "none")
+
+
+def test_buckets_that_agree_move_no_rows(spark, tmp_path):
+    rows = spark.range(2_000).select("id", F.concat(F.lit("text "), F.col("id")).alias("body"))
+    publish.publish_snapshot(rows, "parquet", {"path": str(tmp_path / "copy")})
+    report = publish.reconcile_buckets(rows, spark.read.parquet(str(tmp_path / "copy")))
+    assert report.collect()[0].matched
+    final = report._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "BODY#" not in "".join(line for line in final.splitlines() if "Exchange" in line)
+
+
+def test_start_of_a_stream_is_decided_once(spark, tmp_path):
+    path, folder = str(tmp_path / "topic"), str(tmp_path / "start")
+    records(spark, [text()] * 4, partition=0).write.parquet(path)
+    stored = transport.read_topic(spark, TOPIC, path=path)
+    assert transport.decided_start(stored, "latest", folder) == {TOPIC: {"0": 4}}
+    records(spark, [text()] * 2, partition=0, start=4).write.mode("append").parquet(path)
+    spark.catalog.refreshByPath(path)
+    assert transport.decided_start(stored, "latest", folder) == {TOPIC: {"0": 4}}
+    assert transport.decided_start(stored, json.dumps({TOPIC: {"0": -1, "1": -1, "2": 7}}), folder) == {TOPIC: {"0": 4, "1": -2, "2": 7}}
+    assert transport.decided_start(stored.limit(0), "latest", str(tmp_path / "none")) == {}
+    with pytest.raises(ValueError):
+        transport.read_topic_stream(spark, TOPIC, path=path, starting_offsets="latest")
+
+
+def test_stream_from_latest_over_restarts_and_a_new_partition(spark, tmp_path):
+    path, out = str(tmp_path / "topic"), str(tmp_path / "out")
+
+    def run():
+        stream = transport.read_topic_stream(
+            spark, "raw[.]ingestion[.].*", path=path, starting_offsets="latest", start_folder=str(tmp_path / "start"), options={"maxFilesPerTrigger": "1"})
+        query = stream.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start(out)
+        query.awaitTermination()
+        return sorted((r.topic, r.partition, r.offset) for r in spark.read.schema(schemas.TRANSPORT).parquet(out).collect())
+
+    records(spark, [text()] * 3).write.parquet(path)
+    assert run() == []
+    records(spark, [text()] * 2, start=3).write.mode("append").parquet(path)  # came while the stream was down
+    assert run() == [(TOPIC, 0, 3), (TOPIC, 0, 4)]
+    new = records(spark, [text()], partition=1).union(records(spark, [text()], topic="raw.ingestion.new"))
+    new.union(records(spark, [text()], start=5)).write.mode("append").parquet(path)
+    assert run() == [("raw.ingestion.new", 0, 0), (TOPIC, 0, 3), (TOPIC, 0, 4), (TOPIC, 0, 5), (TOPIC, 1, 0)]
