@@ -60,8 +60,10 @@ _APART = b"\xff"  # never part of UTF-8
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0a\x0b\x0c\x0d", b"abcdefghijklmnopqrstuvwxyz " + _APART * 10)
 
 CHUNKS = "lang string, chunk string, last boolean"
-RUNS = "lang string, phrase string, words int, h long, n long"
+#: What a count of runs gives: hashes only, texts only (the most rows, so nothing that follows from the text), or both.
 HASHED = "h long, n long"
+RUNS = "lang string, phrase string, n long"
+HASHED_RUNS = "lang string, phrase string, h long, n long"
 
 
 class Hashes(dict):
@@ -160,10 +162,10 @@ def _slabs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes]
 
 
 def count_runs(
-    chunks: DataFrame, sizes: Sequence[int], overlap: int, known: bytes | None = None, known_words: int = 0, texts: bool = True
+    chunks: DataFrame, sizes: Sequence[int], overlap: int, known: bytes | None = None, known_words: int = 0, schema: str = RUNS
 ) -> DataFrame:
     """Runs of ``sizes`` words inside distinct chunks with their whole counts,
-    or (``texts`` false) the counts of their hashes.
+    as the columns of ``schema``.
 
     With ``known``, a bitmap of the frequent runs of ``known_words`` words,
     only runs whose every part of that length may be frequent."""
@@ -198,15 +200,14 @@ def count_runs(
                 keys, where, group = np.unique(joined(hashes, n)[at], return_index=True, return_inverse=True)
                 sums = np.zeros(len(keys), np.int64)
                 np.add.at(sums, group, weight[at])
-                columns = [pa.array(keys.view(np.int64)), pa.array(sums)]
-                if texts:
+                columns = {"h": pa.array(keys.view(np.int64)), "n": pa.array(sums)}
+                if "phrase" in names:
                     phrases = [b" ".join(tokens[i : i + n]) for i in at[where].tolist()]
-                    columns = [pa.array([code] * len(phrases), pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()),
-                               pa.array(np.full(len(phrases), n, np.int32)), *columns]
-                yield pa.record_batch(columns, names=[f.split()[0] for f in schema.split(", ")])
+                    columns |= {"lang": pa.array([code] * len(phrases), pa.string()), "phrase": pa.array(phrases, pa.binary()).cast(pa.string())}
+                yield pa.record_batch([columns[c] for c in names], names=names)
 
-    schema = RUNS if texts else HASHED
-    key = ["lang", "phrase", "words", "h"] if texts else ["h"]
+    names = [field.split()[0] for field in schema.split(", ")]
+    key = [c for c in names if c != "n"]
     return chunks.select("lang", "chunk", "last", "freq").mapInArrow(count, schema).groupBy(*key).agg(F.sum("n").alias("n"))
 
 
@@ -230,16 +231,17 @@ def frequent_runs(docs: DataFrame, text: str = "text", lang: str = "lang", longe
     (``lang``, ``phrase``, ``words``, ``f``), and words per language (``n``)."""
     overlap = max(1, longest - 1)
     chunks = staged(dictionary(docs, text, lang, longest), "collocation-dictionary")
-    singles = staged(count_runs(chunks, (1,), overlap), "collocation-words")
+    singles = staged(count_runs(chunks, (1,), overlap, schema=HASHED_RUNS), "collocation-words")
     totals = singles.groupBy("lang").agg(F.sum("n").alias("n"))
     runs = singles.filter(F.col("n") >= least)
     if longest >= 2:
-        pairs = staged(count_runs(chunks, (2,), overlap, bitmap_of(runs), 1, texts=False).filter(F.col("n") >= least), "collocation-pairs")
+        pairs = staged(count_runs(chunks, (2,), overlap, bitmap_of(runs), 1, HASHED).filter(F.col("n") >= least), "collocation-pairs")
         longer = count_runs(chunks, range(2, longest + 1), overlap, bitmap_of(pairs), 2).filter(F.col("n") >= least)
-        runs = runs.unionByName(staged(longer, "collocation-longer"))
+        runs = runs.select(*longer.columns).unionByName(staged(longer, "collocation-longer"))
         discard(pairs)
     discard(chunks)
-    return runs.select("lang", "phrase", "words", F.col("n").alias("f")), totals
+    words = F.length("phrase") - F.length(F.replace("phrase", F.lit(" "), F.lit(""))) + 1
+    return runs.select("lang", "phrase", words.alias("words"), F.col("n").alias("f")), totals
 
 
 def _score(a: Column, left: Column, right: Column) -> Column:
