@@ -39,6 +39,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
@@ -92,6 +93,16 @@ def joined(hashes: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def summed(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys, a place of each, and the sums of their weights."""
+    group, distinct = pd.factorize(keys)
+    place = np.empty(len(distinct), np.int64)
+    place[group] = np.arange(len(keys))
+    sums = np.zeros(len(distinct), np.int64)
+    np.add.at(sums, group, weights)
+    return distinct, place, sums
+
+
 def tokens_of(text: bytes) -> list[bytes]:
     """Words of a text and a mark between its pieces."""
     found = text.translate(_FOLD).replace(_APART, b" \xff ").split()
@@ -197,9 +208,7 @@ def count_runs(
                 at = np.flatnonzero(take)
                 if not len(at):
                     continue
-                keys, where, group = np.unique(joined(hashes, n)[at], return_index=True, return_inverse=True)
-                sums = np.zeros(len(keys), np.int64)
-                np.add.at(sums, group, weight[at])
+                keys, where, sums = summed(joined(hashes, n)[at], weight[at])
                 columns = {"h": pa.array(keys.view(np.int64)), "n": pa.array(sums)}
                 if "phrase" in names:
                     phrases = [b" ".join(tokens[i : i + n]) for i in at[where].tolist()]
