@@ -245,6 +245,16 @@ class Lookup:
         return out
 
 
+_HEAD: list = []  # a worker's last head and its table
+
+
+def _head_table(head: tuple[np.ndarray, np.ndarray]) -> Lookup:
+    """The table of a broadcast head, made once in a Python worker and not for every block."""
+    if not _HEAD or _HEAD[0] is not head:
+        _HEAD[:] = [head, Lookup(*head)]
+    return _HEAD[1]
+
+
 def _gram_counts(texts: DataFrame, depth: int) -> DataFrame:
     """All grams with their number in the training texts, combined by block."""
 
@@ -252,7 +262,9 @@ def _gram_counts(texts: DataFrame, depth: int) -> DataFrame:
         for _, held, bodies in _whole_blocks(batches):
             train = grams_of([b for b, out in zip(bodies, held, strict=True) if not out], depth)
             key, n = np.unique(train, return_counts=True)
-            rest = np.setdiff1d(grams_of([b for b, out in zip(bodies, held, strict=True) if out], depth), key)
+            rest = np.unique(grams_of([b for b, out in zip(bodies, held, strict=True) if out], depth))
+            if len(key):  # both are sorted
+                rest = rest[key[np.minimum(np.searchsorted(key, rest), len(key) - 1)] != rest]
             yield pa.record_batch([pa.array(np.concatenate([key, rest])), pa.array(np.concatenate([n, np.zeros(len(rest), n.dtype)]))], names=["key", "n"])
 
     return texts.select("block", "held_out", "body").mapInArrow(count, GRAMS).groupBy("key").agg(F.sum("n").alias("n"))
@@ -290,7 +302,7 @@ def _asked(texts: DataFrame, depth: int, head: object, head_words: object) -> Da
     """Per block its distinct grams and tokens that are not in the heads."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, common = Lookup(*head.value), head_words.value
+        known, common = _head_table(head.value), head_words.value
         for block, _, bodies in _whole_blocks(batches):
             gram = grams_of(bodies, depth)
             gram = np.unique(gram[np.isnan(known.find(gram))])
@@ -455,7 +467,7 @@ def score_texts(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text:
     def sums(texts: pa.Table, answers: pa.Table) -> pa.Table:
         bodies = [x.as_buffer().to_pybytes() for x in texts.column("body")]
         gram = grams_of(bodies, depth)
-        logp = Lookup(*head.value).find(gram)
+        logp = _head_table(head.value).find(gram)
         of_gram = answers.filter(pa.compute.is_valid(answers.column("key")))
         rare = np.isnan(logp)
         logp[rare] = Lookup(of_gram.column("key").to_numpy(), of_gram.column("logp").to_numpy()).find(gram[rare])
