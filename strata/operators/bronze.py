@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata import schemas
+from strata.operators import offsets
 from strata.operators.latest import latest_by, oldest_first
 from strata.session import run_dir
 
@@ -141,7 +142,7 @@ DUPLICATE_SKIPPED = "Duplicate skipped"
 WRITTEN_FORMAT = "Consumed offset %d from %s and wrote Bronze row."
 
 
-def message_outcome(validated_deliveries: DataFrame, stage: str | None = None) -> DataFrame:
+def message_outcome(validated_deliveries: DataFrame, stage: str | None = None, stored: DataFrame | None = None) -> DataFrame:
     """the outcome of every delivery, as the row-at-a-time consumer
     reports it.  Only valid envelopes are checked for duplicates, so a
     redelivered bad message is quarantined each time; the first valid
@@ -153,7 +154,11 @@ def message_outcome(validated_deliveries: DataFrame, stage: str | None = None) -
     folder in shared storage, by default a fresh one).  The first of a key is
     the rank-1 row under the total order of those columns, limited map-side;
     it is joined back on the same columns, and copies are expanded: copy 0 of
-    the first is written, every other copy is skipped."""
+    the first is written, every other copy is skipped.
+
+    ``stored`` are the offsets that earlier runs have stored, as ranges: valid
+    deliveries inside them are duplicates too.  Bad ones go to quarantine
+    whatever is stored."""
     spark = validated_deliveries.sparkSession
     stage = stage or f"{run_dir(spark, 'outcome')}/deliveries"
     delivery = [*schemas.TRANSPORT_KEY, "ingested_at_utc", "kafka_timestamp_utc", "raw_message_json"]
@@ -163,6 +168,8 @@ def message_outcome(validated_deliveries: DataFrame, stage: str | None = None) -
     d = spark.read.schema(collapsed.schema).parquet(stage)
     valid = F.col("validation_reason").isNull()
     first = latest_by(d.filter(valid), schemas.TRANSPORT_KEY, oldest_first(*delivery[3:]))
+    if stored is not None:
+        first = offsets.outside(first, stored)
     first = first.select(*[F.col(c).alias(f"_{c}") for c in delivery], F.lit(True).alias("_first"))
     same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in delivery]
     joined = d.join(first, same, "left").select(

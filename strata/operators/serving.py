@@ -5,10 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import schemas
+from strata.sinks.tables import partition_values
 
 
 def current_statuses(gold: DataFrame, league_id: int | None = None, season: int | None = None) -> DataFrame:
@@ -38,6 +39,35 @@ def served_rows(served: DataFrame) -> DataFrame:
     )
 
 
+def most_recent_stored(
+    spark: SparkSession, table: str, n: int, order: Sequence[str], tie_break: Sequence[str], column: str = schemas.PARTITION_COLUMN
+) -> DataFrame:
+    """T1 over a stored table without a scan of its history: the dates are
+    walked from the newest down, in steps of 1, 2, 4 ... dates, until those
+    passed hold ``n`` rows; only their files are read.
+
+    ``column``, the table's partition, must be the date of the first column of
+    ``order``, as in both Bronze tables: then no older date holds a newer row.
+    Rows without a date come last and are read only when all dates are."""
+    rows = spark.table(table)
+    dates, step, taken = partition_values(spark, table, column), 1, 0
+    counted = 0
+    while taken < len(dates) and counted < n:
+        part = dates[taken : taken + step]
+        counted += rows.filter(_dated(column, part)).limit(n).count()
+        taken, step = taken + len(part), step * 2
+    return most_recent(rows.filter(_dated(column, dates[:taken])), n, order, tie_break)
+
+
+def _dated(column: str, newest_first: Sequence[str | None]) -> Column:
+    """Rows of these consecutive dates, as a range that prunes partitions."""
+    known = [d for d in newest_first if d is not None]
+    inside = F.lit(False)
+    if known:
+        inside = F.col(column).between(F.lit(known[-1]).cast("date"), F.lit(known[0]).cast("date"))
+    return inside | F.col(column).isNull() if None in newest_first else inside
+
+
 def most_recent(df: DataFrame, n: int, order: Sequence[str], tie_break: Sequence[str]) -> DataFrame:
     """The newest ``n`` rows; the full key breaks ties so the report is
     stable.  ``orderBy().limit()`` plans as TakeOrderedAndProject: each task

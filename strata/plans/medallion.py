@@ -167,6 +167,20 @@ def compact_runs(spark: SparkSession, layout: schemas.Layout) -> int:
         drop_folder(spark, folder)
 
 
+def batch_ends(batch: DataFrame) -> DataFrame:
+    """The span of offsets a staged batch covers, a row a topic-partition."""
+    rows = batch.groupBy(*offsets.PLACE).agg(F.min("kafka_offset").alias("low_offset"), (F.max("kafka_offset") + 1).alias("next_offset")).collect()
+    return batch.sparkSession.createDataFrame(rows, schemas.STORED_OFFSETS)
+
+
+def stored_within(spark: SparkSession, layout: schemas.Layout, batch: DataFrame) -> DataFrame:
+    """The stored offsets inside the spans of a staged batch, as ranges.  What
+    a run that never committed has stored is logged first."""
+    create_run_tables(spark, layout)
+    recover(spark, layout)
+    return offsets.clipped(spark.table(layout.offsets), batch_ends(batch))
+
+
 def bronze_ingest(
     spark: SparkSession,
     transport: DataFrame,
@@ -210,8 +224,7 @@ def bronze_write(
         validated.write.parquet(folder)
         batch = spark.read.schema(validated.schema).parquet(folder)
         run_id = uuid.uuid4().hex
-        rows = batch.groupBy(*offsets.PLACE).agg(F.min("kafka_offset").alias("low_offset"), (F.max("kafka_offset") + 1).alias("next_offset")).collect()
-        ends = spark.createDataFrame(rows, schemas.STORED_OFFSETS)  # a row a topic-partition
+        ends = batch_ends(batch)
         _record(spark, layout, run_id, _state(STARTED, sinks), ends)
         met = offsets.clipped(spark.table(layout.offsets), ends)
         new = batch if met.isEmpty() else offsets.outside(batch, met)

@@ -339,6 +339,9 @@ def oracle_sql() -> dict[str, str]:
     )
     q["quota_online"] = q["quota_admission"]
     q["stream_dedup"] = q["bronze_accepted"]
+    q["stream_outcome"] = q["message_outcome"]
+    q["stream_first_arrival"] = q["first_arrival"]
+    q["recent_rows_stored"] = q["recent_rows"]
     outputs = (
         "SELECT 'accepted' AS output, kafka_topic, kafka_partition, kafka_offset, CAST(NULL AS VARCHAR) AS reason\n"
         "FROM m WHERE reason IS NULL UNION ALL\n"

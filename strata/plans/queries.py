@@ -23,7 +23,7 @@ from strata.plans import inputs, medallion, runs
 from strata.session import run_dir
 from strata.sinks import jsonl
 from strata.sources import messages, transport
-from strata.streaming import bronze_stream, quota_stream
+from strata.streaming import arrival_stream, bronze_stream, quota_stream
 from strata.streaming.metrics import SinkRows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -214,6 +214,18 @@ def recent_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wall_clock(acc.unionByName(qua))
 
 
+def recent_rows_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 over the Bronze tables: only the newest dates are read."""
+    layout, root = runs.fresh_layout(spark, "recent")
+    _ingest_first(spark, sf_dir, layout)
+    key = list(schemas.TRANSPORT_KEY)
+    parts = []
+    for output, table, at in (("accepted", layout.accepted, "ingested_at_utc"), ("quarantine", layout.quarantine, "quarantined_at_utc")):
+        newest = serving.most_recent_stored(spark, table, RECENT_ROWS, [at], key)
+        parts.append(newest.select(F.lit(output).alias("output"), *key, F.col(at).alias("at_utc"), "raw_message_json"))
+    return wall_clock(runs.result(spark, layout, root, parts[0].unionByName(parts[1])))
+
+
 def latest_order_per_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W3 at scale: newest order per customer (order date, then key)."""
     orders = inputs.table(spark, sf_dir, "orders")
@@ -636,6 +648,41 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wall_clock(runs.result(spark, layout, root, spark.table(layout.accepted)))
 
 
+def stream_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F7 in a stream: half of the messages, then, after a restart, the other
+    half and all redeliveries."""
+    layout, root = runs.fresh_layout(spark, "outcomes")
+    topic = inputs.topic(spark, sf_dir, with_clock=True)
+    later = messages.redeliveries(topic).unionByName(topic.filter(F.col("offset") % 2 == 1))
+    for slice_ in (topic.filter(F.col("offset") % 2 == 0), later):
+        slice_.write.mode("append").parquet(f"{root}/topic")
+        stream = transport.read_topic_stream(spark, messages.TOPIC.replace(".", "[.]"), "parquet", f"{root}/topic", options={"maxFilesPerTrigger": "1000"}, schema=topic.schema)
+        bronze_stream.outcome_stream(
+            stream, layout, f"{root}/outcomes", f"{root}/checkpoint",
+            clock=F.col(messages.DELIVERY_CLOCK), passthrough=(messages.DELIVERY_CLOCK,),
+        ).awaitTermination()
+    return wall_clock(runs.result(spark, layout, root, spark.read.parquet(f"{root}/outcomes").drop("batch_id")))
+
+
+def stream_first_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3 + ST2 with keyed state: a third of the first deliveries comes after
+    all others and after their redeliveries; every offset is kept once."""
+    root = run_dir(spark, "arrivals")
+    topic = inputs.topic(spark, sf_dir, with_clock=True)
+    again, late = messages.redeliveries(topic), F.col("offset") % 3 == 0
+    slices = (topic.filter(~late), again.filter(~late), topic.filter(late), again.filter(late))
+    for number, slice_ in enumerate(slices):
+        slice_.write.mode("append").parquet(f"{root}/topic")
+        if number % 2:
+            stream = transport.read_topic_stream(spark, messages.TOPIC.replace(".", "[.]"), "parquet", f"{root}/topic", options={"maxFilesPerTrigger": "1000"}, schema=topic.schema)
+            first = arrival_stream.first_deliveries(stream, (messages.DELIVERY_CLOCK, "timestamp", "value"))
+            validated = envelope.prepare(first, F.col(messages.DELIVERY_CLOCK), (messages.DELIVERY_CLOCK,))
+            kept = validated.select(*schemas.TRANSPORT_KEY, "idempotency_key", "ingested_at_utc", "kafka_timestamp_utc", "validation_reason")
+            kept.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{root}/checkpoint").trigger(
+                availableNow=True).start(f"{root}/out").awaitTermination()
+    return wall_clock(spark.read.schema(kept.schema).parquet(f"{root}/out"))
+
+
 QUERIES: dict[str, Query] = {
     "transport_scan": transport_scan,
     "transport_scan_bounded": transport_scan_bounded,
@@ -663,6 +710,7 @@ QUERIES: dict[str, Query] = {
     "serving_by_both": serving_by_both,
     "serving_nulls": serving_nulls,
     "recent_rows": recent_rows,
+    "recent_rows_stored": recent_rows_stored,
     "latest_order_per_customer": latest_order_per_customer,
     "envelope_build": envelope_build,
     "envelope_publish": envelope_publish,
@@ -690,6 +738,8 @@ QUERIES: dict[str, Query] = {
     "stream_bronze_accepted": stream_bronze_accepted,
     "stream_bronze_quarantine": stream_bronze_quarantine,
     "stream_dedup": stream_dedup,
+    "stream_outcome": stream_outcome,
+    "stream_first_arrival": stream_first_arrival,
     "stream_topic_pattern": stream_topic_pattern,
     "stream_from_latest": stream_from_latest,
     "stream_tables": stream_tables,

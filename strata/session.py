@@ -65,6 +65,13 @@ def folder_has(spark: SparkSession, folder: str, name: str) -> bool:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
+def folder_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the folders directly under ``folder``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return [f.getPath().getName() for f in found if f.isDirectory()]
+
+
 def drop_folder(spark: SparkSession, folder: str) -> None:
     """Delete a run's folder through the file system that holds it."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata import schemas
-from strata.session import drop_folder
+from strata.session import drop_folder, folder_names
 
 
 def create_table(
@@ -109,6 +109,20 @@ def overwrite_partitions(df: DataFrame, table: str, values: Iterable[object], co
     return rows_written(obs)
 
 
+def partition_values(spark: SparkSession, table: str, column: str = schemas.PARTITION_COLUMN) -> list[str | None]:
+    """The values a stored table is partitioned by, as text, the greatest first
+    and null last: from the catalog where it keeps the table's partitions, else
+    from the names of the table's folders.  No data file is opened."""
+    about = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+    if about.get("Partition Provider") == "Catalog":
+        names = [r.partition for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]  # a row a partition
+    else:
+        names = folder_names(spark, about["Location"])
+    values = {n.split("=", 1)[1] for n in names if n.startswith(f"{column}=")}
+    empty = {"__HIVE_DEFAULT_PARTITION__", "null"} & values
+    return [*sorted(values - empty, reverse=True), *([None] if empty else [])]
+
+
 def drop_partitions(spark: SparkSession, table: str, values: Iterable[object], column: str = schemas.PARTITION_COLUMN) -> None:
     """Drop partitions of a file table: through the catalog where it keeps the
     table's partitions, else their folders."""

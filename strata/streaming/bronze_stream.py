@@ -9,6 +9,8 @@
   micro-batch goes through the batch Bronze write (first arrival, then the
   anti-join against what is stored), so a key seen in any earlier batch, or
   a micro-batch replayed after a failure, appends nothing.
+* ``outcome_stream`` -- the same loop with the outcome of every message as a
+  third sink, from one parse of each micro-batch.
 """
 
 from __future__ import annotations
@@ -20,8 +22,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from strata import schemas
-from strata.operators.bronze import accepted_records, quarantine_records
+from strata.operators.bronze import accepted_records, message_outcome, quarantine_records
 from strata.operators.envelope import prepare
+from strata.session import drop_folder, folder_has, run_dir
 from strata.streaming.metrics import counted
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -123,3 +126,49 @@ def dedup_stream(
         .trigger(**(trigger or AVAILABLE_NOW))
         .start()
     )
+
+
+def outcome_stream(
+    stream: DataFrame,
+    layout: schemas.Layout,
+    outcomes: str,
+    checkpoint: str,
+    clock: Column | None = None,
+    passthrough: Iterable[str] = (),
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """F7 + ST2: accepted, quarantine and the outcome of every delivery.
+
+    A micro-batch is parsed once and staged.  Its outcomes are judged against
+    the offsets that earlier micro-batches stored, so a valid message counts as
+    written the first time it comes, in whatever micro-batch, and as a
+    duplicate from then on.  The state is the offset log: a row per gap.
+
+    Outcomes lie in a folder per micro-batch under ``outcomes``, which belongs
+    to ``checkpoint``.  They are written whole before the tables are appended
+    to, and a micro-batch that is run again keeps those it has: judged anew it
+    would meet its own rows."""
+    from strata.plans.medallion import bronze_write, stored_within
+
+    validated = prepare(stream, clock, passthrough)
+
+    def per_batch(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        folder = run_dir(spark, "deliveries")
+        try:
+            batch.write.parquet(f"{folder}/parsed")
+            parsed = spark.read.schema(batch.schema).parquet(f"{folder}/parsed")
+            own = f"{outcomes}/batch_id={epoch}"
+            if not folder_has(spark, own, "_SUCCESS"):
+                stored = stored_within(spark, layout, parsed)
+                message_outcome(parsed, f"{folder}/collapsed", stored).write.mode("overwrite").parquet(own)
+            bronze_write(spark, parsed, layout)
+        finally:
+            drop_folder(spark, folder)
+
+    return (
+        validated.writeStream.foreachBatch(per_batch)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or AVAILABLE_NOW))
+        .start()
+    )
