@@ -11,11 +11,13 @@ That kth score is propagated.  A first pass searches only the shard where a
 query itself lives; its kth score is a lower limit that every other shard
 starts from.  Equal scores are never cut off, so ties go to the smaller id.
 
-Queries travel in blocks of bounded size; every pair of block and shard is one
-row of work for some task.
+Queries travel in blocks of bounded size.  A shard meets a bounded number of
+blocks at a time, and its tree is built once for all of them.
 
 Scores are exact: components are integers, multiplied in double precision
-while every sum stays below 2**53, otherwise as 64-bit integers.
+while every sum stays below 2**53, as 64-bit integers below 2**63, and as
+Python's integers from there on.  A returned score that does not fit a long,
+or a component that does not, raises.
 
 Defined cases: vectors that are null or hold null or non-finite components,
 and rows with a null id, take no part; vectors of unequal length are compared
@@ -35,20 +37,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strata.llm.common import staged, usable_vector
+from strata.llm.common import parallelism, staged, usable_vector
 
 #: Points in a leaf.
 LEAF = 128
 #: Points in a shard, and queries in a block, on average.
 SHARD_ROWS = 16_384
 BLOCK_QUERIES = 512
+#: Blocks that meet a shard in one group, at most on average.
+MEET_BLOCKS = 64
 
 PACKED = "shard int, ids array<long>, dim int, data binary"
+HITS = "query_id vec_id score"
 
 
 def quantised(vector: Column, scale: int = 256) -> Column:
-    """floor(scale * x) of each component x, taken as a double."""
-    return F.transform(vector.cast("array<double>"), lambda x: F.floor(x * F.lit(float(scale))).cast("long"))
+    """floor(scale * x) of each component x, taken as a double; one outside 64 bits raises."""
+
+    def one(x: Column) -> Column:
+        scaled = x * F.lit(float(scale))
+        fits = (scaled >= F.lit(-(2.0**63))) & (scaled < F.lit(2.0**63))
+        return F.when(fits, F.floor(scaled).cast("long")).otherwise(F.raise_error(F.lit("a component does not fit 64 bits")).cast("long"))
+
+    return F.transform(vector.cast("array<double>"), one)
 
 
 class Tree:
@@ -101,7 +112,7 @@ class Tree:
             for i in np.flatnonzero(scores >= least).tolist():
                 if (who := int(self.ids[a + i])) == own:
                     continue
-                item = (scores[i].item(), -who)
+                item = (scores[i], -who)
                 if len(best) < k:
                     heapq.heappush(best, item)
                 elif item > best[0]:
@@ -117,17 +128,31 @@ def _matrix(data: bytes, rows: int, dim: int, width: int) -> np.ndarray:
     return out
 
 
-def _searched(ids, dim, data, query_ids, query_dim, query_data, least, k):
-    """Hits of a block of queries in one shard: query, id and score."""
-    width = max(dim, query_dim, 1)
-    points, queries = _matrix(data, len(ids), dim, width), _matrix(query_data, len(query_ids), query_dim, width)
-    top = float(np.abs(points).max(initial=0)) * float(np.abs(queries).max(initial=0)) * width
-    kind = np.float64 if top < 2.0**53 else np.int64
-    tree = Tree(np.asarray(ids, np.int64), points.astype(kind))
-    found = []
-    for q, own, limit in zip(queries.astype(kind), query_ids, least, strict=True):
-        found += [(int(own), who, int(score)) for score, who in tree.search(q, int(own), k, limit)]
-    return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype("int64")
+class Shard:
+    """A shard's points, with a tree for each kind of number its queries need."""
+
+    def __init__(self, ids: np.ndarray, dim: int, data: bytes):
+        self.ids, self.dim, self.data = np.asarray(ids, np.int64), dim, data
+        self.most = _most(np.frombuffer(data, np.int64))
+        self.trees: dict[tuple[int, type], Tree] = {}
+
+    def search(self, ids, dim, data, least, k: int) -> pd.DataFrame:
+        """Hits of a block of queries: query, id and score."""
+        width = max(self.dim, dim, 1)
+        queries = _matrix(data, len(ids), dim, width)
+        top = self.most * _most(queries) * width
+        kind = np.float64 if top < 2**53 else np.int64 if top < 2**63 else object
+        if (width, kind) not in self.trees:
+            self.trees[width, kind] = Tree(self.ids, _matrix(self.data, len(self.ids), self.dim, width).astype(kind))
+        tree, found = self.trees[width, kind], []
+        for q, own, limit in zip(queries.astype(kind), ids, least, strict=True):
+            found += [(int(own), who, int(score)) for score, who in tree.search(q, int(own), k, limit)]
+        return pd.DataFrame(found, columns=HITS.split(), dtype=object).astype("int64")
+
+
+def _most(values: np.ndarray) -> int:
+    """The largest absolute value, as an exact integer."""
+    return max(-int(values.min(initial=0)), int(values.max(initial=0)))
 
 
 def _pack(pdf: pd.DataFrame, key: str) -> pd.DataFrame:
@@ -170,7 +195,7 @@ def top_k(
     def first_pass(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for r in pdf.itertuples(index=False):
-                hits = _searched(r.ids, r.dim, r.data, r.q["ids"], r.q["dim"], r.q["data"], [-np.inf] * len(r.q["ids"]), k)
+                hits = Shard(r.ids, r.dim, r.data).search(r.q["ids"], r.q["dim"], r.q["data"], [-np.inf] * len(r.q["ids"]), k)
                 full = hits.groupby("query_id")["score"].agg(["size", "min"])
                 kth = full["min"].where(full["size"] >= k).dropna().astype("int64")
                 yield pd.DataFrame({"id": kth.index.to_numpy(np.int64), "least": kth.to_numpy()})
@@ -184,19 +209,27 @@ def top_k(
 
     def pack_block(pdf: pd.DataFrame) -> pd.DataFrame:
         out = _pack(pdf, "block")
-        out["least"] = [pdf["least"].to_numpy(np.float64, na_value=-np.inf)]
+        # The next double below: a long limit beyond 2**53 must not be rounded up.
+        out["least"] = [np.nextafter(pdf["least"].to_numpy(np.float64, na_value=-np.inf), -np.inf)]
         return out
 
     asked = with_limit.groupBy("block").applyInPandas(pack_block, "block int, ids array<long>, dim int, data binary, least array<double>")
-    asked = asked.select(F.struct("ids", "dim", "data", "least").alias("q"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
-    asked = asked.repartition(shards * blocks, "shard", F.col("q.ids")[0])
-
-    def second_pass(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for r in pdf.itertuples(index=False):
-                yield _searched(r.ids, r.dim, r.data, r.q["ids"], r.q["dim"], r.q["data"], r.q["least"], k)
-
-    hits = packed.join(asked, "shard").mapInPandas(second_pass, "query_id long, vec_id long, score long")
+    # A shard meets the blocks of one part at a time; few shards meet smaller parts, so that all cores have work.
+    parts = min(blocks, max(-(-blocks // MEET_BLOCKS), -(-2 * parallelism(vectors.sparkSession) // shards)))
+    every = [F.explode(F.sequence(F.lit(0), F.lit(n - 1))) for n in (shards, parts)]
+    asked = asked.withColumn("part", F.pmod("block", F.lit(parts))).select("*", every[0].alias("shard"))
+    held = packed.select("*", every[1].alias("part"))
+    asked, held = (t.repartition(shards * parts, "shard", "part") for t in (asked, held))
+
+    def second_pass(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        found = [pd.DataFrame(columns=HITS.split(), dtype="int64")]
+        for r in left.itertuples(index=False):  # one row, or none
+            shard = Shard(r.ids, r.dim, r.data)
+            found += [shard.search(q.ids, q.dim, q.data, q.least, k) for q in right.itertuples(index=False)]
+        return pd.concat(found, ignore_index=True)
+
+    pairs = held.groupBy("shard", "part").cogroup(asked.groupBy("shard", "part"))
+    hits = pairs.applyInPandas(second_pass, "query_id long, vec_id long, score long")
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -49,6 +49,52 @@ def test_top_k_is_exact(spark, shard_rows, block):
     assert sorted(tuple(r) for r in got.select("query_id", "rank", "vec_id", "score").collect()) == brute(rows, 50, 5)
 
 
+def long_scores(x, queries, k):
+    out = []
+    for q in queries:
+        scores = sorted((-sum(int(256 * a) * int(256 * b) for a, b in zip(x[q], v)), i) for i, v in enumerate(x) if i != q)
+        out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scores[:k])]
+    return out
+
+
+@pytest.mark.parametrize("size", [2**17, 2**21])
+def test_scores_are_exact_as_doubles_and_as_longs(spark, size):
+    rng = np.random.default_rng(5)
+    x = [[float(a), float(-a), float(b)] for a, b in zip(rng.integers(size - 9, size, 40), rng.integers(0, 200, 40))]
+    df = spark.createDataFrame(list(enumerate(x)), "vec_id long, embedding array<double>")
+    got = kd_search.top_k(df, F.col("vec_id") % 4 == 0, shard_rows=10, block_queries=3)
+    assert sorted(tuple(r) for r in got.collect()) == long_scores(x, range(0, 40, 4), 5)
+
+
+def test_sums_may_leave_64_bits_where_scores_do_not(spark):
+    x = [[2.0**27, 2.0**27, 3.0], *[[float(2**27 - i), float(i - 2**27), float(i * i % 37)] for i in range(30)]]
+    df = spark.createDataFrame(list(enumerate(x)), "vec_id long, embedding array<double>")
+    got = kd_search.top_k(df, F.col("vec_id") == 0, shard_rows=10)
+    assert sorted(tuple(r) for r in got.collect()) == long_scores(x, [0], 5)
+    with pytest.raises(Exception, match="(?i)overflow|too large|too big"):  # 2 * 2**70
+        kd_search.top_k(df, F.col("vec_id") == 5, shard_rows=10).collect()
+
+
+def test_a_component_beyond_64_bits_raises(spark):
+    df = spark.createDataFrame([(0, [1e30]), (1, [1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="does not fit 64 bits"):
+        kd_search.top_k(df, F.col("vec_id") == 0).collect()
+
+
+def test_a_shard_builds_its_tree_once_for_a_part_of_the_blocks():
+    shard = kd_search.Shard(np.arange(3), 1, np.arange(3, dtype=np.int64).tobytes())
+    for q in (1, 2):
+        assert shard.search([9], 1, np.array([q], np.int64).tobytes(), [-np.inf], 1).values.tolist() == [[9, 2, 2 * q]]
+    assert len(shard.trees) == 1
+
+
+def test_more_hits_than_the_beam(spark):
+    x = vectors(300, seed=9)
+    got = nn_descent.nearest(frame(spark, x), F.col("vec_id") % 100 == 0, k=100)
+    counts = {r["query_id"]: r["count"] for r in got.groupBy("query_id").count().collect()}
+    assert counts == {0: 100, 100: 100, 200: 100}
+
+
 def test_large_components_stay_exact(spark):
     rows = [(i, [float(2**20 + i), float(-(2**19)), 3.0 * i], None, None) for i in range(12)]
     got = kd_search.top_k(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") == 0, k=3).collect()
