@@ -13,7 +13,7 @@ def _least(edges: DataFrame) -> DataFrame:
     return edges.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
 
 
-def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable, for nodes with an edge.
 
     ``edges`` has columns a and b (long).  Each round links every node's larger
@@ -23,7 +23,7 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     """
     now = staged(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     before = None
-    for _ in range(rounds):
+    while True:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = both.join(_least(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         small = large.join(_least(large), "u")
