@@ -37,6 +37,8 @@ where the graph reaches them; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from itertools import count
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -287,6 +289,7 @@ def _entered(index: Index, asked: DataFrame, beam: int, parts: int) -> DataFrame
 
 def search(index: Index, queries: DataFrame, k: int, beam: int = BEAM, rounds: int = SEARCH_ROUNDS) -> DataFrame:
     """(query_id, vec_id): the best hits of greedy search; ``queries`` has the ids of indexed rows."""
+    beam = max(beam, 2 * k)  # never fewer than what is asked for
     parts = 2 * parallelism(queries.sparkSession)
     part = F.pmod(F.xxhash64("task"), F.lit(parts))
     vectors = index.vectors.select("id", "v")
@@ -304,11 +307,14 @@ def search(index: Index, queries: DataFrame, k: int, beam: int = BEAM, rounds: i
     # A task is a query in a band; numbers hold once the table is staged.
     state = state.select(F.monotonically_increasing_id().alias("task"), "*")
     held = None
-    for turn_no in range(rounds):
+    for turn_no in count():
         last, state = held, staged(state, "ann-search")
         discard(last)
         held = state
-        if turn_no and state.where(F.size("frontier") > 0).isEmpty():
+        going = F.size("frontier") > 0
+        if turn_no >= rounds:  # further only where hits are missing
+            going = going & (F.size("ids") < k)
+        if turn_no and state.where(going).isEmpty():
             break
         opening = state.select("task", F.explode("frontier").alias("id"))
         met = opening.join(edges, "id").groupBy("task").agg(F.array_distinct(F.flatten(F.collect_list("others"))).alias("met"))
