@@ -3,19 +3,20 @@ ranges ``[low_offset, next_offset)``.
 
 Offsets of a partition are nearly contiguous, so what a table holds is a row
 per gap instead of a row per message.  Nothing here sorts a whole partition:
-offsets become ranges inside buckets of ``OFFSETS_PER_BUCKET``, and a batch
-meets ranges only in buckets of ``OFFSETS_PER_PIECE``.
+offsets become ranges, and ranges are merged, inside buckets of
+``OFFSETS_PER_BUCKET``, and a batch meets ranges only in buckets of
+``OFFSETS_PER_PIECE``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata import schemas
 
 #: Offsets whose ranges one window finds.
-OFFSETS_PER_BUCKET = 1_000_000
+OFFSETS_PER_BUCKET = 1 << 18
 #: Offsets within which a batch's rows are compared with ranges.
 OFFSETS_PER_PIECE = 4096
 
@@ -23,24 +24,49 @@ PLACE = ("kafka_topic", "kafka_partition")
 RANGE = (*PLACE, "low_offset", "next_offset")
 
 
+def _bucket(offset: str) -> Column:
+    return F.expr(f"({offset} - pmod({offset}, {OFFSETS_PER_BUCKET}L)) div {OFFSETS_PER_BUCKET}L")
+
+
+def _joined(ranges: DataFrame, group: tuple[str, ...]) -> DataFrame:
+    """Overlapping and touching ranges of a group become one.
+
+    One sort and no aggregate: a row opens a range where all rows before it
+    have ended, and that range ends where the rows before the next opening do."""
+    order = Window.partitionBy(*group).orderBy("low_offset", "next_offset")
+    marked = ranges.select(
+        *ranges.columns,
+        F.max("next_offset").over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
+        F.max("next_offset").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_last"),
+    )
+    opening = marked.filter(F.col("_before").isNull() | (F.col("_before") < F.col("low_offset")))
+    end = F.coalesce(F.lead("_before").over(order), F.col("_last"))
+    return opening.select(*group, "low_offset", end.alias("next_offset"))
+
+
 def islands(keys: DataFrame) -> DataFrame:
     """Ranges that hold exactly the offsets of ``keys`` (repeats allowed), at
     least one per bucket of offsets."""
-    bucket = F.expr(f"kafka_offset div {OFFSETS_PER_BUCKET}")
-    once = keys.filter(F.col("kafka_offset").isNotNull()).select(*schemas.TRANSPORT_KEY, bucket.alias("_bucket")).distinct()
-    place = F.row_number().over(Window.partitionBy(*PLACE, "_bucket").orderBy("kafka_offset"))
-    runs = once.withColumn("_run", F.col("kafka_offset") - place).groupBy(*PLACE, "_bucket", "_run")
-    return runs.agg(F.min("kafka_offset").alias("low_offset"), (F.max("kafka_offset") + 1).alias("next_offset")).select(*RANGE)
+    once = keys.filter(F.col("kafka_offset").isNotNull()).select(*schemas.TRANSPORT_KEY).distinct()
+    single = once.select(
+        *PLACE, F.col("kafka_offset").alias("low_offset"), (F.col("kafka_offset") + 1).alias("next_offset"), _bucket("kafka_offset").alias("_bucket"))
+    return _joined(single, (*PLACE, "_bucket")).select(*RANGE)
 
 
 def merged(ranges: DataFrame) -> DataFrame:
     """The same offsets in as few ranges as possible: overlapping and touching
-    ranges become one."""
-    order = Window.partitionBy(*PLACE).orderBy("low_offset", "next_offset")
-    before = F.max("next_offset").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    opens = F.when(before >= F.col("low_offset"), 0).otherwise(1)
-    numbered = ranges.select(*RANGE, opens.alias("_opens")).withColumn("_run", F.sum("_opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return numbered.groupBy(*PLACE, "_run").agg(F.min("low_offset").alias("low_offset"), F.max("next_offset").alias("next_offset")).select(*RANGE)
+    ranges become one.
+
+    Ranges are cut at bucket borders and joined inside each bucket.  What is
+    left to join lies at a border, at most two ranges a bucket; only those
+    meet in a window over the topic-partition."""
+    buckets = F.explode(F.sequence(_bucket("low_offset"), _bucket("(next_offset - 1)"))).alias("_bucket")
+    start = F.col("_bucket") * OFFSETS_PER_BUCKET
+    cut = ranges.select(*RANGE, buckets).select(
+        *PLACE, F.greatest("low_offset", start).alias("low_offset"), F.least("next_offset", start + OFFSETS_PER_BUCKET).alias("next_offset"), "_bucket")
+    inner = _joined(cut, (*PLACE, "_bucket"))
+    border = (F.col("low_offset") % OFFSETS_PER_BUCKET == 0) | (F.col("next_offset") % OFFSETS_PER_BUCKET == 0)
+    return inner.filter(~border).select(*RANGE).unionByName(_joined(inner.filter(border), PLACE).select(*RANGE))
 
 
 def clipped(ranges: DataFrame, ends: DataFrame) -> DataFrame:

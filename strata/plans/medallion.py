@@ -105,9 +105,9 @@ def _store(spark: SparkSession, layout: schemas.Layout, ranges: DataFrame, anew:
     folder = run_dir(spark, "offsets")
     try:
         old = spark.table(layout.offsets).select(*offsets.RANGE)
-        offsets.merged(ranges if anew else old.unionByName(ranges)).coalesce(1).write.parquet(folder)
+        offsets.merged(ranges if anew else old.unionByName(ranges)).write.parquet(folder)
         new = spark.read.schema(schemas.STORED_OFFSETS).parquet(folder)
-        new.coalesce(1).write.format(layout.fmt).mode("overwrite").saveAsTable(layout.offsets)
+        new.write.format(layout.fmt).mode("overwrite").saveAsTable(layout.offsets)
     finally:
         drop_folder(spark, folder)
 

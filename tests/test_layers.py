@@ -130,6 +130,37 @@ def test_ranges_equal_sets_of_offsets(spark, monkeypatch):
     assert sorted(map(str, left)) == sorted(map(str, want))
 
 
+def test_ranges_merge_across_buckets(spark, monkeypatch):
+    monkeypatch.setattr(offsets, "OFFSETS_PER_BUCKET", 7)
+    rnd = random.Random(6)
+    rows = []
+    for _ in range(60):
+        low = rnd.randrange(300)
+        rows.append((rnd.choice("ab"), rnd.randrange(2), low, low + rnd.choice((1, 1, 2, 7, 30))))
+    ranges = spark.createDataFrame(rows, schemas.STORED_OFFSETS)
+    held = {(t, p, o) for t, p, low, end in rows for o in range(low, end)}
+    want = [(t, p, o) for t, p, o in held if (t, p, o - 1) not in held]
+    got = offsets.merged(ranges).collect()
+    assert sorted((r.kafka_topic, r.kafka_partition, r.low_offset) for r in got) == sorted(want)
+    assert {(r.kafka_topic, r.kafka_partition, o) for r in got for o in range(r.low_offset, r.next_offset)} == held
+
+
+def test_the_offset_log_is_written_by_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(offsets, "OFFSETS_PER_BUCKET", 64)
+    layout, _ = runs.fresh_layout(spark, "t-log")
+    ranges = spark.range(0, 4000, 2).selectExpr("'t' AS kafka_topic", "0 AS kafka_partition", "id AS low_offset", "id + 1 AS next_offset")
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        medallion._store(spark, layout, ranges, anew=True)
+    finally:
+        spark.conf.set(setting, before)
+    spark.catalog.refreshTable(layout.offsets)
+    assert spark.table(layout.offsets).count() == 2000
+    assert len(spark.table(layout.offsets).inputFiles()) > 1  # one partition of the topic, yet not one task
+
+
 def test_silver_redelivery_wins_and_key_is_unique(spark):
     first = bronze_rows(spark, [text(CorrelationId="a"), text(CorrelationId="b")])
     later = bronze_rows(spark, [text(CorrelationId="a2")], clock_shift_days=1)
