@@ -5,11 +5,11 @@ with a smaller id.  Every 50-byte string counts, overlaps included, judged on
 the input.
 
 1. Anchors.  Among the 16-byte hashes inside a 50-byte string the least one is
-   its anchor, so equal strings have equal anchors wherever they stand.  About
-   one position in eighteen is an anchor.  Anchors are compared across the
+   its anchor, so equal strings have equal anchors wherever they stand.  It
+   changes at about one position in eighteen.  Anchors are compared across the
    corpus, packed by hash bucket; those met in one document only are done with.
-2. Fragments.  Around each anchor that several documents have, the run of text
-   whose 50-byte strings it owns is a fragment.  Fragments meet by anchor, so
+2. Fragments.  Neighbouring 50-byte strings with one anchor that several
+   documents have make up a fragment.  Fragments meet by anchor, so
    all equal strings meet; equal fragments are one, with the smallest document.
 3. Suffix arrays.  Anchors with fragments that differ are gathered into shards;
    stretches whose 50-byte strings all occur once, by hash, are left out.
@@ -54,6 +54,11 @@ BUCKET_BYTES = 2 << 20
 PART_BYTES = 8 << 20
 #: Text in a suffix array, unless one anchor alone has more.
 SHARD_BYTES = 8 << 20
+#: Bytes of texts hashed at once, unless one text alone has more, and strings in a fragment.
+TEXT_BLOCK = 1 << 18
+RUN = 1 << 12
+#: Fragments whose bytes are gathered at once.
+GATHER_ROWS = 1 << 14
 #: Bytes hashed at once inside a shard.
 HASH_BLOCK = 1 << 20
 LAST = np.iinfo(np.int64).max
@@ -77,22 +82,41 @@ def sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
     return pick(values[: len(values) - rest], values[rest:]) if rest else values
 
 
-def anchors(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, first, last) of each anchor: the starts of the strings it owns."""
+def blocks_of(cuts: np.ndarray) -> Iterator[tuple[int, int]]:
+    """[low, high) of texts that are hashed at once, given where each begins and the last one ends."""
+    low = 0
+    while low < len(cuts) - 1:
+        high = max(low + 1, int(np.searchsorted(cuts, cuts[low] + TEXT_BLOCK, side="right")) - 1)
+        yield low, high
+        low = high
+
+
+def anchors(data: np.ndarray, cuts: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, first, last, text) of runs of strings with equal anchors, for texts
+    that lie end to end in ``data``, text k from ``cuts[k]`` to ``cuts[k + 1]``.
+
+    A run never leaves its text and holds at most ``RUN`` strings."""
     none = np.zeros(0, np.int64)
-    if len(data) < length:
-        return none.view(np.uint64), none, none
-    hashes, width = gram_hashes(data), length - GRAM + 1
-    least = sliding(hashes, width, np.minimum)
-    edge = np.zeros(width - 1, np.uint64)
-    at = np.flatnonzero(hashes == sliding(np.concatenate([edge, least, edge]), width, np.maximum))
-    own = hashes[at]
-    # The next anchor takes over when it enters the string with a smaller hash, or when this one leaves it.
-    first = np.concatenate([[0], np.where(own[1:] < own[:-1], at[1:] - width + 1, at[:-1] + 1)])
-    # Of equal hashes one may leave before the other gets its turn: whichever later anchor starts first ends it.
-    last = np.minimum.accumulate(np.append(first[1:], len(data) - length + 1)[::-1])[::-1] - 1
-    some = last >= first
-    return own[some], first[some], last[some]
+    count = len(data) - length + 1
+    if count < 1:
+        return none.view(np.uint64), none, none, none
+    least = sliding(gram_hashes(data), length - GRAM + 1, np.minimum)
+    opens = np.ones(count, bool)
+    np.not_equal(least[1:], least[:-1], out=opens[1:])
+    for edge in (cuts[:-1], np.maximum(cuts[1:] - length + 1, cuts[:-1])):  # a text's first string, and the first that leaves it
+        opens[edge[edge < count]] = True
+    first = np.flatnonzero(opens)
+    last = np.append(first[1:], count) - 1
+    text = np.searchsorted(cuts, first, side="right") - 1
+    inside = first + length <= cuts[text + 1]
+    first, last, text = first[inside], last[inside], text[inside]
+    pieces = (last - first) // RUN + 1
+    if len(pieces) and pieces.max() > 1:
+        place = np.arange(int(pieces.sum())) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        first, last, text = (np.repeat(x, pieces) for x in (first, last, text))
+        first = first + place * RUN
+        last = np.minimum(first + RUN - 1, last)
+    return least[first], first, last, text
 
 
 def bucketed(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -106,15 +130,26 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("id"), text.alias("text"), F.hash(text).alias("mark"))
 
 
+def _bytes(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a text column end to end, and where each text begins and the last one ends."""
+    column = texts.cast(pa.large_binary())
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    _, offsets, data = column.buffers()
+    cuts = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int64)
+    raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return raw[cuts[0] : cuts[-1]], cuts - cuts[0]
+
+
 def shared_anchors(rows: DataFrame, buckets: int, parts: int) -> DataFrame:
-    """(part, ids, keys): per part of documents, the anchors that other documents have too."""
+    """(part, keys): per part of documents, the anchors that other documents have too."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
         def dealt():
-            bucket, key = bucketed(np.concatenate([h for _, h in held]), buckets)
-            ids = np.repeat(np.array([i for i, _ in held], np.int64), [len(h) for _, h in held])
+            hashes, ids = (np.concatenate([h[k] for h in held]) for k in (0, 1))
+            bucket, key = bucketed(hashes, buckets)
             order = np.argsort(bucket, kind="stable")
             cuts = np.searchsorted(bucket[order], np.arange(buckets + 1)).astype(np.int32)
             full = np.flatnonzero(np.diff(cuts)).astype(np.int32)
@@ -122,11 +157,17 @@ def shared_anchors(rows: DataFrame, buckets: int, parts: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(full), *lists], ["bucket", "keys", "ids"])
 
         for batch in text_batches(batches):
-            for who, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = np.unique(anchors(np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8))[0])
-                if len(found):
-                    held.append((who, found))
-                    size += len(found)
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            data, cuts = _bytes(batch.column(1))
+            for low, high in blocks_of(cuts):
+                own, _, _, text = anchors(data[cuts[low] : cuts[high]], cuts[low : high + 1] - cuts[low])
+                order = np.lexsort((own, text))
+                own, text = own[order], text[order]
+                fresh = np.ones(len(own), bool)
+                fresh[1:] = (own[1:] != own[:-1]) | (text[1:] != text[:-1])
+                if len(own):
+                    held.append((own[fresh], ids[low + text[fresh]]))
+                    size += int(fresh.sum())
             if size > 2_000_000:
                 yield dealt()
                 held, size = [], 0
@@ -143,16 +184,18 @@ def shared_anchors(rows: DataFrame, buckets: int, parts: int) -> DataFrame:
         keep = np.repeat(several, np.diff(np.append(start, len(ids))))
         fresh = np.concatenate([[True], (key[1:] != key[:-1]) | (ids[1:] != ids[:-1])]) if len(key) else keep
         key, ids = key[keep & fresh], ids[keep & fresh]
-        part = part_of(ids, parts)
-        order = np.argsort(part, kind="stable")
-        cuts = np.searchsorted(part[order], np.arange(parts + 1)).astype(np.int32)
+        part, whole = part_of(ids, parts), table.column("bucket")[0].as_py() << 32 | key if len(key) else key
+        order = np.lexsort((whole, part))
+        part, whole = part[order], whole[order]
+        fresh = np.ones(len(part), bool)
+        fresh[1:] = (part[1:] != part[:-1]) | (whole[1:] != whole[:-1])
+        part, whole = part[fresh], whole[fresh]
+        cuts = np.searchsorted(part, np.arange(parts + 1)).astype(np.int32)
         full = pa.array(np.flatnonzero(np.diff(cuts)).astype(np.int32))
-        whole = table.column("bucket")[0].as_py() << 32 | key if len(key) else key
-        lists = [pa.ListArray.from_arrays(pa.array(cuts), pa.array(x[order])).take(full) for x in (ids, whole)]
-        return pa.table([full, *lists], names=["part", "ids", "keys"])
+        return pa.table([full, pa.ListArray.from_arrays(pa.array(cuts), pa.array(whole)).take(full)], names=["part", "keys"])
 
     dealt = rows.select("id", "text").mapInArrow(deal, "bucket int, keys array<int>, ids array<long>")
-    return dealt.groupBy("bucket").applyInArrow(meet, "part int, ids array<long>, keys array<long>")
+    return dealt.groupBy("bucket").applyInArrow(meet, "part int, keys array<long>")
 
 
 def part_of(ids: np.ndarray, parts: int) -> np.ndarray:
@@ -175,6 +218,53 @@ def joined(ats: list[int]) -> list[int]:
     return out
 
 
+def joined_arrays(ats: np.ndarray, *document: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``joined`` for the places of many documents, sorted by document and place:
+    the places, and a row of each one's document."""
+    if not len(ats):
+        return ats, np.zeros(0, np.int64)
+    other = np.ones(len(ats), bool)
+    other[1:] = np.logical_or.reduce([d[1:] != d[:-1] for d in document])
+    rank = np.cumsum(other) - 1
+    reach = np.maximum.accumulate(rank << 32 | ats & 0xFFFFFFFF) & 0xFFFFFFFF
+    opens = other.copy()
+    opens[1:] |= ats[1:] >> 32 > reach[:-1]
+    first = np.flatnonzero(opens)
+    return ats[first] & ~0xFFFFFFFF | reach[np.append(first[1:], len(ats)) - 1], first
+
+
+def gathered(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of some stretches end to end, and where each begins and the last one ends."""
+    cuts = np.append(0, np.cumsum(size))
+    return data[np.repeat(start - cuts[:-1], size) + np.arange(cuts[-1])], cuts
+
+
+def equal_bytes(data: np.ndarray, start: np.ndarray, size: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Whether each of ``rows`` has the bytes of the row before it, which is as long."""
+    out = np.ones(len(rows), bool)
+    for low in range(0, len(rows), GATHER_ROWS):
+        some = rows[low : low + GATHER_ROWS]
+        mine, cuts = gathered(data, start[some], size[some])
+        out[low : low + GATHER_ROWS] = np.logical_and.reduceat(mine == gathered(data, start[some - 1], size[some])[0], cuts[:-1])
+    return out
+
+
+def fragment_table(key, who, mark, data, start, size, ats, counts, whole) -> pa.Table:
+    """Rows of ``fragments``, in the order of the texts: neighbours there overlap, and compress together."""
+    bounds = np.append(0, np.cumsum(counts)).astype(np.int32)
+    order = np.lexsort((ats[bounds[:-1]], who)) if len(key) else key
+    types = (pa.int64(), pa.int64(), pa.int32())
+    columns = [pa.array(x[order], t) for x, t in zip((key, who, mark), types)]
+    lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(ats)).take(pa.array(order))
+    texts = []
+    for low in range(0, len(order), GATHER_ROWS):
+        some = order[low : low + GATHER_ROWS]
+        raw, cuts = gathered(data, start[some], size[some])
+        valid = pa.py_buffer(np.packbits(whole[some], bitorder="little"))
+        texts.append(pa.Array.from_buffers(pa.binary(), len(some), [valid, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(raw)]))
+    return pa.table([columns[0], pa.chunked_array(texts, pa.binary()), *columns[1:], lists], names=["key", "fragment", "id", "mark", "ats"])
+
+
 def fragments(rows: DataFrame, shared: DataFrame, buckets: int, parts: int) -> DataFrame:
     """(key, fragment, id, mark, ats): text around shared anchors and the places
     that have it, each start << 32 | end.
@@ -184,36 +274,53 @@ def fragments(rows: DataFrame, shared: DataFrame, buckets: int, parts: int) -> D
     """
 
     def cut(texts: pa.Table, met: pa.Table) -> pa.Table:
-        out = []
-        if met.num_rows and texts.num_rows:
-            ids = met.column("ids").combine_chunks().flatten().to_numpy()
-            keys = met.column("keys").combine_chunks().flatten().to_numpy()
-            order = np.argsort(ids, kind="stable")
-            ids, keys = ids[order], keys[order]
-            for who, text, mark in zip(*(texts.column(c).to_pylist() for c in ("id", "text", "mark"))):
-                a, b = np.searchsorted(ids, [who, who + 1]) if who < LAST else (np.searchsorted(ids, who), len(ids))
-                if a == b:
-                    continue
-                raw = text.encode("utf-8", "surrogatepass")
-                own, first, last = anchors(np.frombuffer(raw, np.uint8))
-                bucket, key = bucketed(own, buckets)
-                whole = bucket << 32 | key
-                hit = np.isin(whole, keys[a:b])
-                for k, s, e in zip(whole[hit].tolist(), first[hit].tolist(), (last[hit] + LENGTH).tolist()):
-                    out.append((k, raw[s:e], who, mark, s << 32 | e))
-        out.sort()
-        done, gone = [], defaultdict(list)
-        for (k, piece), rows_of in groupby(out, key=itemgetter(0, 1)):
-            least, places = None, defaultdict(list)
-            for _, _, who, mark, at in rows_of:
-                least = who if least is None else least
-                (places if who == least else gone)[who, mark].append(at)
-            done += [(k, piece, who, mark, ats) for (who, mark), ats in places.items()]
-        done += [(who, None, who, mark, joined(ats)) for (who, mark), ats in gone.items()]
-        done.sort(key=lambda r: (r[2], r[4][0]))  # neighbours in a text overlap, and compress together
-        columns = list(zip(*done)) if done else [()] * 5
-        types = (pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.list_(pa.int64()))
-        return pa.table([pa.array(c, t) for c, t in zip(columns, types)], names=["key", "fragment", "id", "mark", "ats"])
+        keys = np.unique(met.column("keys").combine_chunks().flatten().to_numpy()) if met.num_rows else np.zeros(0, np.int64)
+        data, cuts = _bytes(texts.column("text"))
+        ids, marks = (texts.column(c).to_numpy() for c in ("id", "mark"))
+        found = []
+        for low, high in blocks_of(cuts) if len(keys) else ():
+            at = cuts[low]
+            block = data[at : cuts[high]]
+            own, first, last, text = anchors(block, cuts[low : high + 1] - at)
+            bucket, key = bucketed(own, buckets)
+            whole = bucket << 32 | key
+            hit = keys[np.minimum(np.searchsorted(keys, whole), len(keys) - 1)] == whole
+            first, end = first[hit], last[hit] + LENGTH
+            power, inverse = powers(1 << max(18, len(block).bit_length()))
+            total = np.zeros(len(block) + 1, np.uint64)
+            np.cumsum((block.astype(np.uint64) + U(1)) * power[: len(block)], out=total[1:])
+            found.append((whole[hit], mix((total[end] - total[first]) * inverse[first]), first + at, end - first, text[hit] + low))
+        if not found:
+            return fragment_table(*[np.zeros(0, np.int64)] * 3, data, *[np.zeros(0, np.int64)] * 5)
+        key, digest, start, size, text = (np.concatenate([f[k] for f in found]) for k in range(5))
+        del found
+        who, mark = ids[text], marks[text].astype(np.int64)
+        order = np.lexsort((start, mark, who, digest, size, key))
+        key, digest, start, size, text, who, mark = (x[order] for x in (key, digest, start, size, text, who, mark))
+        same = np.zeros(len(key), bool)
+        same[1:] = (key[1:] == key[:-1]) & (size[1:] == size[:-1]) & (digest[1:] == digest[:-1])
+        same[same] = equal_bytes(data, start, size, np.flatnonzero(same))
+        head = np.flatnonzero(~same)  # the fragment's first row: its smallest document
+        group = np.cumsum(~same) - 1
+        least = who == who[head][group]
+        at = (start - cuts[text]) << 32 | (start - cuts[text] + size)
+        kept = np.flatnonzero(least)
+        opens = np.ones(len(kept), bool)
+        opens[1:] = (group[kept][1:] != group[kept][:-1]) | (mark[kept][1:] != mark[kept][:-1])
+        first = kept[opens]
+        gone = np.flatnonzero(~least)
+        gone = gone[np.lexsort((at[gone], mark[gone], who[gone]))]
+        spans, doc = joined_arrays(at[gone], who[gone], mark[gone])
+        here = np.ones(len(spans), bool)
+        here[1:] = (who[gone][doc][1:] != who[gone][doc][:-1]) | (mark[gone][doc][1:] != mark[gone][doc][:-1])
+        lone = gone[doc[here]]
+        rows_at = np.concatenate([first, lone])
+        counts = np.concatenate([np.diff(np.append(np.flatnonzero(opens), len(kept))), np.diff(np.append(np.flatnonzero(here), len(spans)))])
+        return fragment_table(
+            np.concatenate([key[first], who[lone]]), who[rows_at], mark[rows_at],
+            data, np.concatenate([start[first], start[lone]]), np.concatenate([size[first], np.zeros(len(lone), np.int64)]),
+            np.concatenate([at[kept], spans]), counts, np.arange(len(rows_at)) < len(first),
+        )
 
     placed = rows.withColumn("part", _part("id", F.lit(parts)))
     return placed.groupBy("part").cogroup(shared.groupBy("part")).applyInArrow(cut, "key long, fragment binary, id long, mark int, ats array<long>")

@@ -76,6 +76,52 @@ def test_removal_equals_brute_force(spark):
     assert sorted((tuple(r) for r in got), key=repr) == brute_removals(rows)
 
 
+def test_anchors_of_texts_end_to_end(monkeypatch):
+    """Every string is in one run, under its least hash; no run leaves its text or passes the limit."""
+    monkeypatch.setattr(suffix_dedup, "RUN", 64)
+    monkeypatch.setattr(suffix_dedup, "TEXT_BLOCK", 700)
+    rnd = random.Random(4)
+    texts = [t.encode() for _, t in passages(rnd, 30)] + [b"", b"ab" * 200, b"short", b"0" * 900, b"", b"x" * 50]
+    cuts = np.append(0, np.cumsum([len(t) for t in texts]))
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    held = {}
+    for low, high in suffix_dedup.blocks_of(cuts):
+        own, first, last, text = suffix_dedup.anchors(data[cuts[low] : cuts[high]], cuts[low : high + 1] - cuts[low])
+        for h, a, b, k in zip(own.tolist(), first.tolist(), last.tolist(), text.tolist()):
+            assert b - a < 64
+            for at in range(a, b + 1):
+                place = (low + k, at + int(cuts[low] - cuts[low + k]))
+                assert place not in held
+                held[place] = h
+    want = {}
+    for k, t in enumerate(texts):
+        for at in range(len(t) - 49):
+            want[k, at] = int(suffix_dedup.gram_hashes(np.frombuffer(t[at : at + 50], np.uint8)).min())
+    assert held == want
+
+
+def test_places_of_many_documents_are_joined():
+    rnd = random.Random(9)
+    rows = sorted((rnd.randrange(4), rnd.randrange(2), (s := rnd.randrange(400)) << 32 | s + rnd.randrange(1, 30)) for _ in range(120))
+    who, mark, ats = (np.array(x, np.int64) for x in zip(*rows))
+    spans, doc = suffix_dedup.joined_arrays(ats, who, mark)
+    got = defaultdict(list)
+    for span, at in zip(spans.tolist(), doc.tolist()):
+        got[int(who[at]), int(mark[at])].append(span)
+    want = defaultdict(list)
+    for w, m, at in rows:
+        want[w, m].append(at)
+    assert got == {k: suffix_dedup.joined(v) for k, v in want.items()}
+
+
+def test_a_long_run_of_one_byte(spark):
+    """One anchor owns a run longer than a fragment and than a block of texts."""
+    rows = [(1, "0" * 9000 + "a"), (2, "b" + "0" * 5000), (3, "0" * 60 + "c" + "0" * 4200), (4, "d" * 70)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in suffix_dedup.suffix_dedup(docs).collect()}
+    assert got == {1: 0, 2: 5000, 3: 4260, 4: 0}
+
+
 def test_removal_on_awkward_rows(spark):
     docs = awkward_docs(spark)
     got = suffix_dedup.suffix_dedup(docs).collect()
