@@ -45,7 +45,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import discard, ship, staged, text_batches
+from strata.llm.common import bytes_of, discard, gathered, ship, staged, text_batches
+from strata.llm.shingles import mix, powers
 
 #: One window in so many is a trigger.
 TRIGGER = 24
@@ -55,6 +56,8 @@ MIN_BITS, MAX_BITS = 1 << 15, 1 << 27
 CACHE_WORDS = 200_000
 #: Token bytes handled at once when runs are counted.
 SLAB_BYTES = 4 << 20
+#: Words of more bytes are hashed one by one.
+LONG_WORD = 64
 #: Stands between pieces; a line end is never part of a word.
 MARK = b"\n"
 _APART = b"\xff"  # never part of UTF-8
@@ -153,23 +156,49 @@ def _has(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return found
 
 
-def _slabs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes], list[bool], list[int]]]:
-    """Chunks of one language at a time, out of about ``SLAB_BYTES`` of all."""
-    held: dict[str, tuple[list, list, list]] = {}
-    size = 0
+def _slabs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Chunks of one language at a time, out of about ``SLAB_BYTES`` of all:
+    their bytes end to end, where each begins and the last one ends, whether
+    they end a text, and their frequencies."""
+    held, size = [], 0
+
+    def dealt():
+        table = pa.Table.from_batches(held)
+        lang = table.column(0).combine_chunks().dictionary_encode()
+        code = lang.indices.to_numpy()
+        order = np.argsort(code, kind="stable")
+        table = table.take(pa.array(order))
+        cuts = np.searchsorted(code[order], np.arange(len(lang.dictionary) + 1)).tolist()
+        for name, low, high in zip(lang.dictionary.to_pylist(), cuts, cuts[1:]):
+            own = table.slice(low, high - low)
+            yield name, *bytes_of(own.column(1)), own.column(2).to_numpy(), own.column(3).to_numpy()
+
     for batch in batches:
-        lang, chunk, last, freq = (batch.column(i) for i in range(4))
-        chunk = chunk.cast(pa.binary()).to_pylist()
-        for code, body, end, n in zip(lang.to_pylist(), chunk, last.to_pylist(), freq.to_pylist(), strict=True):
-            for part, value in zip(held.setdefault(code, ([], [], [])), (body, end, n), strict=True):
-                part.append(value)
-            size += len(body)
-            if size >= SLAB_BYTES:
-                for name in list(held):
-                    yield name, *held.pop(name)
-                size = 0
-    for name in list(held):
-        yield name, *held.pop(name)
+        held.append(batch)
+        size += batch.column(1).nbytes
+        if size >= SLAB_BYTES:
+            yield from dealt()
+            held, size = [], 0
+    if held and size:
+        yield from dealt()
+
+
+def _words(data: np.ndarray, cuts: np.ndarray, lang: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(first, end, hash, is a word) of the tokens of chunks that lie end to end.
+
+    Short words get a polynomial hash from one running sum over the bytes,
+    longer ones, for which that is weak, are hashed one by one."""
+    space = np.flatnonzero(data == 32)
+    first = np.sort(np.concatenate([cuts[:-1], space + 1]))
+    end = np.sort(np.concatenate([space, cuts[1:]]))
+    power, inverse = powers(1 << max(16, len(data).bit_length()))
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=total[1:])
+    size = end - first
+    hashes = mix((total[end] - total[first]) * inverse[first] + size.astype(np.uint64))
+    for i in np.flatnonzero(size > LONG_WORD).tolist():
+        hashes[i] = xxhash.xxh64_intdigest(data[first[i] : end[i]].tobytes())
+    return first, end, hashes ^ np.uint64(xxhash.xxh64_intdigest(lang.encode())), data[first] != MARK[0]
 
 
 def count_runs(
@@ -185,21 +214,19 @@ def count_runs(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(bitmap.value, np.uint8) if bitmap is not None else None
-        cache = Hashes()
-        for code, bodies, ends, freqs in _slabs(batches):
-            tokens = b" ".join([b" ".join((body, MARK)) for body in bodies]).split(b" ")  # a mark parts the chunks
-            lens = np.array([body.count(b" ") for body in bodies], np.int64) + 2
-            hashes, word = cache.of(tokens, code)
-            first = np.cumsum(lens) - lens
-            own = lens - 1 - np.where(np.array(ends), 0, overlap)  # places in a chunk's own part
-            place = np.arange(len(tokens)) - np.repeat(first, lens)
-            weight = np.where(place < np.repeat(own, lens), np.repeat(np.array(freqs, np.int64), lens), 0)
+        for code, data, cuts, ends, freqs in _slabs(batches):
+            start, end, hashes, word = _words(data, cuts, code)
+            first = np.searchsorted(start, cuts[:-1])
+            lens = np.diff(np.append(first, len(start)))
+            left = np.repeat(first + lens, lens) - np.arange(len(start))  # tokens from here to the chunk's end
+            own = left > np.repeat(np.where(ends, 0, overlap), lens)  # places in a chunk's own part
+            weight = np.where(own, np.repeat(freqs, lens), 0)
             good = None if bits is None else _has(bits, joined(hashes, known_words))
             for n in sizes:
-                if len(tokens) < n:
+                if len(start) < n:
                     continue
-                many = len(tokens) - n + 1
-                take = weight[:many] > 0
+                many = len(start) - n + 1
+                take = own[:many] & (left[:many] >= n)
                 for i in range(n):
                     take &= word[i : many + i]
                 if good is not None:
@@ -211,8 +238,10 @@ def count_runs(
                 keys, where, sums = summed(joined(hashes, n)[at], weight[at])
                 columns = {"h": pa.array(keys.view(np.int64)), "n": pa.array(sums)}
                 if "phrase" in names:
-                    phrases = [b" ".join(tokens[i : i + n]) for i in at[where].tolist()]
-                    columns |= {"lang": pa.array([code] * len(phrases), pa.string()), "phrase": pa.array(phrases, pa.binary()).cast(pa.string())}
+                    low = start[at[where]]
+                    raw, bounds = gathered(data, low, end[at[where] + n - 1] - low)
+                    phrases = pa.Array.from_buffers(pa.string(), len(low), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(raw)])
+                    columns |= {"lang": pa.repeat(pa.scalar(code, pa.string()), len(low)), "phrase": phrases}
                 yield pa.record_batch([columns[c] for c in names], names=names)
 
     names = [field.split()[0] for field in schema.split(", ")]

@@ -9,6 +9,7 @@ import uuid
 import zipfile
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,6 +89,23 @@ def text_batches(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> I
             yield batch.slice(at, rows)
 
 
+def bytes_of(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a text column end to end, and where each text begins and the last one ends."""
+    column = texts.cast(pa.large_binary())
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    _, offsets, data = column.buffers()
+    cuts = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int64)
+    raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return raw[cuts[0] : cuts[-1]], cuts - cuts[0]
+
+
+def gathered(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of some stretches end to end, and where each begins and the last one ends."""
+    cuts = np.append(0, np.cumsum(size))
+    return data[np.repeat(start - cuts[:-1], size) + np.arange(cuts[-1])], cuts
+
+
 def usable_vector(vector: Column, allow_zero: bool = True) -> Column:
     """True where a vector is not null and all its components are finite numbers."""
     value = vector.cast("array<double>")

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
-from strata.llm.common import discard, parallelism, staged, text_batches
+from strata.llm.common import bytes_of, discard, gathered, parallelism, staged, text_batches
 from strata.llm.induced_sort import array_of, sorted_suffixes
 from strata.llm.shingles import powers, mix
 
@@ -130,17 +130,6 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("id"), text.alias("text"), F.hash(text).alias("mark"))
 
 
-def _bytes(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """All bytes of a text column end to end, and where each text begins and the last one ends."""
-    column = texts.cast(pa.large_binary())
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    _, offsets, data = column.buffers()
-    cuts = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int64)
-    raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
-    return raw[cuts[0] : cuts[-1]], cuts - cuts[0]
-
-
 def shared_anchors(rows: DataFrame, buckets: int, parts: int) -> DataFrame:
     """(part, keys): per part of documents, the anchors that other documents have too."""
 
@@ -158,7 +147,7 @@ def shared_anchors(rows: DataFrame, buckets: int, parts: int) -> DataFrame:
 
         for batch in text_batches(batches):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            data, cuts = _bytes(batch.column(1))
+            data, cuts = bytes_of(batch.column(1))
             for low, high in blocks_of(cuts):
                 own, _, _, text = anchors(data[cuts[low] : cuts[high]], cuts[low : high + 1] - cuts[low])
                 order = np.lexsort((own, text))
@@ -233,12 +222,6 @@ def joined_arrays(ats: np.ndarray, *document: np.ndarray) -> tuple[np.ndarray, n
     return ats[first] & ~0xFFFFFFFF | reach[np.append(first[1:], len(ats)) - 1], first
 
 
-def gathered(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of some stretches end to end, and where each begins and the last one ends."""
-    cuts = np.append(0, np.cumsum(size))
-    return data[np.repeat(start - cuts[:-1], size) + np.arange(cuts[-1])], cuts
-
-
 def equal_bytes(data: np.ndarray, start: np.ndarray, size: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Whether each of ``rows`` has the bytes of the row before it, which is as long."""
     out = np.ones(len(rows), bool)
@@ -275,7 +258,7 @@ def fragments(rows: DataFrame, shared: DataFrame, buckets: int, parts: int) -> D
 
     def cut(texts: pa.Table, met: pa.Table) -> pa.Table:
         keys = np.unique(met.column("keys").combine_chunks().flatten().to_numpy()) if met.num_rows else np.zeros(0, np.int64)
-        data, cuts = _bytes(texts.column("text"))
+        data, cuts = bytes_of(texts.column("text"))
         ids, marks = (texts.column(c).to_numpy() for c in ("id", "mark"))
         found = []
         for low, high in blocks_of(cuts) if len(keys) else ():

@@ -100,6 +100,19 @@ def plain_collocations(rows, longest, least, most, covered=80):
     return sorted(out)
 
 
+def test_words_of_chunks_end_to_end():
+    long = b"x" * 65
+    chunks = [b"a bc \n a", b"\n", b"bc", long + b" " + long + b"y a", "é bc".encode()]
+    cuts = np.append(0, np.cumsum([len(c) for c in chunks]))
+    data = np.frombuffer(b"".join(chunks), np.uint8)
+    first, end, hashes, word = collocations._words(data, cuts, "en")
+    tokens = [t for c in chunks for t in c.split(b" ")]
+    assert [data[a:b].tobytes() for a, b in zip(first, end)] == tokens
+    assert word.tolist() == [t != b"\n" for t in tokens]
+    assert len(set(zip(tokens, hashes.tolist()))) == len(set(tokens)) == len(set(hashes.tolist()))
+    assert not set(hashes.tolist()) & set(collocations._words(data, cuts, "fr")[2].tolist())
+
+
 def test_collocations_equal_a_plain_version(spark):
     more = [(200 + i, "New York City is. New York\tCity was! the New\nYork", "s0", ("en", None, "fr")[i % 3], None, None, None, None) for i in range(40)]
     docs = awkward_docs(spark, more)
