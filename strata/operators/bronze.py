@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from strata import schemas
 from strata.operators import offsets
 from strata.operators.latest import latest_by, oldest_first
-from strata.session import run_dir
+from strata.session import run_dir, staged
 
 ACCEPTED_STATUS = "accepted"
 
@@ -164,8 +164,7 @@ def message_outcome(validated_deliveries: DataFrame, stage: str | None = None, s
     delivery = [*schemas.TRANSPORT_KEY, "ingested_at_utc", "kafka_timestamp_utc", "raw_message_json"]
     verdict = ["parse_reason", "validation_errors", "validation_reason"]  # follow from the text
     collapsed = validated_deliveries.groupBy(*delivery, *verdict).agg(F.count(F.lit(1)).cast("int").alias("_copies"))
-    collapsed.write.parquet(stage)
-    d = spark.read.schema(collapsed.schema).parquet(stage)
+    d = staged(spark, collapsed, stage)
     valid = F.col("validation_reason").isNull()
     first = latest_by(d.filter(valid), schemas.TRANSPORT_KEY, oldest_first(*delivery[3:]))
     if stored is not None:

@@ -40,7 +40,7 @@ from strata.operators.envelope import prepare
 from strata.operators.gold import GOLD_KEY, GOLD_ORDER, current_status, merged_status
 from strata.operators.latest import latest_by, newest_first
 from strata.operators.silver import SILVER_KEY, silver_events
-from strata.session import configure, drop_folder, run_dir
+from strata.session import configure, drop_folder, run_dir, staged
 from strata.sinks.tables import FILE_FORMATS, append, create_database, create_table, overwrite, overwrite_partitions, overwrite_swap
 
 STARTED, COMMITTED, RECOVERED = "started", "committed", "recovered"
@@ -208,21 +208,23 @@ def bronze_write(
     * The batch is written once to shared storage and both sinks read that
       copy: the topic is parsed once, and input, offsets and clock are the
       same for both whatever happens to an executor.  The copy goes at the end.
+      Its files are small, so no task sorts or hashes more than a few of them,
+      in however few pieces the batch comes.
     * ``dedupe_in_batch``: first arrival per transport key before J1 (A3),
-      for inputs that can repeat a key (file topics, redeliveries).  A Kafka
-      offset range never does; pass False there and save the shuffle.
+      for inputs that can repeat a key (file topics, redeliveries), read from
+      a copy of its own.  A Kafka offset range never does; pass False there
+      and save the copy and the shuffle.
     * J1 compares with the offset log, inside the offsets of the batch; a
       batch of new offsets alone meets no range and is not joined at all.
     * Re-running the same batch appends nothing, so a replayed micro-batch
       or a retried job is idempotent."""
     create_run_tables(spark, layout)
     recover(spark, layout, sinks)
-    if dedupe_in_batch:
-        validated = first_arrival(validated)
     folder = run_dir(spark, "batch")
     try:
-        validated.write.parquet(folder)
-        batch = spark.read.schema(validated.schema).parquet(folder)
+        batch = staged(spark, validated, f"{folder}/parsed")
+        if dedupe_in_batch:
+            batch = staged(spark, first_arrival(batch), f"{folder}/first")
         run_id = uuid.uuid4().hex
         ends = batch_ends(batch)
         _record(spark, layout, run_id, _state(STARTED, sinks), ends)

@@ -8,14 +8,16 @@ pins the settings every layer relies on:
   ``from_json`` per referenced field and prunes each copy to its own schema,
   so the envelope text is parsed once per validation rule instead of once;
 * adaptive execution on, so shuffle partition counts and join strategies are
-  re-planned from runtime sizes.
+  re-planned from runtime sizes;
+* small pieces: envelope texts are long and alike, so a megabyte of files or of
+  shuffle holds many times that in rows, and a task sorts whole pieces.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SESSION_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -23,7 +25,12 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+    "spark.sql.files.maxPartitionBytes": "16m",
 }
+#: Rows of a staged file.  With the size of a scan's pieces and Spark's cost of
+#: opening a file (4 MB) it bounds the rows that one task of a scan gets.
+ROWS_PER_FILE = 50_000
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -59,6 +66,13 @@ def run_dir(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_dir(spark)}/runs/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def staged(spark: SparkSession, df: DataFrame, folder: str) -> DataFrame:
+    """``df`` written to ``folder`` and read again in pieces of bounded size,
+    however few tasks make it."""
+    df.write.option("maxRecordsPerFile", ROWS_PER_FILE).parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
 def folder_has(spark: SparkSession, folder: str, name: str) -> bool:
     """Whether ``folder`` holds ``name``, asked of the file system that holds it."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")

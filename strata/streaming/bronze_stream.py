@@ -24,7 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 from strata import schemas
 from strata.operators.bronze import accepted_records, message_outcome, quarantine_records
 from strata.operators.envelope import prepare
-from strata.session import drop_folder, folder_has, run_dir
+from strata.session import configure, drop_folder, folder_has, run_dir, staged
 from strata.streaming.metrics import counted
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -81,6 +81,7 @@ def bronze_stream_tables(
     to the same tables."""
     from strata.plans.medallion import bronze_write, create_run_tables
 
+    configure(stream.sparkSession)  # a stream starts with a copy of its settings
     validated = prepare(stream, clock, passthrough)
     trigger = trigger or AVAILABLE_NOW
     create_run_tables(stream.sparkSession, layout)
@@ -115,6 +116,7 @@ def dedup_stream(
     replayable source."""
     from strata.plans.medallion import bronze_write
 
+    configure(stream.sparkSession)  # a stream starts with a copy of its settings
     validated = prepare(stream, clock, passthrough)
 
     def per_batch(batch: DataFrame, _epoch: int) -> None:
@@ -150,14 +152,14 @@ def outcome_stream(
     would meet its own rows."""
     from strata.plans.medallion import bronze_write, stored_within
 
+    configure(stream.sparkSession)  # a stream starts with a copy of its settings
     validated = prepare(stream, clock, passthrough)
 
     def per_batch(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         folder = run_dir(spark, "deliveries")
         try:
-            batch.write.parquet(f"{folder}/parsed")
-            parsed = spark.read.schema(batch.schema).parquet(f"{folder}/parsed")
+            parsed = staged(spark, batch, f"{folder}/parsed")
             own = f"{outcomes}/batch_id={epoch}"
             if not folder_has(spark, own, "_SUCCESS"):
                 stored = stored_within(spark, layout, parsed)
