@@ -10,7 +10,8 @@ over the block functions gives each block its first state, and a second sweep
 yields the state before every position.  State and class say whether a token
 starts there.  No regular expression is involved.
 
-The slices between starts go through pair merging, cached by slice.  The byte
+The slices between starts go through pair merging, cached by slice; those not
+met before are merged side by side, over arrays.  The byte
 offset at which each slice begins is kept beside the ids, so that decoding can
 restore any run of slices (``decode_slices``) as well as the whole text.
 
@@ -29,9 +30,9 @@ import hashlib
 import heapq
 import unicodedata
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import pairwise
+from itertools import chain, pairwise
 
 import numpy as np
 import pandas as pd
@@ -39,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import ship, text_batches
+from strata.llm.common import give_back, ship, text_batches
 
 # Classes of a position.
 BOUND, LETTER, NUMBER, OTHER, MARK2, MARK3, SPACE_X, WHITE_X, WHITE = range(9)
@@ -50,11 +51,13 @@ BLOCK = 64
 #: Code points scanned at once.
 SCAN_CHARS = 256_000
 #: Bytes of slices, ids and their bookkeeping that a worker remembers.
-CACHE_BYTES = 48 << 20
+CACHE_BYTES = 32 << 20
 #: Slices decoded at once.
 SLICES_AT_ONCE = 4096
 #: Slices of more bytes are merged with a heap.
 LONG_SLICE = 48
+#: Slices looked up together; those not met before are merged side by side.
+SLICES_TOGETHER = 50_000
 
 
 def _machine() -> tuple[np.ndarray, np.ndarray]:
@@ -252,6 +255,90 @@ def _merge_long(parts: list[bytes], ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in parts if p]
 
 
+class Pairs:
+    """Merging of many slices at once, over arrays of ids.
+
+    Which two ids make a third follows from the ranks.  In a round every slice
+    merges its lowest-ranked pair, the first of equals; slices without a pair
+    that merges leave."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        made = {}
+        self.size = max(ranks.values()) + 1
+        for token, rank in ranks.items():
+            for cut in range(1, len(token)):
+                left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
+                if left is not None and right is not None:
+                    made[left * self.size + right] = rank
+        self.keys = np.array(sorted(made), np.int64)
+        self.ranks = np.array([made[k] for k in self.keys.tolist()], np.int64)
+        self.of_byte = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of each pair's merge; ``size`` where there is none."""
+        key = left * self.size + right
+        at = np.searchsorted(self.keys, key)
+        at[at == len(self.keys)] = 0
+        return np.where(self.keys[at] == key, self.ranks[at], self.size)
+
+    def merge(self, pieces: list[bytes]) -> list[bytes]:
+        """Packed ids of each slice (none empty)."""
+        out: list[bytes] = [b""] * len(pieces)
+        ids = self.of_byte[np.frombuffer(b"".join(pieces), np.uint8)]
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        who = np.arange(len(pieces))
+        last = np.cumsum(sizes) - 1
+        ranks = np.full(len(ids), self.size, np.int64)  # of an id and the one after it
+        ranks[:-1] = self.rank(ids[:-1], ids[1:])
+        ranks[last] = self.size
+        while len(who):
+            low = last - sizes + 1
+            least = np.minimum.reduceat(ranks, low)
+            goes_on = least < self.size
+            if not goes_on.all():
+                done = np.flatnonzero(~goes_on)
+                flat = ids.astype(np.int32).tobytes()
+                for w, a, n in zip(who[done].tolist(), low[done].tolist(), sizes[done].tolist(), strict=True):
+                    out[w] = flat[4 * a : 4 * (a + n)]
+                kept = np.repeat(goes_on, sizes)
+                ids, ranks = ids[kept], ranks[kept]
+                who, sizes, least = who[goes_on], sizes[goes_on], least[goes_on]
+                if not len(who):
+                    break
+                last = np.cumsum(sizes) - 1
+                low = last - sizes + 1
+            hits = np.flatnonzero(ranks == np.repeat(least, sizes))
+            at = hits[np.searchsorted(hits, low)]
+            ids[at] = least
+            kept = np.ones(len(ids), bool)
+            kept[at + 1] = False
+            ids, ranks = ids[kept], ranks[kept]
+            at -= np.arange(len(at))  # an id before each is gone by now
+            sizes = sizes - 1
+            last = np.cumsum(sizes) - 1
+            low = last - sizes + 1
+            ends = at == last
+            ranks[at[ends]] = self.size
+            inner = at[~ends]
+            ranks[inner] = self.rank(ids[inner], ids[inner + 1])
+            after = at[at > low]
+            ranks[after - 1] = self.rank(ids[after - 1], ids[after])
+        return out
+
+
+def _together(texts: Iterator[list[str]]) -> Iterator[list[list[str]]]:
+    """The slices of consecutive texts, until there are ``SLICES_TOGETHER``."""
+    part, size = [], 0
+    for pieces in texts:
+        part.append(pieces)
+        size += len(pieces)
+        if size >= SLICES_TOGETHER:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
 class Codec(dict):
     """Ids by slice (packed 32-bit integers), worked out when first asked for; bytes by id."""
 
@@ -260,26 +347,46 @@ class Codec(dict):
         with open(path, "rb") as file:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
         self.bytes = {i: b for b, i in self.ranks.items()}
+        self.names = {i: str(i) for i in self.bytes}
+        self.pairs = Pairs(self.ranks)
         self.held = 0
         code_classes()
 
     def __missing__(self, piece: str) -> bytes:
         ids = array("i", merge_pairs(piece.encode("utf-8", "surrogatepass"), self.ranks)).tobytes()
         if len(piece) <= 64:
-            self.held += 4 * len(piece) + len(ids) + 200
-            if self.held > CACHE_BYTES:
-                self.clear()
-                self.held = 0
-            self[piece] = ids
+            self._keep(piece, ids)
         return ids
 
+    def _keep(self, piece: str, ids: bytes) -> None:
+        self.held += 4 * len(piece) + len(ids) + 200
+        if self.held > CACHE_BYTES:
+            self.clear()
+            self.held = 0
+        self[piece] = ids
+
+    def learn(self, pieces: Iterable[str]) -> None:
+        """Merge the short slices among ``pieces`` that are not known, side by side."""
+        new, merging = [], []
+        for piece in set(pieces).difference(self):
+            raw = piece.encode("utf-8", "surrogatepass")
+            if (known := self.ranks.get(raw)) is not None:
+                self._keep(piece, array("i", [known]).tobytes())
+            elif len(raw) <= LONG_SLICE:
+                new.append(piece)
+                merging.append(raw)
+        for piece, ids in zip(new, self.pairs.merge(merging) if new else [], strict=True):
+            self._keep(piece, ids)
+
     def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Per text: its ids, and for each slice the index of its first id."""
-        for pieces in slices(texts):
-            groups = list(map(self.__getitem__, pieces))
-            first = np.zeros(len(groups) + 1, np.int32)
-            np.cumsum(np.fromiter(map(len, groups), np.int32, len(groups)) // 4, out=first[1:])
-            yield np.frombuffer(b"".join(groups), np.int32), first[:-1]
+        for together in _together(slices(texts)):
+            self.learn(chain.from_iterable(together))
+            for pieces in together:
+                groups = list(map(self.__getitem__, pieces))
+                first = np.zeros(len(groups) + 1, np.int32)
+                np.cumsum(np.fromiter(map(len, groups), np.int32, len(groups)) // 4, out=first[1:])
+                yield np.frombuffer(b"".join(groups), np.int32), first[:-1]
 
     def decode(self, ids: np.ndarray | list[int]) -> bytes:
         return b"".join(map(self.bytes.__getitem__, ids.tolist() if isinstance(ids, np.ndarray) else ids))
@@ -344,6 +451,7 @@ def coded(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str = "
     names = ["id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         own = codec(ranks)
         for batch in text_batches(batches, 64):
             ids, digests, decoded = [], [], []
@@ -353,7 +461,7 @@ def coded(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str = "
                 for at in range(0, len(starts), SLICES_AT_ONCE):
                     back.update(own.decode_slices(values, starts, at, at + SLICES_AT_ONCE))
                 ids.append(found)
-                digests.append(hashlib.sha256(",".join(map(str, values)).encode()).hexdigest())
+                digests.append(hashlib.sha256(",".join(map(own.names.__getitem__, values)).encode()).hexdigest())
                 decoded.append(back.hexdigest())
             sizes = pa.array([len(i) for i in ids], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), sizes, _lists(ids), pa.array(digests, pa.string()), pa.array(decoded, pa.string())], names)

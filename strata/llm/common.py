@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import hashlib
 import os
 import tempfile
@@ -82,6 +84,18 @@ def discard(*tables: DataFrame | None) -> None:
             folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def give_back() -> None:
+    """Return memory that earlier tasks of this worker freed to the machine.
+
+    Workers are used again from stage to stage, and what the allocators keep
+    of one stage counts beside what the next one needs."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's; others give back by themselves
+    if trim is not None:
+        trim(0)
+
+
 def text_batches(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``rows``."""
     for batch in batches:

@@ -94,3 +94,15 @@ def test_round_trip_on_awkward_rows(spark, tik):
         expected.append((r.doc_id, len(ids), digest, hashlib.sha256((r.text or "").encode()).hexdigest()))
     assert by_id(rows, "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == sorted(expected, key=repr)
     assert byte_bpe.round_trip(no_docs(spark), RANKS).count() == 0
+
+
+def test_slices_not_met_before_are_merged_side_by_side(monkeypatch):
+    codec = byte_bpe.Codec(RANKS)
+    texts = ["banana bananas ", "жижижи 中中中 ааа", "x" * 40 + " " + "ing" * 14, "", "'ss 0123456789"]
+    pieces = list(dict.fromkeys(p for found in byte_bpe.slices(texts) for p in found))
+    want = {p: byte_bpe.merge_pairs(p.encode(), codec.ranks) for p in pieces}
+    assert max(map(len, want.values())) > 2
+    monkeypatch.setattr(byte_bpe, "merge_pairs", None)  # one slice at a time is only for long ones
+    got = [ids.tolist() for ids, _ in codec.encode(texts)]
+    assert got == [[i for p in found for i in want[p]] for found in byte_bpe.slices(texts)]
+    assert codec.pairs.merge([p.encode() for p in pieces]) == [byte_bpe.np.array(want[p], "int32").tobytes() for p in pieces]
