@@ -28,6 +28,8 @@ from strata.llm.common import discard, ship, staged
 
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
 WEIGHTS = (1, 2, 3)
+#: Documents, texts and ids, that pass between an executor and a worker at once in the last stage.
+BATCH_ROWS = 1000
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,6 +60,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with digests of the ids and of the decoded bytes."""
     ship(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return byte_bpe.coded(docs, public_tokenizers.path(BYTE_RANKS))
 
 
