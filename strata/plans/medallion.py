@@ -40,7 +40,7 @@ from strata.operators.envelope import prepare
 from strata.operators.gold import GOLD_KEY, GOLD_ORDER, current_status, merged_status
 from strata.operators.latest import latest_by, newest_first
 from strata.operators.silver import SILVER_KEY, silver_events
-from strata.session import configure, drop_folder, run_dir, staged
+from strata.session import configure, drop_folder, in_pieces, run_dir, staged
 from strata.sinks.tables import FILE_FORMATS, append, create_database, create_table, overwrite, overwrite_partitions, overwrite_swap
 
 STARTED, COMMITTED, RECOVERED = "started", "committed", "recovered"
@@ -83,7 +83,7 @@ def create_run_tables(spark: SparkSession, layout: schemas.Layout) -> None:
             keys = stored[0]
             for more in stored[1:]:
                 keys = keys.unionAll(more)
-            _store(spark, layout, offsets.islands(keys), anew=True)
+            _store(spark, layout, offsets.islands(keys), keys.count(), anew=True)
     create_table(spark, layout.progress, schemas.INGEST_PROGRESS, (), fmt=layout.fmt)
     spark.catalog.refreshTable(layout.progress)
 
@@ -96,8 +96,8 @@ def _sinks(spark: SparkSession, layout: schemas.Layout) -> dict[str, str]:
     return tables
 
 
-def _store(spark: SparkSession, layout: schemas.Layout, ranges: DataFrame, anew: bool = False) -> None:
-    """Merge ranges into the log (or make it of them alone).
+def _store(spark: SparkSession, layout: schemas.Layout, ranges: DataFrame, rows: int, anew: bool = False) -> None:
+    """Merge ranges made from ``rows`` rows into the log (or make it of them alone).
 
     The log is a row per gap, written aside and put in place whole.  A run
     that ends while the old one is gone leaves it empty, and an empty log is
@@ -105,7 +105,8 @@ def _store(spark: SparkSession, layout: schemas.Layout, ranges: DataFrame, anew:
     folder = run_dir(spark, "offsets")
     try:
         old = spark.table(layout.offsets).select(*offsets.RANGE)
-        offsets.merged(ranges if anew else old.unionByName(ranges)).write.parquet(folder)
+        with in_pieces(spark, rows + (0 if anew else old.count())):
+            offsets.merged(ranges if anew else old.unionByName(ranges)).write.parquet(folder)
         new = spark.read.schema(schemas.STORED_OFFSETS).parquet(folder)
         new.write.format(layout.fmt).mode("overwrite").saveAsTable(layout.offsets)
     finally:
@@ -139,7 +140,7 @@ def recover(spark: SparkSession, layout: schemas.Layout, sinks: Iterable[str] =
         for table in _sinks(spark, layout).values():
             rows = spark.table(table).join(span, list(offsets.PLACE))
             rows = rows.filter((F.col("kafka_offset") >= F.col("low_offset")) & (F.col("kafka_offset") < F.col("next_offset")))
-            _store(spark, layout, offsets.islands(rows))
+            _store(spark, layout, offsets.islands(rows), rows.count())
             spark.catalog.refreshTable(layout.offsets)
         _record(spark, layout, run_id, RECOVERED, ends)
     if len(states) >= PROGRESS_ROWS:
@@ -223,8 +224,10 @@ def bronze_write(
     folder = run_dir(spark, "batch")
     try:
         batch = staged(spark, validated, f"{folder}/parsed")
+        rows = batch.count()  # of the files' footers
         if dedupe_in_batch:
-            batch = staged(spark, first_arrival(batch), f"{folder}/first")
+            with in_pieces(spark, rows):
+                batch = staged(spark, first_arrival(batch), f"{folder}/first")
         run_id = uuid.uuid4().hex
         ends = batch_ends(batch)
         _record(spark, layout, run_id, _state(STARTED, sinks), ends)
@@ -236,10 +239,11 @@ def bronze_write(
         tables = {"accepted": layout.accepted, "quarantine": layout.quarantine}
         stored = F.lit(False)
         for sink in sinks:
-            counts[sink] = append(made[sink](new), tables[sink], fmt=layout.fmt)
+            with in_pieces(spark, rows):
+                counts[sink] = append(made[sink](new), tables[sink], fmt=layout.fmt)
             stored = stored | verdict[sink]
         if sum(counts.values()):
-            _store(spark, layout, offsets.islands(batch.filter(stored)))
+            _store(spark, layout, offsets.islands(batch.filter(stored)), rows)
         _record(spark, layout, run_id, _state(COMMITTED, sinks), ends)
     finally:
         drop_folder(spark, folder)
@@ -336,12 +340,14 @@ def silver_rebuild(
     configure(spark)
     bronze = spark.table(layout.accepted)
     if start is None and end is None:
-        return _rebuild(silver_events(bronze), layout.silver, layout, swap)
+        with in_pieces(spark, bronze.count()):
+            return _rebuild(silver_events(bronze), layout.silver, layout, swap)
     old, key = spark.table(layout.silver), list(SILVER_KEY)
     touched = date_range(bronze, start, end).select(*key).union(date_range(old, start, end).select(*key)).distinct()
     again = silver_events(bronze.join(touched, key, "left_semi"))
     kept = old.join(touched, key, "left_anti").select(*again.columns)
-    return _replace(spark, kept.unionByName(again), layout.silver, layout, swap)
+    with in_pieces(spark, bronze.count() + old.count()):
+        return _replace(spark, kept.unionByName(again), layout.silver, layout, swap)
 
 
 def silver_increment(spark: SparkSession, layout: schemas.Layout, since: str, swap: bool = False, by_date: bool = False) -> int:
@@ -354,14 +360,16 @@ def silver_increment(spark: SparkSession, layout: schemas.Layout, since: str, sw
     ``swap``) and returns the rows of those."""
     configure(spark)
     _check_by_date(layout, swap, by_date)
-    new = silver_events(date_range(spark.table(layout.accepted), since))
+    old, late = spark.table(layout.silver), date_range(spark.table(layout.accepted), since)
+    new = silver_events(late)
 
     def merged(old: DataFrame, new: DataFrame) -> DataFrame:
         return latest_by(old.select(*new.columns).unionByName(new), SILVER_KEY, newest_first("ingested_at_utc"))
 
-    if by_date:
-        return _replace_touched(spark, layout.silver, SILVER_KEY, new, merged)
-    return _replace(spark, merged(spark.table(layout.silver), new), layout.silver, layout, swap)
+    with in_pieces(spark, old.count() + late.count()):
+        if by_date:
+            return _replace_touched(spark, layout.silver, SILVER_KEY, new, merged)
+        return _replace(spark, merged(old, new), layout.silver, layout, swap)
 
 
 def _check_by_date(layout: schemas.Layout, swap: bool, by_date: bool) -> None:
@@ -374,7 +382,9 @@ def gold_rebuild(spark: SparkSession, layout: schemas.Layout, swap: bool = False
     wrong: when a key's newest row moves to another date, the old row would
     stay behind in its old partition."""
     configure(spark)
-    return _rebuild(current_status(spark.table(layout.silver)), layout.gold, layout, swap)
+    silver = spark.table(layout.silver)
+    with in_pieces(spark, silver.count()):
+        return _rebuild(current_status(silver), layout.gold, layout, swap)
 
 
 def gold_increment(spark: SparkSession, layout: schemas.Layout, since: str, swap: bool = False, by_date: bool = False) -> int:
@@ -383,10 +393,11 @@ def gold_increment(spark: SparkSession, layout: schemas.Layout, since: str, swap
     ``by_date`` as in ``silver_increment``."""
     configure(spark)
     _check_by_date(layout, swap, by_date)
-    new = date_range(spark.table(layout.silver), since)
-    if by_date:
-        return _replace_touched(spark, layout.gold, GOLD_KEY, latest_by(new, GOLD_KEY, newest_first(*GOLD_ORDER)), merged_status)
-    return _replace(spark, merged_status(spark.table(layout.gold), new), layout.gold, layout, swap)
+    old, new = spark.table(layout.gold), date_range(spark.table(layout.silver), since)
+    with in_pieces(spark, old.count() + new.count()):
+        if by_date:
+            return _replace_touched(spark, layout.gold, GOLD_KEY, latest_by(new, GOLD_KEY, newest_first(*GOLD_ORDER)), merged_status)
+        return _replace(spark, merged_status(old, new), layout.gold, layout, swap)
 
 
 def replay(

@@ -16,6 +16,8 @@ pins the settings every layer relies on:
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,6 +33,8 @@ SESSION_SETTINGS = {
 #: Rows of a staged file.  With the size of a scan's pieces and Spark's cost of
 #: opening a file (4 MB) it bounds the rows that one task of a scan gets.
 ROWS_PER_FILE = 50_000
+#: Pieces that a shuffle is cut in before adaptive execution puts small ones together.
+PIECES = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -73,6 +77,24 @@ def staged(spark: SparkSession, df: DataFrame, folder: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+@contextmanager
+def in_pieces(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Shuffles of ``rows`` rows that run inside are cut in at least a piece per
+    ``ROWS_PER_FILE`` rows, however few shuffle partitions the session asks for:
+    windows, joins and aggregates sort or hash whole pieces.  Adaptive execution
+    joins small pieces up to its advisory size, so a short batch gets few."""
+    usual = spark.conf.get(PIECES, None)
+    least = int(usual or spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set(PIECES, str(max(least, -(-rows // ROWS_PER_FILE))))
+    try:
+        yield
+    finally:
+        if usual is None:
+            spark.conf.unset(PIECES)
+        else:
+            spark.conf.set(PIECES, usual)
+
+
 def folder_has(spark: SparkSession, folder: str, name: str) -> bool:
     """Whether ``folder`` holds ``name``, asked of the file system that holds it."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")

@@ -24,7 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 from strata import schemas
 from strata.operators.bronze import accepted_records, message_outcome, quarantine_records
 from strata.operators.envelope import prepare
-from strata.session import configure, drop_folder, folder_has, run_dir, staged
+from strata.session import configure, drop_folder, folder_has, in_pieces, run_dir, staged
 from strata.streaming.metrics import counted
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -163,7 +163,8 @@ def outcome_stream(
             own = f"{outcomes}/batch_id={epoch}"
             if not folder_has(spark, own, "_SUCCESS"):
                 stored = stored_within(spark, layout, parsed)
-                message_outcome(parsed, f"{folder}/collapsed", stored).write.mode("overwrite").parquet(own)
+                with in_pieces(spark, parsed.count()):
+                    message_outcome(parsed, f"{folder}/collapsed", stored).write.mode("overwrite").parquet(own)
             bronze_write(spark, parsed, layout)
         finally:
             drop_folder(spark, folder)

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
+import re
+
 import pytest
 from conftest import records, text
 from pyspark.sql import functions as F
@@ -28,3 +32,36 @@ def test_a_batch_in_one_piece_is_staged_in_small_files(spark, monkeypatch, dedup
     assert (ran.accepted_rows, ran.quarantine_rows) == (20, 20)
     assert sum(found) == 40 * copies
     assert max(found) <= 10
+
+
+def test_shuffles_of_jobs_are_cut_by_rows_not_by_the_session(spark, monkeypatch):
+    monkeypatch.setattr(session, "ROWS_PER_FILE", 10)
+    planned = {}
+
+    def pieces(df):
+        shown = io.StringIO()
+        with contextlib.redirect_stdout(shown):
+            df.explain()
+        return [int(n) for n in re.findall(r"hashpartitioning\(.*, (\d+)\), ENSURE_REQUIREMENTS", shown.getvalue())]
+
+    def watched(name, at, frame):
+        made = getattr(medallion, name)
+
+        def look(*args, **more):
+            planned.setdefault(name, []).extend(pieces(args[frame]))
+            return made(*args, **more)
+
+        monkeypatch.setattr(at, name, look)
+
+    watched("staged", medallion, 1)
+    watched("_rebuild", medallion, 0)
+    watched("_replace", medallion, 1)
+    layout, _ = runs.fresh_layout(spark, "t-cut")
+    batch = records(spark, [text() for _ in range(200)]).coalesce(1)
+    assert medallion.bronze_ingest(spark, batch, layout, clock=F.col("kafka_timestamp_utc")).accepted_rows == 200
+    assert medallion.silver_rebuild(spark, layout) == 200
+    assert medallion.gold_rebuild(spark, layout) == 1
+    assert medallion.silver_increment(spark, layout, "2026-04-10") == 200
+    for name in ("staged", "_rebuild", "_replace"):
+        assert planned[name] and min(planned[name]) >= 20, planned
+    assert spark.conf.get(session.PIECES, None) is None
