@@ -232,14 +232,15 @@ def bronze_write(
         ends = batch_ends(batch)
         _record(spark, layout, run_id, _state(STARTED, sinks), ends)
         met = offsets.clipped(spark.table(layout.offsets), ends)
-        new = batch if met.isEmpty() else offsets.outside(batch, met)
+        known = met.count()
+        new = offsets.outside(batch, met) if known else batch
         counts = dict.fromkeys(SINKS, 0)
         made = {"accepted": accepted_records, "quarantine": quarantine_records}
         verdict = {"accepted": F.col("validation_reason").isNull(), "quarantine": F.col("validation_reason").isNotNull()}
         tables = {"accepted": layout.accepted, "quarantine": layout.quarantine}
         stored = F.lit(False)
         for sink in sinks:
-            with in_pieces(spark, rows):
+            with in_pieces(spark, rows + known):
                 counts[sink] = append(made[sink](new), tables[sink], fmt=layout.fmt)
             stored = stored | verdict[sink]
         if sum(counts.values()):

@@ -163,7 +163,7 @@ def outcome_stream(
             own = f"{outcomes}/batch_id={epoch}"
             if not folder_has(spark, own, "_SUCCESS"):
                 stored = stored_within(spark, layout, parsed)
-                with in_pieces(spark, parsed.count()):
+                with in_pieces(spark, parsed.count() + stored.count()):
                     message_outcome(parsed, f"{folder}/collapsed", stored).write.mode("overwrite").parquet(own)
             bronze_write(spark, parsed, layout)
         finally:

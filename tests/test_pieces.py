@@ -65,3 +65,23 @@ def test_shuffles_of_jobs_are_cut_by_rows_not_by_the_session(spark, monkeypatch)
     for name in ("staged", "_rebuild", "_replace"):
         assert planned[name] and min(planned[name]) >= 20, planned
     assert spark.conf.get(session.PIECES, None) is None
+
+
+def test_a_join_with_the_log_is_cut_by_its_ranges_too(spark, monkeypatch):
+    monkeypatch.setattr(session, "ROWS_PER_FILE", 10)
+    layout, _ = runs.fresh_layout(spark, "t-ranges")
+    clock = F.col("kafka_timestamp_utc")
+    batch = records(spark, [text() for _ in range(401)]).coalesce(1)
+    even = F.col("offset") % 2 == 0
+    medallion.bronze_ingest(spark, batch.filter(even), layout, clock=clock)
+    cut, made = [], medallion.append
+
+    def look(df, table, *args, **more):
+        if table == layout.accepted:
+            cut.append(int(spark.conf.get(session.PIECES)))
+        return made(df, table, *args, **more)
+
+    monkeypatch.setattr(medallion, "append", look)
+    ends = batch.filter(F.col("offset").isin(0, 400) | (F.col("offset") == 201))
+    assert medallion.bronze_ingest(spark, ends, layout, clock=clock).accepted_rows == 1
+    assert cut and min(cut) >= 20
