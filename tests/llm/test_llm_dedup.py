@@ -8,6 +8,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import SCHEMA, awkward_docs, no_docs
 
@@ -114,6 +115,40 @@ def test_places_of_many_documents_are_joined():
     assert got == {k: suffix_dedup.joined(v) for k, v in want.items()}
 
 
+@pytest.mark.parametrize("rows", [1, 3, 1000])
+def test_keys_are_whole_in_batches_of_any_size(rows):
+    rnd = random.Random(rows)
+    key = sorted(rnd.choice([-5, 0, 1, 2, 3, 9]) for _ in range(40))
+    table = pa.table({"key": pa.array(key), "at": pa.array(range(40))})
+    found = [t.to_pylist() for t in suffix_dedup.whole_keys(iter(table.to_batches(max_chunksize=rows)))]
+    assert [r for t in found for r in t] == table.to_pylist()
+    keys = [{r["key"] for r in t} for t in found]
+    assert sum(map(len, keys)) == len(set(key))
+
+
+def test_a_shard_of_arrays_finds_every_string():
+    rnd = random.Random(12)
+    pieces = sorted({t.encode()[:300] for _, t in passages(rnd, 60) if len(t.encode()) >= 50})
+    least = np.array([rnd.randrange(20) for _ in pieces])
+    marks = [[rnd.randrange(2) for _ in range(rnd.randint(1, 3))] for _ in pieces]  # a row each
+    ats = [[[rnd.randrange(50) * 1000 for _ in range(rnd.randint(1, 2))] for _ in m] for m in marks]
+    shard = suffix_dedup.Shard()
+    for a, b in ((0, 7), (7, len(pieces))):
+        places = [[s << 32 | s + len(p) for s in at] for p, of in zip(pieces[a:b], ats[a:b]) for at in of]
+        shard.add(pa.array(pieces[a:b], pa.large_binary()), least[a:b], np.array([len(m) for m in marks[a:b]]),
+                  np.array(sum(marks[a:b], [])), np.array([len(p) for p in places]), np.array(sum(places, [])))
+    got = {(r["id"], r["mark"]): r["ats"] for batch in shard.spans() for r in batch.to_pylist()}
+    first = {}
+    for p, who in zip(pieces, least.tolist()):
+        for k in range(len(p) - 49):
+            first[p[k : k + 50]] = min(first.get(p[k : k + 50], who), who)
+    want = defaultdict(list)
+    for p, who, of, at in zip(pieces, least.tolist(), marks, ats):
+        for m, starts in zip(of, at):
+            want[who, m] += [s + k << 32 | s + k + 50 for s in starts for k in range(len(p) - 49) if first[p[k : k + 50]] < who]
+    assert got == {k: suffix_dedup.joined(v) for k, v in want.items() if v}
+
+
 def test_a_long_run_of_one_byte(spark):
     """One anchor owns a run longer than a fragment and than a block of texts."""
     rows = [(1, "0" * 9000 + "a"), (2, "b" + "0" * 5000), (3, "0" * 60 + "c" + "0" * 4200), (4, "d" * 70)]
