@@ -179,16 +179,20 @@ def grams_of(bodies: list[bytes], depth: int) -> np.ndarray:
     a text stand ``depth`` ends."""
     pad = END * depth
     data = np.frombuffer(pad + b"".join(body + pad for body in bodies), np.uint8)
-    out = np.zeros(len(data) - depth, np.int64)
-    for i in range(depth + 1):
-        out <<= 8
-        out |= data[i : len(data) - depth + i]
+    two = data[:-1].astype(np.uint16) << 8 | data[1:]
+    runs = {4: two[:-2].astype(np.uint32) << 16 | two[2:], 2: two, 1: data}
+    out, at = np.zeros(len(data) - depth, np.int64), 0
+    for width, run in runs.items():  # a gram has at most seven bytes
+        if depth + 1 & width:
+            out <<= 8 * width
+            out |= run[at : at + len(out)]
+            at += width
     lens = np.array([len(x) for x in bodies], np.int64)
     own = np.zeros(len(out) + 1, np.int8)
     starts = np.cumsum(lens + depth) - (lens + depth)
     own[starts] = 1
     own[starts + lens] -= 1
-    return out[np.cumsum(own[:-1]).astype(bool)]
+    return out[np.cumsum(own[:-1], dtype=np.int8).view(bool)]
 
 
 def _whole_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bool], list[bytes]]]:
@@ -304,8 +308,8 @@ def _asked(texts: DataFrame, depth: int, head: object, head_words: object) -> Da
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, common = _head_table(head.value), head_words.value
         for block, _, bodies in _whole_blocks(batches):
-            gram = grams_of(bodies, depth)
-            gram = np.unique(gram[np.isnan(known.find(gram))])
+            gram = np.unique(grams_of(bodies, depth))  # each is looked up once, in order
+            gram = gram[np.isnan(known.find(gram))]
             word = {END}
             for body in bodies:
                 word.update(body.split())

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 from helpers import awkward_docs, by_id, no_docs
 from pyspark.sql import functions as F
 
@@ -212,6 +213,34 @@ def test_scores_without_training_or_rows(spark):
     assert context_tree.score_texts(no_docs(spark), F.lit(False)).count() == 0
 
 
+def test_a_block_looks_up_each_gram_once(monkeypatch):
+    bodies, looked = [b"ab ab ab \n", b"\n", b"\xff\xfe abab \n", b"ab ab ab \n"], []
+    for depth in (3, 4, 5, 6):
+        want = [int.from_bytes((b"\n" * depth + b)[i : i + depth + 1], "big") for b in bodies for i in range(len(b))]
+        assert context_tree.grams_of(bodies, depth).tolist() == want
+    find = context_tree.Lookup.find
+    monkeypatch.setattr(context_tree.Lookup, "find", lambda self, key: looked.append(key.tolist()) or find(self, key))
+
+    class Texts:  # stands in for a table: gives the function that runs in a task
+        def select(self, *names):
+            return self
+
+        def mapInArrow(self, ask, schema):
+            return ask
+
+    class Sent:
+        def __init__(self, value):
+            self.value = value
+
+    head = np.array(sorted(set(want))[:4])
+    ask = context_tree._asked(Texts(), 6, Sent((head, head * 1.0)), Sent({b"ab": 3}))
+    batch = pa.record_batch([pa.array([5] * 4), pa.array([False] * 4), pa.array(bodies, pa.binary())], names=["block", "held_out", "body"])
+    rows = [r for b in ask(iter([batch])) for r in b.to_pylist()]
+    assert sorted(r["key"] for r in rows if r["key"] is not None) == sorted(set(want) - set(head.tolist()))
+    assert sorted(r["word"] for r in rows if r["word"] is not None) == sorted([b"\n", b"\xff\xfe", b"abab"])
+    assert sum(map(len, looked)) == len(set(want))
+
+
 def test_estimates_and_lookup():
     a, b = np.array([0.0, 3, 900, 1e9]), np.array([0.0, 5, 40, 1])
     exact = [math.lgamma(x + 0.5) + math.lgamma(y + 0.5) - math.lgamma(x + y + 1) - math.log(math.pi) for x, y in zip(a, b, strict=True)]
