@@ -7,23 +7,33 @@ Groups.  Shingles are put in one order for all sets: rare ones by hash, then
 the frequent ones (counted over the whole corpus) by count.  Sets as similar
 as asked for share a shingle among the first |x| - ceil(0.8 |x|) + 1 of their
 order, so classes that share such a shingle form a group, and every link lies
-inside some group.  The order only decides how large groups get, never what is
-found: the table of frequent shingles may be cut to its bound freely.
-
-Trees.  Within a group (in chunks of bounded size) classes are sorted by size
-and content into a signature tree.  A class has a bitmap of its shingles with
-two to four bits a shingle; a node holds the OR of its bitmaps, the range of
-sizes, the largest number of shingles beyond the bits set, and the component
-of its classes if they share one.  Two nodes are walked down together only
-while sizes and the largest possible overlap -- common bits plus the smaller
-excess -- still allow a link, and only while they are not one component
-already: what is linked need not be linked again.
-
-Rounds.  First each class proposes its closest partner; proposals are verified
-on the exact sets and components formed.  This collapses large groups of near
-copies with few pairs.  The last round walks the trees again and verifies all
-pairs left between different components.  The result is exact (on 64-bit
-shingle hashes).
+inside some group.  Taken l shingles further, two such sets share l + 1: a
+class whose longer prefix has fewer shingles in common with all others links
+with nothing, and only the classes that are left ever get their sets made.
+The order only decides how large groups get, never what is found: the table
+of frequent shingles may be cut to its bound freely.
+
+Neighbourhoods.  Classes take the least class within two steps over groups as
+their label; those with one label are a neighbourhood, cut into blocks of
+bounded size.  A block is a cell, and its sets travel there once, however many
+groups they are in.  Where groups reach over blocks, two blocks are a cell.
+
+Trees.  Within a cell classes are sorted by size and content into a signature
+tree.  A class has a bitmap of its shingles with two to four bits a shingle; a
+node holds the OR of its bitmaps, the range of sizes, the largest number of
+shingles beyond the bits set, and the component of its classes if they share
+one.  Two nodes are walked down together only while sizes and the largest
+possible overlap -- common bits plus the smaller excess -- still allow a link,
+and only while they are not one component already: what is linked need not be
+linked again.
+
+Rounds.  In a cell each class first proposes its closest partner, twice;
+proposals are verified on the exact sets and components formed.  This
+collapses large groups of near copies with few pairs.  The last round walks
+the tree again and verifies all pairs left between different components.
+Blocks go first, each with one class of its neighbourhood that all its blocks
+get; cells of two blocks then hold only what may link with another component.
+The result is exact (on 64-bit shingle hashes).
 
 Defined cases: null and wordless texts have the empty set and link with
 nothing; texts of fewer than five words are one shingle of all words; repeated
@@ -38,26 +48,34 @@ from collections.abc import Iterator
 from hashlib import blake2b
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strata.llm.common import discard, parallelism, staged, text_batches
+from strata.llm.common import bytes_of, discard, parallelism, staged, text_batches
 from strata.llm.components import components
-from strata.llm.shingles import mix, shingle_set
+from strata.llm.shingles import mix, shingle_sets
 
 U = np.uint64
 #: A shingle in this many documents of one task is reported as frequent.
-FREQUENT = 16
+FREQUENT = 4
 #: Frequent shingles broadcast, at most (16 bytes each); only their order depends on it.
 MAX_FREQUENT = 1 << 17
-#: Classes in a chunk of a group, and in a leaf of a tree.
+#: Prefix shingles that are dealt to buckets at once, about.
+DEAL_SHINGLES = 1 << 19
+#: Classes in a block of a neighbourhood, and in a leaf of a tree.
 CHUNK = 1024
 LEAF = 16
-#: Classes in a block of exact sets verified together.
-VERIFY_BLOCK = 256
+#: Shingles of a block's sets, about.
+BLOCK_SHINGLES = 1 << 19
+#: Classes whose sets a task of cells holds at once, about.
+PART_ROWS = 2048
+#: Shingles compared at once when pairs are verified, and words of their bits over all pairs.
+VERIFY_SHINGLES = 1 << 13
+VERIFY_WORDS = 1 << 20
+#: Words of the filter that names documents whose sets are needed, at most; beyond that more are made than needed.
+MAX_WORDS = 1 << 20
 BITS_PER_SHINGLE = 2
 
 
@@ -74,11 +92,16 @@ def bitmap_of(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(bits, bitorder="little").view(np.uint64)
 
 
-def prefix_length(n: int) -> int:
+def prefix_length(n):
     """Shingles of a set of n among which a partner must share one."""
     return n - (8 * n + 9) // 10 + 1
 
 
+def shared_length(n):
+    """Shingles that two sets of n or more share, if they link, in prefixes longer by one less."""
+    return (n + 9) // 10
+
+
 def _text(text_col: str) -> Column:
     return F.coalesce(F.col(text_col).cast("string"), F.lit(""))
 
@@ -95,9 +118,8 @@ def frequent_shingles(docs: DataFrame, text_col: str) -> np.ndarray:
             return pa.RecordBatch.from_arrays([pa.array(found[keep].view(np.int64)), pa.array(n[keep])], ["s", "n"])
 
         for batch in text_batches(batches):
-            for text in batch.column(0).to_pylist():
-                held.append(shingle_set(text))
-                size += len(held[-1])
+            held += shingle_sets(batch.column(0))
+            size = sum(map(len, held))
             if size > 6_000_000:
                 yield counted()
                 held, size = [], 0
@@ -112,84 +134,129 @@ def frequent_shingles(docs: DataFrame, text_col: str) -> np.ndarray:
     return np.stack([shingles[order], rank[order]])
 
 
-def _first(shingles: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """The shingles of a set's prefix."""
-    length = prefix_length(len(shingles))
+def _prefixes(sets: list[np.ndarray], frequent: np.ndarray) -> list[np.ndarray]:
+    """The longer prefix of each set, the shingles among which a partner must share one before the others."""
+    if not sets:
+        return []
+    shingles = np.concatenate(sets)
     key = mix(shingles) >> U(1)
     known, rank = frequent
     if len(known):
-        at = np.minimum(np.searchsorted(known, shingles), len(known) - 1)
-        key = np.where(known[at] == shingles, U(1 << 63) | rank[at], key)
-    return shingles[np.argpartition(key, length - 1)[:length]]
+        met = np.zeros(1 << 20, bool)
+        met[(known >> U(44)).astype(np.intp)] = True
+        maybe = np.flatnonzero(met[(shingles >> U(44)).astype(np.intp)])
+        at = np.minimum(np.searchsorted(known, shingles[maybe]), len(known) - 1)
+        same = known[at] == shingles[maybe]
+        key[maybe[same]] = U(1 << 63) | rank[at[same]]
+    out, low = [], 0
+    for s in sets:
+        first = prefix_length(len(s))
+        length = first - 1 + shared_length(len(s))
+        order = np.argpartition(key[low : low + len(s)], (first - 1, length - 1))[:length]
+        out.append(s[order])
+        low += len(s)
+    return out
 
 
-def described(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, n, class, bits): each row's set in short."""
+def described(docs: DataFrame, frequent: np.ndarray, id_col: str, text_col: str) -> DataFrame:
+    """(id, n, class, prefix): each row's set in short; the mixed prefix once a task for each class."""
+    shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for batch in text_batches(batches):
-            sets = [shingle_set(t) for t in batch.column(1).to_pylist()]
+            sets = shingle_sets(batch.column(1))
+            ids = [class_of(s) if len(s) else None for s in sets]
+            fresh = []
+            for i, own in enumerate(ids):
+                if own is not None and own not in seen:
+                    seen.add(own)
+                    fresh.append(i)
+            prefix = [None] * len(sets)
+            for i, first in zip(fresh, _prefixes([sets[i] for i in fresh], shared.value)):
+                prefix[i] = mix(first).tobytes()
             n = pa.array([len(s) for s in sets], pa.int64())
-            ids = pa.array([class_of(s) if len(s) else None for s in sets], pa.int64())
-            bits = pa.array([bitmap_of(s).tobytes() if len(s) else None for s in sets], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), n, ids, bits], ["id", "n", "class", "bits"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), n, pa.array(ids, pa.int64()), pa.array(prefix, pa.binary())], ["id", "n", "class", "prefix"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), _text(text_col).alias("text"))
-    return rows.mapInArrow(run, "id long, n long, class long, bits binary")
+    return rows.mapInArrow(run, "id long, n long, class long, prefix binary")
 
 
-def groups(docs: DataFrame, frequent: np.ndarray, text_col: str, buckets: int) -> DataFrame:
-    """(gid, class): classes that share a prefix shingle, equal groups once."""
-    shared = docs.sparkSession.sparkContext.broadcast(frequent)
+def groups(rows: DataFrame, buckets: int) -> DataFrame:
+    """(gid, class, k): classes that share a prefix shingle, equal groups of a bucket once.
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, owners, seen, size = [], [], set(), 0
+    Without a gid: how many shingles of its longer prefix (``k``, to be summed)
+    a class shares with any other.  Shingles are told apart by their bucket and
+    31 bits more; those taken for one only make groups and counts larger.
+    """
 
-        def dealt():
-            token, owner = np.concatenate(tokens), np.concatenate(owners)
-            bucket = ((token >> U(32)) % U(buckets)).astype(np.int32)
-            order = np.argsort(bucket, kind="stable")
-            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1)).astype(np.int32)
-            lists = [pa.ListArray.from_arrays(pa.array(cuts), pa.array(x[order])) for x in ((token & U(0xFFFFFFFF)).astype(np.uint32).view(np.int32), owner)]
-            full = np.flatnonzero(np.diff(cuts))
-            return pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), *(x.take(pa.array(full)) for x in lists)], ["bucket", "tokens", "owners"])
+    def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Classes that the task has not met yet, in batches of bounded prefixes."""
+        seen = set()
+        for batch in batches:
+            fresh = [c not in seen and not seen.add(c) for c in batch.column("class").to_pylist()]
+            batch = batch.filter(pa.array(fresh, pa.bool_()))
+            ends = bytes_of(batch.column("prefix"))[1][1:] // (8 * DEAL_SHINGLES)
+            cuts = np.concatenate([[0], np.flatnonzero(np.diff(ends)) + 1, [len(ends)]])
+            for low, high in zip(cuts[:-1], cuts[1:]):
+                yield batch.slice(int(low), int(high - low))
 
-        for batch in text_batches(batches):
-            for text in batch.column(0).to_pylist():
-                found = shingle_set(text)
-                if not len(found) or (own := class_of(found)) in seen:
-                    continue
-                seen.add(own)
-                tokens.append(mix(_first(found, shared.value)))
-                owners.append(np.full(len(tokens[-1]), own, np.int64))
-                size += len(tokens[-1])
-            if size > 2_000_000:
-                yield dealt()
-                tokens, owners, size = [], [], 0
-        if tokens:
-            yield dealt()
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            raw, cuts = bytes_of(batch.column("prefix"))
+            token, size = np.frombuffer(raw.tobytes(), np.uint64), np.diff(cuts) // 8
+            owner = np.repeat(batch.column("class").to_numpy(), size)
+            first = np.arange(len(token)) - np.repeat(cuts[:-1] // 8, size) < np.repeat(prefix_length(batch.column("n").to_numpy()), size)
+            bucket = ((token >> U(32)) % U(buckets)).astype(np.uint16)
+            short = (token & U(0x7FFFFFFF)).astype(np.uint32) | first.astype(np.uint32) << np.uint32(31)
+            order = np.argsort(bucket, kind="stable")
+            ends = np.searchsorted(bucket[order], np.arange(buckets + 1)).astype(np.int32)
+            lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(x[order])) for x in (short.view(np.int32), owner)]
+            full = np.flatnonzero(np.diff(ends))
+            yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), *(x.take(pa.array(full)) for x in lists)], ["bucket", "tokens", "owners"])
 
     def grouped(table: pa.Table) -> pa.Table:
-        token = table.column("tokens").combine_chunks().flatten().to_numpy()
+        lists = table.column("tokens").combine_chunks()
+        short = lists.flatten().to_numpy().view(np.uint32)
         owner = table.column("owners").combine_chunks().flatten().to_numpy()
-        order = np.lexsort((owner, token))
-        token, owner = token[order], owner[order]
-        fresh = np.ones(len(token), bool)
-        fresh[1:] = (token[1:] != token[:-1]) | (owner[1:] != owner[:-1])
-        token, owner = token[fresh], owner[fresh]
-        cuts = np.concatenate([np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])), [len(token)]]) if len(token) else np.zeros(1, int)
-        size = np.diff(cuts)
-        found = {}
-        for a, n in zip(cuts[:-1][size > 1].tolist(), size[size > 1].tolist()):
-            members = owner[a : a + n]
-            found.setdefault(class_of(members), members)
-        gid = np.repeat(np.fromiter(found, np.int64, len(found)), [len(m) for m in found.values()])
-        members = np.concatenate(list(found.values())) if found else np.zeros(0, np.int64)
-        return pa.table({"gid": gid, "class": members})
-
-    dealt = docs.select(_text(text_col)).mapInArrow(deal, "bucket int, tokens array<int>, owners array<long>")
-    out = dealt.groupBy("bucket").applyInArrow(grouped, "gid long, class long")
-    return out.dropDuplicates(["gid", "class"])
+        record = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+        token = short & np.uint32(0x7FFFFFFF)
+        order = np.argsort(token)
+        size = np.diff(np.append(np.flatnonzero(np.append(True, token[order][1:] != token[order][:-1])[: len(order)]), len(order)))
+        order = order[np.repeat(size > 1, size)]
+        order = order[np.lexsort((record[order], owner[order], token[order]))]
+        token, owner, record, first = token[order], owner[order], record[order], short[order] >> np.uint32(31) == 1
+        # A class comes once from a task: its second shingle of one record was taken for the first one and counts.
+        again = (token[1:] == token[:-1]) & (owner[1:] == owner[:-1])
+        keep = np.append(True, ~again | (record[1:] == record[:-1]))[: len(token)]
+        token, owner, first = token[keep], owner[keep], first[keep]
+
+        def met(token, owner):
+            """Rows, sorted by both, of tokens that several owners have; and where each token begins."""
+            starts = np.flatnonzero(np.append(True, token[1:] != token[:-1])[: len(token)])
+            size = np.diff(np.append(starts, len(token)))
+            many = np.maximum.reduceat(owner, starts) != np.minimum.reduceat(owner, starts) if len(starts) else np.zeros(0, bool)
+            rows = np.flatnonzero(np.repeat(many, size))
+            return rows, np.append(0, np.cumsum(size[many]))
+
+        who, k = np.unique(owner[met(token, owner)[0]], return_counts=True)
+        token, owner = token[first], owner[first]
+        keep = np.append(True, (token[1:] != token[:-1]) | (owner[1:] != owner[:-1]))[: len(token)]
+        token, owner = token[keep], owner[keep]
+        rows, cuts = met(token, owner)
+        owner, size = owner[rows], np.diff(cuts)
+        gid = mix(np.add.reduceat(mix(owner.view(np.uint64) ^ U(0x5BD1E995)), cuts[:-1])) if len(size) else np.zeros(0, np.uint64)
+        once = np.zeros(len(gid), bool)
+        once[np.unique(gid, return_index=True)[1]] = True
+        gid, owner = np.repeat(gid[once], size[once]).view(np.int64), owner[np.repeat(once, size)]
+        return pa.table({
+            "gid": pa.concat_arrays([pa.nulls(len(who), pa.int64()), pa.array(gid)]),
+            "class": np.concatenate([who, owner]),
+            "k": np.concatenate([k, np.zeros(len(gid), np.int64)]),
+        })
+
+    dealt = rows.where("prefix IS NOT NULL").select("class", "n", "prefix").mapInArrow(deal, "bucket int, tokens array<int>, owners array<long>")
+    return dealt.groupBy("bucket").applyInArrow(grouped, "gid long, class long, k long")
 
 
 class Node:
@@ -297,154 +364,213 @@ def open_pairs(x: Chunk, y: Chunk) -> Iterator[tuple[np.ndarray, np.ndarray, np.
             yield a[i], b[j], most[i, j] / (na + nb - most)[i, j]
 
 
-def _chunk(table: pa.Table, rows: np.ndarray) -> Chunk:
-    part = table.take(pa.array(rows))
-    return Chunk(*(part.column(c).to_numpy() for c in ("class", "n", "comp")), part.column("bits").to_pylist())
-
+def overlaps(sets: list[np.ndarray]):
+    """A function that counts the shingles common to pairs (rows i, rows j) of the sets."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, name, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    names = np.cumsum(held > 1) - 1  # shingles of one set alone are common to no pair
+    several = held[name] > 1
+    owner, name = owner[several], names[name[several]]
+    order = np.argsort(name, kind="stable")
+    owner, name = owner[order], name[order]
+    ends = np.searchsorted(name, np.arange(0, int(name[-1]) + VERIFY_SHINGLES + 1, VERIFY_SHINGLES)) if len(name) else np.zeros(1, int)
+
+    def common(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        same = np.zeros(len(i), np.int64)
+        for a, b in zip(ends[:-1], ends[1:]):
+            at = name[a:b] - name[a] // VERIFY_SHINGLES * VERIFY_SHINGLES
+            width = int(at[-1]) // 64 + 1
+            bits = np.zeros((len(sets), width * 64), bool)
+            bits[owner[a:b], at] = True
+            bits = np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
+            step = max(1, VERIFY_WORDS // width)
+            for low in range(0, len(i), step):
+                same[low : low + step] += np.bitwise_count(bits[i[low : low + step]] & bits[j[low : low + step]]).sum(axis=1, dtype=np.int64)
+        return same
+
+    return common
+
+
+def closest(i: np.ndarray, j: np.ndarray, near: np.ndarray) -> np.ndarray:
+    """The pairs that are the closest one of one of their rows."""
+    ends, pick = np.concatenate([i, j]), np.concatenate([np.arange(len(i))] * 2)
+    rank = np.lexsort((pick, -near[pick], ends))
+    first = rank[np.concatenate([[True], ends[rank][1:] != ends[rank][:-1]])]
+    return np.unique(pick[first])
+
+
+def joined(comp: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
+    """The least component that each class of a cell is in once all that link are joined.
+
+    Classes of one component at first are joined already.
+    """
+    names, at = np.unique(comp, return_inverse=True)
+    parent = list(range(len(names)))
 
-def candidates(members: DataFrame, best: bool) -> DataFrame:
-    """(a, b) with a < b: pairs of classes that may link, from all groups.
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
 
-    ``best``: only the closest partner each class has in its chunk.
-    """
+    n = np.array([len(s) for s in sets])
+    maps = [bitmap_of(s).tobytes() for s in sets]
+    common = overlaps(sets)
+    for best in (True, True, False):
+        roots = np.array([root(x) for x in range(len(parent))])
+        chunk = Chunk(np.arange(len(sets)), n, roots[at], maps)
+        found = list(open_pairs(chunk, chunk))
+        if not found:
+            break
+        i, j, near = (np.concatenate(f) for f in zip(*found))
+        if best:
+            keep = closest(i, j, near)
+            i, j = i[keep], j[keep]
+        i, j = chunk.ids[i], chunk.ids[j]
+        same = common(i, j)
+        link = 100 * same >= 80 * (n[i] + n[j] - same)
+        for a, b in zip(i[link].tolist(), j[link].tolist()):
+            x, y = root(int(at[a])), root(int(at[b]))
+            parent[max(x, y)] = min(x, y)
+    return names[np.array([root(x) for x in range(len(parent))])][at]
+
+
+def linked(cells: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b), staged: components of a cell (cell, class, comp) and the least one that they are joined with there."""
 
     def run(table: pa.Table) -> pa.Table:
-        key = np.stack([table.column(c).to_numpy().astype(np.int64) for c in ("gid", "i", "j", "right")])
-        order = np.lexsort(key[::-1])
-        key = key[:, order]
-        cuts = np.flatnonzero(np.concatenate([[True], (key[:3, 1:] != key[:3, :-1]).any(axis=0), [True]])) if key.shape[1] else np.zeros(1, int)
-        out_a, out_b = [], []
-        for lo, hi in zip(cuts[:-1], cuts[1:]):
-            split = lo + int(np.searchsorted(key[3, lo:hi], 1))
-            x = _chunk(table, order[lo:split])
-            y = x if split == hi else _chunk(table, order[split:hi])
-            found = list(open_pairs(x, y))
-            if not found:
-                continue
-            i, j, near = (np.concatenate(f) for f in zip(*found))
-            if best:  # x is y here
-                ends, near2, pick = np.concatenate([i, j]), np.concatenate([near, near]), np.concatenate([np.arange(len(i))] * 2)
-                rank = np.lexsort((pick, -near2, ends))
-                first = rank[np.concatenate([[True], ends[rank][1:] != ends[rank][:-1]])]
-                keep = np.unique(pick[first])
-                i, j = i[keep], j[keep]
-            a, b = x.ids[i], y.ids[j]
-            out_a.append(np.minimum(a, b))
-            out_b.append(np.maximum(a, b))
-        empty = [np.zeros(0, np.int64)]
-        return pa.table({"a": np.concatenate(out_a or empty), "b": np.concatenate(out_b or empty)})
-
-    # A cell is a chunk with itself, or two chunks of one group.
-    if best:
-        cells = members.withColumns({"i": F.col("chunk"), "j": F.col("chunk"), "right": F.lit(0)})
-    else:
-        others = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")
-        cells = members.select("*", others).withColumns({"i": F.least("chunk", "other"), "j": F.greatest("chunk", "other"), "right": (F.col("chunk") > F.col("other")).cast("int")})
-    parts = 4 * parallelism(members.sparkSession)
-    cells = cells.select("gid", "i", "j", "right", "class", "n", "comp", "bits", F.pmod(F.xxhash64("gid", "i", "j"), F.lit(parts)).alias("part"))
-    return cells.groupBy("part").applyInArrow(run, "a long, b long").distinct()
-
-
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs that link, by the exact sets (class, shingles), staged.
-
-    Pairs are laid out by neighbourhood so that a set travels once for many
-    pairs: two rounds of least labels name the neighbourhood, and large ones
-    are cut into blocks.
-    """
-    both = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    label = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label"))
-    second = both.join(label.select(F.col("a").alias("b"), F.col("label").alias("near")), "b")
-    label = second.groupBy("a").agg(F.min("near").alias("label"))
-    size = label.groupBy("label").agg(F.ceil(F.count("*") / F.lit(VERIFY_BLOCK)).alias("blocks"))
-    label = staged(label.join(size, "label").select("a", "label", F.pmod(F.xxhash64("a"), F.col("blocks")).alias("block")), "jaccard-labels")
-    left, right = (label.select(F.col("a").alias(x), F.struct("label", "block").alias(f"{x}_at")) for x in ("a", "b"))
-    placed = pairs.join(left, "a").join(right, "b")
-    cell = F.xxhash64(F.least("a_at", "b_at"), F.greatest("a_at", "b_at"))
-    placed = staged(placed.select("a", "b", cell.alias("cell")), "jaccard-pairs")
-    needed = placed.select("cell", F.col("a").alias("class")).union(placed.select("cell", F.col("b").alias("class"))).distinct()
-    sent = needed.withColumnRenamed("cell", "at").join(sets, "class")
-
-    def check(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        held = {c: np.frombuffer(s, np.uint64) for c, s in zip(right["class"], right["shingles"])}
-        keep = []
-        for a, b in zip(left["a"], left["b"]):
-            x, y = held[a], held[b]
-            if len(x) > len(y):
-                x, y = y, x
-            at = np.searchsorted(y, x)
-            same = int((y[np.minimum(at, len(y) - 1)] == x).sum())
-            keep.append(100 * same >= 80 * (len(x) + len(y) - same))
-        return left.loc[keep, ["a", "b"]]
-
-    out = staged(placed.groupBy("cell").cogroup(sent.groupBy("at")).applyInPandas(check, "a long, b long"), "jaccard-links")
-    discard(label, placed)
-    return out
+        cell, own, comp = (table.column(c).to_numpy() for c in ("cell", "class", "comp"))
+        order = np.lexsort((own, cell))
+        keep = np.append(True, (cell[order][1:] != cell[order][:-1]) | (own[order][1:] != own[order][:-1]))[: len(order)]
+        order = order[keep]  # a set may have been made twice
+        cell, own, comp = cell[order], own[order], comp[order]
+        held = table.column("shingles").combine_chunks()
+        cuts = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1], [True]]))
+        least = comp.copy()
+        for low, high in zip(cuts[:-1], cuts[1:]):
+            if high - low > 1:
+                least[low:high] = joined(comp[low:high], [np.frombuffer(held[int(k)].as_buffer(), np.uint64) for k in order[low:high]])
+        moved = comp != least
+        return pa.table({"a": comp[moved], "b": least[moved]})
+
+    parts = max(parallelism(cells.sparkSession), -(-cells.count() // PART_ROWS))
+    met = cells.join(sets, "class").select("cell", "class", "comp", "shingles", F.pmod(F.xxhash64("cell"), F.lit(parts)).alias("part"))
+    return staged(met.groupBy("part").applyInArrow(run, "a long, b long"), "jaccard-links")
 
 
 def exact_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(class, shingles) of the ``wanted`` (id, class), one document each."""
+    """(class, shingles), staged, of the ``wanted`` (id, class) and few others; a class may come twice.
+
+    A filter of bits for the wanted ids and classes goes to all tasks, so no text is shuffled.
+    """
+    spark = docs.sparkSession
+    words = min(MAX_WORDS, 1 << max(6, (wanted.count() // 2).bit_length()))
+
+    def word(h: np.ndarray) -> np.ndarray:
+        return (h >> U(6) & U(words - 1)).astype(np.int64)
+
+    def bit(h: np.ndarray) -> np.ndarray:
+        return U(1) << (h & U(63))
+
+    def hashed(values: pa.Array, seed: int) -> np.ndarray:
+        return mix(values.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) ^ U(seed))
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h = np.concatenate([hashed(batch.column(0).drop_null(), 0), hashed(batch.column(1), 1)])
+            at, rows = np.unique(word(h), return_inverse=True)
+            bits = np.zeros(len(at), np.uint64)
+            np.bitwise_or.at(bits, rows, bit(h))
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(bits.view(np.int64))], ["word", "bits"])
+
+    marked = wanted.select("id", "class").mapInArrow(mark, "word long, bits long").groupBy("word").agg(F.expr("bit_or(bits)").alias("bits")).toArrow()
+    table = np.zeros(words, np.uint64)
+    table[marked.column(0).to_numpy()] = marked.column(1).to_numpy().view(np.uint64)
+    shared = spark.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = set()  # rows with one id meet in one task, so repeated rows give one set
+        def known(h):
+            return (shared.value[word(h)] & bit(h)) != 0
+
+        seen = set()
         for batch in text_batches(batches):
+            ids = batch.column(0)
+            here = np.array(ids.is_null(), bool)  # a class without any id is sought among rows without one
+            here[~here] = known(hashed(ids.drop_null(), 0))
+            found = [s for s in shingle_sets(batch.column(1).filter(pa.array(here))) if len(s)]
+            names = pa.array([class_of(s) for s in found], pa.int64())
             own, sets = [], []
-            for expected, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if expected in seen:
-                    continue
-                found = shingle_set(text)
-                if len(found) and class_of(found) == expected:
-                    seen.add(expected)
-                    own.append(expected)
-                    sets.append(found.tobytes())
+            for c, wants, s in zip(names.to_pylist(), known(hashed(names, 1)), found):
+                if wants and c not in seen:
+                    seen.add(c)
+                    own.append(c)
+                    sets.append(s.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(sets, pa.binary())], ["class", "shingles"])
 
     texts = docs.select(F.col(id_col).cast("long").alias("id"), _text(text_col).alias("text"))
-    met = texts.join(wanted.hint("shuffle_hash"), texts["id"].eqNullSafe(wanted["id"])).select("class", "text")
-    return met.mapInArrow(run, "class long, shingles binary")
+    return staged(texts.mapInArrow(run, "class long, shingles binary"), "jaccard-sets")
+
+
+def blocks(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(class, at) of all members, and (class, cell) of what all blocks of a neighbourhood get, staged."""
+    label = None
+    for _ in range(2):
+        near = members.withColumn("label", F.col("class")) if label is None else members.join(label.select("class", "label"), "class")
+        least = near.groupBy("gid").agg(F.min("label").alias("label"))
+        last, label = label, staged(members.join(least, "gid").groupBy("class").agg(F.min("label").alias("label"), F.first("n").alias("n")), "jaccard-labels")
+        discard(last)
+    size = F.ceil(F.greatest(F.count("*") / F.lit(CHUNK), F.sum("n") / F.lit(BLOCK_SHINGLES))).cast("long")
+    cut = label.groupBy("label").agg(size.alias("blocks"), F.min("class").alias("first"))
+    cut = staged(cut, "jaccard-blocks")
+    at = F.xxhash64("label", F.pmod(F.xxhash64("class"), F.col("blocks")))
+    placed = staged(label.join(cut, "label").select("class", at.alias("at")), "jaccard-placed")
+    every = cut.where("blocks > 1").select("label", F.col("first").alias("class"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
+    return placed, every.select("class", F.xxhash64("label", "block").alias("cell"))
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, n (set size), class, component_id.  See the module's text."""
     frequent = frequent_shingles(docs, text_col)
-    rows = staged(described(docs, id_col, text_col), "jaccard-rows")
-    classes = rows.where("n > 0").groupBy("class").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bits").alias("bits"))
+    prefixed = staged(described(docs, frequent, id_col, text_col), "jaccard-prefixes")
+    rows = staged(prefixed.select("id", "n", "class"), "jaccard-rows")
+    classes = rows.where("n > 0").groupBy("class").agg(F.min("id").alias("id"), F.first("n").alias("n"))
     classes = staged(classes, "jaccard-classes")
-    buckets = max(128, rows.count() // 500)
-    grouped = staged(groups(docs, frequent, text_col, buckets), "jaccard-groups")
-
-    # Narrow rows until it is known which groups matter; bitmaps join last.
-    members = grouped.join(classes.select("class", "n"), "class")
-    width = W.partitionBy("gid")
-    members = members.withColumn("chunks", F.ceil(F.count("*").over(width) / F.lit(CHUNK)).cast("int"))
-    chunk = F.when(F.col("chunks") == 1, 0).otherwise(F.floor((F.row_number().over(width.orderBy("n", "class")) - 1) / F.lit(CHUNK))).cast("int")
-    members = staged(members.withColumn("chunk", chunk), "jaccard-members")
-
-    links, comp, sets, named = None, None, None, None
-    for best in (True, True, False):
-        if comp is None:
-            now = members.withColumn("comp", F.col("class"))
-        else:
-            known = comp.select(F.col("node").alias("class"), "component")
-            now = members.join(known, "class", "left").withColumn("comp", F.coalesce("component", "class")).drop("component")
-            mixed = now.groupBy("gid").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("gid")
-            now = now.join(mixed, "gid", "left_semi")
-        now = staged(now, "jaccard-open")
-        found = staged(candidates(now.join(classes.select("class", "bits"), "class"), best), "jaccard-candidates")
-        discard(now)
-        wanted = found.select(F.col("a").alias("class")).union(found.select(F.col("b").alias("class"))).distinct()
-        wanted = wanted if named is None else wanted.join(named, "class", "left_anti")
-        wanted = staged(wanted.join(classes, "class").select("id", "class"), "jaccard-wanted")
-        if sets is None or not wanted.isEmpty():  # sets are made for classes that may link, once
-            more = staged(exact_sets(docs, wanted, id_col, text_col), "jaccard-sets")
-            sets = more if sets is None else sets.union(more)
-            names = wanted.select("class")
-            named = names if named is None else named.union(names)
-        new = verified(found, sets)
-        links = new if links is None else links.union(new)
-        last, comp = comp, components(links)
-        discard(found, last)
-    discard(grouped, members)
+    buckets = min(1 << 16, max(128, rows.count() // 2000))
+    grouped = staged(groups(prefixed, buckets), "jaccard-groups")
+    discard(prefixed)
+
+    # A partner has at least 0.8 n shingles, and the smaller one's bound holds for both.
+    shares = grouped.where("gid IS NULL").groupBy("class").agg(F.sum("k").alias("k")).join(classes, "class")
+    least = F.expr("((8 * n + 9) div 10 + 9) div 10")
+    alive = staged(shares.where(F.col("k") >= least).select("class", "id", "n"), "jaccard-alive")
+    members = grouped.where("gid IS NOT NULL").select("gid", "class").join(alive.select("class", "n"), "class").distinct()
+    members = staged(members, "jaccard-members")
+    discard(grouped)
+    placed, every = blocks(members)
+    sets = exact_sets(docs, alive, id_col, text_col)
+
+    # The class that all blocks of a neighbourhood get is its least: it names the component of what links with it.
+    cells = placed.select("class", F.col("at").alias("cell")).union(every.select("class", "cell"))
+    cells = staged(cells.withColumn("comp", F.col("class")), "jaccard-cells")
+    comp = linked(cells, sets).select(F.col("a").alias("node"), F.col("b").alias("component"))
+    discard(cells)
+
+    # What is left: groups over several blocks, and in them what may link with another component.
+    left = placed.join(comp, F.col("class") == F.col("node"), "left").select("class", "at", F.coalesce("component", "class").alias("comp"))
+    left = members.select("gid", "class").join(left, "class")
+    spans = left.groupBy("gid").agg(F.min("at").alias("a"), F.max("at").alias("b"), F.min("comp").alias("c"), F.max("comp").alias("d"))
+    left = staged(left.join(spans.where("a <> b AND c <> d").select("gid"), "gid"), "jaccard-open")
+    sides = left.groupBy("gid", F.col("at").alias("other")).agg(F.min("comp").alias("c"), F.max("comp").alias("d"))
+    far = left.join(sides, "gid").where("at <> other AND NOT (c = d AND c = comp)")
+    far = staged(far.select(F.xxhash64(F.least("at", "other"), F.greatest("at", "other")).alias("cell"), "class", "comp").distinct(), "jaccard-cells")
+    if not far.isEmpty():
+        more = linked(far, sets)
+        whole = components(more).select(F.col("node").alias("component"), F.col("component").alias("whole"))
+        # A component's least class is not among its nodes.
+        comp = comp.join(whole, "component", "left").select("node", F.coalesce("whole", "component").alias("component"))
+        comp = comp.union(whole.select(F.col("component").alias("node"), F.col("whole").alias("component")))
+        comp = staged(comp, "jaccard-components")
+        discard(more)
+    discard(left, far, members, placed, alive, sets)
 
     least = classes.select("class", "id").join(comp, F.col("class") == F.col("node"), "left")
     least = least.select("class", "id", F.coalesce("component", "class").alias("comp"))

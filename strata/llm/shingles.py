@@ -3,7 +3,7 @@
 A word is a run of bytes other than space and 0x09-0x0D, with A-Z lowered.
 Words get a polynomial hash from one running sum over the text's bytes; five
 neighbouring word hashes are mixed into one shingle hash.  All steps are array
-operations over the bytes of a text.
+operations over the bytes of a text, or of a block of texts end to end.
 """
 
 from __future__ import annotations
@@ -11,8 +11,13 @@ from __future__ import annotations
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+
+from strata.llm.common import bytes_of
 
 SIZE = 5
+#: Bytes of texts taken end to end at once; a longer text is a block of its own.
+TEXT_BLOCK = 1 << 18
 BASE = 0x9E3779B97F4A7C15
 U = np.uint64
 
@@ -72,3 +77,47 @@ def shingle_set(text: str, size: int = SIZE) -> np.ndarray:
     for i in range(width):
         total = mix(total * U(BASE) + words[i : n - width + 1 + i])
     return np.unique(total)
+
+
+def _block_sets(data: np.ndarray, cuts: np.ndarray) -> list[np.ndarray]:
+    """``shingle_set`` of each text of a block, given its bytes and where texts begin and the last one ends."""
+    inside = IN_WORD[data]
+    begins, ends = inside.copy(), inside.copy()
+    begins[1:] &= ~inside[:-1]
+    ends[:-1] &= ~inside[1:]
+    full = cuts[1:] > cuts[:-1]
+    for marks, edge in ((begins, cuts[:-1][full]), (ends, cuts[1:][full] - 1)):  # no word leaves its text
+        marks[edge] = inside[edge]
+    first, last = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+    power, inverse = powers(1 << max(16, len(data).bit_length()))
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((LOWER[data].astype(np.uint64) + U(1)) * power[: len(data)], out=total[1:])
+    words = mix((total[last] - total[first]) * inverse[first] + (last - first).astype(np.uint64))
+    at = np.searchsorted(first, cuts).tolist()
+    runs = {}  # by width: texts of fewer words than SIZE have one shingle of all their words
+    out = []
+    for a, b in zip(at[:-1], at[1:]):
+        width = min(SIZE, b - a)
+        if not width:
+            out.append(words[:0])
+            continue
+        if width not in runs:
+            runs[width] = np.full(len(words) - width + 1, U(width))
+            for i in range(width):
+                runs[width] = mix(runs[width] * U(BASE) + words[i : len(words) - width + 1 + i])
+        own = runs[width][a : b - width + 1]
+        own.sort()
+        again = own[1:] == own[:-1]
+        out.append(own[np.append(True, ~again)] if again.any() else own)
+    return out
+
+
+def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
+    """``shingle_set`` of each text of a column."""
+    data, cuts = bytes_of(texts)
+    out, low = [], 0
+    while low < len(cuts) - 1:
+        high = max(low + 1, int(np.searchsorted(cuts, cuts[low] + TEXT_BLOCK, "right")) - 1)
+        out += _block_sets(data[cuts[low] : cuts[high]], cuts[low : high + 1] - cuts[low])
+        low = high
+    return out

@@ -260,3 +260,67 @@ def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert all(got[i] == 0 for i in range(41)) and all(got[100 + i] == 100 for i in range(30))
+
+
+@pytest.mark.parametrize("block", [1, 40, 1 << 18])
+def test_shingles_of_texts_end_to_end(monkeypatch, block):
+    monkeypatch.setattr(shingles, "TEXT_BLOCK", block)
+    texts = ["", "  ", "a", "a b c d", "x" * 300, "a b c d e f a b c d e", "É É é A a", "\t\n a\x0b b", " a", "b ", "", "q r s t u v w " * 50, "a b c d", ""]
+    got = shingles.shingle_sets(pa.array(["left out", *texts]).slice(1))
+    assert [s.tolist() for s in got] == [shingles.shingle_set(t).tolist() for t in texts]
+
+
+def test_linked_sets_share_enough_of_their_longer_prefixes():
+    rnd = random.Random(6)
+    base = [rnd.getrandbits(63) for _ in range(200)]
+    sets = []
+    for _ in range(120):
+        size = rnd.randint(1, 90)
+        sets.append(np.unique(np.array([*base[:size][: size - rnd.randint(0, size // 6)], *(rnd.getrandbits(63) for _ in range(rnd.randint(0, size // 9)))] or base[:1], np.uint64)))
+    known = np.sort(np.array(base[:30], np.uint64))
+    prefixes = jaccard_join._prefixes(sets, np.stack([known, np.arange(30, dtype=np.uint64)]))
+    met = 0
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets):
+            same = len(np.intersect1d(x, y))
+            if i != j and 100 * same >= 80 * (len(x) + len(y) - same):
+                met += 1
+                first = [p[: jaccard_join.prefix_length(len(s))] for p, s in ((prefixes[i], x), (prefixes[j], y))]
+                assert len(np.intersect1d(*first)) >= 1
+                assert len(np.intersect1d(prefixes[i], prefixes[j])) >= jaccard_join.shared_length((8 * len(x) + 9) // 10)
+    assert met > 100
+
+
+def test_a_cell_joins_what_links():
+    rnd = random.Random(7)
+    base = [rnd.getrandbits(63) for _ in range(400)]
+    sets = [np.unique(np.array([v for v in base[k % 3 * 50 :][:300] if rnd.random() < 0.9], np.uint64)) for k in range(60)]
+    comp = np.arange(100, 160) - np.arange(60) % 2 * (np.arange(60) < 4)  # 0 and 1, 2 and 3 are joined before
+    got = jaccard_join.joined(comp, sets)
+    root = {c: c for c in comp.tolist()}
+
+    def least(x):
+        return x if root[x] == x else least(root[x])
+
+    for i in range(60):
+        for j in range(i):
+            same = len(np.intersect1d(sets[i], sets[j]))
+            if 100 * same >= 80 * (len(sets[i]) + len(sets[j]) - same):
+                a, b = sorted((least(int(comp[i])), least(int(comp[j]))))
+                root[b] = a
+    assert got.tolist() == [least(c) for c in comp.tolist()] and 1 < len(set(got.tolist())) < 58
+
+
+def test_sets_travel_once_and_only_where_they_may_link(spark, monkeypatch):
+    """Not for each group or round, and not for texts that share a passage."""
+    seen = []
+    usual = jaccard_join.linked
+    monkeypatch.setattr(jaccard_join, "linked", lambda cells, sets: (seen.append((cells.count(), sets.count())), usual(cells, sets))[1])
+    rnd = random.Random(5)
+    line = " ".join(f"common{i}" for i in range(25))
+    alone = [(1000 + i, " ".join(f"v{rnd.getrandbits(40)}" for _ in range(100)) + " " + line) for i in range(60)]
+    rows = [(d, t) for d, t in near_copies(rnd, 8, 10)] + alone
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = jaccard_join.jaccard_join(docs).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == brute_components(rows)
+    assert 0 < sum(c for c, _ in seen) <= 100 and seen[0][1] <= 90
